@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldlens.plans import inventory
+from fieldlens.plans import inventory, sales
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "renewal_label": inventory.renewal_label,
@@ -17,4 +17,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ad_catalog": inventory.ad_catalog,
     "first_slot_city": inventory.first_slot_city,
     "orders_two_roles": inventory.orders_two_roles,
+    "orders_cleanup": sales.q_orders_cleanup,
+    "orders_month_window": sales.q_orders_month_window,
+    "orders_three_month_window": sales.q_orders_three_month_window,
+    "reporting_period": sales.q_reporting_period,
+    "plan_class_flags": sales.q_plan_class_flags,
+    "plan_class_counts": sales.q_plan_class_counts,
+    "count_by_key": sales.q_count_by_key,
+    "revenue_by_rep": sales.q_revenue_by_rep,
+    "role_gates": sales.q_role_gates,
+    "safe_ratio": sales.q_safe_ratio,
+    "scorecard": sales.q_scorecard,
+    "leadership_rollup": sales.q_leadership_rollup,
+    "metrics_sheet": sales.q_metrics_sheet,
+    "attribution_share": sales.q_attribution_share,
+    "team_roster_union": sales.q_team_roster_union,
+    "roster_sorted": sales.q_roster_sorted,
+    "sale_day_discount": sales.q_sale_day_discount,
+    "sale_day_plan_revenue": sales.q_sale_day_plan_revenue,
+    "orders_with_contact": sales.q_orders_with_contact,
 }
