@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldlens.plans import inventory, sales
+from fieldlens.plans import coverage, inventory, profiles, sales
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "renewal_label": inventory.renewal_label,
@@ -36,4 +36,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sale_day_discount": sales.q_sale_day_discount,
     "sale_day_plan_revenue": sales.q_sale_day_plan_revenue,
     "orders_with_contact": sales.q_orders_with_contact,
+    "city_coverage": coverage.city_coverage,
+    "establishment_detail": coverage.establishment_detail,
+    "distinct_clinics": coverage.distinct_clinics,
+    "clinic_flag_rows": coverage.clinic_flag_rows,
+    "locality_fanout_count": coverage.locality_fanout_count,
+    "clinics_by_locality": coverage.clinics_by_locality,
+    "practice_count_all_localities": coverage.practice_count_all_localities,
+    "territory_rep_map": coverage.territory_rep_map,
+    "practice_territory_map": coverage.practice_territory_map,
+    "locality_geo": coverage.locality_geo,
+    "region_owner_listing": coverage.region_owner_listing,
+    "salesregion_listing": coverage.salesregion_listing,
+    "sales_owner_listing": coverage.sales_owner_listing,
+    "user_listing": coverage.user_listing,
+    "literal_in_filters": coverage.literal_in_filters,
+    "regex_name_lookup": coverage.regex_name_lookup,
+    "scan_active_rows": coverage.scan_active_rows,
+    "top_sources": coverage.top_sources,
+    "profile_master": profiles.profile_master,
+    "profile_mapping": profiles.profile_mapping,
+    "country_split": profiles.country_split,
+    "international_only": profiles.international_only,
+    "practice_id_map": profiles.practice_id_map,
+    "collapse_text": profiles.collapse_text_q,
+    "collapse_text_distinct": profiles.collapse_text_distinct_q,
+    "text_whitelist": profiles.text_whitelist,
+    "keep_first": profiles.keep_first_q,
+    "photo_stats": profiles.photo_stats,
+    "key_concat": profiles.key_concat,
 }
