@@ -1,0 +1,11 @@
+"""Streaming.
+
+The reports are daily batch jobs over full extracts; none of them keeps
+state between runs, uses event-time windows or handles late data, so this
+package adds no streaming operator.  The row-level pieces (order cleanup
+filters, plan-class flags, text whitelist, active-on-a-date test) are plain
+column expressions and work unchanged on a ``readStream`` DataFrame; the
+window- and join-based reports are meant for batch runs.
+"""
+
+STREAM_SAFE = ("clean_orders", "class_flags", "whitelist_strip", "active_as_of")
