@@ -45,12 +45,25 @@ def active_as_of(df: DataFrame, as_of, start: str = "start_date", duration: str
     return df.where(cond)
 
 
-def _null_safe_on(left_alias: str, right_alias: str, cols: list[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = F.col(f"{left_alias}.`{c}`").eqNullSafe(F.col(f"{right_alias}.`{c}`"))
-        cond = e if cond is None else cond & e
-    return cond
+_DEFAULTS = {"string": "", "date": "1970-01-01", "timestamp": "1970-01-01 00:00:00",
+             "timestamp_ntz": "1970-01-01 00:00:00", "boolean": False}
+
+
+def encode_keys(df: DataFrame, cols: list[str], prefix: str) -> tuple[DataFrame, list[str]]:
+    """Replace nullable grouping keys by (value-or-default, is-null) pairs.
+
+    Grouping and joining on the encoded columns treats a missing key as its
+    own group (like ``eqNullSafe``) while keeping plain equality keys, so a
+    window, an aggregation and a join on the same keys share one hash
+    partitioning instead of re-shuffling for the null-safe form."""
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    names = []
+    for i, c in enumerate(cols):
+        t = types.get(c, "string")
+        default = F.lit(_DEFAULTS.get(t, 0)).cast(t)
+        df = df.withColumn(f"{prefix}k{i}", F.coalesce(_c(c), default)).withColumn(f"{prefix}n{i}", _c(c).isNull())
+        names += [f"{prefix}k{i}", f"{prefix}n{i}"]
+    return df, names
 
 
 def label_renewals(df: DataFrame, group_cols: list[str], start: str, order_ts: str, end: str,
@@ -65,24 +78,25 @@ def label_renewals(df: DataFrame, group_cols: list[str], start: str, order_ts: s
         prev = df.withColumn("_prev_start", F.lag(_c(start)).over(w)).withColumn("_prev_end", F.lag(_c(end)).over(w))
     else:
         bucket = bucket if bucket is not None else _c(start)
-        b = df.withColumn("_bkt", bucket)
-        keys = list(group_cols) + ["_bkt"]
-        w = Window.partitionBy(*[_c(k) for k in keys]).orderBy(*order_cols)
-        inner = (b.withColumn("_ls", F.lag(_c(start)).over(w))
-                  .withColumn("_le", F.lag(_c(end)).over(w))
-                  .withColumn("_opens", F.lag(F.lit(True)).over(w).isNull()))
-        # last row of each (group, bucket), by the same ordering
-        summary = (b.groupBy(*[_c(k) for k in keys])
-                    .agg(F.max_by(F.struct(_c(start).alias("s"), _c(end).alias("e")),
-                                  order_key([_c(start), _c(order_ts)] + [_c(t) for t in tiebreak])).alias("_last")))
-        wb = Window.partitionBy(*[_c(g) for g in group_cols]).orderBy(F.col("_bkt").asc_nulls_last())
-        carry = summary.select(*[_c(k) for k in keys], F.lag(F.col("_last")).over(wb).alias("_pb"))
-        joined = inner.alias("r").join(carry.alias("p"), _null_safe_on("r", "p", keys), "left")
+        enc, gkeys = encode_keys(df.withColumn("_bkt", bucket), list(group_cols) + ["_bkt"], "_g")
+        bkeys, gkeys = gkeys, gkeys[:-2]          # (group, bucket) keys and group keys
+        w = Window.partitionBy(*bkeys).orderBy(*order_cols)
+        inner = (enc.withColumn("_ls", F.lag(_c(start)).over(w))
+                    .withColumn("_le", F.lag(_c(end)).over(w))
+                    .withColumn("_opens", F.lag(F.lit(1)).over(w).isNull())
+                    .withColumn("_closes", F.lead(F.lit(1)).over(w).isNull()))
+        # the last row of each (group, bucket): one row per bucket, no aggregation
+        summary = inner.where(F.col("_closes")).select(
+            *bkeys, F.struct(_c(start).alias("s"), _c(end).alias("e")).alias("_last"))
+        # bucket ascending, missing bucket last: (is-null flag, value)
+        wb = Window.partitionBy(*gkeys).orderBy(F.col(bkeys[-1]), F.col(bkeys[-2]))
+        carry = summary.select(*bkeys, F.lag(F.col("_last")).over(wb).alias("_pb"))
+        joined = inner.join(carry, bkeys, "left")
         prev = joined.select(
-            "r.*",
-            F.when(F.col("r._opens"), F.col("p._pb.s")).otherwise(F.col("r._ls")).alias("_prev_start"),
-            F.when(F.col("r._opens"), F.col("p._pb.e")).otherwise(F.col("r._le")).alias("_prev_end"),
-        ).drop("_bkt", "_ls", "_le", "_opens")
+            *df.columns,
+            F.when(F.col("_opens"), F.col("_pb.s")).otherwise(F.col("_ls")).alias("_prev_start"),
+            F.when(F.col("_opens"), F.col("_pb.e")).otherwise(F.col("_le")).alias("_prev_end"),
+        )
 
     od = F.to_date(_c(order_ts))
     is_r = (F.col("_prev_start").isNotNull() & (od >= F.col("_prev_start")) & (od <= F.col("_prev_end")))
@@ -95,8 +109,7 @@ def label_renewals(df: DataFrame, group_cols: list[str], start: str, order_ts: s
 def share_label(df: DataFrame, group_cols: list[str], order_ts: str, start: str, tiebreak: list[str],
                 label_col: str = "label", out_col: str = "shared_label") -> DataFrame:
     """Rows sharing (group, order time) take the first label in (start, tie-break) order."""
-    keys = list(group_cols) + [order_ts]
-    first = (df.groupBy(*[_c(k) for k in keys])
-               .agg(F.min_by(_c(label_col), order_key([_c(start)] + [_c(t) for t in tiebreak])).alias(out_col)))
-    return (df.alias("r").join(first.alias("f"), _null_safe_on("r", "f", keys), "left")
-              .select("r.*", F.col(f"f.`{out_col}`")))
+    enc, keys = encode_keys(df, list(group_cols) + [order_ts], "_s")
+    first = (enc.groupBy(*keys)
+                .agg(F.min_by(_c(label_col), order_key([_c(start)] + [_c(t) for t in tiebreak])).alias(out_col)))
+    return enc.join(first, keys, "left").select(*df.columns, F.col(f"`{out_col}`"))
