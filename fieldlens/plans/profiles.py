@@ -66,22 +66,37 @@ def profile_master(spark: SparkSession, sf: str) -> DataFrame:
                .where(F.col("verification_status") == VERIFIED).drop("verification_status", "locality_id"))
 
     lines = _doctor_lines(spark, sf)
-    awards = collapse_text(lines.select("doctor_id", whitelist_strip(F.col("p_brand")).alias("award")),
-                           ["doctor_id"], "award", "awards")
+    # Two passes over the order lines instead of one per child table.
+    # Doctor grain: (doctor, brand) pairs carry their count and their first
+    # line, so awards (collapsed brands) and the first registration /
+    # speciality come out of one pre-aggregated shuffle.
+    # min over (order date, order key, line, part, practice, payload) picks the
+    # first line; the payload rides along in the same struct
+    first_line = F.struct("o_orderdate", "o_orderkey", "l_linenumber", "l_partkey", "practice_id", "p_type")
+    pairs = (lines.groupBy("doctor_id", whitelist_strip(F.col("p_brand")).alias("award"))
+                  .agg(F.count(F.lit(1)).alias("_n"), F.min(first_line).alias("_f")))
+    runs = F.sort_array(F.collect_list(F.when(F.col("award").isNotNull(),
+                                              F.struct(F.col("award").alias("v"), F.col("_n").alias("n")))))
+    doc = pairs.groupBy("doctor_id").agg(
+        F.array_join(F.flatten(F.transform(runs, lambda r: F.array_repeat(r["v"], r["n"].cast("int")))), "|").alias("awards"),
+        F.min("_f").alias("_first"))
+    doc = doc.select("doctor_id", F.when(F.col("awards") != "", F.col("awards")).alias("awards"),
+                     F.concat(F.lit("_"), F.col("_first.o_orderkey").cast("string")).alias("registration"),
+                     F.col("_first.p_type").alias("speciality"))
     orgs = read_table(spark, sf, "orders", ["o_custkey"]).groupBy(F.col("o_custkey").alias("doctor_id")) \
         .agg(F.count(F.lit(1)).alias("organizations"))
+    # Practice grain: (practice, type) pairs give the photo count / logo sum
+    # and the distinct practice types in one shuffle.
     logo = F.when(F.col("l_returnflag") == "R", 1).when(F.col("l_returnflag") == "A", 0)
-    photos = lines.groupBy("practice_id").agg(F.count(F.lit(1)).alias("number_of_photos"),
-                                              F.sum(logo).alias("logo_presence"))
-    firsts = (keep_first(lines.select("doctor_id", "o_orderdate", "o_orderkey", "l_linenumber", "l_partkey", "practice_id", "p_type"),
-                         ["doctor_id"], ["o_orderdate", "o_orderkey", "l_linenumber", "l_partkey", "practice_id"])
-              .select("doctor_id", F.concat(F.lit("_"), F.col("o_orderkey").cast("string")).alias("registration"),
-                      F.col("p_type").alias("speciality")))
-    ptypes = collapse_text(lines.select("practice_id", "p_type").distinct(), ["practice_id"], "p_type", "type")
-
-    master = (spine.join(awards, "doctor_id", "left").join(photos, "practice_id", "left")
-                   .join(orgs, "doctor_id", "left").join(firsts, "doctor_id", "left")
-                   .join(ptypes, "practice_id", "left"))
+    ptp = lines.groupBy("practice_id", "p_type").agg(F.count(F.lit(1)).alias("_n"), F.sum(logo).alias("_logo"))
+    prac = ptp.groupBy("practice_id").agg(
+        F.sum("_n").alias("number_of_photos"), F.sum("_logo").alias("logo_presence"),
+        F.array_join(F.sort_array(F.collect_list("p_type")), "|").alias("type"))
+    prac = prac.select("practice_id", "number_of_photos", "logo_presence",
+                       F.when(F.col("type") != "", F.col("type")).alias("type"))
+
+    master = (spine.join(doc, "doctor_id", "left").join(prac, "practice_id", "left")
+                   .join(orgs, "doctor_id", "left"))
     master = keep_first(master, ["pd_id"], ["practice_id", "doctor_id"])
     return master.select("pd_id", "doctor_id", "practice_id", "ray_practice_id", "status", "clinic_name", "locality",
                          "city", "country", "doctor_name", "awards", "organizations", "number_of_photos",

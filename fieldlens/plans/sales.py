@@ -71,25 +71,44 @@ def sales_plans(orders: DataFrame, classes: dict = S.PLAN_CLASSES) -> DataFrame:
     return orders.where(f["is_ray"] | f["is_fabric"])
 
 
-def rep_order_stats(orders: DataFrame, classes: dict = S.PLAN_CLASSES, keep_null_rep: bool = False) -> DataFrame:
-    """One pass over the orders: every per-rep count and revenue at once."""
+def rep_currency_stats(orders: DataFrame, classes: dict = S.PLAN_CLASSES, sales_only: bool = True) -> DataFrame:
+    """One pass over the sales-plan orders: every per-rep counter and revenue,
+    per (rep, currency), missing rep kept.  The scorecard counters and the
+    sheet-wide scalars are both derived from this one aggregate, so the order
+    facts are scanned and shuffled once (Spark reuses the exchange)."""
     f = class_flags(F.col("plan"), classes)
-    src = sales_plans(orders, classes)
-    if not keep_null_rep:
-        src = src.where(F.col("claimed_email").isNotNull())
     amt = F.col("amount_in_inr")
-    return src.groupBy("claimed_email").agg(
+    src = sales_plans(orders, classes) if sales_only else orders
+    return src.groupBy("claimed_email", "currency").agg(
         F.count(F.lit(1)).alias("orders_n"),
-        F.coalesce(F.sum(amt), F.lit(0).cast("decimal(18,2)")).alias("rev"),
+        F.sum(amt).alias("rev"),
         F.count_if(f["is_starter"]).alias("starter_n"),
         F.count_if(f["is_pro"]).alias("pro_n"),
         F.count_if(f["is_tab"]).alias("tab_n"),
         F.count_if(f["is_emr"]).alias("emr_n"),
         F.count_if(f["is_fabric"]).alias("reach_n"),
-        F.coalesce(F.sum(F.when(f["is_fabric"], amt)), F.lit(0).cast("decimal(18,2)")).alias("reach_rev"),
+        F.sum(F.when(f["is_fabric"], amt)).alias("reach_rev"),
     )
 
 
+_COUNTERS = ["orders_n", "starter_n", "pro_n", "tab_n", "emr_n", "reach_n"]
+
+
+def rep_stats_from(rcs: DataFrame, keep_null_rep: bool = False) -> DataFrame:
+    src = rcs if keep_null_rep else rcs.where(F.col("claimed_email").isNotNull())
+    z = F.lit(0).cast("decimal(18,2)")
+    return src.groupBy("claimed_email").agg(
+        *[F.sum(c).alias(c) for c in _COUNTERS[:1]],
+        F.coalesce(F.sum("rev"), z).cast("decimal(28,2)").alias("rev"),
+        *[F.sum(c).alias(c) for c in _COUNTERS[1:]],
+        F.coalesce(F.sum("reach_rev"), z).cast("decimal(28,2)").alias("reach_rev"))
+
+
+def rep_order_stats(orders: DataFrame, classes: dict = S.PLAN_CLASSES, keep_null_rep: bool = False) -> DataFrame:
+    """Per-rep counts and revenue (one pass; see ``rep_currency_stats``)."""
+    return rep_stats_from(rep_currency_stats(orders, classes), keep_null_rep)
+
+
 # --------------------------------------------------------------------- roster
 def roster_union(managers: DataFrame, reps: DataFrame) -> DataFrame:
     """Head file plus every zone's file, by column name; placeholders removed,
@@ -120,13 +139,13 @@ def _dbl(c: Column) -> Column:
     return c.cast("double")
 
 
-def rep_scorecard(orders: DataFrame, reps: DataFrame, classes: dict = S.PLAN_CLASSES,
-                  unit: int = UNIT_PRICE, exact: bool = False) -> DataFrame:
+def rep_scorecard(orders: DataFrame | None, reps: DataFrame, classes: dict = S.PLAN_CLASSES,
+                  unit: int = UNIT_PRICE, exact: bool = False, stats: DataFrame | None = None) -> DataFrame:
     """26 measures per rep (rep rows of a lower-cased roster).
 
     ``exact=True`` also returns the exact decimal revenue split by role
     (``rev_h``, ``rev_u``, ``rev``, ``reach_rev``) for the rollup."""
-    stats = rep_order_stats(orders, classes)
+    stats = stats if stats is not None else rep_order_stats(orders, classes)
     r = reps.join(stats, reps.email == stats.claimed_email, "left").drop("claimed_email")
     z = F.lit(0).cast("decimal(18,2)")
     rev = F.coalesce(F.col("rev"), z)
@@ -245,14 +264,16 @@ SHEET_ORDER = ["PSW.Email", "PSW.Name", "Region", "Zone", "City", "CM", "RM", "Z
                "AvgSlotPrice", "TDRev", "Conc", "c", "d", "Gap5"]
 
 
-def order_scalars(orders: DataFrame) -> DataFrame:
+def order_scalars(orders: DataFrame | None = None, rcs: DataFrame | None = None) -> DataFrame:
     """One row: ``c`` = revenue of the first currency (alphabetical) and
     ``d`` = share of orders with a claimed rep."""
-    by_cur = orders.groupBy("currency").agg(F.sum("amount_in_inr").alias("_s"))
+    rcs = rcs if rcs is not None else rep_currency_stats(orders, sales_only=False)
+    by_cur = rcs.groupBy("currency").agg(F.sum("rev").alias("_s"))
     c = by_cur.agg(F.min_by("_s", "currency").alias("_c"))
-    d = orders.agg(F.count("claimed_email").alias("_k"), F.count(F.lit(1)).alias("_t"))
+    d = rcs.agg(F.sum(F.when(F.col("claimed_email").isNotNull(), F.col("orders_n"))).alias("_k"),
+                F.sum("orders_n").alias("_t"))
     return c.crossJoin(d).select(F.round(_dbl(F.col("_c")), 6).alias("c"),
-                                 safe_ratio(F.col("_k"), F.col("_t")).alias("d"))
+                                 safe_ratio(F.coalesce(F.col("_k"), F.lit(0)), F.col("_t")).alias("d"))
 
 
 def metrics_sheet(card: DataFrame, rollup: DataFrame, sorted_roster: DataFrame, scalars: DataFrame) -> DataFrame:
@@ -353,10 +374,10 @@ def q_metrics_sheet(spark: SparkSession, sf: str) -> DataFrame:
     managers, reps = S.roster_managers(spark, sf), S.roster_reps(spark, sf)
     union = roster_union(managers, reps)
     t = lower_roster(union)
-    orders = _cleaned(spark, sf)
-    card = rep_scorecard(orders, t.where(F.col("level") == "TM"), exact=True)
+    rcs = rep_currency_stats(_cleaned(spark, sf))
+    card = rep_scorecard(None, t.where(F.col("level") == "TM"), exact=True, stats=rep_stats_from(rcs))
     roll = leadership_rollup(card, t)
-    scal = order_scalars(sales_plans(orders))
+    scal = order_scalars(rcs=rcs)
     return metrics_sheet(card.select(*ROSTER_KEYS, *MEASURES), roll, roster_sorted(union), scal)
 
 
