@@ -106,12 +106,22 @@ def distinct_clinics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clinic_flag_rows(spark: SparkSession, sf: str, countries: list[int] | None = None) -> DataFrame:
-    """Row-level coverage flag per establishment segment and locality of its city."""
+    """Row-level coverage flag per covered establishment segment.
+
+    The source repeats every row once per locality of the city (the
+    locality join is on the city id) and shows that locality's name.  Those
+    repeats are all pairs of (establishment row, locality) within a city, so
+    here each row carries its city's locality count and the first locality
+    name instead; the repeated rows are recoverable by joining localities on
+    the city id."""
     rows = _covered_rows(spark, sf, countries=countries)
-    loc = S.localities(spark, sf).alias("sml")
-    j = rows.join(loc, F.col("sml.city_id") == F.col("c.id"), "left")
-    return j.select(F.col("sml.name").alias("locality"), F.col("c.id").alias("city_id"),
-                    F.col("c.name").alias("city"), _total_flag().alias("total_clinics"))
+    nloc = S.localities(spark, sf).groupBy(F.col("city_id").alias("_cid")).agg(
+        F.count(F.lit(1)).alias("localities"), F.min("name").alias("first_locality"))
+    j = rows.join(nloc, F.col("c.id") == F.col("_cid"), "left")
+    return j.select(F.col("e.id").alias("establishment_id"), F.col("es.segment_row_id").alias("segment_row_id"),
+                    F.col("c.id").alias("city_id"), F.col("c.name").alias("city"),
+                    F.coalesce(F.col("localities"), F.lit(0)).alias("localities"), "first_locality",
+                    _total_flag().alias("total_clinics"))
 
 
 def locality_fanout_count(spark: SparkSession, sf: str, countries: list[int] | None = None) -> DataFrame:

@@ -36,6 +36,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sale_day_discount": sales.q_sale_day_discount,
     "sale_day_plan_revenue": sales.q_sale_day_plan_revenue,
     "orders_with_contact": sales.q_orders_with_contact,
+    "orders_city_backfill": sales.q_orders_city_backfill,
+    "rep_revenue_since": sales.q_rep_revenue_since,
     "city_coverage": coverage.city_coverage,
     "establishment_detail": coverage.establishment_detail,
     "distinct_clinics": coverage.distinct_clinics,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from fieldlens.functions import (contains_ci, flags_agree, month_label, month_name_label, not_contains_ci,
                                  period_end, period_start, role_gate, safe_ratio, window_start)
 from fieldlens.functions.dates import compact_date
-from fieldlens.operators import global_row_number, level_rollup, rank_by_mapping
+from fieldlens.operators import global_row_number, level_rollup, lookup_first, rank_by_mapping
 from fieldlens.plans import standins as S
 
 # Fixed value: revenue per unit.
@@ -428,3 +428,32 @@ def q_orders_with_contact(spark: SparkSession, sf: str, since: str = "1995-01-01
     return po.join(c, po.practice_id == c.c_custkey, "left").select(
         "order_id", "line_no", "part_id", "supp_id", "practice_id", "plan", "placed_date",
         F.col("c_name").alias("contact_name"))
+
+
+def q_orders_city_backfill(spark: SparkSession, sf: str) -> DataFrame:
+    """Cleaned orders with the city of their first live slot line (first
+    match by line, part, supplier); reach (fabric) orders without a city are
+    dropped, other orders are kept with or without one."""
+    o = _cleaned(spark, sf).drop("city")
+    slots = S.slots(spark, sf).where(F.col("revoked") == 0)
+    from fieldlens.sources.tables import read_table
+    sup = read_table(spark, sf, "supplier", ["s_suppkey", "s_nationkey"])
+    nat = read_table(spark, sf, "nation", ["n_nationkey", "n_name"])
+    slot_city = (slots.join(sup, slots.supp_id == sup.s_suppkey).join(nat, sup.s_nationkey == nat.n_nationkey)
+                      .select(F.col("order_id").alias("slot_order_id"), F.col("line_no").alias("slot_line"),
+                              F.col("part_id").alias("slot_part"), F.col("supp_id").alias("slot_supp"),
+                              F.col("n_name").alias("city")))
+    j = lookup_first(o, slot_city, "order_id", "slot_order_id", ["city"], ["slot_line", "slot_part", "slot_supp"])
+    f = class_flags(F.col("plan"))
+    keep = ~F.coalesce(f["is_fabric"], F.lit(False)) | F.col("city").isNotNull()
+    return j.where(keep).select("order_id", "line_no", "part_id", "supp_id", "plan", "claimed_email", "city")
+
+
+REVENUE_SINCE = "1998-01-01"
+
+
+def q_rep_revenue_since(spark: SparkSession, sf: str, since: str = REVENUE_SINCE) -> DataFrame:
+    """Revenue per rep over cleaned orders placed on or after a date."""
+    o = _cleaned(spark, sf).where((F.col("placed_date") >= F.lit(since).cast("date"))
+                                  & F.col("claimed_email").isNotNull())
+    return o.groupBy("claimed_email").agg(_dbl(F.sum("amount_in_inr")).alias("revenue_since"))
