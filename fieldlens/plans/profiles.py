@@ -140,14 +140,14 @@ def practice_id_map(spark: SparkSession, sf: str) -> DataFrame:
                .where(F.col("ray_practice_id").isNotNull()).distinct())
     prac_first = keep_first(prac, ["ray_practice_id"], ["new_slug", "locality", "city"])
     prac_n = prac.groupBy("ray_practice_id").agg(F.count(F.lit(1)).alias("_rows"))
-    prof = m.select("ray_practice_id", "practice_id", "status").where(F.col("ray_practice_id").isNotNull())
-    prof_agg = prof.groupBy("ray_practice_id").agg(
+    # one pass over the profile rows per external id: first practice, distinct
+    # ABS practices, distinct specialities (a set: bounded by distinct values)
+    prof_agg = m.where(F.col("ray_practice_id").isNotNull()).groupBy("ray_practice_id").agg(
         F.min("practice_id").alias("practice_id"),
-        F.count_distinct(F.when(F.col("status") == ABS_STATUS, F.col("practice_id"))).alias("_abs"))
-    spec = collapse_text(m.select("ray_practice_id", "speciality").where(F.col("ray_practice_id").isNotNull()),
-                         ["ray_practice_id"], "speciality", "speciality", distinct=True)
+        F.count_distinct(F.when(F.col("status") == ABS_STATUS, F.col("practice_id"))).alias("_abs"),
+        F.array_join(F.sort_array(F.collect_set("speciality")), "|").alias("_spec"))
     j = (prac_first.join(prac_n, "ray_practice_id").join(prof_agg, "ray_practice_id", "left")
-                   .join(spec, "ray_practice_id", "left"))
+                   .withColumn("speciality", F.when(F.col("_spec") != "", F.col("_spec"))))
     abs_n = F.when(F.col("_abs") > 0, F.col("_abs") * F.col("_rows"))
     return j.select("ray_practice_id", "practice_id", "new_slug", "locality", "city",
                     abs_n.alias("abs_enabled"), "speciality")

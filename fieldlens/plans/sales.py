@@ -30,8 +30,8 @@ NO_ZONE = "-"
 MEASURES = ["orders_h", "revenue", "units_h", "targets_h", "targ_ach_h", "arpu", "aupw_exp_h", "aupw_new_h",
             "units_u", "revenue_u", "targets_u", "targ_ach_u", "aupw_exp_u", "aupw_new_u", "units_n",
             "revenue_n", "targets_n", "targ_ach_n", "orders_n", "starter_n", "pro_n", "tab_n", "emr_n",
-            "reach_n", "reach_revenue", "avg_slot_price"]
-COUNT_MEASURES = {"orders_h", "orders_n", "starter_n", "pro_n", "tab_n", "emr_n", "reach_n"}
+            "listing_n", "listing_revenue", "avg_slot_price"]
+COUNT_MEASURES = {"orders_h", "orders_n", "starter_n", "pro_n", "tab_n", "emr_n", "listing_n"}
 ROSTER_KEYS = ["email", "name", "region", "zone", "city", "cm", "rm", "zm", "azm", "am_email", "am_name",
                "aam", "exp", "level", "role"]
 LOWERED = ["email", "cm", "rm", "zm", "azm", "am_email", "aam", "exp"]
@@ -57,18 +57,18 @@ def in_period(df: DataFrame, as_of: str, col: str = "placed_date", three_months:
 
 
 def class_flags(plan: Column, classes: dict = S.PLAN_CLASSES) -> dict[str, Column]:
-    ray, fab = contains_ci(plan, classes["ray"]), contains_ci(plan, classes["fabric"])
+    soft, lst = contains_ci(plan, classes["software"]), contains_ci(plan, classes["listing"])
     pro = contains_ci(plan, classes["pro"])
     return {
-        "is_ray": ray, "is_fabric": fab, "is_ship": contains_ci(plan, classes["ship"]), "is_pro": pro,
-        "is_tab": ray & contains_ci(plan, classes["tab"]), "is_emr": ray & contains_ci(plan, classes["emr"]),
-        "is_starter": ray & ~pro,
+        "is_software": soft, "is_listing": lst, "is_ship": contains_ci(plan, classes["ship"]), "is_pro": pro,
+        "is_tab": soft & contains_ci(plan, classes["tab"]), "is_emr": soft & contains_ci(plan, classes["emr"]),
+        "is_starter": soft & ~pro,
     }
 
 
 def sales_plans(orders: DataFrame, classes: dict = S.PLAN_CLASSES) -> DataFrame:
     f = class_flags(F.col("plan"), classes)
-    return orders.where(f["is_ray"] | f["is_fabric"])
+    return orders.where(f["is_software"] | f["is_listing"])
 
 
 def rep_currency_stats(orders: DataFrame, classes: dict = S.PLAN_CLASSES, sales_only: bool = True) -> DataFrame:
@@ -86,12 +86,12 @@ def rep_currency_stats(orders: DataFrame, classes: dict = S.PLAN_CLASSES, sales_
         F.count_if(f["is_pro"]).alias("pro_n"),
         F.count_if(f["is_tab"]).alias("tab_n"),
         F.count_if(f["is_emr"]).alias("emr_n"),
-        F.count_if(f["is_fabric"]).alias("reach_n"),
-        F.sum(F.when(f["is_fabric"], amt)).alias("reach_rev"),
+        F.count_if(f["is_listing"]).alias("listing_n"),
+        F.sum(F.when(f["is_listing"], amt)).alias("listing_rev"),
     )
 
 
-_COUNTERS = ["orders_n", "starter_n", "pro_n", "tab_n", "emr_n", "reach_n"]
+_COUNTERS = ["orders_n", "starter_n", "pro_n", "tab_n", "emr_n", "listing_n"]
 
 
 def rep_stats_from(rcs: DataFrame, keep_null_rep: bool = False) -> DataFrame:
@@ -101,7 +101,7 @@ def rep_stats_from(rcs: DataFrame, keep_null_rep: bool = False) -> DataFrame:
         *[F.sum(c).alias(c) for c in _COUNTERS[:1]],
         F.coalesce(F.sum("rev"), z).cast("decimal(28,2)").alias("rev"),
         *[F.sum(c).alias(c) for c in _COUNTERS[1:]],
-        F.coalesce(F.sum("reach_rev"), z).cast("decimal(28,2)").alias("reach_rev"))
+        F.coalesce(F.sum("listing_rev"), z).cast("decimal(28,2)").alias("listing_rev"))
 
 
 def rep_order_stats(orders: DataFrame, classes: dict = S.PLAN_CLASSES, keep_null_rep: bool = False) -> DataFrame:
@@ -144,7 +144,7 @@ def rep_scorecard(orders: DataFrame | None, reps: DataFrame, classes: dict = S.P
     """26 measures per rep (rep rows of a lower-cased roster).
 
     ``exact=True`` also returns the exact decimal revenue split by role
-    (``rev_h``, ``rev_u``, ``rev``, ``reach_rev``) for the rollup."""
+    (``rev_h``, ``rev_u``, ``rev``, ``listing_rev``) for the rollup."""
     stats = stats if stats is not None else rep_order_stats(orders, classes)
     r = reps.join(stats, reps.email == stats.claimed_email, "left").drop("claimed_email")
     z = F.lit(0).cast("decimal(18,2)")
@@ -158,7 +158,7 @@ def rep_scorecard(orders: DataFrame | None, reps: DataFrame, classes: dict = S.P
     orders_h = F.when(role == "H", n("orders_n")).otherwise(F.lit(0).cast("long"))
     targets_h = F.when(role == "H", tgt).otherwise(F.lit(0.0))
     targets_u = F.when(role == "U", tgt).otherwise(F.lit(0.0))
-    reach_rev = F.coalesce(F.col("reach_rev"), z)
+    listing_rev = F.coalesce(F.col("listing_rev"), z)
     m = {
         "orders_h": orders_h,
         "revenue": _dbl(rev),
@@ -180,14 +180,14 @@ def rep_scorecard(orders: DataFrame | None, reps: DataFrame, classes: dict = S.P
         # rep level uses revenue (not units) over targets, as the sheet does
         "targ_ach_n": safe_ratio(_dbl(rev), targets_h + targets_u),
         "orders_n": n("orders_n"), "starter_n": n("starter_n"), "pro_n": n("pro_n"), "tab_n": n("tab_n"),
-        "emr_n": n("emr_n"), "reach_n": n("reach_n"),
-        "reach_revenue": _dbl(reach_rev),
-        "avg_slot_price": safe_ratio(_dbl(reach_rev), n("reach_n")),
+        "emr_n": n("emr_n"), "listing_n": n("listing_n"),
+        "listing_revenue": _dbl(listing_rev),
+        "avg_slot_price": safe_ratio(_dbl(listing_rev), n("listing_n")),
     }
     cols = [F.col(c) for c in ROSTER_KEYS] + [
         (m[k] if k in COUNT_MEASURES else F.round(m[k], 6)).alias(k) for k in MEASURES]
     if exact:
-        cols += [rev.alias("rev"), rev_h.alias("rev_h"), rev_u.alias("rev_u"), reach_rev.alias("reach_rev")]
+        cols += [rev.alias("rev"), rev_h.alias("rev_h"), rev_u.alias("rev_u"), listing_rev.alias("listing_rev")]
     return r.select(*cols)
 
 
@@ -207,7 +207,7 @@ def leadership_rollup(card: DataFrame, managers: DataFrame, unit: int = UNIT_PRI
                .withColumn("_r_eu", F.when(F.col("_eu"), F.col("rev_u"))) \
                .withColumn("_r_nu", F.when(F.col("_nu"), F.col("rev_u")))
     sums = ["orders_h", "targets_h", "targets_u", "targets_n", "orders_n", "starter_n", "pro_n", "tab_n",
-            "emr_n", "reach_n", "rev", "rev_h", "rev_u", "reach_rev",
+            "emr_n", "listing_n", "rev", "rev_h", "rev_u", "listing_rev",
             "_n_eh", "_n_nh", "_n_eu", "_n_nu", "_r_eh", "_r_nh", "_r_eu", "_r_nu"]
     agg = level_rollup(base, S.MANAGER_LEVELS, sums, level_col="level", key_col="mgr")
     z = F.lit(0).cast("decimal(18,2)")
@@ -218,7 +218,7 @@ def leadership_rollup(card: DataFrame, managers: DataFrame, unit: int = UNIT_PRI
 
     def mean_units(r, k):
         return safe_ratio(_dbl(F.col(r)) / unit, F.col(k), digits=None)
-    reach_rev = F.coalesce(F.col("reach_rev"), z)
+    listing_rev = F.coalesce(F.col("listing_rev"), z)
     m = {
         "orders_h": n("orders_h"), "revenue": _dbl(rev), "units_h": units_h, "targets_h": d("targets_h"),
         "targ_ach_h": safe_ratio(units_h, d("targets_h")),
@@ -231,8 +231,8 @@ def leadership_rollup(card: DataFrame, managers: DataFrame, unit: int = UNIT_PRI
         # manager level uses units over targets
         "targ_ach_n": safe_ratio(units_n, d("targets_n")),
         "orders_n": n("orders_n"), "starter_n": n("starter_n"), "pro_n": n("pro_n"), "tab_n": n("tab_n"),
-        "emr_n": n("emr_n"), "reach_n": n("reach_n"), "reach_revenue": _dbl(reach_rev),
-        "avg_slot_price": safe_ratio(_dbl(reach_rev), n("reach_n")),
+        "emr_n": n("emr_n"), "listing_n": n("listing_n"), "listing_revenue": _dbl(listing_rev),
+        "avg_slot_price": safe_ratio(_dbl(listing_rev), n("listing_n")),
     }
     measured = agg.select("level", "mgr", *[m[k].alias(k) for k in MEASURES])
     mgr_rows = managers.where(F.col("level") != "TM")
@@ -254,7 +254,7 @@ SHEET_NAMES = {
     "targets_u": "TargetsU", "targ_ach_u": "TargAchU", "aupw_exp_u": "AUPWExpU", "aupw_new_u": "AUPWNewU",
     "units_n": "UnitsN", "revenue_n": "RevenueN", "targets_n": "TargetsN", "targ_ach_n": "TargAchN",
     "orders_n": "Orders(N)", "starter_n": "StarterN", "pro_n": "ProN", "tab_n": "TabN", "emr_n": "EMRN",
-    "reach_n": "ReachN", "reach_revenue": "ReachRevenue", "avg_slot_price": "AvgSlotPrice",
+    "listing_n": "ReachN", "listing_revenue": "ReachRevenue", "avg_slot_price": "AvgSlotPrice",
 }
 SHEET_ORDER = ["PSW.Email", "PSW.Name", "Region", "Zone", "City", "CM", "RM", "ZM", "AZM", "AM.Email",
                "AM.Name", "AAM", "Exp.", "Level", "Role", "Gap1", "Orders(H)", "Revenue", "Gap2", "UnitsH",
@@ -324,13 +324,13 @@ def q_plan_class_flags(spark: SparkSession, sf: str) -> DataFrame:
     po = S.plan_orders(spark, sf)
     f = class_flags(F.col("plan"))
     return po.select("order_id", "line_no", "part_id", "supp_id", "plan",
-                     *[f[k].alias(k) for k in ["is_ray", "is_fabric", "is_ship", "is_pro", "is_tab", "is_emr", "is_starter"]])
+                     *[f[k].alias(k) for k in ["is_software", "is_listing", "is_ship", "is_pro", "is_tab", "is_emr", "is_starter"]])
 
 
 def q_plan_class_counts(spark: SparkSession, sf: str) -> DataFrame:
     st = rep_order_stats(_cleaned(spark, sf), keep_null_rep=True)
-    return st.select("claimed_email", "orders_n", "starter_n", "pro_n", "tab_n", "emr_n", "reach_n",
-                     _dbl(F.col("reach_rev")).alias("reach_revenue"))
+    return st.select("claimed_email", "orders_n", "starter_n", "pro_n", "tab_n", "emr_n", "listing_n",
+                     _dbl(F.col("listing_rev")).alias("listing_revenue"))
 
 
 def q_count_by_key(spark: SparkSession, sf: str) -> DataFrame:
@@ -401,7 +401,7 @@ SALE_DAY_AFTER, SALE_DAY_UNTIL = "1998-06-01", "1998-06-03"
 def _sale_days(spark, sf, after=SALE_DAY_AFTER, until=SALE_DAY_UNTIL):
     o = _cleaned(spark, sf)
     f = class_flags(F.col("plan"))
-    return o.where(f["is_fabric"] & (F.col("placed_date") > F.lit(after).cast("date"))
+    return o.where(f["is_listing"] & (F.col("placed_date") > F.lit(after).cast("date"))
                    & (F.col("placed_date") <= F.lit(until).cast("date")))
 
 
@@ -432,7 +432,7 @@ def q_orders_with_contact(spark: SparkSession, sf: str, since: str = "1995-01-01
 
 def q_orders_city_backfill(spark: SparkSession, sf: str) -> DataFrame:
     """Cleaned orders with the city of their first live slot line (first
-    match by line, part, supplier); reach (fabric) orders without a city are
+    match by line, part, supplier); listing orders without a city are
     dropped, other orders are kept with or without one."""
     o = _cleaned(spark, sf).drop("city")
     slots = S.slots(spark, sf).where(F.col("revoked") == 0)
@@ -445,7 +445,7 @@ def q_orders_city_backfill(spark: SparkSession, sf: str) -> DataFrame:
                               F.col("n_name").alias("city")))
     j = lookup_first(o, slot_city, "order_id", "slot_order_id", ["city"], ["slot_line", "slot_part", "slot_supp"])
     f = class_flags(F.col("plan"))
-    keep = ~F.coalesce(f["is_fabric"], F.lit(False)) | F.col("city").isNotNull()
+    keep = ~F.coalesce(f["is_listing"], F.lit(False)) | F.col("city").isNotNull()
     return j.where(keep).select("order_id", "line_no", "part_id", "supp_id", "plan", "claimed_email", "city")
 
 

@@ -13,7 +13,7 @@ Fixed values (domain mapping, shared with the SQL oracle):
   revoked = 1 when l_returnflag = 'R'.  Tie-break: l_orderkey, l_linenumber,
   l_partkey, l_suppkey.
 * plan orders: plan = p_name || ' ' || p_type; plan-class substrings
-  ray -> 'ring', fabric -> 'widget', ship -> 'old', pro -> 'promo',
+  software -> 'ring', listing -> 'widget', ship -> 'old', pro -> 'promo',
   tab -> 'hot', EMR -> 'd'; rep e-mail = lower(s_name), missing when
   l_linenumber = 7; amount = l_extendedprice; processed = (l_linestatus = 'F');
   successful = (l_returnflag <> 'N'); currency = 'USD' when l_tax = 0 else
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from fieldlens.sources.tables import read_table
 
 # Plan-class substrings of the stand-in plan names.
-PLAN_CLASSES = {"ray": "ring", "fabric": "widget", "ship": "old", "pro": "promo", "tab": "hot", "emr": "d"}
+PLAN_CLASSES = {"software": "ring", "listing": "widget", "ship": "old", "pro": "promo", "tab": "hot", "emr": "d"}
 # Segment-visit status codes counted as coverage.
 COVERAGE_CODES = ["PC", "NI", "WIP", "NF"]
 PLATINUM_CODE = "PC"

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from fieldlens.plans import sales
 
-# the reference's own plan-class substrings
-CLASSES = {"ray": "ray", "fabric": "fabric", "ship": "ship", "pro": "pro", "tab": "tab", "emr": "d"}
+# plan-class substrings for these fixtures
+CLASSES = {"software": "soft", "listing": "list", "ship": "ship", "pro": "pro", "tab": "tab", "emr": "d"}
 ROSTER_SCHEMA = ("email string, name string, region string, zone string, city string, cm string, rm string, "
                  "zm string, azm string, am_email string, am_name string, aam string, exp string, level string, "
                  "role string, target int")
@@ -32,14 +32,14 @@ def _roster(spark, rows):
 
 
 def test_plan_classes(spark):
-    o = _orders(spark, [("a", p, 1.0) for p in ["Ray Starter", "Ray Pro", "Ray Tab", "Ray Standard", "Fabric Pro"]])
+    o = _orders(spark, [("a", p, 1.0) for p in ["Soft Starter", "Soft Pro", "Soft Tab", "Soft Standard", "List Pro"]])
     r = sales.rep_order_stats(o, CLASSES).first()
-    assert (r.orders_n, r.starter_n, r.pro_n, r.tab_n, r.emr_n, r.reach_n) == (5, 3, 2, 1, 1, 1)
+    assert (r.orders_n, r.starter_n, r.pro_n, r.tab_n, r.emr_n, r.listing_n) == (5, 3, 2, 1, 1, 1)
 
 
 def test_role_gate(spark):
     reps = _roster(spark, [_rep("h", "H"), _rep("u", "U"), _rep("x", "X")])
-    o = _orders(spark, [(e, "Ray Pro", 12000.0) for e in ["h", "u", "x"]])
+    o = _orders(spark, [(e, "Soft Pro", 12000.0) for e in ["h", "u", "x"]])
     got = {r.email: (r.units_h, r.units_u) for r in sales.rep_scorecard(o, reps, CLASSES).collect()}
     assert got == {"h": (1.0, 0.0), "u": (0.0, 1.0), "x": (0.0, 0.0)}
 
@@ -52,14 +52,14 @@ def _rollup(spark, reps, orders):
 
 def test_rollup_ratio_is_recomputed_not_averaged(spark):
     reps = [_rep("a", "H", target=1), _rep("b", "H", target=3)]
-    o = _orders(spark, [("a", "Ray Pro", 12000.0)])
+    o = _orders(spark, [("a", "Soft Pro", 12000.0)])
     _, roll = _rollup(spark, reps, o)
     assert roll[("AM", "am1")].targ_ach_h == 0.25
 
 
 def test_rollup_targ_ach_n_units_vs_revenue(spark):
     reps = [_rep("a", "H", target=2)]
-    o = _orders(spark, [("a", "Ray Pro", 12000.0)])
+    o = _orders(spark, [("a", "Soft Pro", 12000.0)])
     card, roll = _rollup(spark, reps, o)
     assert card.first().targ_ach_n == 6000.0            # rep: revenue / targets
     assert roll[("AM", "am1")].targ_ach_n == 0.5        # manager: units / targets
@@ -67,7 +67,7 @@ def test_rollup_targ_ach_n_units_vs_revenue(spark):
 
 def test_rollup_mean_over_subset(spark):
     reps = [_rep("a", "H", "exp"), _rep("b", "H", "new"), _rep("c", "U", "exp")]
-    o = _orders(spark, [("a", "Ray Pro", 24000.0), ("b", "Ray Pro", 12000.0), ("c", "Ray Pro", 36000.0)])
+    o = _orders(spark, [("a", "Soft Pro", 24000.0), ("b", "Soft Pro", 12000.0), ("c", "Soft Pro", 36000.0)])
     _, roll = _rollup(spark, reps, o)
     r = roll[("AM", "am1")]
     assert (r.aupw_exp_h, r.aupw_new_h, r.aupw_exp_u, r.aupw_new_u) == (2.0, 1.0, 3.0, 0.0)
@@ -75,11 +75,11 @@ def test_rollup_mean_over_subset(spark):
 
 def test_rollup_levels_sum_to_the_same_totals(spark):
     reps = [_rep("a", "H", am="am1"), _rep("b", "U", am="am2"), _rep("c", "H", am="am2")]
-    o = _orders(spark, [("a", "Ray Pro", 100.0), ("b", "Fabric x", 50.0), ("c", "Ray Tab", 7.0)])
+    o = _orders(spark, [("a", "Soft Pro", 100.0), ("b", "List x", 50.0), ("c", "Soft Tab", 7.0)])
     t = _roster(spark, reps + [_mgr("am1", "AM"), _mgr("am2", "AM"), _mgr("all", "Country")])
     card = sales.rep_scorecard(o, t.where(F.col("level") == "TM"), CLASSES, exact=True)
     roll = sales.leadership_rollup(card, t)
-    for m in ["revenue", "orders_n", "reach_n", "units_h", "units_u"]:
+    for m in ["revenue", "orders_n", "listing_n", "units_h", "units_u"]:
         am = roll.where(F.col("level") == "AM").agg(F.sum(m)).first()[0]
         cm = roll.where(F.col("level") == "Country").agg(F.sum(m)).first()[0]
         reps_total = card.agg(F.sum(m)).first()[0]
@@ -97,7 +97,7 @@ def test_roster_order(spark):
 
 
 def test_attribution_share(spark):
-    o = _orders(spark, [("a", "Ray", 1.0), ("b", "Ray", 1.0), ("c", "Ray", 1.0), (None, "Ray", 1.0)])
+    o = _orders(spark, [("a", "Soft", 1.0), ("b", "Soft", 1.0), ("c", "Soft", 1.0), (None, "Soft", 1.0)])
     assert sales.order_scalars(o).first().d == 0.75
-    o2 = _orders(spark, [("a", "Ray", 1.0)])
+    o2 = _orders(spark, [("a", "Soft", 1.0)])
     assert sales.order_scalars(o2).first().d == 1.0
