@@ -16,11 +16,19 @@ from pyspark.sql import functions as F
 
 
 def collapse_text(df: DataFrame, keys: list[str], value: str, out: str, sep: str = "|",
-                  distinct: bool = False) -> DataFrame:
+                  distinct: bool = False, value_fn=None) -> DataFrame:
+    """``value_fn`` (a column -> column function, e.g. a character whitelist)
+    is applied to each distinct raw value after the pre-aggregation instead
+    of to every row; the result is the same because the collapsed text is
+    ordered by the transformed value."""
     k = [F.col(f"`{c}`") for c in keys]
     pairs = (df.where(F.col(f"`{value}`").isNotNull())
                .groupBy(*k, F.col(f"`{value}`").alias("_v"))
                .agg(F.count(F.lit(1)).alias("_n")))
+    if value_fn is not None:
+        pairs = pairs.withColumn("_v", value_fn(F.col("_v")))
+        if distinct:
+            pairs = pairs.select(*k, "_v").distinct()
     if distinct:
         # pairs are already one row per (key, value)
         joined = F.array_join(F.sort_array(F.collect_list(F.col("_v"))), sep)

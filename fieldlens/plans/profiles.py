@@ -73,8 +73,10 @@ def profile_master(spark: SparkSession, sf: str) -> DataFrame:
     # min over (order date, order key, line, part, practice, payload) picks the
     # first line; the payload rides along in the same struct
     first_line = F.struct("o_orderdate", "o_orderkey", "l_linenumber", "l_partkey", "practice_id", "p_type")
-    pairs = (lines.groupBy("doctor_id", whitelist_strip(F.col("p_brand")).alias("award"))
-                  .agg(F.count(F.lit(1)).alias("_n"), F.min(first_line).alias("_f")))
+    # pre-aggregate on the raw brand; the whitelist runs once per (doctor, brand)
+    pairs = (lines.groupBy("doctor_id", "p_brand")
+                  .agg(F.count(F.lit(1)).alias("_n"), F.min(first_line).alias("_f"))
+                  .withColumn("award", whitelist_strip(F.col("p_brand"))))
     runs = F.sort_array(F.collect_list(F.when(F.col("award").isNotNull(),
                                               F.struct(F.col("award").alias("v"), F.col("_n").alias("n")))))
     doc = pairs.groupBy("doctor_id").agg(
@@ -156,9 +158,8 @@ def practice_id_map(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------ text / events
 def collapse_text_q(spark: SparkSession, sf: str) -> DataFrame:
     """Brands on each customer's order lines, whitelist-stripped, '|'-joined in value order."""
-    lines = _doctor_lines(spark, sf).select(F.col("doctor_id").alias("practice_id"),
-                                            whitelist_strip(F.col("p_brand")).alias("brand"))
-    return collapse_text(lines, ["practice_id"], "brand", "brands")
+    lines = _doctor_lines(spark, sf).select(F.col("doctor_id").alias("practice_id"), F.col("p_brand").alias("brand"))
+    return collapse_text(lines, ["practice_id"], "brand", "brands", value_fn=whitelist_strip)
 
 
 def collapse_text_distinct_q(spark: SparkSession, sf: str) -> DataFrame:
