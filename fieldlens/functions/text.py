@@ -37,3 +37,10 @@ def r_paste0(*cols: Column) -> Column:
 def r_paste(*cols: Column, sep: str = " ") -> Column:
     """Concatenate with a separator; a missing value is written as ``NA``."""
     return F.concat_ws(sep, *[F.coalesce(c.cast("string"), F.lit("NA")) for c in cols])
+
+
+def collated(c: Column, collation: str | None) -> Column:
+    """Compare / group under a collation, e.g. ``UTF8_LCASE`` for the
+    case-insensitive matching of the operational database; ``None`` keeps
+    binary comparison (the default)."""
+    return F.collate(c, collation) if collation else c

@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldlens.functions import collated
 from fieldlens.plans import standins as S
 from fieldlens.sources.tables import read_table
 
@@ -66,14 +67,17 @@ def _platinum_flag() -> Column:
                      & (F.col("es.segment_id") == 1)), 1).otherwise(0)
 
 
-def _city_keys(merge_same_name: bool):
-    return ([F.col("c.name").alias("city")], [F.min("c.id").alias("city_id")]) if merge_same_name else \
+def _city_keys(merge_same_name: bool, collation: str | None = None):
+    name = collated(F.col("c.name"), collation)
+    return ([name.alias("city")], [F.min("c.id").alias("city_id")]) if merge_same_name else \
            ([F.col("c.id").alias("city_id"), F.col("c.name").alias("city")], [])
 
 
 def city_coverage(spark: SparkSession, sf: str, cities: list[int] | None = None,
-                  merge_same_name: bool = False) -> DataFrame:
-    keys, extra = _city_keys(merge_same_name)
+                  merge_same_name: bool = False, collation: str | None = None) -> DataFrame:
+    """``merge_same_name`` groups by name only (smallest id shown); with
+    ``collation='UTF8_LCASE'`` names differing only in case merge too."""
+    keys, extra = _city_keys(merge_same_name, collation)
     rows = _covered_rows(spark, sf, cities)
     return rows.groupBy(*keys).agg(*extra, F.sum(_total_flag()).alias("total_clinics"),
                                    F.sum(_platinum_flag()).alias("platinum")) \

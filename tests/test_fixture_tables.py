@@ -118,3 +118,26 @@ def test_photo_stats_all_missing_keeps_count(spark, tmpdir_path):
                                                 (3, D, 8, "click", 1.25, "{}")])
     got = {r.user_id: (r.n_events, r.value_sum) for r in profiles.photo_stats(spark, folder).collect()}
     assert got == {7: (2, None), 8: (1, 1.25)}
+
+
+def test_coverage_same_name_case_insensitive_option(spark, tmpdir_path):
+    folder = tables(spark, tmpdir_path, region=[(0, "R0")], nation=[(0, "Twin", 0), (1, "TWIN", 0)],
+                    customer=[(1, "e1", 0, 1.0, "BUILDING"), (2, "e2", 1, 1.0, "BUILDING")],
+                    orders=[order(10, 1, "P"), order(20, 2, "P")])
+    assert coverage.city_coverage(spark, folder, merge_same_name=True).count() == 2
+    merged = coverage.city_coverage(spark, folder, merge_same_name=True, collation="UTF8_LCASE").collect()
+    assert [(m.city_id, m.total_clinics) for m in merged] == [(0, 2)]
+
+
+def test_publish_jobs_write_every_output(spark, tmpdir_path):
+    from fieldlens.plans.publish import publish_dashboard, publish_profiles
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("test tables not present")
+    d = publish_dashboard(spark, sf, os.path.join(tmpdir_path, "dash"))
+    p = publish_profiles(spark, sf, os.path.join(tmpdir_path, "prof"), "1998-06-03")
+    for path in list(d.values()) + list(p.values()):
+        assert os.path.isdir(path), path
+    assert spark.read.option("header", True).csv(d["metrics"]).count() > 0
+    assert any(n.startswith("country=") for n in os.listdir(p["by_country"]))
+    assert os.path.basename(d["teams"]) == "v=1"
