@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def safe_ratio(num: Column, den: Column, scale: float | None = None, digits: int | None = 6) -> Column:
+def safe_ratio(num: Column, den: Column, scale: float | None = None, digits: int | None = None) -> Column:
     """``num / den`` where a zero, missing or non-finite result becomes 0.
 
     Computed in double (``try_divide`` so ANSI mode never raises on /0), then
-    optionally multiplied by ``scale`` and rounded so results do not depend on
-    float summation order upstream.
+    optionally multiplied by ``scale`` and rounded to ``digits``.
     """
     q = F.try_divide(num.cast("double"), den.cast("double"))
     if scale is not None:

@@ -32,11 +32,14 @@ def renewal_label(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def renewal_label_shared(spark: SparkSession, sf: str) -> DataFrame:
-    s = S.slots(spark, sf)
+    # exactly the columns the labeller reads: the aggregate and the join-back
+    # branches of share_label then carry the same rows through the window's
+    # shuffle, and Spark reuses that shuffle instead of recomputing it
+    s = S.slots(spark, sf).select(*S.SLOT_TIEBREAK, "practice_id", "ad_code", "order_ts", "start_date", "end_date")
     lab = label_renewals(s, ["practice_id", "ad_code"], "start_date", "order_ts", "end_date",
                          S.SLOT_TIEBREAK, code_col="ad_code")
     sh = share_label(lab, ["practice_id", "ad_code"], "order_ts", "start_date", S.SLOT_TIEBREAK)
-    return sh.select(*LABEL_COLS, "label", "shared_label")
+    return sh.withColumn("order_date", F.to_date("order_ts")).select(*LABEL_COLS, "label", "shared_label")
 
 
 def slot_inventory(spark: SparkSession, sf: str) -> DataFrame:

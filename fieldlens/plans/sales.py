@@ -5,8 +5,9 @@ any order / roster frames with the stand-in column names; the ``q_*``
 wrappers bind them to the test tables for the query registry.
 
 Money is carried as ``decimal(18,2)`` and summed exactly; units, targets
-achieved and other ratios are computed in double from those exact sums
-(so a manager's ratio is recomputed from summed parts, never averaged).
+achieved and other ratios are one double operation on those exact sums
+(so a manager's ratio is recomputed from summed parts, never averaged, and
+the value does not depend on summation order or partitioning).
 """
 
 from __future__ import annotations
@@ -185,7 +186,7 @@ def rep_scorecard(orders: DataFrame | None, reps: DataFrame, classes: dict = S.P
         "avg_slot_price": safe_ratio(_dbl(listing_rev), n("listing_n")),
     }
     cols = [F.col(c) for c in ROSTER_KEYS] + [
-        (m[k] if k in COUNT_MEASURES else F.round(m[k], 6)).alias(k) for k in MEASURES]
+        m[k].alias(k) for k in MEASURES]
     if exact:
         cols += [rev.alias("rev"), rev_h.alias("rev_h"), rev_u.alias("rev_u"), listing_rev.alias("listing_rev")]
     return r.select(*cols)
@@ -240,8 +241,7 @@ def leadership_rollup(card: DataFrame, managers: DataFrame, unit: int = UNIT_PRI
                                  (F.col("m.email") == F.col("a.mgr")), "left")
     zero = lambda k: F.lit(0).cast("long") if k in COUNT_MEASURES else F.lit(0.0)
     return j.select(*[F.col(f"m.{c}").alias(c) for c in ROSTER_KEYS],
-                    *[(F.coalesce(F.col(f"a.{k}"), zero(k)) if k in COUNT_MEASURES
-                       else F.round(F.coalesce(F.col(f"a.{k}"), zero(k)), 6)).alias(k) for k in MEASURES])
+                    *[F.coalesce(F.col(f"a.{k}"), zero(k)).alias(k) for k in MEASURES])
 
 
 # Published column names of the metrics sheet, in sheet order.
@@ -272,7 +272,7 @@ def order_scalars(orders: DataFrame | None = None, rcs: DataFrame | None = None)
     c = by_cur.agg(F.min_by("_s", "currency").alias("_c"))
     d = rcs.agg(F.sum(F.when(F.col("claimed_email").isNotNull(), F.col("orders_n"))).alias("_k"),
                 F.sum("orders_n").alias("_t"))
-    return c.crossJoin(d).select(F.round(_dbl(F.col("_c")), 6).alias("c"),
+    return c.crossJoin(d).select(_dbl(F.col("_c")).alias("c"),
                                  safe_ratio(F.coalesce(F.col("_k"), F.lit(0)), F.col("_t")).alias("d"))
 
 
@@ -355,7 +355,7 @@ def q_safe_ratio(spark: SparkSession, sf: str) -> DataFrame:
     rv = q_revenue_by_rep(spark, sf)
     j = t.join(rv, t.email == rv.claimed_email, "left")
     units = F.coalesce(F.col("revenue"), F.lit(0.0)) / UNIT_PRICE
-    return j.select("email", F.round(units, 6).alias("units"), "target",
+    return j.select("email", units.alias("units"), "target",
                     safe_ratio(units, F.col("target")).alias("units_per_target"))
 
 
@@ -409,9 +409,10 @@ def q_sale_day_discount(spark: SparkSession, sf: str) -> DataFrame:
     """Per city over the sale days: slots sold, mean cost x 6, mean revenue, mean discount."""
     return _sale_days(spark, sf).groupBy("city").agg(
         F.count(F.lit(1)).alias("slots"),
-        F.round(F.avg("cost") * 6, 6).alias("mean_cost_x6"),
-        F.round(_dbl(F.sum("amount_in_inr")) / F.count(F.lit(1)), 6).alias("mean_revenue"),
-        F.round(F.avg("discount"), 6).alias("mean_discount"))
+        # exact sums, one division: the same double on every engine and run
+        (_dbl(F.sum(F.col("cost").cast("decimal(18,2)"))) * 6 / F.count(F.lit(1))).alias("mean_cost_x6"),
+        (_dbl(F.sum("amount_in_inr")) / F.count(F.lit(1))).alias("mean_revenue"),
+        (_dbl(F.sum(F.col("discount").cast("decimal(18,2)"))) / F.count(F.lit(1))).alias("mean_discount"))
 
 
 def q_sale_day_plan_revenue(spark: SparkSession, sf: str) -> DataFrame:
