@@ -3,7 +3,8 @@
 Profile master: one wide row per practice-doctor.  Every child table is
 reduced to one row per doctor or practice *before* it is joined (collapsed
 text, counts, count + sum, first value by an explicit order), so the spine
-never fans out and the final keep-first is a guard, not a repair.
+never fans out and no keep-first repair pass (with its shuffle of the wide
+rows) is needed.
 
 Stand-in mapping (fixed values, shared with the SQL oracle):
 practice-doctor = customer (id = doctor = c_custkey, practice = c_custkey %
@@ -99,7 +100,9 @@ def profile_master(spark: SparkSession, sf: str) -> DataFrame:
 
     master = (spine.join(doc, "doctor_id", "left").join(prac, "practice_id", "left")
                    .join(orgs, "doctor_id", "left"))
-    master = keep_first(master, ["pd_id"], ["practice_id", "doctor_id"])
+    # every input is one row per key (the spine's key and every child reduced
+    # to its join key), so the result is one row per practice-doctor without
+    # a keep-first pass; keep_first remains available for inputs that repeat keys
     return master.select("pd_id", "doctor_id", "practice_id", "ray_practice_id", "status", "clinic_name", "locality",
                          "city", "country", "doctor_name", "awards", "organizations", "number_of_photos",
                          "logo_presence", "registration", "speciality", "type")
