@@ -8,7 +8,8 @@
     with a missing ad code are ``H``.
 
     Skew: the previous row is found with ``lag`` inside (group, bucket)
-    windows, where the bucket is the start date by default.  A row that opens
+    windows, where the bucket is the start date by default (the order date
+    for rows without a start, which sort after all others).  A row that opens
     a bucket takes its predecessor from the last row of the nearest earlier
     bucket of the same group, looked up from a per-bucket summary (one row
     per group and bucket).  A group holding a large share of all rows is
@@ -77,9 +78,21 @@ def label_renewals(df: DataFrame, group_cols: list[str], start: str, order_ts: s
         w = Window.partitionBy(*[_c(g) for g in group_cols]).orderBy(*order_cols)
         prev = df.withColumn("_prev_start", F.lag(_c(start)).over(w)).withColumn("_prev_end", F.lag(_c(end)).over(w))
     else:
-        bucket = bucket if bucket is not None else _c(start)
-        enc, gkeys = encode_keys(df.withColumn("_bkt", bucket), list(group_cols) + ["_bkt"], "_g")
-        bkeys, gkeys = gkeys, gkeys[:-2]          # (group, bucket) keys and group keys
+        # buckets are contiguous ranges of the row order: the start date, and
+        # for rows without a start (which sort last, by order time) the order date
+        if bucket is None:
+            buckets = [_c(start).isNull(), F.coalesce(_c(start), F.to_date(_c(order_ts)))]
+        else:
+            buckets = [bucket]
+        names = [f"_bkt{i}" for i in range(len(buckets))]
+        b = df
+        for n_, e in zip(names, buckets):
+            b = b.withColumn(n_, e)
+        enc, allkeys = encode_keys(b, list(group_cols) + names, "_g")
+        ng = 2 * len(group_cols)
+        bkeys, gkeys = allkeys, allkeys[:ng]      # (group, bucket) keys and group keys
+        # bucket order: per bucket column, value ascending with missing last
+        border = [F.col(allkeys[i + d]) for i in range(ng, len(allkeys), 2) for d in (1, 0)]
         w = Window.partitionBy(*bkeys).orderBy(*order_cols)
         inner = (enc.withColumn("_ls", F.lag(_c(start)).over(w))
                     .withColumn("_le", F.lag(_c(end)).over(w))
@@ -88,12 +101,11 @@ def label_renewals(df: DataFrame, group_cols: list[str], start: str, order_ts: s
         # the last row of each (group, bucket): one row per bucket, no aggregation
         summary = inner.where(F.col("_closes")).select(
             *bkeys, F.struct(_c(start).alias("s"), _c(end).alias("e")).alias("_last"))
-        # bucket ascending, missing bucket last: (is-null flag, value)
-        wb = Window.partitionBy(*gkeys).orderBy(F.col(bkeys[-1]), F.col(bkeys[-2]))
+        wb = Window.partitionBy(*gkeys).orderBy(*border)
         carry = summary.select(*bkeys, F.lag(F.col("_last")).over(wb).alias("_pb"))
         joined = inner.join(carry, bkeys, "left")
         prev = joined.select(
-            *df.columns,
+            *[F.col(f"`{c}`") for c in df.columns],
             F.when(F.col("_opens"), F.col("_pb.s")).otherwise(F.col("_ls")).alias("_prev_start"),
             F.when(F.col("_opens"), F.col("_pb.e")).otherwise(F.col("_le")).alias("_prev_end"),
         )

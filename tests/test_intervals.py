@@ -116,3 +116,15 @@ def test_active_as_of(spark):
     df = spark.createDataFrame(rows, "id int, start_date date, duration_days int, revoked int")
     got = sorted(r.id for r in active_as_of(df, "2016-06-03").collect())
     assert got == [1, 2]
+
+
+def test_skew_split_with_many_missing_starts(spark):
+    # a hot group where most starts are missing: those rows are bucketed by order date
+    rnd = random.Random(11)
+    base = dt.date(2016, 1, 1)
+    rows = []
+    for k in range(400):
+        start = base + dt.timedelta(days=rnd.randint(0, 30)) if rnd.random() < 0.3 else None
+        order = dt.datetime.combine(base + dt.timedelta(days=rnd.randint(0, 30)), dt.time(rnd.randint(0, 23)))
+        rows.append((1, "A", order if rnd.random() > 0.02 else None, start, rnd.randint(1, 40), k))
+    assert _labels(spark, rows, True) == _labels(spark, rows, False)
