@@ -6,9 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from functools import wraps
+
 from fieldlens.plans import coverage, inventory, profiles, sales
+from fieldlens.sources.tables import shared_reads
+
+
+def _shared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with shared_reads():
+            return fn(spark, sf_dir)
+    return run
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "renewal_label": inventory.renewal_label,
     "renewal_label_shared": inventory.renewal_label_shared,
     "slot_inventory": inventory.slot_inventory,
@@ -68,3 +80,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "photo_stats": profiles.photo_stats,
     "key_concat": profiles.key_concat,
 }
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _shared(f) for k, f in _QUERIES.items()}

@@ -197,16 +197,13 @@ def leadership_rollup(card: DataFrame, managers: DataFrame, unit: int = UNIT_PRI
     grouping-sets pass, recompute the ratios from the sums, average the four
     AUPW measures over the matching (exp, role) reps, and attach the result
     to each level's own roster rows (missing -> 0)."""
-    base = card.withColumn("_eh", (F.col("exp") == "exp") & (F.col("role") == "H")) \
-               .withColumn("_nh", (F.col("exp") == "new") & (F.col("role") == "H")) \
-               .withColumn("_eu", (F.col("exp") == "exp") & (F.col("role") == "U")) \
-               .withColumn("_nu", (F.col("exp") == "new") & (F.col("role") == "U")) \
-               .withColumn("_n_eh", F.col("_eh").cast("int")).withColumn("_n_nh", F.col("_nh").cast("int")) \
-               .withColumn("_n_eu", F.col("_eu").cast("int")).withColumn("_n_nu", F.col("_nu").cast("int")) \
-               .withColumn("_r_eh", F.when(F.col("_eh"), F.col("rev_h"))) \
-               .withColumn("_r_nh", F.when(F.col("_nh"), F.col("rev_h"))) \
-               .withColumn("_r_eu", F.when(F.col("_eu"), F.col("rev_u"))) \
-               .withColumn("_r_nu", F.when(F.col("_nu"), F.col("rev_u")))
+    subsets = {"eh": ("exp", "H", "rev_h"), "nh": ("new", "H", "rev_h"),
+               "eu": ("exp", "U", "rev_u"), "nu": ("new", "U", "rev_u")}
+    extra = []
+    for key, (e, r, rev_col) in subsets.items():
+        cond = (F.col("exp") == e) & (F.col("role") == r)
+        extra += [cond.cast("int").alias(f"_n_{key}"), F.when(cond, F.col(rev_col)).alias(f"_r_{key}")]
+    base = card.select("*", *extra)   # one projection instead of a withColumn chain
     sums = ["orders_h", "targets_h", "targets_u", "targets_n", "orders_n", "starter_n", "pro_n", "tab_n",
             "emr_n", "listing_n", "rev", "rev_h", "rev_u", "listing_rev",
             "_n_eh", "_n_nh", "_n_eu", "_n_nu", "_r_eh", "_r_nh", "_r_eu", "_r_nu"]
