@@ -47,3 +47,23 @@ def publish_profiles(spark: SparkSession, sf: str, out: str, snapshot_date: str)
     write_csv(profiles.international_only(spark, sf), paths["international"])
     write_csv(profiles.practice_id_map(spark, sf), paths["practice_id_map"])
     return paths
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m fieldlens.plans.publish <tables_dir> <out_dir> <as_of> [dashboard|profiles|all]``"""
+    import sys
+
+    from fieldlens.session import build_session
+    args = argv if argv is not None else sys.argv[1:]
+    tables_dir, out_dir, as_of = args[:3]
+    which = args[3] if len(args) > 3 else "all"
+    spark = build_session(app="fieldlens-publish")
+    if which in ("dashboard", "all"):
+        publish_dashboard(spark, tables_dir, os.path.join(out_dir, "dashboard"), as_of)
+    if which in ("profiles", "all"):
+        publish_profiles(spark, tables_dir, os.path.join(out_dir, "profiles"), as_of)
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()

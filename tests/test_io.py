@@ -59,3 +59,21 @@ def test_versioned_self_update(spark, tmpdir_path):
     publish_version(prev.withColumn("x", F.col("x") + 1), base)   # reads v=1, writes v=2
     assert list_versions(spark, base) == [1, 2]
     assert read_latest_version(spark, base).first().x == 2
+
+
+def test_partitioned_zone_folder(spark, tmpdir_path):
+    from fieldlens.sources.csv_io import read_partitioned_csv
+    for zone, body in {"North": "email,Target\na,3\n", "South": "email,Target\nb,NA\n"}.items():
+        d = os.path.join(tmpdir_path, f"zone={zone}")
+        os.makedirs(d)
+        _write(os.path.join(d, "part-0.csv"), body)
+    schema = T.StructType([T.StructField("email", T.StringType()), T.StructField("Target", T.IntegerType())])
+    got = sorted((r.email, r.zone, r.Target) for r in read_partitioned_csv(spark, tmpdir_path, schema).collect())
+    assert got == [("a", "North", 3), ("b", "South", None)]
+
+
+def test_fill_numeric_zero_leaves_text_missing(spark):
+    from fieldlens.functions import fill_numeric_zero
+    df = spark.createDataFrame([(None, None, None)], "manager string, n long, x double")
+    r = fill_numeric_zero(df).first()
+    assert (r.manager, r.n, r.x) == (None, 0, 0.0)

@@ -86,3 +86,21 @@ def test_r_paste_na_text(spark):
     df = spark.createDataFrame([(1, None)], "a int, b string")
     r = df.select(r_paste0(F.col("a"), F.col("b")).alias("x"), r_paste(F.col("a"), F.col("b")).alias("y")).first()
     assert (r.x, r.y) == ("1NA", "1 NA")
+
+
+def test_keep_first_output_has_unique_keys_on_events(spark):
+    import os
+    from fieldlens.plans import profiles
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    out = profiles.keep_first_q(spark, sf)
+    assert out.count() == out.select("user_id").distinct().count()
+
+
+def test_unused_left_join_under_distinct_changes_nothing(spark):
+    base = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string")
+    extra = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z")], "k int, w string")
+    plain = sorted(base.distinct().collect())
+    joined = sorted(base.join(extra, "k", "left").select("k", "v").distinct().collect())
+    assert plain == joined
