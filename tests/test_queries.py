@@ -29,14 +29,14 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("key", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, key):
-    df = E.queries()[key](spark, SF)
-    srows = [tuple(r) for r in df.collect()]
-    cur = con.execute(E.oracle_sql()[key])
-    ocols = [d[0] for d in cur.description]
-    orows = cur.fetchall()
-    assert sorted(df.columns) == sorted(ocols)
+    st = E.queries()[key](spark, SF).toArrow()
+    ot = con.sql(E.oracle_sql()[key]).to_arrow_table()
+    # same columns with the same types
+    assert {f.name: str(f.type) for f in st.schema} == {f.name: str(f.type) for f in ot.schema}
+    srows = [tuple(r.values()) for r in st.to_pylist()]
+    orows = [tuple(r.values()) for r in ot.to_pylist()]
     assert len(srows) == len(orows)
-    assert digest(df.columns, srows)[0] == digest(ocols, orows)[0]
+    assert digest(st.column_names, srows)[0] == digest(ot.column_names, orows)[0]
 
 
 def test_entry_smoke(spark):
