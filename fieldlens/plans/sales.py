@@ -112,8 +112,10 @@ def rep_order_stats(orders: DataFrame, classes: dict = S.PLAN_CLASSES, keep_null
 
 # --------------------------------------------------------------------- roster
 def roster_union(managers: DataFrame, reps: DataFrame) -> DataFrame:
-    """Head file plus every zone's file, by column name; placeholders removed,
+    """Head file plus every zone's file, by column name; placeholder e-mails
+    removed, reps of the no-zone marker left out (that zone has no file),
     missing target 0, target split by role."""
+    reps = reps.where(F.coalesce(F.col("zone") != NO_ZONE, F.lit(True)))
     allr = managers.unionByName(reps, allowMissingColumns=True)
     allr = allr.where(F.coalesce(F.col("email") != SENTINEL_EMAIL, F.lit(True)))
     tgt = F.coalesce(F.col("target"), F.lit(0))

@@ -97,8 +97,6 @@ def plan_orders(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-ROSTER_COLUMNS = ["email", "name", "region", "zone", "city", "cm", "rm", "zm", "azm", "am_email", "am_name",
-                  "aam", "exp", "level", "role", "target"]
 # Manager levels (level name, roster column) in rollup order.
 MANAGER_LEVELS = [("AM", "am_email"), ("AAM", "aam"), ("AZM", "azm"), ("Zone", "zm"), ("Region", "rm"), ("Country", "cm")]
 

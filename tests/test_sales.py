@@ -101,3 +101,11 @@ def test_attribution_share(spark):
     assert sales.order_scalars(o).first().d == 0.75
     o2 = _orders(spark, [("a", "Soft", 1.0)])
     assert sales.order_scalars(o2).first().d == 1.0
+
+
+def test_roster_union_drops_placeholders_and_no_zone_reps(spark):
+    rows = [_rep("a"), _rep("zz"), ("b", "b", "r", "-", "c", "all", "rm1", "zm1", "azm1", "am1", "am1", "aam1",
+                                    "exp", "TM", "H", None)]
+    out = sales.roster_union(spark.createDataFrame([_mgr("m", "AM")], ROSTER_SCHEMA),
+                             spark.createDataFrame(rows, ROSTER_SCHEMA))
+    assert sorted(r.email for r in out.collect()) == ["a", "m"]
