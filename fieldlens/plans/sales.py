@@ -127,10 +127,7 @@ def roster_union(managers: DataFrame, reps: DataFrame) -> DataFrame:
 def roster_sorted(roster: DataFrame) -> DataFrame:
     """Sort by level rank then region, zone, AM, role, exp, target (missing
     last), e-mail as final tie-break, and number the rows."""
-    rank = rank_by_mapping(F.col("level"), LEVEL_RANK)
-    order = [rank.asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in
-                                       ["region", "zone", "am_email", "role", "exp", "target", "email"]]
-    return global_row_number(roster, order, out="row")
+    return global_row_number(roster, roster_order_key(), out="row")
 
 
 def lower_roster(roster: DataFrame) -> DataFrame:
@@ -275,17 +272,32 @@ def order_scalars(orders: DataFrame | None = None, rcs: DataFrame | None = None)
                                  safe_ratio(F.coalesce(F.col("_k"), F.lit(0)), F.col("_t")).alias("d"))
 
 
-def metrics_sheet(card: DataFrame, rollup: DataFrame, sorted_roster: DataFrame, scalars: DataFrame) -> DataFrame:
-    """All levels stacked, in roster order, with the fixed 50-column layout."""
+ROSTER_ORDER = ["region", "zone", "am_email", "role", "exp", "target", "email"]
+
+
+def roster_order_key(prefix: str = "") -> list[Column]:
+    """The roster sort: level rank, then region, zone, AM, role, exp, target,
+    e-mail, each ascending with missing last (on the roster's own casing)."""
+    rank = rank_by_mapping(F.col(f"{prefix}level"), LEVEL_RANK)
+    return [rank.asc_nulls_last()] + [F.col(f"{prefix}{c}").asc_nulls_last() for c in ROSTER_ORDER]
+
+
+def metrics_sheet(card: DataFrame, rollup: DataFrame, roster: DataFrame, scalars: DataFrame) -> DataFrame:
+    """All levels stacked, in roster order, with the fixed 50-column layout.
+
+    ``roster`` is the roster as exported (before lower-casing); its sort key
+    orders the sheet directly, so no row-number column is materialised."""
     stacked = card.select(*ROSTER_KEYS, *MEASURES).unionByName(rollup.select(*ROSTER_KEYS, *MEASURES))
-    rows = sorted_roster.select(F.lower("email").alias("_e"), F.col("level").alias("_l"), "row")
-    s = stacked.join(rows, (stacked.email == rows._e) & (stacked.level == rows._l), "left").drop("_e", "_l")
+    keys = roster.select(F.lower("email").alias("_e"), F.col("level").alias("_o_level"),
+                         *[F.col(c).alias(f"_o_{c}") for c in ROSTER_ORDER])
+    s = stacked.join(keys, (stacked.email == keys._e) & (stacked.level == keys._o_level), "left")
     s = s.crossJoin(F.broadcast(scalars))  # one row
-    out = s.select(*[F.col(k).alias(v) for k, v in SHEET_NAMES.items()], "row", "c", "d",
+    out = s.select(*[F.col(k).alias(v) for k, v in SHEET_NAMES.items()], "c", "d",
+                   *[F.col(f"_o_{c}") for c in ["level"] + ROSTER_ORDER],
                    F.lit(0.0).alias("TDRev"),
                    F.concat(F.col("email"), F.col("level")).alias("Conc"),
                    *[F.lit(0).alias(f"Gap{i}") for i in range(1, 6)])
-    return out.orderBy("row").select(*[F.col(f"`{c}`") for c in SHEET_ORDER])
+    return out.orderBy(*roster_order_key("_o_")).select(*[F.col(f"`{c}`") for c in SHEET_ORDER])
 
 
 # ------------------------------------------------------------ query wrappers
@@ -377,7 +389,7 @@ def q_metrics_sheet(spark: SparkSession, sf: str) -> DataFrame:
     card = rep_scorecard(None, t.where(F.col("level") == "TM"), exact=True, stats=rep_stats_from(rcs))
     roll = leadership_rollup(card, t)
     scal = order_scalars(rcs=rcs)
-    return metrics_sheet(card.select(*ROSTER_KEYS, *MEASURES), roll, roster_sorted(union), scal)
+    return metrics_sheet(card.select(*ROSTER_KEYS, *MEASURES), roll, union, scal)
 
 
 def q_attribution_share(spark: SparkSession, sf: str) -> DataFrame:

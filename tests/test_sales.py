@@ -109,3 +109,15 @@ def test_roster_union_drops_placeholders_and_no_zone_reps(spark):
     out = sales.roster_union(spark.createDataFrame([_mgr("m", "AM")], ROSTER_SCHEMA),
                              spark.createDataFrame(rows, ROSTER_SCHEMA))
     assert sorted(r.email for r in out.collect()) == ["a", "m"]
+
+
+def test_metrics_sheet_follows_roster_order(spark):
+    import os
+    from fieldlens.plans import standins as S
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    sheet = [(r["PSW.Email"], r["Level"]) for r in sales.q_metrics_sheet(spark, sf).collect()]
+    union = sales.roster_union(S.roster_managers(spark, sf), S.roster_reps(spark, sf))
+    rows = sales.roster_sorted(union).orderBy("row").collect()
+    assert sheet == [(r.email.lower(), r.level) for r in rows]
