@@ -128,3 +128,21 @@ def test_skew_split_with_many_missing_starts(spark):
         order = dt.datetime.combine(base + dt.timedelta(days=rnd.randint(0, 30)), dt.time(rnd.randint(0, 23)))
         rows.append((1, "A", order if rnd.random() > 0.02 else None, start, rnd.randint(1, 40), k))
     assert _labels(spark, rows, True) == _labels(spark, rows, False)
+
+
+def test_hot_group_is_split_across_window_partitions(spark):
+    # one (practice, code) holds a third of all rows; its window work is spread
+    # over one partition per start date instead of one task for the group
+    rnd = random.Random(5)
+    base = dt.date(2016, 1, 1)
+    rows = []
+    for k in range(3000):
+        hot = k % 3 == 0
+        p, code = (1, "A") if hot else (rnd.randint(2, 500), rnd.choice(["A", "B"]))
+        start = base + dt.timedelta(days=rnd.randint(0, 99))
+        order = dt.datetime.combine(start - dt.timedelta(days=rnd.randint(0, 5)), dt.time(12))
+        rows.append((p, code, order, start, rnd.randint(1, 30), k))
+    df = _slots(spark, rows)
+    per_window = df.groupBy("practice", "code", "start").count().agg(F.max("count")).first()[0]
+    assert per_window <= 0.02 * len(rows)          # largest skew-split window: <= 2% of rows
+    assert _labels(spark, rows, True) == _labels(spark, rows, False)
