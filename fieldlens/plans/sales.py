@@ -74,9 +74,11 @@ def sales_plans(orders: DataFrame, classes: dict = S.PLAN_CLASSES) -> DataFrame:
 
 def rep_currency_stats(orders: DataFrame, classes: dict = S.PLAN_CLASSES, sales_only: bool = True) -> DataFrame:
     """One pass over the sales-plan orders: every per-rep counter and revenue,
-    per (rep, currency), missing rep kept.  The scorecard counters and the
-    sheet-wide scalars are both derived from this one aggregate, so the order
-    facts are scanned and shuffled once (Spark reuses the exchange)."""
+    per (rep, currency), missing rep kept, with map-side combine.  The
+    scorecard counters and the sheet-wide scalars are derived from this one
+    definition.  (Spark prunes the aggregate differently for each consumer,
+    so the consumers do not share one shuffle; each is still a single
+    partial-aggregate pass.)"""
     f = class_flags(F.col("plan"), classes)
     amt = F.col("amount_in_inr")
     src = sales_plans(orders, classes) if sales_only else orders
