@@ -25,11 +25,19 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", app: str = "fieldlens",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
+def build_session(master: str | None = None, app: str = "fieldlens",
+                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+    """Session with the library's defaults.
+
+    ``master``: explicit value, else the one spark-submit configured, else
+    ``local[*]``.  ``shuffle_partitions``: set only when given (local runs);
+    on a cluster keep the cluster's value and let AQE coalesce / split."""
+    from pyspark import SparkConf
+    master = master or SparkConf().get("spark.master", None) or "local[*]"
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

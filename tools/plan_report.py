@@ -36,7 +36,7 @@ def main():
     out = sys.argv[2] if len(sys.argv) > 2 else os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     from fieldlens.session import build_session
     import __spark_entry__ as E
-    spark = build_session()
+    spark = build_session(shuffle_partitions=8)
     rows = []
     for k, fn in E.queries().items():
         df = fn(spark, sf)
