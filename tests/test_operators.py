@@ -104,3 +104,18 @@ def test_unused_left_join_under_distinct_changes_nothing(spark):
     plain = sorted(base.distinct().collect())
     joined = sorted(base.join(extra, "k", "left").select("k", "v").distinct().collect())
     assert plain == joined
+
+
+def test_join_helpers(spark):
+    from fieldlens.operators import bounded_broadcast, literal_table, rank_by_mapping, scalar_columns
+    hinted = bounded_broadcast(spark.range(5), max_rows=10)._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" in hinted                          # under the bound: hinted
+    big = spark.range(50)
+    assert bounded_broadcast(big, max_rows=10) is big              # over the bound: no hint
+    lt = literal_table(spark, [("Country", "A"), ("TM", "G")], "level string, rank string")
+    assert sorted(r.rank for r in lt.collect()) == ["A", "G"]
+    df = spark.createDataFrame([("TM",), ("Zone",), ("x",)], "level string")
+    got = [r.r for r in df.select(rank_by_mapping(F.col("level"), {"TM": "G", "Zone": "C"}).alias("r")).collect()]
+    assert got == ["G", "C", None]
+    one = spark.range(3).agg(F.sum("id").alias("total"))
+    assert [r.total for r in scalar_columns(spark.range(2), one).collect()] == [3, 3]
