@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm import simhash_dedup
+from fieldlens.llm import mixing, sharding, simhash_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,8 +21,63 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.0, max_epochs=3, seed=42)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    whole = F.coalesce("text", F.lit(""))
+    sized = docs.select("doc_id", "source", "text", (F.octet_length(whole) + 16).cast("long").alias("size"),
+                        F.crc32(whole.cast("binary")).alias("text_crc32"))
+    return sharding.interleave(sized, shards=40, seed=42).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": op2_mixing,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op10_sharding": op10_sharding,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   md5('42:' || coalesce(doc_id::VARCHAR, 'null')) AS k
+            FROM documents),
+        s AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   row_number() OVER (ORDER BY source IS NULL, source) AS rnk
+            FROM d GROUP BY source),
+        w AS (
+            SELECT *, CASE (rnk - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight,
+                   3 * source_size AS cap, sum(source_size) OVER () AS budget
+            FROM s),
+        l AS (
+            SELECT *, (budget - coalesce(sum(cap) OVER (ORDER BY cap / weight, rnk
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+                      / (sum(weight) OVER (ORDER BY cap / weight, rnk
+                                           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+            FROM w),
+        t AS (
+            SELECT source, source_size, rnk, budget,
+                   CASE WHEN level * weight > cap THEN cap::DOUBLE
+                        ELSE weight * (SELECT level FROM l WHERE level * weight <= cap
+                                       ORDER BY cap / weight, rnk LIMIT 1) END AS target
+            FROM l),
+        q AS (
+            SELECT d.doc_id, d.size, t.source_size, t.target, t.rnk, t.budget,
+                   sum(d.size) OVER (PARTITION BY t.rnk ORDER BY d.k, d.size ROWS UNBOUNDED PRECEDING) AS served
+            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+        c AS (
+            SELECT doc_id, size, budget,
+                   sum(size) OVER (ORDER BY (served + e.n * source_size) / target, rnk ROWS UNBOUNDED PRECEDING) AS upto
+            FROM q, (VALUES (0), (1), (2)) e(n) WHERE size > 0 AND target > 0),
+        n AS (SELECT doc_id, count(*) AS copies FROM c WHERE upto <= budget GROUP BY doc_id)
+        SELECT q.doc_id, q.size, q.source_size, q.target, q.size * coalesce(n.copies, 0) AS taken
+        FROM q LEFT JOIN n ON q.doc_id = n.doc_id
+    """,
+}

@@ -6,6 +6,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -28,3 +29,16 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def attach(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
+           broadcast_rows: int = 20_000) -> DataFrame:
+    """Join a summary table to its rows.  The summary is checkpointed and
+    counted: up to ``broadcast_rows`` it is broadcast, beyond that it is an
+    ordinary shuffle join (AQE splits its skewed keys).  Keys match null-safely."""
+    right = checkpoint(right)
+    if right.count() <= broadcast_rows:
+        right = F.broadcast(right)
+    renamed = right.withColumnsRenamed({c: f"__{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in on]
+    return left.join(renamed, same, how).drop(*[f"__{c}" for c in on])
