@@ -9,13 +9,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm import mixing, sharding, simhash_dedup
+from fieldlens.llm import mixing, sharding, simhash_dedup, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), window=50)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, radius=4, seed=42)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -38,11 +43,30 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op10_sharding": op10_sharding,
 }
 
 SQL: dict[str, str] = {
+    "op4_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        starts AS (
+            SELECT doc_id, unnest(range(1, len(w) - 48)) AS p, w FROM d WHERE len(w) >= 50),
+        windows AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS k FROM starts),
+        repeats AS (
+            SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY k) AS low FROM windows)
+            WHERE low < doc_id),
+        gone AS (
+            SELECT DISTINCT doc_id, i FROM (SELECT doc_id, unnest(range(p, p + 50)) AS i FROM repeats)),
+        words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+        kept AS (
+            SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.i) AS t, count(*) AS n
+            FROM words ANTI JOIN gone ON words.doc_id = gone.doc_id AND words.i = gone.i GROUP BY words.doc_id)
+        SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+    """,
     "op2_mixing": r"""
         WITH d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
