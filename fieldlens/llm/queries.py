@@ -9,13 +9,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm import mixing, sharding, simhash_dedup, substring_dedup
+from fieldlens.llm import decontaminate, mixing, sharding, simhash_dedup, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"),
+                                    shingle=5, threshold=0.8)
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), window=50)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -43,6 +48,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
+    "op3_decontamination": op3_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op10_sharding": op10_sharding,
