@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm import decontaminate, mixing, sharding, simhash_dedup, substring_dedup
+from fieldlens.llm import decontaminate, mixing, sharding, simhash_dedup, substring_dedup, weak_quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return weak_quality.score(docs, weak_quality.fit(docs, labels), carry=["doc_id"])
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     whole = F.coalesce("text", F.lit(""))
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_sharding": op10_sharding,
 }
 
