@@ -4,7 +4,7 @@ Overlapping heuristic labellers vote good, bad or abstain on two questions,
 "is it junk" and "is it toxic".  Expectation-maximisation over the counts of
 vote patterns of all documents estimates each labeller's accuracy and, with
 it, the probability of a class given a pattern.  Those posterior labels train
-a logistic scorer over hashed words and binned text measures; the scorer
+a logistic scorer over hashed words and steps of text measures; the scorer
 decides about every document.
 
 Bounded parts (documented parameters): the scorer is fitted on at most
@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
@@ -35,9 +35,9 @@ _LOWER = (np.arange(256) >= 0x61) & (np.arange(256) <= 0x7A)
 #: (measure, vote good up to, vote bad from); shares between 0 and 1
 MEASURES = (("symbols", 0.01, 0.05), ("capitals", 0.2, 0.5), ("stutter", 0.05, 0.2), ("repeats", 0.1, 0.3))
 #: distinct lexicon words: (vote bad from, lexicon) -- any word, and two of the surest
-_SURE = 60.0
-_CHI2 = 30.0  # a word enters the lexicon, a feature the scorer, from this chi-squared on
-_PRECISION = 0.8  # share of bad rows among those that a word adds
+_SURE = 90.0
+_CHI2 = 45.0  # a word enters the lexicon, a feature the scorer, from this chi-squared on
+_PRECISION = 0.8  # least share of bad rows among those with a word
 
 
 def measures(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,16 +71,33 @@ def measures(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def features(data: np.ndarray, offsets: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, feature id), each pair once: hashed normalised words, and the
-    bin of each measure (ids above the hash space)."""
+    steps that each measure reaches (ids above the hash space)."""
     words = Words(data, offsets, normalise=True)
     ids = (words.hash >> np.uint64(64 - _HASH_BITS)).astype(np.int64)
-    bins = np.minimum((np.sqrt(shares) * 10).astype(np.int64), 9)
-    base = (1 << _HASH_BITS) + 10 * np.arange(len(MEASURES))
-    rows = np.concatenate([words.row, np.repeat(np.arange(len(shares)), len(MEASURES))])
-    both = np.unique((rows << np.int64(32)) | np.concatenate([ids, (bins + base).ravel()]))
+    reached = shares[:, :, None] >= (np.arange(1, 10) / 10) ** 2  # steps of the square root
+    at, measure, step = np.nonzero(reached)
+    steps = (1 << _HASH_BITS) + 10 * measure + step
+    both = np.unique((np.concatenate([words.row, at]) << np.int64(32)) | np.concatenate([ids, steps]))
     return both >> 32, both & 0xFFFFFFFF
 
 
+def _ends(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Lowest and highest hash of a row's 8-word sequences, null without any."""
+    words = Words(data, offsets, normalise=True)
+    grams = words.shingles(8)
+    row = words.row[:len(grams)]
+    whole = row == words.row[7:7 + len(grams)]
+    grams, row = grams[whole].view(np.int64), row[whole]
+    some, begin = np.unique(row, return_index=True)
+    out = []
+    for pick in (np.minimum, np.maximum):
+        values = np.zeros(len(offsets) - 1, dtype=np.int64)
+        if len(some):
+            values[some] = pick.reduceat(grams, begin)
+        out.append(pa.array(values, mask=~np.isin(np.arange(len(values)), some)))
+    return out[0], out[1]
+
+
 def _count_known(row: np.ndarray, ids: np.ndarray, known: np.ndarray, weight: np.ndarray, rows: int) -> np.ndarray:
     """Sum of the weights of a row's features that are known (sorted ids)."""
     if not len(known):
@@ -144,7 +161,7 @@ def estimate(patterns: dict[int, int], labellers: int, rounds: int = 200) -> dic
     return dict(zip(codes.tolist(), bad.tolist()))
 
 
-def train(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 25) -> tuple[np.ndarray, float]:
+def train(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 40) -> tuple[np.ndarray, float]:
     """Ridge logistic regression on soft labels by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
@@ -184,19 +201,19 @@ def _clean_labels(labels: DataFrame, id_col: str) -> DataFrame:
             .where("doc is not null").groupBy("doc").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic")))
 
 
-def _candidates(counts: DataFrame, totals: tuple[float, float], limit: int) -> list[int]:
+def _chosen(counts: DataFrame, totals: tuple[float, float], limit: int) -> dict[int, float]:
     """Features with the highest chi-squared by (bad, good) row weights: words
-    that speak for bad, measure bins that speak for either."""
+    that nearly only bad rows have, and measure steps that speak for either."""
     bad, good = (float(t) for t in totals)
     n = bad + good
     if bad <= 0 or good <= 0:
-        return []
+        return {}
     a, b = F.col("bad"), F.col("good")
     cross = a * good - b * bad
     chi2 = n * cross * cross / (bad * good * (a + b) * (F.lit(n) - a - b + 1e-9))
-    found = counts.where((a + b >= 3) & ((cross > 0) | (F.col("id") >= (1 << _HASH_BITS))))
+    found = counts.where((a >= _PRECISION * (a + b)) | (F.col("id") >= (1 << _HASH_BITS)))
     found = found.select("id", chi2.alias("chi2")).where(F.col("chi2") >= _CHI2)
-    return sorted(r["id"] for r in found.orderBy(F.desc("chi2"), "id").limit(limit).collect())
+    return {r["id"]: r["chi2"] for r in found.orderBy(F.desc("chi2"), "id").limit(limit).collect()}
 
 
 def _matrix(sample: DataFrame, value: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -204,40 +221,14 @@ def _matrix(sample: DataFrame, value: str, ids: list[int]) -> tuple[np.ndarray,
     chosen = F.array(*[F.lit(i) for i in ids])
     used = sample.select("doc", F.col(value).cast("double").alias("y"), F.array_intersect("ids", chosen).alias("ids")).toArrow()
     used = used.take(np.argsort(used["doc"].to_numpy(), kind="stable"))
-    x = np.zeros((used.num_rows, len(ids)), dtype=bool)
+    x = np.zeros((used.num_rows, len(ids)))
     for r, mine in enumerate(used["ids"].to_pylist()):
-        x[r, np.searchsorted(ids, mine)] = True
+        x[r, np.searchsorted(ids, mine)] = 1
     return x, used["y"].to_numpy()
 
 
-def cover(x: np.ndarray, y: np.ndarray, least: float = _CHI2) -> dict[int, float]:
-    """Columns that together explain the bad rows, with their chi-squared:
-    again and again the strongest one over the rows that no chosen column
-    marks yet.  A word that only stands in copies of a bad text adds nothing
-    once the words that make the text bad are chosen."""
-    chosen: dict[int, float] = {}
-    left = np.ones(len(y), dtype=bool)
-    while left.any():
-        some, rest = x[left], y[left]
-        bad, n = rest.sum(), len(rest)
-        a = rest @ some
-        both = some.sum(axis=0)
-        good = n - bad
-        if bad <= 0 or good <= 0:
-            break
-        cross = a * good - (both - a) * bad
-        chi2 = n * cross * cross / np.maximum(bad * good * both * (n - both), 1e-9)
-        chi2[(a < _PRECISION * both) | (both < 3)] = 0
-        best = int(chi2.argmax()) if chi2.size else -1
-        if best < 0 or chi2[best] < least:
-            break
-        chosen[best] = float(chi2[best])
-        left &= ~x[:, best]
-    return chosen
-
-
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        sample_docs: int = 6000, max_features: int = 1024) -> Model:
+        sample_docs: int = 8000, max_features: int = 1024) -> Model:
     """Fit the classifier on a document table and its (partial) labels.
 
     Null texts and texts without words are junk; rows with a null id take part
@@ -258,19 +249,26 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             for i, j, data, offsets in text_runs(batch.column(1)):
                 row, ids = features(data, offsets, measures(data, offsets)[0])
                 edges = np.searchsorted(row, np.arange(j - i + 1)).astype(np.int32)
-                yield pa.record_batch([batch.column(0)[i:j], pa.ListArray.from_arrays(pa.array(edges), pa.array(ids)),
-                                       batch.column(2)[i:j], batch.column(3)[i:j]], names=["doc", "ids", "quality", "toxic"])
+                low, high = _ends(data, offsets)
+                yield pa.record_batch(
+                    [batch.column(0)[i:j], pa.ListArray.from_arrays(pa.array(edges), pa.array(ids)), batch.column(2)[i:j],
+                     batch.column(3)[i:j], low, high], names=["doc", "ids", "quality", "toxic", "low", "high"])
 
     sample = checkpoint(sample.select("doc", "text", "quality", "toxic").mapInArrow(
-        list_features, "doc long, ids array<long>, quality int, toxic int"))
+        list_features, "doc long, ids array<long>, quality int, toxic int, low long, high long"))
+    # Copies of one bad text would make all of its words look bad: of the rows
+    # that share their lowest or highest 8-word hash, one is fitted.
+    for end in ("low", "high"):
+        first = F.row_number().over(Window.partitionBy(F.coalesce(end, "doc"), F.col(end).isNull()).orderBy("doc"))
+        sample = sample.withColumn("nth", first).where("nth = 1").drop("nth")
+    sample = checkpoint(sample)
     marked = sample.where("toxic is not null")
     by_word = marked.select("toxic", F.explode("ids").alias("id")).where(F.col("id") < (1 << _HASH_BITS)).groupBy("id").agg(
         F.sum("toxic").cast("double").alias("bad"), F.sum(1 - F.col("toxic")).cast("double").alias("good"))
     totals = marked.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum(1 - F.col("toxic")), F.lit(0))).first()
-    likely = _candidates(by_word, totals, max_features)
-    strong = cover(*_matrix(marked, "toxic", likely)) if likely else {}
-    lexicon = Lexicon(np.array(sorted(likely[i] for i in strong), dtype=np.int64),
-                      np.array(sorted(likely[i] for i, c in strong.items() if c >= _SURE), dtype=np.int64))
+    strong = _chosen(by_word, totals, max_features)
+    lexicon = Lexicon(np.array(sorted(strong), dtype=np.int64),
+                      np.array(sorted(i for i, c in strong.items() if c >= _SURE), dtype=np.int64))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -313,17 +311,11 @@ def _scorer(spark: SparkSession, sample: DataFrame, soft: dict[int, float], limi
     labelled = sample.join(F.broadcast(spark.createDataFrame(list(soft.items()), "doc long, p double")), "doc")
     counts = labelled.select("p", F.explode("ids").alias("id")).groupBy("id").agg(
         F.sum("p").alias("bad"), F.sum(1 - F.col("p")).alias("good"))
-    likely = _candidates(counts, (bad, len(soft) - bad), limit)
-    if not likely:
-        return none
-    x, y = _matrix(labelled, "p", likely)
-    bins = [i for i, feature in enumerate(likely) if feature >= (1 << _HASH_BITS)]
-    words = [i for i in range(len(likely)) if i not in set(bins)]
-    keep = sorted([*bins, *(words[i] for i in cover(x[:, words], y))])
-    if not keep:
+    ids = sorted(_chosen(counts, (bad, len(soft) - bad), limit))
+    if not ids:
         return none
-    weights, bias = train(x[:, keep].astype(float), y)
-    return Scorer(np.array([likely[i] for i in keep], dtype=np.int64), weights, bias)
+    weights, bias = train(*_matrix(labelled, "p", ids))
+    return Scorer(np.array(ids, dtype=np.int64), weights, bias)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str] | None = None,
