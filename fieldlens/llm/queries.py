@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm import decontaminate, mixing, sharding, simhash_dedup, substring_dedup, weak_quality
+from fieldlens.llm import (decontaminate, mixing, pii, quality_rules, sharding, simhash_dedup, substring_dedup,
+                           weak_quality)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,11 +32,31 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality_rules.apply_rules(docs, quality_rules.order_rules(docs))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.0, max_epochs=3, seed=42)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+
+    def count(kind):
+        return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k in pii.BASE_KINDS], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     return weak_quality.score(docs, weak_quality.fit(docs, labels), carry=["doc_id"])
@@ -52,15 +73,48 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_mixing": op2_mixing,
     "op3_decontamination": op3_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op8_pii": op8_pii,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_sharding": op10_sharding,
 }
 
 SQL: dict[str, str] = {
+    "op1_quality_rules": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        starts AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS p, w FROM d WHERE len(w) >= 8),
+        windows AS (SELECT doc_id, p, array_to_string(w[p:p + 7], ' ') AS k FROM starts),
+        repeats AS (SELECT doc_id, p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS n FROM windows) WHERE n > 1),
+        r AS (
+            SELECT doc_id, count(DISTINCT i) AS n_repeat_words
+            FROM (SELECT doc_id, unnest(range(p, p + 8)) AS i FROM repeats) GROUP BY doc_id),
+        m AS (
+            SELECT d.doc_id, t, w, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+                   len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
+                   len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                   coalesce(n_repeat_words, 0) AS n_repeat_words
+            FROM d LEFT JOIN r USING (doc_id)),
+        v AS (
+            SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+                   length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS letters
+            FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT (base_failed OR 10 * n_symbols > 3 * n_words
+                    OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+                    OR 10 * n_dup_lines > 3 * n_lines
+                    OR (letters >= 20 AND 2 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > letters)
+                    OR 5 * len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) > n_words
+                    OR 2 * len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) < n_words) AS kept
+        FROM v
+    """,
     "op4_substring_dedup": r"""
         WITH d AS (
             SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
