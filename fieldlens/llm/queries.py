@@ -6,11 +6,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm import (decontaminate, mixing, pii, quality_rules, sharding, simhash_dedup, substring_dedup,
-                           weak_quality)
+from fieldlens.llm import (decontaminate, html_text, mixing, pii, quality_rules, secret_scan, sharding, simhash_dedup,
+                           substring_dedup, weak_quality)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,18 +43,31 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+def _joined(spans: Column | str) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    def joined(spans):
-        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+def _count(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(_table(spark, sf_dir, "documents"), carry=["doc_id"])
+    base = F.filter("secrets", lambda s: s["kind"] != "random")
+    return found.select("doc_id", *[_count("secrets", k) for k in ("assign", "access", "hex")],
+                        F.sha2(_joined(base), 256).alias("base_sha256"), _joined("secrets").alias("spans"))
+
 
-    def count(kind):
-        return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(_table(spark, sf_dir, "pages"), carry=["page_id", "url"])
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE_KINDS))
 
-    return found.select("doc_id", *[count(k) for k in pii.BASE_KINDS], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"))
+    return found.select("doc_id", *[_count("pii", k) for k in pii.BASE_KINDS], F.sha2(_joined(base), 256).alias("base_sha256"),
+                        _joined("pii").alias("spans"))
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_secret_scan": op6_secret_scan,
+    "op7_html_text": op7_html_text,
     "op8_pii": op8_pii,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_sharding": op10_sharding,
