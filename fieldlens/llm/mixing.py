@@ -106,3 +106,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     count = F.when(fits, sum((taken_copy(e) for e in range(max_epochs)), F.lit(0))).otherwise(0).cast("int")
     return queued(rows).withColumn("copies", count).select(
         "row.*", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def take(docs: DataFrame, **options) -> DataFrame:
+    """The mixed table itself: every row as often as ``mix`` takes it."""
+    mixed = mix(docs, **options)
+    return mixed.where("copies > 0").select(*[F.col(f"`{c}`") for c in docs.columns],
+                                            F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy")).drop("__copy")

@@ -4,18 +4,17 @@ many buckets a distributed order is cut into."""
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable ``df.checkpoint()``: rows go to the shared folder named in
-    ``spark.checkpoint.dir`` and survive the loss of executors.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``, which all machines share.
 
     A temporary folder is set only where the session has none and everything
     runs in this process (tests); a cluster without the setting is an error."""
-    spark = df.sparkSession
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         folder = sc.getConf().get("spark.checkpoint.dir")
@@ -24,9 +23,33 @@ def checkpoint(df: DataFrame) -> DataFrame:
                 raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
             folder = tempfile.mkdtemp(prefix="fieldlens-checkpoint-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable ``df.checkpoint()``: the rows go to the shared folder and
+    survive the loss of executors."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def table(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame as Parquet below the shared folder and read it again."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}-{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def skew_join(rows: DataFrame, summary: DataFrame, on: list[str]) -> DataFrame:
+    """Join rows to an aggregate of them by its long keys.  Both sides meet on
+    the inverted keys, so the aggregate's own partitioning does not fix the
+    join's and AQE can split a hot key's rows."""
+    flipped = [F.bitwise_not(F.col(c)).alias(f"__{c}") for c in on]
+    left = rows.select("*", *flipped)
+    right = summary.select(*[c for c in summary.columns if c not in on], *flipped)
+    return left.join(right, [f"__{c}" for c in on]).drop(*[f"__{c}" for c in on])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -61,16 +61,18 @@ def simhash(text: bytes, shingle: int = 4, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                  seed: int = 42) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every row as a signed long.  A null
-    text has no words; repeated rows stay."""
+    """(doc_id, digest, fp): the fingerprint of every row as a signed long,
+    with a digest that tells texts of one id apart.  A null text has no words;
+    repeated rows stay."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [simhash(t or b"", shingle, seed) for t in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(np.array(prints, dtype=np.uint64).view(np.int64))],
-                                  names=["doc_id", "fp"])
+            prints = [simhash(t or b"", shingle, seed) for t in batch.column(2).to_pylist()]
+            yield pa.record_batch([*batch.columns[:2], pa.array(np.array(prints, dtype=np.uint64).view(np.int64))],
+                                  names=["doc_id", "digest", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("digest"),
+                       F.col(text_col).cast("binary").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, digest long, fp long")
 
 
 class BKTree:
@@ -200,7 +202,8 @@ def _groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[np.ndarr
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                     radius: int = 4, seed: int = 42, tree_size: int = 8192) -> DataFrame:
-    """(doc_id, fp, component_id) of every row; ``component_id`` is the
+    """(doc_id, digest, fp, root, component_id) of every row; ``root`` is a
+    fingerprint that names the component, ``component_id`` is the
     smallest doc_id that is reachable over links of at most ``radius`` bits.
 
     Null and empty texts have fingerprint zero and link like any other; a
@@ -212,5 +215,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = (distinct.join(stars, distinct.fp == stars.node, "left")
               .select("fp", "low", F.coalesce("root", "fp").alias("root")))
     named = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = rooted.join(named, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = rooted.join(named, "root").select("fp", "root", "component_id")
+    return prints.join(classes, "fp").select("doc_id", "digest", "fp", "root", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each component (see ``near_duplicates``): the one with the
+    smallest id, among rows of that id the one with the smallest text digest,
+    then the smallest other columns.  A component without any id keeps one
+    row all the same."""
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("digest"))
+    groups = near_duplicates(docs, id_col, text_col, **options)
+    first = groups.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("first"))
+    # Two hashes of id and text stand for the pair: no nulls, one exchange.
+    pair = lambda i, d: (F.xxhash64(i, d).alias("k1"), F.xxhash64(F.lit(7), d, i).alias("k2"))
+    chosen = first.select(*pair(F.col("first.doc_id"), F.col("first.digest"))).distinct()
+    return (keyed.select("row", *pair(F.col("doc_id"), F.col("digest"))).join(chosen, ["k1", "k2"], "left_semi")
+            .groupBy("k1", "k2").agg(F.min("row").alias("row")).select("row.*"))

@@ -327,16 +327,19 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str
     carry = [c for c in (docs.columns if carry is None else carry) if c not in added]
     schema = StructType([docs.schema[c] for c in carry] + [StructField("junk_score", DoubleType()), StructField("toxic_score", DoubleType()), StructField("kept", BooleanType())])
 
+    at = carry.index(text_col) if text_col in carry else len(carry)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
-            for _, _, data, offsets in text_runs(batch.column(batch.num_columns - 1)):
+            for _, _, data, offsets in text_runs(batch.column(at)):
                 shares, n = measures(data, offsets)
                 row, ids = features(data, offsets, shares)
                 parts.append((model.junk(row, ids, len(n)), model.toxic(row, ids, len(n)), n > 0))
             junk, toxic, some = (np.concatenate(p) for p in zip(*parts)) if parts else (np.zeros(0), np.zeros(0), np.zeros(0, bool))
             junk = np.where(some, junk, 1.0)
-            yield pa.record_batch([*batch.columns[:-1], pa.array(junk), pa.array(toxic), pa.array((junk < threshold) & (toxic < threshold))],
+            yield pa.record_batch([*batch.columns[:len(carry)], pa.array(junk), pa.array(toxic), pa.array((junk < threshold) & (toxic < threshold))],
                                   names=[*carry, *added])
 
-    return docs.select(*[F.col(f"`{c}`") for c in carry], F.col(text_col).alias("__text")).mapInArrow(run, schema)
+    extra = [] if text_col in carry else [F.col(text_col).alias("__text")]
+    return docs.select(*[F.col(f"`{c}`") for c in carry], *extra).mapInArrow(run, schema)
