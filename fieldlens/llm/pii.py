@@ -123,4 +123,5 @@ def find_pii(docs: DataFrame, text_col: str = "text", kinds: tuple[Kind, ...] =
         return confirmed if kind.always else F.filter(confirmed, lambda s: s["score"] >= _THRESHOLD)
 
     rest = [F.col(f"row.`{c}`") for c in docs.columns if c != "pii"]
-    return rows.select(*rest, F.concat(*[scored(k) for k in kinds]).alias("pii"))
+    found = rows.select("row", F.concat(*[scored(k) for k in kinds]).alias("pii"))
+    return found.select(*rest, "pii")
