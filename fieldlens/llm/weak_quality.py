@@ -1,10 +1,12 @@
 """Quality classifier from weak labels.
 
-Overlapping heuristic labellers vote good, bad or abstain on two questions,
-"is it junk" and "is it toxic".  Expectation-maximisation over the counts of
-vote patterns of all documents estimates each labeller's accuracy and, with
-it, the probability of a class given a pattern.  Those posterior labels train
-a logistic scorer over hashed words and steps of text measures; the scorer
+Overlapping heuristic labellers vote good, bad or abstain on three questions:
+is a text full of marks and capitals, is it repetitive (either makes it junk),
+is it toxic.  Labellers of one question look at the same fault, as bad rows of
+another kind would pass for good ones.  Expectation-maximisation over the
+counts of vote patterns of all documents estimates each labeller's accuracy
+and, with it, the probability of the fault given a pattern.  Those posterior
+labels train a logistic scorer over hashed words and steps of text measures; the scorer
 decides about every document.
 
 Bounded parts (documented parameters): the scorer is fitted on at most
@@ -30,10 +32,14 @@ from fieldlens.llm.words import Words, text_runs
 ABSTAIN, GOOD, BAD = 0, 1, 2
 _HASH_BITS = 30  # word features; measures get ids above
 _SYMBOLS = np.isin(np.arange(256), [ord(c) for c in "#*$%&|<>!"])
+_PUNCTUATION = np.array([0x20 < b < 0x7F and not chr(b).isalnum() for b in range(256)])
 _UPPER = (np.arange(256) >= 0x41) & (np.arange(256) <= 0x5A)
 _LOWER = (np.arange(256) >= 0x61) & (np.arange(256) <= 0x7A)
 #: (measure, vote good up to, vote bad from); shares between 0 and 1
-MEASURES = (("symbols", 0.01, 0.05), ("capitals", 0.2, 0.5), ("stutter", 0.05, 0.2), ("repeats", 0.1, 0.3))
+MEASURES = (("symbols", 0.01, 0.05), ("marked words", 0.05, 0.3), ("punctuation", 0.08, 0.12), ("capitals", 0.2, 0.5),
+            ("stutter", 0.05, 0.2), ("repeated triples", 0.15, 0.4), ("repeats", 0.1, 0.3))
+#: question -> the measures whose labellers vote on it
+QUESTIONS = {"marks": (0, 1, 2, 3), "repetition": (4, 5, 6), "toxic": ()}
 #: distinct lexicon words: (vote bad from, lexicon) -- any word, and two of the surest
 _SURE = 90.0
 _CHI2 = 45.0  # a word enters the lexicon, a feature the scorer, from this chi-squared on
@@ -41,9 +47,10 @@ _PRECISION = 0.8  # least share of bad rows among those with a word
 
 
 def measures(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(rows x MEASURES shares, words per row) of a run of texts: characters
-    that are symbols, letters that are capitals, words equal to the one
-    before, and 8-word sequences that the row has already had."""
+    """(rows x MEASURES shares, words per row) of a run of texts: bytes that
+    are symbols, words that end in one, bytes that are punctuation, letters
+    that are capitals, words equal to the one before, and 3- and 8-word
+    sequences that the row has already had."""
     words = Words(data, offsets)
     n = np.diff(words.first)
 
@@ -57,15 +64,22 @@ def measures(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     upper, lower = per_row(_UPPER[data], offsets), per_row(_LOWER[data], offsets)
     same = np.zeros(len(words), dtype=bool)
     same[1:] = (words.hash[1:] == words.hash[:-1]) & (words.row[1:] == words.row[:-1])
-    grams = words.shingles(8)
-    whole = np.flatnonzero(words.row[:len(grams)] == words.row[7:7 + len(grams)])
-    grams, row = grams[whole], words.row[whole]
-    order = np.lexsort((grams, row))
-    again = np.zeros(len(grams), dtype=bool)
-    again[1:] = (grams[order][1:] == grams[order][:-1]) & (row[order][1:] == row[order][:-1])
-    edges = np.searchsorted(row, np.arange(len(n) + 1))
-    shares = np.stack([share(per_row(_SYMBOLS[data], offsets), np.diff(offsets)), share(upper, upper + lower),
-                       share(per_row(same, words.first), n), share(per_row(again, edges), np.diff(edges))], axis=1)
+
+    def again(k: int) -> np.ndarray:
+        grams = words.shingles(k)
+        whole = np.flatnonzero(words.row[:len(grams)] == words.row[k - 1:k - 1 + len(grams)])
+        grams, row = grams[whole], words.row[whole]
+        order = np.lexsort((grams, row))
+        seen = np.zeros(len(grams), dtype=bool)
+        seen[1:] = (grams[order][1:] == grams[order][:-1]) & (row[order][1:] == row[order][:-1])
+        edges = np.searchsorted(row, np.arange(len(n) + 1))
+        return share(per_row(seen, edges), np.diff(edges))
+
+    size = np.diff(offsets)
+    shares = np.stack([
+        share(per_row(_SYMBOLS[data], offsets), size), share(per_row(_SYMBOLS[data[words.end - 1]], words.first), n),
+        share(per_row(_PUNCTUATION[data], offsets), size), share(upper, upper + lower),
+        share(per_row(same, words.first), n), again(3), again(8)], axis=1)
     return shares, n
 
 
@@ -115,24 +129,26 @@ class Lexicon:
     sure: np.ndarray
 
 
-def votes(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
-    """Vote patterns (junk, toxic) of a run of rows, one base-3 digit a
-    labeller.  A text without words gets a bad vote from the length labeller
-    and no others."""
+def votes(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> list[np.ndarray]:
+    """Vote pattern of each row for each of the QUESTIONS, one base-3 digit a
+    labeller; nobody votes on a text without words."""
     shares, n = measures(data, offsets)
     row, ids = features(data, offsets, shares)
-    some = n > 0
-    junk = np.where(some, ABSTAIN, BAD)
-    for i, (_, good, bad) in enumerate(MEASURES):
-        vote = np.where(shares[:, i] >= bad, BAD, np.where(shares[:, i] <= good, GOOD, ABSTAIN))
-        junk = 3 * junk + np.where(some, vote, ABSTAIN)
     any_hit = _count_known(row, ids, lexicon.words, np.ones(len(lexicon.words)), len(n))
     sure_hit = _count_known(row, ids, lexicon.sure, np.ones(len(lexicon.sure)), len(n))
-    dense = any_hit * 200 >= n
-    toxic = np.where(any_hit > 0, BAD, GOOD)
-    toxic = 3 * toxic + np.where(sure_hit > 1, BAD, np.where(any_hit > 0, ABSTAIN, GOOD))
-    toxic = 3 * toxic + np.where(any_hit == 0, GOOD, np.where(dense, BAD, ABSTAIN))
-    return junk, np.where(some, toxic, 0)
+    own = {"toxic": [np.where(any_hit > 0, BAD, GOOD),
+                     np.where(sure_hit > 1, BAD, np.where(any_hit > 0, ABSTAIN, GOOD)),
+                     np.where(any_hit == 0, GOOD, np.where(any_hit * 200 >= n, BAD, ABSTAIN))]}
+    out = []
+    for question, used in QUESTIONS.items():
+        code = np.zeros(len(n), dtype=np.int64)
+        for i in used:
+            _, good, bad = MEASURES[i]
+            code = 3 * code + np.where(shares[:, i] >= bad, BAD, np.where(shares[:, i] <= good, GOOD, ABSTAIN))
+        for vote in own.get(question, ()):
+            code = 3 * code + vote
+        out.append(np.where(n > 0, code, 0))
+    return out
 
 
 def estimate(patterns: dict[int, int], labellers: int, rounds: int = 200) -> dict[int, float]:
@@ -273,32 +289,29 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offsets in text_runs(batch.column(1)):
-                junk, toxic = votes(data, offsets, lexicon)
-                yield pa.record_batch([batch.column(0)[i:j], pa.array(junk.astype(np.int32)), pa.array(toxic.astype(np.int32))],
-                                      names=["doc", "junk_votes", "toxic_votes"])
-
-    # The labels are one more labeller each, which abstains on most rows.
-    ballots = rows.mapInArrow(vote, "doc long, junk_votes int, toxic_votes int").join(known, "doc", "left").select(
-        "doc", (3 * F.col("junk_votes") + F.coalesce(2 - F.col("quality"), F.lit(0))).alias("junk_votes"),
-        (3 * F.col("toxic_votes") + F.coalesce(1 + F.col("toxic"), F.lit(0))).alias("toxic_votes"))
+                codes = [pa.array(code.astype(np.int32)) for code in votes(data, offsets, lexicon)]
+                yield pa.record_batch([batch.column(0)[i:j], *codes], names=["doc", *QUESTIONS])
+
+    # The human labels are one more labeller each, which abstains on most rows.
+    said = {"marks": 2 - F.col("quality"), "repetition": 2 - F.col("quality"), "toxic": 1 + F.col("human_toxic")}
+    people = known.withColumnRenamed("toxic", "human_toxic")
+    ballots = rows.mapInArrow(vote, "doc long, " + ", ".join(f"{q} int" for q in QUESTIONS)).join(people, "doc", "left").select(
+        "doc", *[(3 * F.col(q) + F.coalesce(said[q], F.lit(0))).alias(q) for q in QUESTIONS])
     ballots = checkpoint(ballots)
-    counted = ballots.groupBy("junk_votes", "toxic_votes").count().collect()
-    junk_of: dict[int, int] = {}
-    toxic_of: dict[int, int] = {}
-    for r in counted:
-        junk_of[r["junk_votes"]] = junk_of.get(r["junk_votes"], 0) + r["count"]
-        toxic_of[r["toxic_votes"]] = toxic_of.get(r["toxic_votes"], 0) + r["count"]
-    posterior = {"junk": estimate(junk_of, len(MEASURES) + 2), "toxic": estimate(toxic_of, 4)}
+    patterns: dict[str, dict[int, int]] = {q: {} for q in QUESTIONS}
+    for r in ballots.groupBy(*QUESTIONS).count().collect():
+        for q in QUESTIONS:
+            patterns[q][r[q]] = patterns[q].get(r[q], 0) + r["count"]
+    posterior = {q: estimate(patterns[q], (len(used) or 3) + 1) for q, used in QUESTIONS.items()}
     if not len(lexicon.words):
         posterior["toxic"] = dict.fromkeys(posterior["toxic"], 0.0)
 
-    fitted = {}
-    own = ballots.join(F.broadcast(picked.select("doc")), "doc").groupBy("doc").agg(
-        F.max("junk_votes").alias("junk_votes"), F.max("toxic_votes").alias("toxic_votes"))
-    targets = {r["doc"]: r for r in own.collect()}  # at most sample_docs rows
-    for name in ("junk", "toxic"):
-        soft = {d: posterior[name][r[f"{name}_votes"]] for d, r in targets.items()}
-        fitted[name] = _scorer(spark, sample, soft, max_features)
+    own = ballots.join(F.broadcast(picked.select("doc")), "doc").groupBy("doc").agg(*[F.max(q).alias(q) for q in QUESTIONS])
+    soft: dict[str, dict[int, float]] = {"junk": {}, "toxic": {}}
+    for r in own.collect():  # at most sample_docs rows
+        soft["junk"][r["doc"]] = 1 - (1 - posterior["marks"][r["marks"]]) * (1 - posterior["repetition"][r["repetition"]])
+        soft["toxic"][r["doc"]] = posterior["toxic"][r["toxic"]]
+    fitted = {name: _scorer(spark, sample, labels_of, max_features) for name, labels_of in soft.items()}
     return Model(**fitted)
 
 
