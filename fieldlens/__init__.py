@@ -13,7 +13,6 @@ sources    table loading and CSV reading with R-style NA handling
 sinks      CSV / parquet publishing (overwrite, snapshots, splits)
 plans      the reports, the stand-in views over the test tables and the
            registry of named queries with their SQL oracles
-streaming  notes on which operators are streaming-safe
 """
 
 __version__ = "0.1.0"

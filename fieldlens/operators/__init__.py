@@ -4,10 +4,10 @@ from fieldlens.operators.intervals import active_as_of, label_renewals, share_la
 from fieldlens.operators.collapse import collapse_text
 from fieldlens.operators.rownum import global_row_number
 from fieldlens.operators.rollup import level_rollup
-from fieldlens.operators.joins import bounded_broadcast, literal_table, rank_by_mapping, scalar_columns
+from fieldlens.operators.joins import rank_by_mapping
 
 __all__ = [
     "keep_first", "lookup_first", "order_key", "not_in", "not_in_literals", "active_as_of",
     "label_renewals", "share_label", "collapse_text", "global_row_number", "level_rollup",
-    "bounded_broadcast", "literal_table", "rank_by_mapping", "scalar_columns",
+    "rank_by_mapping",
 ]

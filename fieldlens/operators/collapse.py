@@ -11,10 +11,15 @@ count) pair per distinct value, not every row, through the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def text_run(value: Column, times: Column, sep: str) -> Column:
+    """``value`` written ``times`` times with ``sep`` in between."""
+    return F.concat(value, F.repeat(F.concat(F.lit(sep), value), (times - 1).cast("int")))
+
+
 def collapse_text(df: DataFrame, keys: list[str], value: str, out: str, sep: str = "|",
                   distinct: bool = False, value_fn=None) -> DataFrame:
     """``value_fn`` (a column -> column function, e.g. a character whitelist)
@@ -33,6 +38,8 @@ def collapse_text(df: DataFrame, keys: list[str], value: str, out: str, sep: str
         # pairs are already one row per (key, value)
         joined = F.array_join(F.sort_array(F.collect_list(F.col("_v"))), sep)
     else:
-        runs = F.sort_array(F.collect_list(F.struct(F.col("_v").alias("v"), F.col("_n").alias("n"))))
-        joined = F.array_join(F.flatten(F.transform(runs, lambda r: F.array_repeat(r["v"], r["n"].cast("int")))), sep)
+        # each value's run is one string before values meet (a string has no
+        # more than 2**31 characters, nor can its repeats)
+        runs = F.sort_array(F.collect_list(F.struct(F.col("_v").alias("v"), text_run(F.col("_v"), F.col("_n"), sep).alias("run"))))
+        joined = F.array_join(F.transform(runs, lambda r: r["run"]), sep)
     return pairs.groupBy(*k).agg(joined.alias(out))

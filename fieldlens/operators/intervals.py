@@ -3,7 +3,8 @@
 ``label_renewals``
     Within a (practice, ad code) group ordered by (start, order time,
     tie-break), a row is a renewal ``R`` when its order date falls inside the
-    *previous* row's [start, end] (both ends inclusive), else ``H``.  The
+    *previous* row's [start, end] (time against the start, date against the
+    end, both inclusive), else ``H``.  The
     first row of a group, a row whose previous start is missing and a row
     with a missing ad code are ``H``.
 
@@ -14,13 +15,13 @@
     bucket of the same group, looked up from a per-bucket summary (one row
     per group and bucket).  A group holding a large share of all rows is
     therefore spread over as many tasks as it has start dates, and the result
-    equals the plain group-wide ``lag``.
+    equals the plain group-wide ``lag``.  Rows of one group and one start date
+    stay together: a day of one practice's slots of one code.
 
 ``share_label``
     All rows with the same (practice, ad code, order time) take the label of
-    the first of them in (start, tie-break) order.  Done as an aggregation
-    plus a many-to-one join, both of which combine or split hot keys (partial
-    aggregation, AQE skew join).
+    the first of them in (start, tie-break) order: a window over the lines
+    of one order time, which one order bounds however hot its group is.
 """
 
 from __future__ import annotations
@@ -28,8 +29,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlens.operators.dedup import order_key
-
 
 def _c(x) -> Column:
     return x if isinstance(x, Column) else F.col(f"`{x}`")
@@ -81,7 +80,7 @@ def label_renewals(df: DataFrame, group_cols: list[str], start: str, order_ts: s
         # buckets are contiguous ranges of the row order: the start date, and
         # for rows without a start (which sort last, by order time) the order date
         if bucket is None:
-            buckets = [_c(start).isNull(), F.coalesce(_c(start), F.to_date(_c(order_ts)))]
+            buckets = [_c(start).isNull(), F.to_date(F.coalesce(_c(start), _c(order_ts)))]
         else:
             buckets = [bucket]
         names = [f"_bkt{i}" for i in range(len(buckets))]
@@ -110,8 +109,9 @@ def label_renewals(df: DataFrame, group_cols: list[str], start: str, order_ts: s
             F.when(F.col("_opens"), F.col("_pb.e")).otherwise(F.col("_le")).alias("_prev_end"),
         )
 
-    od = F.to_date(_c(order_ts))
-    is_r = (F.col("_prev_start").isNotNull() & (od >= F.col("_prev_start")) & (od <= F.col("_prev_end")))
+    # the order's time against the start, its date against the (inclusive) end
+    is_r = (F.col("_prev_start").isNotNull() & (_c(order_ts) >= F.col("_prev_start"))
+            & (F.to_date(_c(order_ts)) <= F.to_date(F.col("_prev_end"))))
     if code_col is not None:
         is_r = is_r & _c(code_col).isNotNull()
     return (prev.withColumn(label_col, F.when(F.coalesce(is_r, F.lit(False)), F.lit("R")).otherwise(F.lit("H")))
@@ -120,8 +120,10 @@ def label_renewals(df: DataFrame, group_cols: list[str], start: str, order_ts: s
 
 def share_label(df: DataFrame, group_cols: list[str], order_ts: str, start: str, tiebreak: list[str],
                 label_col: str = "label", out_col: str = "shared_label") -> DataFrame:
-    """Rows sharing (group, order time) take the first label in (start, tie-break) order."""
-    enc, keys = encode_keys(df, list(group_cols) + [order_ts], "_s")
-    first = (enc.groupBy(*keys)
-                .agg(F.min_by(_c(label_col), order_key([_c(start)] + [_c(t) for t in tiebreak])).alias(out_col)))
-    return enc.join(first, keys, "left").select(*df.columns, F.col(f"`{out_col}`"))
+    """Rows sharing (group, order time) take the first label in (start,
+    tie-break) order: one window over the rows of one order of a group, so the
+    labelled frame is planned once.  A missing key is a key of its own."""
+    keys = [_c(g) for g in group_cols] + [_c(order_ts)]
+    first = [_c(start).asc_nulls_last()] + [_c(t).asc_nulls_last() for t in tiebreak]
+    return df.withColumn(out_col, F.first(_c(label_col)).over(
+        Window.partitionBy(*keys).orderBy(*first).rowsBetween(Window.unboundedPreceding, Window.currentRow)))

@@ -1,38 +1,16 @@
-"""Join helpers with explicit size bounds.
-
-Broadcasting is used only where the size is proven: a literal mapping
-(its length is known in Python), a global aggregate (exactly one row), or a
-DataFrame whose row count was checked against a limit (``bounded_broadcast``
-reads at most ``max_rows + 1`` rows to decide).  Every other join is left to
-Catalyst and AQE, which switch to a broadcast at runtime only when the
-measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
-"""
+"""Literal mappings.  All other joins are left to Catalyst and AQE, which
+broadcast a side only when its measured size is under
+``spark.sql.adaptive.autoBroadcastJoinThreshold``."""
 
 from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only if the frame has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A small fixed table; broadcast-safe by construction (len(rows) is known)."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
-
-
 def rank_by_mapping(c: Column, mapping: dict) -> Column:
     """Look a value up in a fixed mapping (no join needed); unmapped -> null."""
     m = F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
     return m[c]
-
-
-def scalar_columns(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row frame (a global aggregate) to every row."""
-    return df.crossJoin(F.broadcast(one_row))

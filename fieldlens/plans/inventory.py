@@ -32,9 +32,7 @@ def renewal_label(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def renewal_label_shared(spark: SparkSession, sf: str) -> DataFrame:
-    # exactly the columns the labeller reads: the aggregate and the join-back
-    # branches of share_label then carry the same rows through the window's
-    # shuffle, and Spark reuses that shuffle instead of recomputing it
+    # exactly the columns the labeller reads
     s = S.slots(spark, sf).select(*S.SLOT_TIEBREAK, "practice_id", "ad_code", "order_ts", "start_date", "end_date")
     lab = label_renewals(s, ["practice_id", "ad_code"], "start_date", "order_ts", "end_date",
                          S.SLOT_TIEBREAK, code_col="ad_code")
@@ -42,14 +40,30 @@ def renewal_label_shared(spark: SparkSession, sf: str) -> DataFrame:
     return sh.withColumn("order_date", F.to_date("order_ts")).select(*LABEL_COLS, "label", "shared_label")
 
 
-def slot_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    """Slots sold, renewals removed, with the slot's city (supplier nation)."""
-    sh = renewal_label_shared(spark, sf).where(F.col("shared_label") != "R")
-    sup = read_table(spark, sf, "supplier", ["s_suppkey", "s_nationkey"])
-    nat = read_table(spark, sf, "nation", ["n_nationkey", "n_name"])
-    return (sh.join(sup, sh.supp_id == sup.s_suppkey).join(nat, sup.s_nationkey == nat.n_nationkey)
-              .select("order_id", "line_no", "practice_id", "ad_code", "start_date",
-                      F.col("n_name").alias("city")))
+def kept_slots(slots: DataFrame) -> DataFrame:
+    """Slots whose shared label is not a renewal."""
+    lab = label_renewals(slots, ["practice_id", "ad_code"], "start_date", "order_ts", "end_date",
+                         S.SLOT_TIEBREAK, code_col="ad_code")
+    return share_label(lab, ["practice_id", "ad_code"], "order_ts", "start_date", S.SLOT_TIEBREAK).where(
+        F.col("shared_label") != "R")
+
+
+def slot_inventory_from(slots: DataFrame, orders: DataFrame, places: DataFrame) -> DataFrame:
+    """Kept slots of a month's orders: renewals are judged on all live slots,
+    then the month's order lines are merged in and slots without a keyword
+    go."""
+    mine = kept_slots(slots).where(F.col("keyword").isNotNull()).select(
+        *S.SLOT_TIEBREAK, "duration_months", "keyword")
+    sold = mine.join(orders.select(*S.SLOT_TIEBREAK, "plan", "cost", "claimed_email", "amount_in_inr"), S.SLOT_TIEBREAK)
+    return sold.join(places, sold.supp_id == places.place_supp_id, "left").select(
+        "order_id", "duration_months", "plan", "cost", "claimed_email", "keyword", "zone", "city", "amount_in_inr")
+
+
+def slot_inventory(spark: SparkSession, sf: str, as_of: str = S.AS_OF) -> DataFrame:
+    from fieldlens.plans import sales
+    slots, places = sales.live_slots(S.slots(spark, sf)), S.slot_places(spark, sf)
+    orders = sales.month_orders(sales.clean_orders(S.plan_orders(spark, sf)), slots, places, as_of)
+    return slot_inventory_from(slots, orders, places)
 
 
 def active_as_of(spark: SparkSession, sf: str, as_of: str = S.AS_OF) -> DataFrame:
@@ -82,14 +96,13 @@ def ad_catalog(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def first_slot_city(spark: SparkSession, sf: str) -> DataFrame:
-    """Each order's city = the city of its first slot line (by line, part, supplier)."""
+    """Each order's city = the city of its first slot line (by line, part,
+    supplier); lines are reduced to that supplier before any dimension join."""
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey"])
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
-    s = read_table(spark, sf, "supplier", ["s_suppkey", "s_nationkey"])
-    n = read_table(spark, sf, "nation", ["n_nationkey", "n_name"])
-    lines = li.join(s, li.l_suppkey == s.s_suppkey).join(n, s.s_nationkey == n.n_nationkey) \
-              .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("n_name").alias("city"))
-    out = lookup_first(o, lines, "o_orderkey", "l_orderkey", ["city"], ["l_linenumber", "l_partkey", "l_suppkey"])
+    places = S.slot_places(spark, sf).select("place_supp_id", "city")
+    first = lookup_first(o, li, "o_orderkey", "l_orderkey", ["l_suppkey"], ["l_linenumber", "l_partkey", "l_suppkey"])
+    out = first.join(places, first.l_suppkey == places.place_supp_id, "left")
     return out.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("practice_id"), "city")
 
 

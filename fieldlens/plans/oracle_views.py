@@ -15,7 +15,11 @@ SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_no, l.l_partkey AS part_
        CAST(o.o_orderdate AS DATE) AS order_date, CAST(l.l_shipdate AS DATE) AS start_date,
        CAST(l.l_quantity AS INTEGER) * 7 AS duration_days,
        CAST(o.o_orderdate AS DATE) + CAST(l.l_quantity AS INTEGER) * 7 AS end_date,
-       CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END AS revoked
+       CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END AS revoked,
+       CASE WHEN l.l_linestatus = 'F' THEN 1 ELSE 0 END AS processed,
+       CASE WHEN l.l_returnflag <> 'N' THEN 1 ELSE 0 END AS successful,
+       CASE WHEN p.p_size <= 40 THEN 8 ELSE 9 END AS service_id, p.p_brand AS keyword,
+       CAST(CAST(l.l_quantity AS INTEGER) * 7 // 28 AS INTEGER) AS duration_months
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
 """
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from fieldlens.functions import r_paste, r_paste0, whitelist_strip
 from fieldlens.operators import collapse_text, keep_first
+from fieldlens.operators.collapse import text_run
 from fieldlens.plans import standins as S
 from fieldlens.sources.tables import read_table
 
@@ -79,9 +80,9 @@ def profile_master(spark: SparkSession, sf: str) -> DataFrame:
                   .agg(F.count(F.lit(1)).alias("_n"), F.min(first_line).alias("_f"))
                   .withColumn("award", whitelist_strip(F.col("p_brand"))))
     runs = F.sort_array(F.collect_list(F.when(F.col("award").isNotNull(),
-                                              F.struct(F.col("award").alias("v"), F.col("_n").alias("n")))))
+                                              F.struct(F.col("award").alias("v"), text_run(F.col("award"), F.col("_n"), "|").alias("run")))))
     doc = pairs.groupBy("doctor_id").agg(
-        F.array_join(F.flatten(F.transform(runs, lambda r: F.array_repeat(r["v"], r["n"].cast("int")))), "|").alias("awards"),
+        F.array_join(F.transform(runs, lambda r: r["run"]), "|").alias("awards"),
         F.min("_f").alias("_first"))
     doc = doc.select("doctor_id", F.when(F.col("awards") != "", F.col("awards")).alias("awards"),
                      F.concat(F.lit("_"), F.col("_first.o_orderkey").cast("string")).alias("registration"),

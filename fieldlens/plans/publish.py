@@ -28,10 +28,10 @@ from fieldlens.sinks import publish_version, write_by_month, write_csv, write_sn
 def publish_dashboard(spark: SparkSession, sf: str, out: str, as_of: str = S.AS_OF) -> dict[str, str]:
     paths = {k: os.path.join(out, k) for k in ["metrics", "orders_month", "orders_three_months", "inventory",
                                                "orders_with_contact", "teams"]}
-    write_csv(sales.q_metrics_sheet(spark, sf), paths["metrics"])
-    write_by_month(sales.q_orders_month_window(spark, sf, as_of), paths["orders_month"], "placed_date")
+    write_csv(sales.q_metrics_sheet(spark, sf, as_of), paths["metrics"])
+    write_by_month(sales.q_orders_month_published(spark, sf, as_of), paths["orders_month"], "placed_date")
     write_csv(sales.q_orders_three_month_window(spark, sf, as_of), paths["orders_three_months"])
-    write_csv(inventory.slot_inventory(spark, sf), paths["inventory"])
+    write_csv(inventory.slot_inventory(spark, sf, as_of), paths["inventory"])
     write_csv(sales.q_orders_with_contact(spark, sf), paths["orders_with_contact"])
     paths["teams"] = publish_version(sales.q_roster_sorted(spark, sf), paths["teams"], fmt="csv")
     return paths

@@ -31,6 +31,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orders_two_roles": inventory.orders_two_roles,
     "orders_cleanup": sales.q_orders_cleanup,
     "orders_month_window": sales.q_orders_month_window,
+    "orders_month_published": sales.q_orders_month_published,
     "orders_three_month_window": sales.q_orders_three_month_window,
     "reporting_period": sales.q_reporting_period,
     "plan_class_flags": sales.q_plan_class_flags,

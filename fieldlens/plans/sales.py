@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlens.functions import (contains_ci, flags_agree, month_label, month_name_label, not_contains_ci,
-                                 period_end, period_start, role_gate, safe_ratio, window_start)
+                                 period_end, period_start, r_paste0, role_gate, safe_ratio, window_start)
 from fieldlens.functions.dates import compact_date
 from fieldlens.operators import global_row_number, level_rollup, lookup_first, rank_by_mapping
 from fieldlens.plans import standins as S
@@ -57,6 +57,36 @@ def in_period(df: DataFrame, as_of: str, col: str = "placed_date", three_months:
     return df.where(F.col(col).between(start, period_end(as_of)))
 
 
+def live_slots(slots: DataFrame, since: str = S.SLOTS_SINCE, service: int = S.SLOT_SERVICE) -> DataFrame:
+    """Slots that count: not revoked, payment flags agree, the ad service,
+    ordered on or after ``since``."""
+    return slots.where((F.col("revoked") == 0) & flags_agree(F.col("processed"), F.col("successful"))
+                       & (F.col("service_id") == service) & (F.col("order_date") >= F.lit(since).cast("date")))
+
+
+def backfill_city(orders: DataFrame, slots: DataFrame, places: DataFrame, classes: dict = S.PLAN_CLASSES) -> DataFrame:
+    """Orders with the city of their first live slot that has a keyword (by
+    line, part, supplier); listing orders without a city are dropped, other
+    orders are kept with or without one.  Slots are reduced to one supplier
+    per order before its city is looked up."""
+    first = slots.where(F.col("keyword").isNotNull()).select(
+        F.col("order_id").alias("slot_order_id"), F.col("line_no").alias("slot_line"), F.col("part_id").alias("slot_part"),
+        F.col("supp_id").alias("slot_supp"))
+    found = lookup_first(orders.drop("city"), first, "order_id", "slot_order_id", ["slot_supp"],
+                         ["slot_line", "slot_part", "slot_supp"])
+    city = places.select("place_supp_id", "city")
+    placed = found.join(city, found.slot_supp == city.place_supp_id, "left").drop("slot_supp", "place_supp_id")
+    listing = F.coalesce(class_flags(F.col("plan"), classes)["is_listing"], F.lit(False))
+    return placed.where(~listing | F.col("city").isNotNull())
+
+
+def month_orders(orders: DataFrame, slots: DataFrame, places: DataFrame, as_of: str) -> DataFrame:
+    """The report month's cleaned orders with their city: what the scorecard,
+    the rollup, the sheet, the inventory and the published month file use.  A
+    slot has its order's date, so only the month's slots are looked at."""
+    return backfill_city(in_period(orders, as_of), in_period(slots, as_of, "order_date"), places)
+
+
 def class_flags(plan: Column, classes: dict = S.PLAN_CLASSES) -> dict[str, Column]:
     soft, lst = contains_ci(plan, classes["software"]), contains_ci(plan, classes["listing"])
     pro = contains_ci(plan, classes["pro"])
@@ -132,8 +162,19 @@ def roster_sorted(roster: DataFrame) -> DataFrame:
     return global_row_number(roster, roster_order_key(), out="row")
 
 
+# Sort keys of the sheet that lower-casing would change, kept as exported.
+AS_EXPORTED = {"am_email": "o_am_email", "exp": "o_exp", "email": "o_email"}
+SORT_KEYS = [*AS_EXPORTED.values(), "target"]
+
+
 def lower_roster(roster: DataFrame) -> DataFrame:
-    return roster.select(*[F.lower(F.col(c)).alias(c) if c in LOWERED else F.col(c) for c in roster.columns])
+    return roster.select(*[F.lower(F.col(c)).alias(c) if c in LOWERED else F.col(c) for c in roster.columns],
+                         *[F.col(c).alias(o) for c, o in AS_EXPORTED.items()])
+
+
+def _carried(df: DataFrame) -> list[str]:
+    """The sort keys that ride along from the roster to the sheet."""
+    return [c for c in SORT_KEYS if c in df.columns]
 
 
 # ------------------------------------------------------------------ scorecard
@@ -189,6 +230,7 @@ def rep_scorecard(orders: DataFrame | None, reps: DataFrame, classes: dict = S.P
     cols = [F.col(c) for c in ROSTER_KEYS] + [
         m[k].alias(k) for k in MEASURES]
     if exact:
+        cols += [F.col(c) for c in _carried(reps)]
         cols += [rev.alias("rev"), rev_h.alias("rev_h"), rev_u.alias("rev_u"), listing_rev.alias("listing_rev")]
     return r.select(*cols)
 
@@ -238,7 +280,7 @@ def leadership_rollup(card: DataFrame, managers: DataFrame, unit: int = UNIT_PRI
     j = mgr_rows.alias("m").join(measured.alias("a"), (F.col("m.level") == F.col("a.level")) &
                                  (F.col("m.email") == F.col("a.mgr")), "left")
     zero = lambda k: F.lit(0).cast("long") if k in COUNT_MEASURES else F.lit(0.0)
-    return j.select(*[F.col(f"m.{c}").alias(c) for c in ROSTER_KEYS],
+    return j.select(*[F.col(f"m.{c}").alias(c) for c in ROSTER_KEYS + _carried(managers)],
                     *[F.coalesce(F.col(f"a.{k}"), zero(k)).alias(k) for k in MEASURES])
 
 
@@ -277,29 +319,26 @@ def order_scalars(orders: DataFrame | None = None, rcs: DataFrame | None = None)
 ROSTER_ORDER = ["region", "zone", "am_email", "role", "exp", "target", "email"]
 
 
-def roster_order_key(prefix: str = "") -> list[Column]:
+def roster_order_key() -> list[Column]:
     """The roster sort: level rank, then region, zone, AM, role, exp, target,
     e-mail, each ascending with missing last (on the roster's own casing)."""
-    rank = rank_by_mapping(F.col(f"{prefix}level"), LEVEL_RANK)
-    return [rank.asc_nulls_last()] + [F.col(f"{prefix}{c}").asc_nulls_last() for c in ROSTER_ORDER]
+    return [rank_by_mapping(F.col("level"), LEVEL_RANK)] + [F.col(c) for c in ROSTER_ORDER]
 
 
-def metrics_sheet(card: DataFrame, rollup: DataFrame, roster: DataFrame, scalars: DataFrame) -> DataFrame:
+def metrics_sheet(card: DataFrame, rollup: DataFrame, scalars: DataFrame) -> DataFrame:
     """All levels stacked, in roster order, with the fixed 50-column layout.
 
-    ``roster`` is the roster as exported (before lower-casing); its sort key
-    orders the sheet directly, so no row-number column is materialised."""
-    stacked = card.select(*ROSTER_KEYS, *MEASURES).unionByName(rollup.select(*ROSTER_KEYS, *MEASURES))
-    keys = roster.select(F.lower("email").alias("_e"), F.col("level").alias("_o_level"),
-                         *[F.col(c).alias(f"_o_{c}") for c in ROSTER_ORDER])
-    s = stacked.join(keys, (stacked.email == keys._e) & (stacked.level == keys._o_level), "left")
-    s = s.crossJoin(F.broadcast(scalars))  # one row
-    out = s.select(*[F.col(k).alias(v) for k, v in SHEET_NAMES.items()], "c", "d",
-                   *[F.col(f"_o_{c}") for c in ["level"] + ROSTER_ORDER],
-                   F.lit(0.0).alias("TDRev"),
-                   F.concat(F.col("email"), F.col("level")).alias("Conc"),
-                   *[F.lit(0).alias(f"Gap{i}") for i in range(1, 6)])
-    return out.orderBy(*roster_order_key("_o_")).select(*[F.col(f"`{c}`") for c in SHEET_ORDER])
+    Rows carry the roster's sort keys, so a person listed twice is two rows
+    and nothing is joined back."""
+    cols = ROSTER_KEYS + SORT_KEYS + MEASURES
+    stacked = card.select(*cols).unionByName(rollup.select(*cols))
+    s = stacked.crossJoin(F.broadcast(scalars))  # one row
+    rank = rank_by_mapping(F.col("level"), LEVEL_RANK)
+    order = [rank] + [F.col(AS_EXPORTED.get(c, c)) for c in ROSTER_ORDER]
+    out = s.orderBy(*[c.asc_nulls_last() for c in order]).select(
+        *[F.col(k).alias(v) for k, v in SHEET_NAMES.items()], "c", "d", F.lit(0.0).alias("TDRev"),
+        r_paste0(F.col("email"), F.col("level")).alias("Conc"), *[F.lit(0).alias(f"Gap{i}") for i in range(1, 6)])
+    return out.select(*[F.col(f"`{c}`") for c in SHEET_ORDER])
 
 
 # ------------------------------------------------------------ query wrappers
@@ -307,6 +346,10 @@ def _cleaned(spark, sf):
     return clean_orders(S.plan_orders(spark, sf))
 
 
+def _month_orders(spark, sf, as_of):
+    return month_orders(_cleaned(spark, sf), live_slots(S.slots(spark, sf)), S.slot_places(spark, sf), as_of)
+
+
 def _teams(spark, sf):
     return lower_roster(roster_union(S.roster_managers(spark, sf), S.roster_reps(spark, sf)))
 
@@ -372,26 +415,33 @@ def q_safe_ratio(spark: SparkSession, sf: str) -> DataFrame:
                     safe_ratio(units, F.col("target")).alias("units_per_target"))
 
 
-def q_scorecard(spark: SparkSession, sf: str) -> DataFrame:
+def q_orders_month_published(spark: SparkSession, sf: str, as_of: str = S.AS_OF) -> DataFrame:
+    """The published month file: the month's cleaned sales-plan orders with
+    their city."""
+    return sales_plans(_month_orders(spark, sf, as_of)).drop("currency", "discount")
+
+
+def q_scorecard(spark: SparkSession, sf: str, as_of: str = S.AS_OF) -> DataFrame:
     t = _teams(spark, sf)
-    return rep_scorecard(_cleaned(spark, sf), t.where(F.col("level") == "TM"))
+    return rep_scorecard(_month_orders(spark, sf, as_of), t.where(F.col("level") == "TM"))
 
 
-def q_leadership_rollup(spark: SparkSession, sf: str) -> DataFrame:
+def q_leadership_rollup(spark: SparkSession, sf: str, as_of: str = S.AS_OF) -> DataFrame:
     t = _teams(spark, sf)
-    card = rep_scorecard(_cleaned(spark, sf), t.where(F.col("level") == "TM"), exact=True)
+    card = rep_scorecard(_month_orders(spark, sf, as_of), t.where(F.col("level") == "TM"), exact=True)
     return leadership_rollup(card, t).select("level", "email", *MEASURES)
 
 
-def q_metrics_sheet(spark: SparkSession, sf: str) -> DataFrame:
-    managers, reps = S.roster_managers(spark, sf), S.roster_reps(spark, sf)
-    union = roster_union(managers, reps)
-    t = lower_roster(union)
-    rcs = rep_currency_stats(_cleaned(spark, sf))
+def sheet_from(orders: DataFrame, managers: DataFrame, reps: DataFrame) -> DataFrame:
+    """The metrics sheet of one month's orders and a roster."""
+    t = lower_roster(roster_union(managers, reps))
+    rcs = rep_currency_stats(orders)
     card = rep_scorecard(None, t.where(F.col("level") == "TM"), exact=True, stats=rep_stats_from(rcs))
-    roll = leadership_rollup(card, t)
-    scal = order_scalars(rcs=rcs)
-    return metrics_sheet(card.select(*ROSTER_KEYS, *MEASURES), roll, union, scal)
+    return metrics_sheet(card, leadership_rollup(card, t), order_scalars(rcs=rcs))
+
+
+def q_metrics_sheet(spark: SparkSession, sf: str, as_of: str = S.AS_OF) -> DataFrame:
+    return sheet_from(_month_orders(spark, sf, as_of), S.roster_managers(spark, sf), S.roster_reps(spark, sf))
 
 
 def q_attribution_share(spark: SparkSession, sf: str) -> DataFrame:
@@ -411,27 +461,36 @@ def q_roster_sorted(spark: SparkSession, sf: str) -> DataFrame:
 SALE_DAY_AFTER, SALE_DAY_UNTIL = "1998-06-01", "1998-06-03"
 
 
-def _sale_days(spark, sf, after=SALE_DAY_AFTER, until=SALE_DAY_UNTIL):
-    o = _cleaned(spark, sf)
-    f = class_flags(F.col("plan"))
-    return o.where(f["is_listing"] & (F.col("placed_date") > F.lit(after).cast("date"))
-                   & (F.col("placed_date") <= F.lit(until).cast("date")))
+TAB_DAY_FROM, TAB_DAY_UNTIL = "1998-06-02", "1998-06-03"
 
 
-def q_sale_day_discount(spark: SparkSession, sf: str) -> DataFrame:
-    """Per city over the sale days: slots sold, mean cost x 6, mean revenue, mean discount."""
-    return _sale_days(spark, sf).groupBy("city").agg(
+def sale_day_discount(orders: DataFrame, after: str, until: str, classes: dict = S.PLAN_CLASSES) -> DataFrame:
+    """Per city over the listing sale days (after, until]: slots sold, mean
+    cost x 6, mean revenue, and the discount that the two means imply."""
+    listing = class_flags(F.col("plan"), classes)["is_listing"]
+    days = orders.where(listing & (F.col("placed_date") > F.lit(after).cast("date"))
+                        & (F.col("placed_date") <= F.lit(until).cast("date")))
+    # exact sums, one division: the same double on every engine and run
+    per_city = days.groupBy("city").agg(
         F.count(F.lit(1)).alias("slots"),
-        # exact sums, one division: the same double on every engine and run
         (_dbl(F.sum(F.col("cost").cast("decimal(18,2)"))) * 6 / F.count(F.lit(1))).alias("mean_cost_x6"),
-        (_dbl(F.sum("amount_in_inr")) / F.count(F.lit(1))).alias("mean_revenue"),
-        (_dbl(F.sum(F.col("discount").cast("decimal(18,2)"))) / F.count(F.lit(1))).alias("mean_discount"))
+        (_dbl(F.sum("amount_in_inr")) / F.count(F.lit(1))).alias("mean_revenue"))
+    return per_city.withColumn("mean_discount", safe_ratio(F.col("mean_cost_x6") - F.col("mean_revenue"), F.col("mean_cost_x6")))
+
 
+def sale_day_plan_revenue(orders: DataFrame, first: str, last: str, classes: dict = S.PLAN_CLASSES) -> DataFrame:
+    """Per plan over the tab sale days [first, last]: orders and revenue."""
+    tab = class_flags(F.col("plan"), classes)["is_tab"]
+    days = orders.where(tab & F.col("placed_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    return days.groupBy("plan").agg(F.count(F.lit(1)).alias("orders"), _dbl(F.sum("amount_in_inr")).alias("revenue"))
 
-def q_sale_day_plan_revenue(spark: SparkSession, sf: str) -> DataFrame:
-    """Per plan over the sale days: orders and revenue."""
-    return _sale_days(spark, sf).groupBy("plan").agg(
-        F.count(F.lit(1)).alias("orders"), _dbl(F.sum("amount_in_inr")).alias("revenue"))
+
+def q_sale_day_discount(spark: SparkSession, sf: str, as_of: str = S.AS_OF) -> DataFrame:
+    return sale_day_discount(_month_orders(spark, sf, as_of), SALE_DAY_AFTER, SALE_DAY_UNTIL)
+
+
+def q_sale_day_plan_revenue(spark: SparkSession, sf: str, as_of: str = S.AS_OF) -> DataFrame:
+    return sale_day_plan_revenue(_month_orders(spark, sf, as_of), TAB_DAY_FROM, TAB_DAY_UNTIL)
 
 
 def q_orders_with_contact(spark: SparkSession, sf: str, since: str = "1995-01-01") -> DataFrame:
@@ -445,29 +504,16 @@ def q_orders_with_contact(spark: SparkSession, sf: str, since: str = "1995-01-01
 
 
 def q_orders_city_backfill(spark: SparkSession, sf: str) -> DataFrame:
-    """Cleaned orders with the city of their first live slot line (first
-    match by line, part, supplier); listing orders without a city are
-    dropped, other orders are kept with or without one."""
-    o = _cleaned(spark, sf).drop("city")
-    slots = S.slots(spark, sf).where(F.col("revoked") == 0)
-    from fieldlens.sources.tables import read_table
-    sup = read_table(spark, sf, "supplier", ["s_suppkey", "s_nationkey"])
-    nat = read_table(spark, sf, "nation", ["n_nationkey", "n_name"])
-    slot_city = (slots.join(sup, slots.supp_id == sup.s_suppkey).join(nat, sup.s_nationkey == nat.n_nationkey)
-                      .select(F.col("order_id").alias("slot_order_id"), F.col("line_no").alias("slot_line"),
-                              F.col("part_id").alias("slot_part"), F.col("supp_id").alias("slot_supp"),
-                              F.col("n_name").alias("city")))
-    j = lookup_first(o, slot_city, "order_id", "slot_order_id", ["city"], ["slot_line", "slot_part", "slot_supp"])
-    f = class_flags(F.col("plan"))
-    keep = ~F.coalesce(f["is_listing"], F.lit(False)) | F.col("city").isNotNull()
-    return j.where(keep).select("order_id", "line_no", "part_id", "supp_id", "plan", "claimed_email", "city")
+    """City back-fill over all cleaned orders (see ``backfill_city``)."""
+    placed = backfill_city(_cleaned(spark, sf), live_slots(S.slots(spark, sf)), S.slot_places(spark, sf))
+    return placed.select("order_id", "line_no", "part_id", "supp_id", "plan", "claimed_email", "city")
 
 
 REVENUE_SINCE = "1998-01-01"
 
 
 def q_rep_revenue_since(spark: SparkSession, sf: str, since: str = REVENUE_SINCE) -> DataFrame:
-    """Revenue per rep over cleaned orders placed on or after a date."""
-    o = _cleaned(spark, sf).where((F.col("placed_date") >= F.lit(since).cast("date"))
+    """Revenue per rep over cleaned sales-plan orders placed on or after a date."""
+    o = sales_plans(_cleaned(spark, sf)).where((F.col("placed_date") >= F.lit(since).cast("date"))
                                   & F.col("claimed_email").isNotNull())
     return o.groupBy("claimed_email").agg(_dbl(F.sum("amount_in_inr")).alias("revenue_since"))

@@ -9,8 +9,12 @@ Fixed values (domain mapping, shared with the SQL oracle):
 
 * slots: lineitem x orders x part.  order = l_orderkey, practice = o_custkey,
   ad code = p_type, order date = o_orderdate, start = l_shipdate,
-  duration = int(l_quantity) * 7 days, end = order date + duration,
-  revoked = 1 when l_returnflag = 'R'.  Tie-break: l_orderkey, l_linenumber,
+  duration = int(l_quantity) * 7 days (in months of 28 days: whole ones), end =
+  order date + duration, revoked = 1 when l_returnflag = 'R', processed and
+  successful as for plan orders, service = 8 for p_size up to 40 else 9,
+  keyword = p_brand; slots count for the reports if they are not revoked, the
+  payment flags agree, the service is 8 and the order is not older than
+  1992-06-01.  Tie-break: l_orderkey, l_linenumber,
   l_partkey, l_suppkey.
 * plan orders: plan = p_name || ' ' || p_type; plan-class substrings
   software -> 'ring', listing -> 'widget', ship -> 'old', pro -> 'promo',
@@ -45,6 +49,8 @@ COVERAGE_CODES = ["PC", "NI", "WIP", "NF"]
 PLATINUM_CODE = "PC"
 LOCALITY_MODULUS = 120
 AS_OF = "1998-06-03"
+# Which slots the reports count.
+SLOTS_SINCE, SLOT_SERVICE = "1992-06-01", 8
 SLOT_TIEBREAK = ["order_id", "line_no", "part_id", "supp_id"]
 
 
@@ -54,9 +60,9 @@ def _t(spark, sf, name, cols):
 
 def slots(spark: SparkSession, sf: str) -> DataFrame:
     li = _t(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                    "l_quantity", "l_shipdate", "l_returnflag"])
+                                    "l_quantity", "l_shipdate", "l_returnflag", "l_linestatus"])
     o = _t(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    p = _t(spark, sf, "part", ["p_partkey", "p_type"])
+    p = _t(spark, sf, "part", ["p_partkey", "p_type", "p_size", "p_brand"])
     dur = F.col("l_quantity").cast("int") * F.lit(7)
     return (li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
               .select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
@@ -67,7 +73,20 @@ def slots(spark: SparkSession, sf: str) -> DataFrame:
                       F.col("l_shipdate").cast("date").alias("start_date"),
                       dur.alias("duration_days"),
                       F.date_add(F.col("o_orderdate").cast("date"), dur).alias("end_date"),
-                      F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("revoked")))
+                      F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("revoked"),
+                      F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("processed"),
+                      F.when(F.col("l_returnflag") != "N", 1).otherwise(0).alias("successful"),
+                      F.when(F.col("p_size") <= 40, 8).otherwise(9).alias("service_id"),
+                      F.col("p_brand").alias("keyword"),
+                      F.floor(dur / 28).cast("int").alias("duration_months")))
+
+
+def slot_places(spark: SparkSession, sf: str) -> DataFrame:
+    """City and zone of a slot's supplier."""
+    sup = _t(spark, sf, "supplier", ["s_suppkey", "s_nationkey"])
+    g = _geo(spark, sf)
+    return sup.join(g, sup.s_nationkey == g.n_nationkey).select(
+        F.col("s_suppkey").alias("place_supp_id"), F.col("r_name").alias("zone"), F.col("n_name").alias("city"))
 
 
 def plan_orders(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,15 +1,11 @@
 """Session helpers.
 
-The library never hard-codes cluster paths.  The checkpoint folder is read
-from ``spark.checkpoint.dir`` of the running session; a local default is set
-only when the session has none (tests, laptops).
+The library never hard-codes cluster paths; whatever the cluster configures
+(master, shuffle partitions, checkpoint folder) is left as it is.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings that matter at every scale: AQE re-plans joins and coalesces /
@@ -43,19 +39,5 @@ def build_session(master: str | None = None, app: str = "fieldlens",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not configured:
-        # Only reached in tests / local runs: a cluster names the folder.
-        configured = tempfile.mkdtemp(prefix="fieldlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()

@@ -5,7 +5,8 @@
 * ``write_snapshot_and_latest``: a dated snapshot partition plus a "latest"
   copy made from the written snapshot, so the frame is computed once.
 * ``write_split``: one output per value (``partitionBy``), e.g. per country.
-* ``write_by_month``: month-named partitions (``month=yyyy_MM``).
+* ``write_by_month``: month-named partitions (``month=yyyy_MM``); other
+  months stay.
 * ``publish_version`` / ``read_latest_version``: read-modify-write of a
   dataset that is also its own input.  Overwriting a path while reading it
   deletes the input first; each run writes a new version folder instead.
@@ -22,9 +23,19 @@ from pyspark.sql import functions as F
 from fieldlens.operators.rownum import global_row_number
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
-    out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", True).csv(path)
+# Quotes are doubled and nothing else is escaped, as spreadsheets and R do.
+_CSV = {"header": True, "escape": '"', "quote": '"', "emptyValue": "", "nullValue": "NA", "quoteAll": False,
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def _options(fmt: str) -> dict:
+    return _CSV if fmt == "csv" else {}
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Header CSV that ``sources.read_csv_r`` reads back: quotes doubled,
+    missing as ``NA``, empty text as empty."""
+    df.write.mode(mode).options(**_CSV).csv(path)
 
 
 def with_row_numbers(df: DataFrame, order_cols: list, name: str = "row") -> DataFrame:
@@ -32,24 +43,31 @@ def with_row_numbers(df: DataFrame, order_cols: list, name: str = "row") -> Data
 
 
 def write_snapshot_and_latest(df: DataFrame, base: str, snapshot_date: str, fmt: str = "parquet") -> None:
-    snap = f"{base.rstrip('/')}/snapshots"
-    (df.withColumn("snapshot_date", F.lit(snapshot_date)).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").format(fmt)
-       .option("header", True).save(snap))
-    spark = df.sparkSession
-    written = (spark.read.format(fmt).option("header", True).load(snap)
-                    .where(F.col("snapshot_date") == snapshot_date).drop("snapshot_date"))
-    written.write.mode("overwrite").format(fmt).option("header", True).save(f"{base.rstrip('/')}/latest")
-
-
-def write_split(df: DataFrame, path: str, by: str | Column, name: str = "split", fmt: str = "csv") -> None:
+    """Write ``snapshots/snapshot_date=<date>`` and copy exactly that folder to
+    ``latest``, with its own columns whatever other snapshots look like."""
+    folder = f"{base.rstrip('/')}/snapshots/snapshot_date={snapshot_date}"
+    df.write.mode("overwrite").format(fmt).options(**_options(fmt)).save(folder)
+    if fmt == "csv":  # as text, so that the copy is the snapshot to the letter
+        written = df.sparkSession.read.options(**_CSV, multiLine=True).schema(
+            ", ".join(f"`{c}` string" for c in df.columns)).csv(folder)
+    else:
+        written = df.sparkSession.read.format(fmt).load(folder)
+    written.write.mode("overwrite").format(fmt).options(**_options(fmt)).save(f"{base.rstrip('/')}/latest")
+
+
+def write_split(df: DataFrame, path: str, by: str | Column, name: str = "split", fmt: str = "csv",
+                keep_others: bool = False) -> None:
+    """One folder per value.  ``keep_others`` overwrites only the folders of
+    values that the frame has; without it the whole dataset is replaced."""
     col = by if isinstance(by, Column) else F.col(by)
-    (df.withColumn(name, col).write.mode("overwrite").partitionBy(name).format(fmt)
-       .option("header", True).save(path))
+    (df.withColumn(name, col).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic" if keep_others else "static")
+       .partitionBy(name).format(fmt).options(**_options(fmt)).save(path))
 
 
 def write_by_month(df: DataFrame, path: str, date_col: str, fmt: str = "csv") -> None:
-    write_split(df, path, F.date_format(F.col(date_col), "yyyy_MM"), name="month", fmt=fmt)
+    """One folder per month; months that are not in the frame stay."""
+    write_split(df, path, F.date_format(F.col(date_col), "yyyy_MM"), name="month", fmt=fmt, keep_others=True)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -62,24 +80,28 @@ def list_versions(spark: SparkSession, base: str) -> list[int]:
     fs, p, _ = _fs(spark, base)
     if not fs.exists(p):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
-            out.append(int(name[2:]))
-    return sorted(out)
+    return sorted(int(name[2:]) for st in fs.listStatus(p)
+                  if st.isDirectory() and (name := st.getPath().getName()).startswith("v=") and name[2:].isdigit())
+
+
+def finished_versions(spark: SparkSession, base: str) -> list[int]:
+    """Versions whose write job was committed."""
+    fs, _, jvm = _fs(spark, base)
+    done = lambda v: fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/v={v}/_SUCCESS"))
+    return [v for v in list_versions(spark, base) if done(v)]
 
 
 def read_latest_version(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame | None:
-    vs = list_versions(spark, base)
+    """The last finished version; a write that was cut short is skipped."""
+    vs = finished_versions(spark, base)
     if not vs:
         return None
-    return spark.read.format(fmt).option("header", True).load(f"{base.rstrip('/')}/v={vs[-1]}")
+    return spark.read.format(fmt).options(**_options(fmt)).load(f"{base.rstrip('/')}/v={vs[-1]}")
 
 
 def publish_version(df: DataFrame, base: str, fmt: str = "parquet") -> str:
     """Write ``df`` as the next version; the previous versions stay readable."""
     vs = list_versions(df.sparkSession, base)
     target = f"{base.rstrip('/')}/v={(vs[-1] + 1) if vs else 1}"
-    df.write.mode("errorifexists").format(fmt).option("header", True).save(target)
+    df.write.mode("errorifexists").format(fmt).options(**_options(fmt)).save(target)
     return target

@@ -24,56 +24,107 @@ def _r_numeric(c: Column, dtype: T.DataType) -> Column:
     return cleaned.try_cast(dtype)
 
 
+# Quotes are doubled inside quoted fields; a backslash is a character like any
+# other and a quoted field may span lines.
+_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"',
+            "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def _typed(raw: DataFrame, schema: T.StructType) -> list[Column]:
+    """The schema's columns by name; one that the file lacks is missing."""
+    out = []
+    for f in schema.fields:
+        if f.name not in raw.columns:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif isinstance(f.dataType, T.StringType):
+            out.append(r_text_nulls(F.col(f"`{f.name}`")).alias(f.name))
+        else:
+            out.append(_r_numeric(F.col(f"`{f.name}`"), f.dataType).alias(f.name))
+    return out
+
+
+def _files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The data files below paths or globs, in name order."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for path in paths:
+        pattern = jvm.org.apache.hadoop.fs.Path(path)
+        fs = pattern.getFileSystem(conf)
+        todo = [st.getPath() for st in fs.globStatus(pattern) or []]
+        while todo:
+            p = todo.pop()
+            if p.getName().startswith(("_", ".")):
+                continue
+            if fs.getFileStatus(p).isDirectory():
+                todo += [st.getPath() for st in fs.listStatus(p)]
+            else:
+                out.append(p.toString())
+    if not out:
+        raise FileNotFoundError(f"no files below {paths}")
+    return sorted(out)
+
+
+def _by_header(spark: SparkSession, files: list[str], base: str | None = None) -> list[DataFrame]:
+    """One frame per distinct header line: files are read together only if
+    they have the same columns in the same order.  Only header lines reach the
+    driver, one a file."""
+    by_columns: dict[tuple, list[str]] = {}
+    for f in files:
+        by_columns.setdefault(tuple(spark.read.options(**_OPTIONS).csv(f).columns), []).append(f)
+    reader = spark.read.options(**_OPTIONS)
+    reader = reader.option("basePath", base) if base else reader
+    return [reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).csv(group)
+            for columns, group in by_columns.items()]
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
 def read_csv_r(spark: SparkSession, path: str | list[str], schema: T.StructType,
                drop: list[str] | None = None) -> DataFrame:
     """Read header CSV(s) with an explicit schema and R NA semantics.
 
-    Columns are matched by **name** (never by position); ``drop`` removes
-    columns such as an exported row index.
+    Columns are matched by **name**, file by file: their order may differ, a
+    column that a file lacks is missing, one that the schema lacks is left
+    out.  ``drop`` removes columns such as an exported row index.
     """
-    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    raw = (spark.read.option("header", True).option("enforceSchema", False)
-           .schema(text_schema).csv(path))
-    cols = []
-    for f in schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.StringType):
-            cols.append(r_text_nulls(c).alias(f.name))
-        else:
-            cols.append(_r_numeric(c, f.dataType).alias(f.name))
-    out = raw.select(*cols)
+    files = _files(spark, [path] if isinstance(path, str) else list(path))
+    out = _union([raw.select(*_typed(raw, schema)) for raw in _by_header(spark, files)])
     return out.drop(*drop) if drop else out
 
 
 def read_partitioned_csv(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
-    """Read every file under ``base`` (e.g. one sub-folder per zone).
+    """Read every file under ``base`` (e.g. one sub-folder per zone), each by
+    its own header.
 
     The file set comes from the folder, not from a hard-coded count; the
     partition column (``zone=...``) is recovered by partition discovery.
     """
-    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    raw = spark.read.option("header", True).option("basePath", base).csv(base)
-    cols = []
-    for f in schema.fields:
-        if f.name not in raw.columns:
-            continue
-        c = F.col(f"`{f.name}`").cast("string")
-        cols.append((r_text_nulls(c) if isinstance(f.dataType, T.StringType) else _r_numeric(c, f.dataType)).alias(f.name))
-    extra = [F.col(f"`{c}`") for c in raw.columns if c not in {f.name for f in text_schema.fields}]
-    return raw.select(*cols, *extra)
+    frames = []
+    for raw in _by_header(spark, _files(spark, [base]), base):
+        found = [c for c in raw.columns if c not in {f.name for f in schema.fields} and raw.columns.index(c) >= len(raw.columns) - _levels(raw)]
+        frames.append(raw.select(*_typed(raw, schema), *[F.col(f"`{c}`") for c in found]))
+    return _union(frames)
+
+
+def _levels(raw: DataFrame) -> int:
+    """Partition levels of a frame's paths (``name=value`` folders)."""
+    first = raw.inputFiles()[0]
+    return sum("=" in part for part in first.split("/")[:-1])
 
 
 def read_named_files(spark: SparkSession, glob: str, schema: T.StructType,
                      name_pattern: str, name_col: str) -> DataFrame:
-    """Read a glob of files and tag each row with a value parsed from its file name.
+    """Read a glob of files, each by its own header, and tag each row with a
+    value parsed from its file name.
 
     ``name_pattern`` is a regex with one group applied to the file name, e.g.
     ``r'^TC-(.*)\\.csv$'`` recovers the zone of a per-zone roster file.
     """
-    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    raw = spark.read.option("header", True).schema(text_schema).csv(glob)
-    cols = []
-    for f in schema.fields:
-        c = F.col(f"`{f.name}`")
-        cols.append((r_text_nulls(c) if isinstance(f.dataType, T.StringType) else _r_numeric(c, f.dataType)).alias(f.name))
-    return raw.select(*cols, F.regexp_extract(F.col("_metadata.file_name"), name_pattern, 1).alias(name_col))
+    frames = _by_header(spark, _files(spark, [glob]))
+    return _union([raw.select(*_typed(raw, schema), F.regexp_extract(F.col("_metadata.file_name"), name_pattern, 1).alias(name_col))
+                   for raw in frames])

@@ -10,7 +10,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
-    from fieldlens.session import ensure_checkpoint_dir
     s = (SparkSession.builder.master("local[*]").appName("fieldlens-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.adaptive.enabled", "true")
@@ -19,7 +18,6 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s)
     yield s
 
 

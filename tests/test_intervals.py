@@ -146,3 +146,27 @@ def test_hot_group_is_split_across_window_partitions(spark):
     per_window = df.groupBy("practice", "code", "start").count().agg(F.max("count")).first()[0]
     assert per_window <= 0.02 * len(rows)          # largest skew-split window: <= 2% of rows
     assert _labels(spark, rows, True) == _labels(spark, rows, False)
+
+
+def test_start_with_a_time_of_day(spark):
+    """An order later on the start's day lies inside the term; one earlier
+    that day does not; the end counts by date."""
+    rows = [(1, "a", "2016-01-01 08:00:00", "2016-01-01 09:00:00", "2016-01-08 00:00:00", 1),
+            (1, "a", "2016-01-01 10:00:00", "2016-01-02 00:00:00", "2016-01-09 00:00:00", 2),
+            (2, "a", "2016-01-01 08:00:00", "2016-01-01 09:00:00", "2016-01-08 00:00:00", 3),
+            (2, "a", "2016-01-01 08:30:00", "2016-01-02 00:00:00", "2016-01-09 00:00:00", 4),
+            (3, "a", "2016-01-01 08:00:00", "2016-01-01 09:00:00", "2016-01-08 00:00:00", 5),
+            (3, "a", "2016-01-08 23:00:00", "2016-01-09 00:00:00", "2016-01-19 00:00:00", 6)]
+    df = spark.createDataFrame([(p, c, ts(o), ts(s), ts(e), k) for p, c, o, s, e, k in rows],
+                               "practice long, code string, order_ts timestamp_ntz, start timestamp_ntz, end timestamp_ntz, k long")
+    for split in (True, False):
+        out = label_renewals(df, ["practice", "code"], "start", "order_ts", "end", ["k"], code_col="code", skew_split=split)
+        assert [r["label"] for r in out.orderBy("k").collect()] == ["H", "R", "H", "H", "H", "R"]
+
+
+def test_shared_label_of_a_hot_order_time(spark):
+    rows = [(1, "a", ts("2016-01-05 00:00:00"), d("2016-01-01"), 10, k) for k in range(500)] + [
+        (1, None, ts("2016-01-05 00:00:00"), None, 10, 600), (None, "a", None, None, 1, 601)]
+    df = _slots(spark, rows).withColumn("label", F.when(F.col("k") == 0, "H").otherwise("R"))
+    got = {r.k: r.shared_label for r in share_label(df, ["practice", "code"], "order_ts", "start", ["k"]).collect()}
+    assert got == {**{k: "H" for k in range(500)}, 600: "R", 601: "R"}

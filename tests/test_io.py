@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,3 +78,71 @@ def test_fill_numeric_zero_leaves_text_missing(spark):
     df = spark.createDataFrame([(None, None, None)], "manager string, n long, x double")
     r = fill_numeric_zero(df).first()
     assert (r.manager, r.n, r.x) == (None, 0, 0.0)
+
+
+def test_csv_quotes_backslash_newline_round_trip(spark, tmpdir_path):
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("note", T.StringType()), T.StructField("Target", T.IntegerType())])
+    rows = [('a "b", c', "ends in \\", 5), ("two\nlines", "", None), (None, "  spaces  ", 7), ("", None, 0), ('"', "x;y'z", -1)]
+    path = os.path.join(tmpdir_path, "out")
+    write_csv(spark.createDataFrame(rows, schema), path)
+    got = [tuple(r) for r in read_csv_r(spark, path, schema).collect()]
+    assert sorted(got, key=repr) == sorted(rows, key=repr)
+    p = os.path.join(tmpdir_path, "r.csv")
+    _write(p, 'name,note,Target\n"a ""b"", c",back\\slash,5\n"two\nlines",NA, 6\n,"",NA\n')
+    assert [tuple(r) for r in read_csv_r(spark, p, schema).collect()] == [
+        ('a "b", c', "back\\slash", 5), ("two\nlines", None, 6), ("", "", None)]
+
+
+def test_csv_files_are_read_by_name(spark, tmpdir_path):
+    """Re-ordered, missing and extra columns, file by file."""
+    _write(os.path.join(tmpdir_path, "TC-A.csv"), "email,Level,Target\ne1,TM,3\n")
+    _write(os.path.join(tmpdir_path, "TC-B.csv"), "Target,email\n7,e2\n")
+    _write(os.path.join(tmpdir_path, "TC-C.csv"), "x,Level,email\n1,AM,e3\n")
+    schema = T.StructType([T.StructField("email", T.StringType()), T.StructField("Target", T.IntegerType()), T.StructField("Level", T.StringType())])
+    df = read_named_files(spark, os.path.join(tmpdir_path, "TC-*.csv"), schema, r"^TC-(.*)\.csv$", "zone")
+    want = [("e1", 3, "TM"), ("e2", 7, None), ("e3", None, "AM")]
+    assert sorted(tuple(r) for r in df.collect()) == [(*w, z) for w, z in zip(want, "ABC")]
+    got = read_csv_r(spark, [os.path.join(tmpdir_path, f"TC-{z}.csv") for z in "ABC"], schema, drop=["Level"])
+    assert sorted(tuple(r) for r in got.collect()) == [w[:2] for w in want]
+
+
+def test_zone_files_feed_the_roster(spark, tmpdir_path):
+    """Zone files read by name go straight into the roster union."""
+    from fieldlens.plans import sales
+    cols = ["email", "name", "region", "city", "cm", "rm", "zm", "azm", "am_email", "am_name", "aam", "exp", "level", "role", "target"]
+    schema = T.StructType([T.StructField(c, T.IntegerType() if c == "target" else T.StringType()) for c in cols])
+    _write(os.path.join(tmpdir_path, "TC-North.csv"), "role,email,level,target\nH,A@x,TM,3\nU,zz,TM,1\n")
+    _write(os.path.join(tmpdir_path, "TC--.csv"), "email,level,role,target\nnobody@x,TM,H,9\n")
+    _write(os.path.join(tmpdir_path, "Head.csv"), "email,level\nboss@x,Country\n")
+    reps = read_named_files(spark, os.path.join(tmpdir_path, "TC-*.csv"), schema, r"^TC-(.*)\.csv$", "zone")
+    heads = read_csv_r(spark, os.path.join(tmpdir_path, "Head.csv"), schema)
+    rows = sales.roster_sorted(sales.roster_union(heads, reps)).orderBy("row").collect()
+    assert [(r.row, r.email, r.zone, r.targets_h, r.targets_u) for r in rows] == [(1, "boss@x", None, 0, 0), (2, "A@x", "North", 3, 0)]
+
+
+def test_months_are_kept(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "months")
+    for d in ("2016-01-05", "2016-02-07", "2016-02-09"):
+        write_by_month(spark.createDataFrame([(1, d)], "id int, d string").withColumn("d", F.to_date("d")), path, "d")
+    got = spark.read.option("header", True).csv(path)
+    assert sorted((r.d, r.month) for r in got.collect()) == [("2016-01-05", "2016_01"), ("2016-02-09", "2016_02")]
+
+
+def test_unfinished_version_is_skipped(spark, tmpdir_path):
+    base = os.path.join(tmpdir_path, "teams")
+    publish_version(spark.createDataFrame([(1,), (2,), (3,)], "x int"), base)
+    spark.createDataFrame([(9,)], "x int").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(os.path.join(base, "v=2"))
+    assert not os.path.exists(os.path.join(base, "v=2", "_SUCCESS"))
+    assert read_latest_version(spark, base).count() == 3
+    assert publish_version(spark.createDataFrame([(4,)], "x int"), base).endswith("v=3")
+    assert read_latest_version(spark, base).first().x == 4
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_latest_has_the_snapshots_own_columns(spark, tmpdir_path, fmt):
+    base = os.path.join(tmpdir_path, f"snap-{fmt}")
+    write_snapshot_and_latest(spark.createDataFrame([(1, 2, 3)], "c int, a int, b int"), base, "2016-03-02", fmt=fmt)
+    write_snapshot_and_latest(spark.createDataFrame([(1, 2, "n")], "a int, b int, new string"), base, "2016-03-03", fmt=fmt)
+    latest = spark.read.format(fmt).option("header", True).load(os.path.join(base, "latest"))
+    assert latest.columns == ["a", "b", "new"] and [str(v) for v in latest.first()] == ["1", "2", "n"]
+    assert set(os.listdir(os.path.join(base, "snapshots"))) >= {"snapshot_date=2016-03-02", "snapshot_date=2016-03-03"}

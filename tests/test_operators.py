@@ -1,5 +1,6 @@
 """NOT IN, keep-first, lookup, collapse, row numbers, scalar expressions."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from fieldlens.functions import flags_agree, not_contains_ci, r_paste, r_paste0, safe_ratio, whitelist_strip
@@ -106,16 +107,20 @@ def test_unused_left_join_under_distinct_changes_nothing(spark):
     assert plain == joined
 
 
-def test_join_helpers(spark):
-    from fieldlens.operators import bounded_broadcast, literal_table, rank_by_mapping, scalar_columns
-    hinted = bounded_broadcast(spark.range(5), max_rows=10)._jdf.queryExecution().analyzed().toString()
-    assert "strategy=broadcast" in hinted                          # under the bound: hinted
-    big = spark.range(50)
-    assert bounded_broadcast(big, max_rows=10) is big              # over the bound: no hint
-    lt = literal_table(spark, [("Country", "A"), ("TM", "G")], "level string, rank string")
-    assert sorted(r.rank for r in lt.collect()) == ["A", "G"]
+def test_rank_by_mapping(spark):
+    from fieldlens.operators import rank_by_mapping
     df = spark.createDataFrame([("TM",), ("Zone",), ("x",)], "level string")
     got = [r.r for r in df.select(rank_by_mapping(F.col("level"), {"TM": "G", "Zone": "C"}).alias("r")).collect()]
     assert got == ["G", "C", None]
-    one = spark.range(3).agg(F.sum("id").alias("total"))
-    assert [r.total for r in scalar_columns(spark.range(2), one).collect()] == [3, 3]
+
+
+@pytest.mark.parametrize("rows", [0, 1, 10_000, 200_000])
+def test_global_row_number_with_payload(spark, rows):
+    """Several partitions and a payload column that the count does not need."""
+    df = (spark.range(0, rows, 1, 8).selectExpr("CASE WHEN id % 11 = 0 THEN NULL ELSE (id * 7919) % 100003 END AS v", "id AS u",
+                                                "concat('payload ', id) AS text"))
+    out = global_row_number(df, ["v", "u"], num_partitions=8)
+    got = sorted(((r.row, r.v, r.u) for r in out.select("row", "v", "u").collect()))
+    assert [g[0] for g in got] == list(range(1, rows + 1))
+    assert got == sorted(got, key=lambda g: (g[1] is None, g[1] or 0, g[2]))
+    assert out.columns == ["v", "u", "text", "row"]

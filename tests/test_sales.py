@@ -1,5 +1,9 @@
 """Scorecard, rollup and roster fixtures (FIXTURES.md section C)."""
 
+import datetime as dt
+from decimal import Decimal
+import pytest
+
 from pyspark.sql import functions as F
 
 from fieldlens.plans import sales
@@ -121,3 +125,45 @@ def test_metrics_sheet_follows_roster_order(spark):
     union = sales.roster_union(S.roster_managers(spark, sf), S.roster_reps(spark, sf))
     rows = sales.roster_sorted(union).orderBy("row").collect()
     assert sheet == [(r.email.lower(), r.level) for r in rows]
+
+
+def test_sheet_rows_of_a_person_listed_twice(spark):
+    """n roster rows in, n sheet rows out."""
+    import os
+    from fieldlens.plans import standins as S
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    managers, reps = S.roster_managers(spark, sf), S.roster_reps(spark, sf)
+    twice = reps.unionByName(reps.limit(1))
+    orders = sales.clean_orders(S.plan_orders(spark, sf))
+    one, two = sales.sheet_from(orders, managers, reps).count(), sales.sheet_from(orders, managers, twice).count()
+    assert (one, two) == (managers.count() + reps.count(), managers.count() + reps.count() + 1)
+
+
+def test_reports_follow_the_as_of_date(spark):
+    import os
+    from fieldlens.plans import inventory
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    june = sales.q_orders_month_published(spark, sf, "1998-06-20").collect()
+    may = sales.q_orders_month_published(spark, sf, "1998-05-20").collect()
+    assert {(r.placed_date.year, r.placed_date.month) for r in june} <= {(1998, 6)}
+    assert {(r.placed_date.year, r.placed_date.month) for r in may} <= {(1998, 5)}
+    total = lambda as_of: sum(r["Revenue"] for r in sales.q_metrics_sheet(spark, sf, as_of).where("Level = 'TM'").collect())
+    assert total("1998-06-20") == pytest.approx(sum(float(r.amount_in_inr) for r in june if r.claimed_email))
+    assert total("1998-06-20") != total("1998-05-20")
+    keep = {(r.order_id, r.plan) for r in inventory.slot_inventory(spark, sf, "1998-05-20").collect()}
+    orders = sales._month_orders(spark, sf, "1998-05-20").collect()
+    assert keep <= {(r.order_id, r.plan) for r in orders}
+
+
+def test_sale_day_formulas(spark):
+    rows = [("widget a", "X", dt.date(2016, 1, d), 100.0, amount) for d, amount in ((14, 1), (15, 300), (16, 420), (17, 1))]
+    rows += [("hot ring", "X", dt.date(2016, 1, 29), 1.0, 10), ("hot ring", None, dt.date(2016, 1, 30), 1.0, 5), ("hot ring", "X", dt.date(2016, 1, 31), 1.0, 7)]
+    o = spark.createDataFrame([(*r[:4], Decimal(r[4])) for r in rows], "plan string, city string, placed_date date, cost double, amount_in_inr decimal(18,2)")
+    r = sales.sale_day_discount(o, "2016-01-14", "2016-01-16").collect()
+    assert [(x.city, x.slots, x.mean_cost_x6, x.mean_revenue, x.mean_discount) for x in r] == [("X", 2, 600.0, 360.0, 0.4)]
+    r = sales.sale_day_plan_revenue(o, "2016-01-29", "2016-01-30").collect()
+    assert [(x.plan, x.orders, x.revenue) for x in r] == [("hot ring", 2, 15.0)]
