@@ -10,8 +10,8 @@
 * ``clinics_by_locality`` / ``practice_count_all_localities``: practices
   per sales locality (inner, and all localities with zero counts).
 * ``territory_rep_map`` / ``practice_territory_map``: practice -> locality ->
-  territory -> rep chains of left joins; a practice without a territory is
-  kept (its territory filter is on the right side of a left join).
+  territory -> rep chains within one country; a locality without a territory
+  is kept (the deletion test is on the right side of a left join).
 * ``region_owner_listing`` and its three component listings.
 * ``literal_in_filters`` / ``regex_name_lookup`` / ``scan_active_rows`` /
   ``top_sources``: master-data lookups.
@@ -150,7 +150,7 @@ def clinics_by_locality(spark: SparkSession, sf: str) -> DataFrame:
            .join(mc, F.col("mc.id") == F.col("sml.city_id")))
     return j.groupBy(F.col("mc.id").alias("city_id"), F.col("mc.name").alias("city"),
                      F.col("sml.id").alias("locality_id"), F.col("sml.name").alias("locality")) \
-            .agg(F.count(F.col("cp.id")).alias("clinics"))
+            .agg(F.count(F.col("cp.id")).alias("clinics")).orderBy("locality", "locality_id")
 
 
 def practice_count_all_localities(spark: SparkSession, sf: str) -> DataFrame:
@@ -160,7 +160,11 @@ def practice_count_all_localities(spark: SparkSession, sf: str) -> DataFrame:
     j = csl.join(cp, F.col("csl.id") == F.col("cp.sales_localities_id"), "left")
     return j.select(F.coalesce(F.col("cp._n"), F.lit(0)).alias("practice_count"),
                     F.col("csl.city_id").alias("city_id"), F.col("csl.id").alias("locality_id"),
-                    F.col("csl.name").alias("name"))
+                    F.col("csl.name").alias("name")).orderBy("practice_count", "locality_id")
+
+
+# Fixed value: the country of the territory maps.
+MAP_COUNTRY = 1
 
 
 def _interactions(spark: SparkSession, sf: str) -> DataFrame:
@@ -171,48 +175,58 @@ def _interactions(spark: SparkSession, sf: str) -> DataFrame:
               .select(F.col("o_custkey").alias("practice_id"), F.col("l_suppkey").alias("user_id")).distinct())
 
 
-def _territory_chain(spark: SparkSession, sf: str, start: DataFrame) -> DataFrame:
-    sml = S.localities(spark, sf).alias("sml")
-    cltm = S.localities(spark, sf).select(F.col("id").alias("locality_id"),
-                                          F.col("city_id").alias("territory_id")).alias("cltm")
-    smc = S.cities(spark, sf).alias("smc")
-    cs = read_table(spark, sf, "nation", ["n_nationkey", "n_name", "n_regionkey"]).select(
-        F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("parent_id"),
-        F.lit(None).cast("string").alias("deleted_at")).alias("cs")
-    smco = S.states(spark, sf).alias("smco")
-    intr = _interactions(spark, sf).alias("intr")
-    epi = read_table(spark, sf, "supplier", ["s_suppkey", "s_name"]).alias("epi")
-    j = (start.join(sml, F.col("cp.sales_localities_id") == F.col("sml.id"), "left")
+def _locality_reps(practices: DataFrame, interactions: DataFrame) -> DataFrame:
+    """Distinct (locality, rep) ids: a practice without contacts keeps its
+    locality, one without a locality its reps.  Names come later, so text
+    columns never ride through the large join."""
+    return (practices.join(interactions, practices.id == interactions.practice_id, "left")
+            .select(F.col("sales_localities_id").alias("locality"), F.col("user_id").alias("rep")).distinct())
+
+
+def territory_rows(pairs: DataFrame, localities: DataFrame, locality_territories: DataFrame, cities: DataFrame,
+                   territories: DataFrame, countries: DataFrame, users: DataFrame, owners: DataFrame | None,
+                   country: int) -> DataFrame:
+    """Names of (locality, rep) pairs of one country.
+
+    The country test rejects missing cities; a locality without a territory is
+    kept, one whose territory is deleted is not."""
+    sml, smc, smco = localities.alias("sml"), cities.alias("smc"), countries.where(F.col("id") == country).alias("smco")
+    cltm, cs, epi = locality_territories.alias("cltm"), territories.alias("cs"), users.alias("epi")
+    j = (pairs.join(sml, F.col("locality") == F.col("sml.id"))
+              .join(smc, F.col("smc.id") == F.col("sml.city_id"))
+              .join(smco, F.col("smco.id") == F.col("smc.country_id"))
               .join(cltm, F.col("cltm.locality_id") == F.col("sml.id"), "left")
-              .join(smc, F.col("smc.id") == F.col("sml.city_id"), "left")
               .join(cs, F.col("cs.id") == F.col("cltm.territory_id"), "left")
-              .join(smco, F.col("smco.id") == F.col("smc.country_id"), "left")
-              .join(intr, F.col("cp.id") == F.col("intr.practice_id"), "left")
-              .join(epi, F.col("intr.user_id") == F.col("epi.s_suppkey"), "left"))
-    # filter after the joins: a practice with no territory has a missing
-    # deleted_at and is kept
-    return j.where(F.col("cs.deleted_at").isNull())
-
-
-def territory_rep_map(spark: SparkSession, sf: str) -> DataFrame:
-    """Practices with a lead -> locality -> territory -> city -> rep, distinct."""
-    leads = read_table(spark, sf, "orders", ["o_custkey"]).select(F.col("o_custkey").alias("practice_id")).distinct()
-    cp = S.practices(spark, sf)
-    start = leads.alias("cplm").join(cp.alias("cp"), F.col("cplm.practice_id") == F.col("cp.id"), "left")
-    j = _territory_chain(spark, sf, start)
+              .where(F.col("cs.deleted_at").isNull())
+              .join(epi, F.col("rep") == F.col("epi.id"), "left"))
+    return j if owners is None else j.join(owners.alias("cso"), F.col("cso.region_id") == F.col("cs.id"), "left")
+
+
+def _territory_rows(spark: SparkSession, sf: str, practices: DataFrame, owners: bool, country: int) -> DataFrame:
+    users = read_table(spark, sf, "supplier", ["s_suppkey", "s_name"]).select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    return territory_rows(_locality_reps(practices, _interactions(spark, sf)), S.localities(spark, sf),
+                          S.locality_territories(spark, sf), S.cities(spark, sf), S.territories(spark, sf), S.states(spark, sf),
+                          users, S.territory_owners(spark, sf) if owners else None, country)
+
+
+def territory_rep_map(spark: SparkSession, sf: str, country: int = MAP_COUNTRY) -> DataFrame:
+    """Practices with a lead -> locality -> territory, its owner, city and rep."""
+    leads = read_table(spark, sf, "orders", ["o_custkey"]).select(F.col("o_custkey").alias("id"))
+    j = _territory_rows(spark, sf, S.practices(spark, sf).join(leads, "id", "left_semi"), True, country)
     return j.select(F.col("cltm.territory_id").alias("territory_id"), F.col("smc.id").alias("city_id"),
-                    F.col("cs.parent_id").alias("parent_id"), F.col("smc.name").alias("city_name"),
+                    F.col("cso.region_id").alias("region_id"), F.col("cs.parent_id").alias("parent_id"),
+                    F.col("cso.user_id").alias("manager_id"), F.col("smc.name").alias("city_name"),
                     F.col("sml.name").alias("locality_name"), F.col("cs.name").alias("territory_name"),
-                    F.col("epi.s_name").alias("psw_name"), F.lower(F.col("epi.s_name")).alias("psw_email")).distinct()
+                    F.col("epi.name").alias("psw_name"), F.lower(F.col("epi.name")).alias("psw_email")).distinct()
 
 
-def practice_territory_map(spark: SparkSession, sf: str) -> DataFrame:
-    """Every practice -> locality -> territory -> city/country -> rep, distinct."""
-    j = _territory_chain(spark, sf, S.practices(spark, sf).alias("cp"))
+def practice_territory_map(spark: SparkSession, sf: str, country: int = MAP_COUNTRY) -> DataFrame:
+    """Every practice -> locality -> territory -> city / country -> rep."""
+    j = _territory_rows(spark, sf, S.practices(spark, sf), False, country)
     return j.select(F.col("smc.id").alias("city_id"), F.col("smco.name").alias("country_name"),
                     F.col("smc.name").alias("city_name"), F.col("sml.name").alias("locality_name"),
-                    F.col("cs.name").alias("territory_name"), F.col("epi.s_name").alias("psw_name"),
-                    F.lower(F.col("epi.s_name")).alias("psw_email")).distinct()
+                    F.col("cs.name").alias("territory_name"), F.col("epi.name").alias("psw_name"),
+                    F.lower(F.col("epi.name")).alias("psw_email")).distinct()
 
 
 def locality_geo(spark: SparkSession, sf: str, locality_pattern: str | None = None,
@@ -227,7 +241,7 @@ def locality_geo(spark: SparkSession, sf: str, locality_pattern: str | None = No
     if state_pattern:
         j = j.where(F.col("sms.name").rlike(state_pattern))
     return j.select(F.col("sml.name").alias("locality"), F.col("smc.name").alias("city"),
-                    F.col("sms.name").alias("state"))
+                    F.col("sms.name").alias("state")).orderBy("locality")
 
 
 # The owner role and team the hierarchy listing is for.
@@ -302,8 +316,10 @@ def regex_name_lookup(spark: SparkSession, sf: str, pattern: str = LOOKUP_PATTER
 
 
 def scan_active_rows(spark: SparkSession, sf: str) -> DataFrame:
-    e = S.establishments(spark, sf)
-    return e.where(F.col("deleted_at").isNull()).select("id", "name", "module_id")
+    """Rows that are not deleted.  The stand-in's deletion mark is a negative
+    balance, tested on the base column so that the reader can skip."""
+    live = F.col("balance").isNull() | (F.col("balance") >= 0)
+    return S.establishments(spark, sf).where(live).select("id", "name", "module_id")
 
 
 def top_sources(spark: SparkSession, sf: str, source: str = "click", k: int = 10) -> DataFrame:

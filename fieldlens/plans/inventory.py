@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlens.operators import (active_as_of as _active, label_renewals, lookup_first, not_in,
-                                 share_label)
+                                 not_in_literals, share_label)
 from fieldlens.plans import standins as S
 from fieldlens.sources.tables import read_table
 
@@ -71,14 +71,44 @@ def active_as_of(spark: SparkSession, sf: str, as_of: str = S.AS_OF) -> DataFram
             .select("order_id", "line_no", "part_id", "ad_code", "start_date", "duration_days"))
 
 
+# Cities that are not sold, and the price from which a plan can
+# be bought.
+UNSOLD_CITIES, BUYABLE_FROM = [3, 77, 777], 905
+
+
+def available_inventory_from(plans: DataFrame, zone_plans: DataFrame, zones: DataFrame, cities: DataFrame,
+                             keywords: DataFrame, held_codes: DataFrame, unsold: list[int]) -> DataFrame:
+    """Buyable plans of sold cities without a category whose ad code is NOT IN
+    the held ones (a missing code is only free if nothing is held, and nothing
+    is free if a held code is missing), in the order of the report."""
+    j = (plans.where(F.col("buyable") == 1).join(zone_plans.where(F.col("category").isNull()), "plan_id")
+              .join(zones.where(not_in_literals(F.col("city_id"), unsold)), "zone_id")
+              .join(cities, "city_id").join(keywords, "keyword_id"))
+    free = not_in(j, "ad_code", held_codes, "ad_code")
+    return free.select(F.col("plan_id").alias("plan"), F.lower("city_name").alias("city"), F.lower("zone_name").alias("zone"),
+                       F.lower("keyword_name").alias("keyword"), "cost").distinct().orderBy("city", "zone", "keyword", "cost", "plan")
+
+
 def available_inventory(spark: SparkSession, sf: str, as_of: str = S.AS_OF) -> DataFrame:
-    """Plans (parts) whose id is NOT IN the plans held by an active subscription."""
-    held = _active(S.slots(spark, sf), as_of).select("part_id")
-    p = read_table(spark, sf, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_retailprice"])
-    free = not_in(p, "p_partkey", held, "part_id")
-    return free.select(F.col("p_partkey").alias("plan"), F.lower("p_name").alias("name"),
-                       F.lower("p_brand").alias("brand"), F.lower("p_type").alias("keyword"),
-                       F.col("p_retailprice").alias("cost")).distinct()
+    p = read_table(spark, sf, "part", ["p_partkey", "p_brand", "p_size", "p_retailprice"])
+    n = read_table(spark, sf, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    r = read_table(spark, sf, "region", ["r_regionkey", "r_name"])
+    code = F.when(F.col("p_size") <= 45, F.concat(F.lit("A"), F.col("p_partkey").cast("string")))
+    plans = p.select(F.col("p_partkey").alias("plan_id"), F.col("p_retailprice").alias("cost"),
+                     F.when(F.col("p_retailprice") >= BUYABLE_FROM, 1).otherwise(0).alias("buyable"))
+    zone_plans = p.select(F.col("p_partkey").alias("plan_id"), (F.col("p_partkey") % 25).cast("int").alias("zone_id"),
+                          F.col("p_brand").alias("keyword_id"), code.alias("ad_code"),
+                          F.when(F.col("p_size") == 44, "bundle").alias("category"))
+    zones = n.select(F.col("n_nationkey").alias("zone_id"), F.col("n_name").alias("zone_name"), F.col("n_regionkey").alias("city_id"))
+    cities = r.select(F.col("r_regionkey").alias("city_id"), F.col("r_name").alias("city_name"))
+    keywords = p.select(F.col("p_brand").alias("keyword_id"), F.col("p_brand").alias("keyword_name")).distinct()
+    # only the held plans' keys and terms are read from the order lines
+    li = read_table(spark, sf, "lineitem", ["l_partkey", "l_quantity", "l_shipdate", "l_returnflag"])
+    terms = li.where(F.col("l_returnflag") != "R").select(
+        "l_partkey", F.col("l_shipdate").cast("date").alias("start_date"), (F.col("l_quantity").cast("int") * 7).alias("duration_days"))
+    held = _active(terms, as_of, revoked=None).select("l_partkey").distinct()
+    held_codes = held.join(p.where(F.col("p_size") <= 45), held.l_partkey == p.p_partkey).select(code.alias("ad_code"))
+    return available_inventory_from(plans, zone_plans, zones, cities, keywords, held_codes, UNSOLD_CITIES)
 
 
 def ad_catalog(spark: SparkSession, sf: str) -> DataFrame:

@@ -84,7 +84,7 @@ VIEWS["v_cities"] = "SELECT n_nationkey AS id, n_name AS name, n_regionkey AS co
 VIEWS["v_modules"] = "SELECT n_nationkey AS id, n_nationkey AS city_id FROM nation"
 VIEWS["v_localities"] = "SELECT s_suppkey AS id, s_name AS name, s_nationkey AS city_id FROM supplier"
 VIEWS["v_states"] = "SELECT r_regionkey AS id, r_name AS name FROM region"
-VIEWS["v_practices"] = "SELECT c_custkey AS id, c_name AS name, c_custkey % 120 AS sales_localities_id FROM customer"
+VIEWS["v_practices"] = "SELECT c_custkey AS id, c_name AS name, c_custkey // 15 AS sales_localities_id FROM customer"
 
 # dependency order for the prefix
 _ORDER = list(VIEWS)

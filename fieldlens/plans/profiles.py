@@ -48,7 +48,7 @@ def _doctor_lines(spark, sf):
 def profile_master(spark: SparkSession, sf: str) -> DataFrame:
     c = read_table(spark, sf, "customer", ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"])
     pd = c.select(F.col("c_custkey").alias("pd_id"), F.col("c_custkey").alias("doctor_id"),
-                  (F.col("c_custkey") % S.LOCALITY_MODULUS).alias("practice_id"),
+                  S.per_locality("c_custkey").alias("practice_id"),
                   F.when(F.col("c_mktsegment") == "BUILDING", ABS_STATUS).otherwise(F.col("c_mktsegment")).alias("status"))
     sup = read_table(spark, sf, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
     practices = sup.select(F.col("s_suppkey").alias("practice_id"), F.col("s_nationkey").alias("ray_practice_id"),

@@ -32,7 +32,15 @@ Fixed values (domain mapping, shared with the SQL oracle):
   visit status by c_mktsegment: BUILDING 'PC', MACHINERY 'NI',
   FURNITURE 'NF', HOUSEHOLD 'XX', others missing; city = nation (module and
   city ids = n_nationkey, country id = n_regionkey); locality = supplier
-  (city id = s_nationkey); a practice's sales locality = c_custkey % 120.
+  (city id = s_nationkey); a practice's
+  sales locality = c_custkey / 15 (whole part; there are as many localities
+  per practice at every size).  A locality with an odd key has a territory,
+  its nation; the territories of nations 3, 10, 17 and 24 are deleted; a
+  region's owner is its first supplier with a balance.
+* sellable ads: one per part; ad code = 'A' || p_partkey, missing for p_size
+  over 45 (plans of another type); zone = nation p_partkey % 25, city = its
+  region; keyword = p_brand; buyable if p_retailprice is 905 or more; category
+  'bundle' for p_size 44, else missing.
 """
 
 from __future__ import annotations
@@ -47,7 +55,7 @@ PLAN_CLASSES = {"software": "ring", "listing": "widget", "ship": "old", "pro": "
 # Segment-visit status codes counted as coverage.
 COVERAGE_CODES = ["PC", "NI", "WIP", "NF"]
 PLATINUM_CODE = "PC"
-LOCALITY_MODULUS = 120
+PRACTICES_PER_LOCALITY = 15
 AS_OF = "1998-06-03"
 # Which slots the reports count.
 SLOTS_SINCE, SLOT_SERVICE = "1992-06-01", 8
@@ -206,7 +214,28 @@ def states(spark: SparkSession, sf: str) -> DataFrame:
     return r.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
 
 
+def per_locality(key: str):
+    """The locality (or practice) key of a customer: grows with the data."""
+    return F.floor(F.col(key) / PRACTICES_PER_LOCALITY).cast("long")
+
+
+def locality_territories(spark: SparkSession, sf: str) -> DataFrame:
+    s = _t(spark, sf, "supplier", ["s_suppkey", "s_nationkey"])
+    return s.where(F.col("s_suppkey") % 2 == 1).select(F.col("s_suppkey").alias("locality_id"), F.col("s_nationkey").alias("territory_id"))
+
+
+def territories(spark: SparkSession, sf: str) -> DataFrame:
+    n = _t(spark, sf, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    return n.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("parent_id"),
+                    F.when(F.col("n_nationkey") % 7 == 3, F.lit("deleted")).alias("deleted_at"))
+
+
+def territory_owners(spark: SparkSession, sf: str) -> DataFrame:
+    s = _t(spark, sf, "supplier", ["s_suppkey", "s_nationkey", "s_acctbal"])
+    return s.where(F.col("s_acctbal") >= 0).groupBy(F.col("s_nationkey").alias("region_id")).agg(F.min("s_suppkey").alias("user_id"))
+
+
 def practices(spark: SparkSession, sf: str) -> DataFrame:
     c = _t(spark, sf, "customer", ["c_custkey", "c_name"])
     return c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
-                    (F.col("c_custkey") % LOCALITY_MODULUS).alias("sales_localities_id"))
+                    per_locality("c_custkey").alias("sales_localities_id"))

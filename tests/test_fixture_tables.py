@@ -81,21 +81,45 @@ def test_coverage_same_name(spark, tmpdir_path):
     assert [(m.city_id, m.total_clinics) for m in merged] == [(0, 2)]
 
 
-def test_territory_missing_is_kept(spark, tmpdir_path):
-    # customer 5 -> sales locality 5, which no supplier has
-    folder = tables(spark, tmpdir_path, region=[(0, "R0")], nation=[(0, "CityA", 0)],
-                    supplier=[(1, "loc1", 0, 1.0)], customer=[(1, "p1", 0, 1.0, "X"), (5, "p5", 0, 1.0, "X")])
+def test_territory_missing_is_kept_and_deleted_is_not(spark, tmpdir_path):
+    # localities 1 and 5 (odd) have a territory, 5's is deleted (nation 3); 2
+    # has none; customer 90 -> locality 6, which does not exist; 7 is abroad
+    folder = tables(spark, tmpdir_path, region=[(0, "R0"), (1, "R1")],
+                    nation=[(0, "CityA", 1), (3, "CityD", 1), (4, "Abroad", 0)],
+                    supplier=[(1, "loc1", 0, 1.0), (2, "loc2", 0, -1.0), (5, "loc5", 3, 1.0), (7, "loc7", 4, 1.0)],
+                    customer=[(i, f"p{i}", 0, 1.0, "X") for i in (15, 30, 75, 90, 105)], orders=[order(10, 15, "P")])
     rows = {r.locality_name: r for r in coverage.practice_territory_map(spark, folder).collect()}
-    assert rows["loc1"].territory_name == "CityA"
-    assert rows[None].territory_name is None
+    assert set(rows) == {"loc1", "loc2"}
+    assert rows["loc1"].territory_name == "CityA" and rows["loc2"].territory_name is None
+    leads = coverage.territory_rep_map(spark, folder).collect()
+    assert [(r.locality_name, r.region_id, r.manager_id, r.psw_name) for r in leads] == [("loc1", 0, 1, None)]
+
+
+def test_available_inventory_order_and_null_codes(spark):
+    from fieldlens.plans.inventory import available_inventory_from
+    plans = spark.createDataFrame([(i, float(i % 3), 0 if i == 6 else 1) for i in range(1, 9)], "plan_id int, cost double, buyable int")
+    zone_plans = spark.createDataFrame([(1, 1, 1, "a", None), (2, 1, 1, "b", None), (3, 2, 1, None, None), (4, 2, 2, "d", None),
+                                        (5, 1, 2, "e", "bundle"), (6, 1, 2, "f", None), (7, 3, 2, "g", None), (8, 1, 1, "h", None)],
+                                       "plan_id int, zone_id int, keyword_id int, ad_code string, category string")
+    zones = spark.createDataFrame([(1, "Z1", 1), (2, "Z2", 1), (3, "Z3", 38)], "zone_id int, zone_name string, city_id int")
+    cities = spark.createDataFrame([(1, "C"), (38, "Unsold")], "city_id int, city_name string")
+    keywords = spark.createDataFrame([(1, "K"), (2, "J")], "keyword_id int, keyword_name string")
+
+    def free(*held):
+        codes = spark.createDataFrame([(h,) for h in held], "ad_code string")
+        return [r.plan for r in available_inventory_from(plans, zone_plans, zones, cities, keywords, codes, [38]).collect()]
+
+    assert free("a") == [2, 8, 4]       # zone 1: cost 2 twice, by plan; then zone 2
+    assert free() == [1, 2, 8, 4, 3]    # nothing held: a missing code is free, too
+    assert free("a", None) == []        # a missing held code: nothing is
 
 
 def test_abs_count_counts_distinct_rows(spark, tmpdir_path):
     # practices 1 and 2 (suppliers of nation 0) are ABS; customer 121 repeats practice 1
     folder = tables(spark, tmpdir_path, region=[(0, "R0")], nation=[(0, "N0", 0)],
                     supplier=[(1, "S1", 0, 1.0), (2, "S2", 0, 1.0)],
-                    customer=[(1, "d1", 0, 1.0, "BUILDING"), (2, "d2", 0, 1.0, "BUILDING"),
-                              (121, "d3", 0, 1.0, "BUILDING")])
+                    customer=[(15, "d1", 0, 1.0, "BUILDING"), (30, "d2", 0, 1.0, "BUILDING"),
+                              (16, "d3", 0, 1.0, "BUILDING")])
     r = profiles.practice_id_map(spark, folder).collect()
     assert len(r) == 1
     # distinct (practice, slug) ABS rows: {1, 2} x {s1, s2}; the repeated profile adds none
@@ -106,7 +130,7 @@ def test_international_is_case_sensitive_and_drops_missing(spark, tmpdir_path):
     folder = tables(spark, tmpdir_path, region=[(0, "AMERICA"), (1, "america"), (2, "ASIA")],
                     nation=[(0, "N0", 0), (1, "N1", 1), (2, "N2", 2), (3, "N3", 9)],
                     supplier=[(1, "S1", 0, 1.0), (2, "S2", 1, 1.0), (3, "S3", 2, 1.0), (4, "S4", 3, 1.0)],
-                    customer=[(i, f"d{i}", 0, 1.0, "X") for i in (1, 2, 3, 4)])
+                    customer=[(15 * i, f"d{i}", 0, 1.0, "X") for i in (1, 2, 3, 4)])
     got = sorted(r.country for r in profiles.international_only(spark, folder).collect())
     assert got == ["ASIA", "america"]
     split = sorted(r.country_key for r in profiles.country_split(spark, folder).collect())
