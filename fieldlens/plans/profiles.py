@@ -7,15 +7,22 @@ never fans out and no keep-first repair pass (with its shuffle of the wide
 rows) is needed.
 
 Stand-in mapping (fixed values, shared with the SQL oracle):
-practice-doctor = customer (id = doctor = c_custkey, practice = c_custkey %
-120, status 'ABS' for BUILDING else the segment); practice = supplier
+practice-doctor = customer (id = doctor = user = c_custkey, practice = c_custkey
+/ 15, status 'ABS' for BUILDING else the segment); practice = supplier
 (external id = s_nationkey, slug = lower(s_name)); locality/city = nation,
 country = region; doctor deleted when c_acctbal < 0; verified unless
 segment AUTOMOBILE; awards = part brands on the doctor's order lines;
 organizations = the doctor's order count; photos = a practice's order lines
 (logo 1 for return flag R, 0 for A, missing for N); registration = '_' +
 first order key; speciality = part type of the first order line; practice
-types = the distinct part types a practice supplied.
+types = the distinct part types a practice supplied; last login = latest
+event of the user; memberships, services, qualifications = order priorities,
+order statuses and return flags of the doctor's orders and lines; doctor
+photos = lines with return flag R; recommendation = whole balance if
+positive; doctor reviews = the user's clicks; clinic reviews = a practice's
+lines with status F; customer and ad terms by external practice id = first
+and last order date by c_custkey % 25 (all orders; orders with status F),
+where 24 and 23 stand for a missing id.
 """
 
 from __future__ import annotations
@@ -99,34 +106,110 @@ def profile_master(spark: SparkSession, sf: str) -> DataFrame:
     prac = prac.select("practice_id", "number_of_photos", "logo_presence",
                        F.when(F.col("type") != "", F.col("type")).alias("type"))
 
-    master = (spine.join(doc, "doctor_id", "left").join(prac, "practice_id", "left")
-                   .join(orgs, "doctor_id", "left"))
+    master = merge_lookups(spine.join(doc, "doctor_id", "left").join(prac, "practice_id", "left")
+                           .join(orgs, "doctor_id", "left"), _more_lookups(spark, sf))
     # every input is one row per key (the spine's key and every child reduced
     # to its join key), so the result is one row per practice-doctor without
     # a keep-first pass; keep_first remains available for inputs that repeat keys
     return master.select("pd_id", "doctor_id", "practice_id", "ray_practice_id", "status", "clinic_name", "locality",
                          "city", "country", "doctor_name", "awards", "organizations", "number_of_photos",
-                         "logo_presence", "registration", "speciality", "type")
+                         "logo_presence", "registration", "speciality", "type", *[c for names in _MORE.values() for c in names])
+
+
+# lookup -> the columns it adds
+_MORE = {"logins": ["last_login"], "memberships": ["memberships"], "services": ["services"],
+         "qualifications": ["qualifications", "doctor_photos"], "recommendations": ["recommendation"],
+         "doctor_reviews": ["doctor_reviews"], "clinic_reviews": ["clinic_reviews"],
+         "customer_terms": ["ray_start", "ray_end"], "ad_terms": ["reach_start", "reach_end"]}
+
+
+def merge_lookups(spine: DataFrame, lookups: list[tuple[DataFrame, str]]) -> DataFrame:
+    """Left merges of lookups that have one row per key.  As in the source, a
+    missing key matches a missing key."""
+    for i, (lookup, key) in enumerate(lookups):
+        other = f"_key{i}"
+        keyed = lookup.withColumnRenamed(key, other)
+        spine = spine.join(keyed, F.col(key).eqNullSafe(F.col(other)), "left").drop(other)
+    return spine
+
+
+def _more_lookups(spark: SparkSession, sf: str) -> list[tuple[DataFrame, str]]:
+    """The lookups of ``_MORE``, each reduced to its key."""
+    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"])
+    doctor_orders = orders.withColumnRenamed("o_custkey", "doctor_id")
+    events = read_table(spark, sf, "events", ["user_id", "ts", "event_type"])
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_suppkey", "l_returnflag", "l_linestatus"])
+    customers = read_table(spark, sf, "customer", ["c_custkey", "c_acctbal"])
+    flags = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+               .groupBy(F.col("o_custkey").alias("doctor_id"), "l_returnflag").agg(F.count(F.lit(1)).alias("_n")))
+    runs = F.sort_array(F.collect_list(F.struct(F.col("l_returnflag").alias("v"), text_run(F.col("l_returnflag"), F.col("_n"), "|").alias("run"))))
+    qualifications = flags.groupBy("doctor_id").agg(
+        F.array_join(F.transform(runs, lambda r: r["run"]), "|").alias("qualifications"),
+        F.sum(F.when(F.col("l_returnflag") == "R", F.col("_n"))).alias("doctor_photos"))
+
+    def terms(rows: DataFrame, missing: int, first: str, last: str) -> DataFrame:
+        group = (F.col("o_custkey") % 25).cast("int")
+        dates = rows.groupBy(F.when(group != missing, group).alias("ray_practice_id"))
+        return dates.agg(F.min("o_orderdate").cast("date").alias(first), F.max("o_orderdate").cast("date").alias(last))
+
+    return [
+        (events.groupBy(F.col("user_id").alias("doctor_id")).agg(F.max("ts").alias("last_login"),
+                                                                F.count_if(F.col("event_type") == "click").alias("_clicks"))
+         .select("doctor_id", "last_login", F.when(F.col("_clicks") > 0, F.col("_clicks")).alias("doctor_reviews")), "doctor_id"),
+        (collapse_text(doctor_orders, ["doctor_id"], "o_orderpriority", "memberships", value_fn=whitelist_strip), "doctor_id"),
+        (collapse_text(doctor_orders, ["doctor_id"], "o_orderstatus", "services", value_fn=whitelist_strip), "doctor_id"),
+        (qualifications, "doctor_id"),
+        (customers.where(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("doctor_id"),
+                                                        F.floor("c_acctbal").cast("long").alias("recommendation")), "doctor_id"),
+        (li.where(F.col("l_linestatus") == "F").groupBy(F.col("l_suppkey").alias("practice_id"))
+           .agg(F.count(F.lit(1)).alias("clinic_reviews")), "practice_id"),
+        (terms(orders, 24, "ray_start", "ray_end"), "ray_practice_id"),
+        (terms(orders.where(F.col("o_orderstatus") == "F"), 23, "reach_start", "reach_end"), "ray_practice_id"),
+    ]
+
+
+def mapping_from(master: DataFrame) -> DataFrame:
+    return master.select("pd_id", "doctor_id", "practice_id", "ray_practice_id", "speciality", "locality", "city", "country",
+                         "number_of_photos")
 
 
 def profile_mapping(spark: SparkSession, sf: str) -> DataFrame:
-    return profile_master(spark, sf).select("pd_id", "doctor_id", "practice_id", "ray_practice_id", "speciality",
-                                            "locality", "city", "country", "number_of_photos")
+    return mapping_from(profile_master(spark, sf))
 
 
-def country_split(spark: SparkSession, sf: str, countries: list[str] = SPLIT_COUNTRIES) -> DataFrame:
+def split_from(master: DataFrame, countries: list[str] = SPLIT_COUNTRIES) -> DataFrame:
     """Rows of the listed countries (case-folded), tagged for a partitioned write."""
-    m = profile_master(spark, sf)
     key = F.lower(F.col("country"))
-    return m.where(key.isin(*countries)).withColumn("country_key", key)
+    return master.where(key.isin(*countries)).withColumn("country_key", key)
 
 
-def international_only(spark: SparkSession, sf: str, home: str = HOME_COUNTRY) -> DataFrame:
+def country_split(spark: SparkSession, sf: str) -> DataFrame:
+    return split_from(profile_master(spark, sf))
+
+
+def international_from(master: DataFrame, home: str = HOME_COUNTRY) -> DataFrame:
     """Every country but home: case-sensitive, a missing country is dropped."""
-    return profile_master(spark, sf).where(F.col("country") != home)
+    return master.where(F.col("country") != home)
+
+
+def international_only(spark: SparkSession, sf: str) -> DataFrame:
+    return international_from(profile_master(spark, sf))
 
 
 def practice_id_map(spark: SparkSession, sf: str) -> DataFrame:
+    return id_map_from(profile_master(spark, sf), slugged_practices(spark, sf))
+
+
+def slugged_practices(spark: SparkSession, sf: str) -> DataFrame:
+    sup = read_table(spark, sf, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
+    n = read_table(spark, sf, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    r = read_table(spark, sf, "region", ["r_regionkey", "r_name"])
+    return (sup.join(n, sup.s_nationkey == n.n_nationkey, "left").join(r, n.n_regionkey == r.r_regionkey, "left")
+               .select(F.col("s_nationkey").alias("ray_practice_id"), F.lower("s_name").alias("new_slug"),
+                       F.col("n_name").alias("locality"), F.col("r_name").alias("city")))
+
+
+def id_map_from(master: DataFrame, practices: DataFrame) -> DataFrame:
     """External practice id -> first practice, slug, locality, city, ABS count, specialities.
 
     The source right-joins profile rows to practice rows on the external id
@@ -136,19 +219,12 @@ def practice_id_map(spark: SparkSession, sf: str) -> DataFrame:
     slug); the number of distinct ABS pairs is the product of the distinct
     ABS practice ids and the distinct practice rows.
     """
-    m = profile_master(spark, sf)
-    sup = read_table(spark, sf, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
-    n = read_table(spark, sf, "nation", ["n_nationkey", "n_name", "n_regionkey"])
-    r = read_table(spark, sf, "region", ["r_regionkey", "r_name"])
-    prac = (sup.join(n, sup.s_nationkey == n.n_nationkey, "left").join(r, n.n_regionkey == r.r_regionkey, "left")
-               .select(F.col("s_nationkey").alias("ray_practice_id"), F.lower("s_name").alias("new_slug"),
-                       F.col("n_name").alias("locality"), F.col("r_name").alias("city"))
-               .where(F.col("ray_practice_id").isNotNull()).distinct())
+    prac = practices.where(F.col("ray_practice_id").isNotNull()).distinct()
     prac_first = keep_first(prac, ["ray_practice_id"], ["new_slug", "locality", "city"])
     prac_n = prac.groupBy("ray_practice_id").agg(F.count(F.lit(1)).alias("_rows"))
     # one pass over the profile rows per external id: first practice, distinct
     # ABS practices, distinct specialities (a set: bounded by distinct values)
-    prof_agg = m.where(F.col("ray_practice_id").isNotNull()).groupBy("ray_practice_id").agg(
+    prof_agg = master.where(F.col("ray_practice_id").isNotNull()).groupBy("ray_practice_id").agg(
         F.min("practice_id").alias("practice_id"),
         F.count_distinct(F.when(F.col("status") == ABS_STATUS, F.col("practice_id"))).alias("_abs"),
         F.array_join(F.sort_array(F.collect_set("speciality")), "|").alias("_spec"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlens.plans import inventory, profiles, sales
@@ -25,27 +25,40 @@ from fieldlens.plans import standins as S
 from fieldlens.sinks import publish_version, write_by_month, write_csv, write_snapshot_and_latest, write_split
 
 
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame that several outputs are made of once, and read it back."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def publish_dashboard(spark: SparkSession, sf: str, out: str, as_of: str = S.AS_OF) -> dict[str, str]:
     paths = {k: os.path.join(out, k) for k in ["metrics", "orders_month", "orders_three_months", "inventory",
                                                "orders_with_contact", "teams"]}
-    write_csv(sales.q_metrics_sheet(spark, sf, as_of), paths["metrics"])
-    write_by_month(sales.q_orders_month_published(spark, sf, as_of), paths["orders_month"], "placed_date")
-    write_csv(sales.q_orders_three_month_window(spark, sf, as_of), paths["orders_three_months"])
-    write_csv(inventory.slot_inventory(spark, sf, as_of), paths["inventory"])
+    slots, places = sales.live_slots(S.slots(spark, sf)), S.slot_places(spark, sf)
+    # the cleaned three months are the base of all order outputs
+    cleaned = _staged(sales.in_period(sales.clean_orders(S.plan_orders(spark, sf)), as_of, three_months=True),
+                      os.path.join(out, "staging", "orders"))
+    month = _staged(sales.month_orders(cleaned, slots, places, as_of), os.path.join(out, "staging", "month_orders"))
+    write_csv(sales.sheet_from(month, S.roster_managers(spark, sf), S.roster_reps(spark, sf)), paths["metrics"])
+    write_by_month(sales.sales_plans(month).drop("currency", "discount"), paths["orders_month"], "placed_date")
+    write_csv(cleaned.drop("currency", "city", "discount"), paths["orders_three_months"])
+    write_csv(inventory.slot_inventory_from(slots, month, places), paths["inventory"])
     write_csv(sales.q_orders_with_contact(spark, sf), paths["orders_with_contact"])
     paths["teams"] = publish_version(sales.q_roster_sorted(spark, sf), paths["teams"], fmt="csv")
     return paths
 
 
 def publish_profiles(spark: SparkSession, sf: str, out: str, snapshot_date: str) -> dict[str, str]:
+    """The master is built once; the other outputs are read from it."""
     paths = {k: os.path.join(out, k) for k in ["profiles", "profile_mapping", "by_country", "international",
                                                "practice_id_map"]}
-    write_snapshot_and_latest(profiles.profile_master(spark, sf), paths["profiles"], snapshot_date, fmt="csv")
-    write_csv(profiles.profile_mapping(spark, sf), paths["profile_mapping"])
-    split = profiles.country_split(spark, sf)
+    master = _staged(profiles.profile_master(spark, sf), os.path.join(out, "staging", "profiles"))
+    write_snapshot_and_latest(master, paths["profiles"], snapshot_date, fmt="csv")
+    write_csv(profiles.mapping_from(master), paths["profile_mapping"])
+    split = profiles.split_from(master)
     write_split(split.drop("country_key"), paths["by_country"], F.lower(F.col("country")), name="country")
-    write_csv(profiles.international_only(spark, sf), paths["international"])
-    write_csv(profiles.practice_id_map(spark, sf), paths["practice_id_map"])
+    write_csv(profiles.international_from(master), paths["international"])
+    write_csv(profiles.id_map_from(master, profiles.slugged_practices(spark, sf)), paths["practice_id_map"])
     return paths
 
 
