@@ -16,6 +16,9 @@
 * ``literal_in_filters`` / ``regex_name_lookup`` / ``scan_active_rows`` /
   ``top_sources``: master-data lookups.
 
+The ``*_from`` functions take frames with the reports' own column names; the
+others bind them to the stand-in views.
+
 Grouping is by id *and* name (two cities sharing a name stay apart); pass
 ``merge_same_name=True`` to merge them under the smallest id instead.
 """
@@ -30,29 +33,37 @@ from fieldlens.plans import standins as S
 from fieldlens.sources.tables import read_table
 
 
-def _covered_rows(spark: SparkSession, sf: str, cities: list[int] | None = None,
-                  countries: list[int] | None = None, codes: list[str] = S.COVERAGE_CODES) -> DataFrame:
+def covered_rows(establishments: DataFrame, segments: DataFrame, modules: DataFrame, cities: DataFrame,
+                 city_ids: list[int] | None = None, country_ids: list[int] | None = None,
+                 codes: list[str] = S.COVERAGE_CODES) -> DataFrame:
     """Establishment x segment rows that pass the coverage WHERE clause, with their city.
 
     The segment and city joins are written as left joins in the source but
     the WHERE clause rejects missing segments, so the segment join is inner.
     """
-    e = S.establishments(spark, sf).alias("e")
-    es = S.segments(spark, sf).alias("es")
-    m = S.modules(spark, sf).alias("m")
-    c = S.cities(spark, sf).alias("c")
-    j = (e.join(es, F.col("e.id") == F.col("es.establishment_id"))
-          .join(m, F.col("e.module_id") == F.col("m.id"), "left")
-          .join(c, F.col("c.id") == F.col("m.city_id"), "left"))
-    cond = ((F.col("es.segment_id") == 1)
-            & (F.col("e.visit_status").isin(*codes) | F.col("e.visit_status").isNull()
-               | F.col("es.visit_status").isin(*codes))
-            & F.col("e.deleted_at").isNull())
-    if cities is not None:
-        cond = cond & F.col("c.id").isin(*cities)
-    if countries is not None:
-        cond = cond & F.col("c.country_id").isin(*countries)
-    return j.where(cond)
+    cond = ((F.col("e.visit_status").isin(*codes) | F.col("e.visit_status").isNull()
+             | F.col("es.visit_status").isin(*codes)) & F.col("e.deleted_at").isNull())
+    if city_ids is not None:
+        cond = cond & F.col("c.id").isin(*city_ids)
+    if country_ids is not None:
+        cond = cond & F.col("c.country_id").isin(*country_ids)
+    return _first_segments(establishments, segments, modules, cities).where(cond)
+
+
+def _first_segments(establishments, segments, modules, cities) -> DataFrame:
+    e, es, m, c = establishments.alias("e"), segments.alias("es"), modules.alias("m"), cities.alias("c")
+    return (e.join(es, F.col("e.id") == F.col("es.establishment_id"))
+             .join(m, F.col("e.module_id") == F.col("m.id"), "left")
+             .join(c, F.col("c.id") == F.col("m.city_id"), "left").where(F.col("es.segment_id") == 1))
+
+
+def _sources(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    return S.establishments(spark, sf), S.segments(spark, sf), S.modules(spark, sf), S.cities(spark, sf)
+
+
+def _covered_rows(spark: SparkSession, sf: str, cities: list[int] | None = None,
+                  countries: list[int] | None = None) -> DataFrame:
+    return covered_rows(*_sources(spark, sf), city_ids=cities, country_ids=countries)
 
 
 def _total_flag(codes=S.COVERAGE_CODES) -> Column:
@@ -73,43 +84,46 @@ def _city_keys(merge_same_name: bool, collation: str | None = None):
            ([F.col("c.id").alias("city_id"), F.col("c.name").alias("city")], [])
 
 
-def city_coverage(spark: SparkSession, sf: str, cities: list[int] | None = None,
-                  merge_same_name: bool = False, collation: str | None = None) -> DataFrame:
+def city_coverage_from(rows: DataFrame, merge_same_name: bool = False, collation: str | None = None) -> DataFrame:
     """``merge_same_name`` groups by name only (smallest id shown); with
     ``collation='UTF8_LCASE'`` names differing only in case merge too."""
     keys, extra = _city_keys(merge_same_name, collation)
-    rows = _covered_rows(spark, sf, cities)
     return rows.groupBy(*keys).agg(*extra, F.sum(_total_flag()).alias("total_clinics"),
                                    F.sum(_platinum_flag()).alias("platinum")) \
                .select("city_id", "city", "total_clinics", "platinum")
 
 
-def establishment_detail(spark: SparkSession, sf: str, cities: list[int] | None = None) -> DataFrame:
-    rows = _covered_rows(spark, sf, cities)
+def city_coverage(spark: SparkSession, sf: str, cities: list[int] | None = None,
+                  merge_same_name: bool = False, collation: str | None = None) -> DataFrame:
+    return city_coverage_from(_covered_rows(spark, sf, cities), merge_same_name, collation)
+
+
+def establishment_detail_from(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("c.id").alias("city_id"), F.col("c.name").alias("city"), F.col("e.id").alias("id"),
                        F.col("e.name").alias("name"), F.col("e.balance").alias("balance"),
                        F.col("e.software").alias("software"), F.col("e.visit_status").alias("visit_status"))
 
 
-def distinct_clinics(spark: SparkSession, sf: str) -> DataFrame:
+def establishment_detail(spark: SparkSession, sf: str, cities: list[int] | None = None) -> DataFrame:
+    return establishment_detail_from(_covered_rows(spark, sf, cities))
+
+
+def distinct_clinics_from(establishments: DataFrame, segments: DataFrame, modules: DataFrame, cities: DataFrame,
+                          localities: DataFrame) -> DataFrame:
     """Distinct covered establishments per city, shown on each of the city's localities."""
-    e = S.establishments(spark, sf).alias("e")
-    es = S.segments(spark, sf).alias("es")
-    m = S.modules(spark, sf).alias("m")
-    c = S.cities(spark, sf).alias("c")
-    j = (e.join(es, F.col("e.id") == F.col("es.establishment_id"))
-          .join(m, F.col("e.module_id") == F.col("m.id"), "left")
-          .join(c, F.col("c.id") == F.col("m.city_id"), "left")
-          .where(F.col("es.segment_id") == 1))
+    j = _first_segments(establishments, segments, modules, cities)
     # count(distinct case when p then id end): no ELSE, so failing rows add nothing
     per_city = j.groupBy(F.col("c.id").alias("city_id"), F.col("c.name").alias("city")).agg(
         F.count_distinct(F.when(_total_flag() == 1, F.col("e.id"))).alias("total_clinics"))
-    loc = S.localities(spark, sf)
-    out = per_city.join(loc, per_city.city_id == loc.city_id, "left")
+    out = per_city.join(localities, per_city.city_id == localities.city_id, "left")
     return out.select(per_city.city_id, "city", F.col("name").alias("locality"), "total_clinics")
 
 
-def clinic_flag_rows(spark: SparkSession, sf: str, countries: list[int] | None = None) -> DataFrame:
+def distinct_clinics(spark: SparkSession, sf: str) -> DataFrame:
+    return distinct_clinics_from(*_sources(spark, sf), S.localities(spark, sf))
+
+
+def clinic_flag_rows_from(rows: DataFrame, localities: DataFrame) -> DataFrame:
     """Row-level coverage flag per covered establishment segment.
 
     The source repeats every row once per locality of the city (the
@@ -118,8 +132,7 @@ def clinic_flag_rows(spark: SparkSession, sf: str, countries: list[int] | None =
     here each row carries its city's locality count and the first locality
     name instead; the repeated rows are recoverable by joining localities on
     the city id."""
-    rows = _covered_rows(spark, sf, countries=countries)
-    nloc = S.localities(spark, sf).groupBy(F.col("city_id").alias("_cid")).agg(
+    nloc = localities.groupBy(F.col("city_id").alias("_cid")).agg(
         F.count(F.lit(1)).alias("localities"), F.min("name").alias("first_locality"))
     j = rows.join(nloc, F.col("c.id") == F.col("_cid"), "left")
     return j.select(F.col("e.id").alias("establishment_id"), F.col("es.segment_row_id").alias("segment_row_id"),
@@ -128,24 +141,29 @@ def clinic_flag_rows(spark: SparkSession, sf: str, countries: list[int] | None =
                     _total_flag().alias("total_clinics"))
 
 
-def locality_fanout_count(spark: SparkSession, sf: str, countries: list[int] | None = None) -> DataFrame:
+def clinic_flag_rows(spark: SparkSession, sf: str, countries: list[int] | None = None) -> DataFrame:
+    return clinic_flag_rows_from(_covered_rows(spark, sf, countries=countries), S.localities(spark, sf))
+
+
+def locality_fanout_from(rows: DataFrame, localities: DataFrame) -> DataFrame:
     """City totals as the fan-out join produces them: each covered row counted
     once per locality of its city (once when the city has none)."""
-    rows = _covered_rows(spark, sf, countries=countries)
     per_city = rows.groupBy(F.col("c.id").alias("city_id"), F.col("c.name").alias("city")).agg(
         F.sum(_total_flag()).alias("_t"))
-    loc = S.localities(spark, sf)
-    nloc = loc.groupBy(F.col("city_id").alias("_cid")).agg(F.count(F.lit(1)).alias("_n"),
-                                                           F.min("name").alias("locality"))
+    nloc = localities.groupBy(F.col("city_id").alias("_cid")).agg(F.count(F.lit(1)).alias("_n"),
+                                                                  F.min("name").alias("locality"))
     j = per_city.join(nloc, per_city.city_id.eqNullSafe(nloc._cid), "left")
     return j.select("city_id", "city", "locality",
                     (F.col("_t") * F.greatest(F.coalesce(F.col("_n"), F.lit(0)), F.lit(1))).alias("total_clinics"))
 
 
-def clinics_by_locality(spark: SparkSession, sf: str) -> DataFrame:
-    cp = S.practices(spark, sf).alias("cp")
-    sml = S.localities(spark, sf).alias("sml")
-    mc = S.cities(spark, sf).alias("mc")
+def locality_fanout_count(spark: SparkSession, sf: str, countries: list[int] | None = None) -> DataFrame:
+    return locality_fanout_from(_covered_rows(spark, sf, countries=countries), S.localities(spark, sf))
+
+
+def clinics_by_locality_from(practices: DataFrame, localities: DataFrame, cities: DataFrame) -> DataFrame:
+    """Practices per sales locality, by locality name."""
+    cp, sml, mc = practices.alias("cp"), localities.alias("sml"), cities.alias("mc")
     j = (cp.join(sml, F.col("cp.sales_localities_id") == F.col("sml.id"))
            .join(mc, F.col("mc.id") == F.col("sml.city_id")))
     return j.groupBy(F.col("mc.id").alias("city_id"), F.col("mc.name").alias("city"),
@@ -153,16 +171,25 @@ def clinics_by_locality(spark: SparkSession, sf: str) -> DataFrame:
             .agg(F.count(F.col("cp.id")).alias("clinics")).orderBy("locality", "locality_id")
 
 
-def practice_count_all_localities(spark: SparkSession, sf: str) -> DataFrame:
-    csl = S.localities(spark, sf).alias("csl")
-    # pre-aggregate practices per locality, then left-join: no fan-out
-    cp = S.practices(spark, sf).groupBy("sales_localities_id").agg(F.count("id").alias("_n")).alias("cp")
+def clinics_by_locality(spark: SparkSession, sf: str) -> DataFrame:
+    return clinics_by_locality_from(S.practices(spark, sf), S.localities(spark, sf), S.cities(spark, sf))
+
+
+def practice_count_from(localities: DataFrame, practices: DataFrame) -> DataFrame:
+    """Practices of every locality, fewest first; practices are counted before
+    the join, so nothing fans out."""
+    csl = localities.alias("csl")
+    cp = practices.groupBy("sales_localities_id").agg(F.count("id").alias("_n")).alias("cp")
     j = csl.join(cp, F.col("csl.id") == F.col("cp.sales_localities_id"), "left")
     return j.select(F.coalesce(F.col("cp._n"), F.lit(0)).alias("practice_count"),
                     F.col("csl.city_id").alias("city_id"), F.col("csl.id").alias("locality_id"),
                     F.col("csl.name").alias("name")).orderBy("practice_count", "locality_id")
 
 
+def practice_count_all_localities(spark: SparkSession, sf: str) -> DataFrame:
+    return practice_count_from(S.localities(spark, sf), S.practices(spark, sf))
+
+
 # Fixed value: the country of the territory maps.
 MAP_COUNTRY = 1
 
@@ -229,11 +256,10 @@ def practice_territory_map(spark: SparkSession, sf: str, country: int = MAP_COUN
                     F.lower(F.col("epi.name")).alias("psw_email")).distinct()
 
 
-def locality_geo(spark: SparkSession, sf: str, locality_pattern: str | None = None,
-                 state_pattern: str | None = None) -> DataFrame:
-    sml = S.localities(spark, sf).alias("sml")
-    smc = S.cities(spark, sf).alias("smc")
-    sms = S.states(spark, sf).alias("sms")
+def locality_geo_from(localities: DataFrame, cities: DataFrame, states: DataFrame, locality_pattern: str | None = None,
+                      state_pattern: str | None = None) -> DataFrame:
+    """Localities with city and state, by locality name."""
+    sml, smc, sms = localities.alias("sml"), cities.alias("smc"), states.alias("sms")
     j = (sml.join(smc, F.col("smc.id") == F.col("sml.city_id"), "left")
             .join(sms, F.col("sms.id") == F.col("smc.state_id"), "left"))
     if locality_pattern:
@@ -244,6 +270,11 @@ def locality_geo(spark: SparkSession, sf: str, locality_pattern: str | None = No
                     F.col("sms.name").alias("state")).orderBy("locality")
 
 
+def locality_geo(spark: SparkSession, sf: str, locality_pattern: str | None = None,
+                 state_pattern: str | None = None) -> DataFrame:
+    return locality_geo_from(S.localities(spark, sf), S.cities(spark, sf), S.states(spark, sf), locality_pattern, state_pattern)
+
+
 # The owner role and team the hierarchy listing is for.
 OWNER_ROLE, OWNER_TEAM = "SALES", 7
 
@@ -268,10 +299,10 @@ def _salesregions(spark, sf):
                     F.when(F.col("n_regionkey") < 4, F.lit(7)).otherwise(F.lit(9)).alias("team_id"))
 
 
-def region_owner_listing(spark: SparkSession, sf: str, role: str = OWNER_ROLE, team: int = OWNER_TEAM) -> DataFrame:
+def region_owner_listing_from(owners: DataFrame, users: DataFrame, regions: DataFrame, role: str, team: int) -> DataFrame:
     """Who owns which region.  The source selects two columns twice under one
     name; the second copy gets a ``_ref`` suffix so the result can be written."""
-    cso, eu, csr = _owners(spark, sf).alias("cso"), _users(spark, sf).alias("eu"), _salesregions(spark, sf).alias("csr")
+    cso, eu, csr = owners.alias("cso"), users.alias("eu"), regions.alias("csr")
     j = (cso.join(eu, F.col("cso.user_id") == F.col("eu.user_pk"), "left")
             .join(csr, F.col("csr.id") == F.col("cso.region_id"), "left")
             .where((F.col("cso.role") == role) & (F.col("csr.team_id") == team)))
@@ -282,6 +313,10 @@ def region_owner_listing(spark: SparkSession, sf: str, role: str = OWNER_ROLE, t
                     F.col("csr.parent_id").alias("parent_geo_location"), F.col("csr.team_id").alias("team"))
 
 
+def region_owner_listing(spark: SparkSession, sf: str, role: str = OWNER_ROLE, team: int = OWNER_TEAM) -> DataFrame:
+    return region_owner_listing_from(_owners(spark, sf), _users(spark, sf), _salesregions(spark, sf), role, team)
+
+
 def salesregion_listing(spark: SparkSession, sf: str, team: int = OWNER_TEAM) -> DataFrame:
     return _salesregions(spark, sf).where(F.col("team_id") == team)
 

@@ -165,3 +165,32 @@ def test_publish_jobs_write_every_output(spark, tmpdir_path):
     assert spark.read.option("header", True).csv(d["metrics"]).count() > 0
     assert any(n.startswith("country=") for n in os.listdir(p["by_country"]))
     assert os.path.basename(d["teams"]) == "v=1"
+
+
+def test_reports_run_on_plain_frames(spark):
+    """Coverage and lookup reports on frames with the source's column names."""
+    e = spark.createDataFrame([(1, "e1", 10, 5.0, "x", None, None), (2, "e2", 10, 5.0, "x", "PC", None), (3, "e3", 11, 5.0, "x", "PC", "gone")],
+                              "id int, name string, module_id int, balance double, software string, visit_status string, deleted_at string")
+    es = spark.createDataFrame([(1, 100, 1, "PC"), (2, 101, 1, "XX"), (2, 102, 2, "PC"), (3, 103, 1, "PC")],
+                               "establishment_id int, segment_row_id int, segment_id int, visit_status string")
+    m = spark.createDataFrame([(10, 7), (11, 8)], "id int, city_id int")
+    c = spark.createDataFrame([(7, "Seven", 1, 1), (8, "Eight", 1, 1)], "id int, name string, country_id int, state_id int")
+    loc = spark.createDataFrame([(70, "l70", 7), (71, "l71", 7), (72, "l72", 9)], "id int, name string, city_id int")
+    rows = coverage.covered_rows(e, es, m, c)
+    assert [(r.city, r.total_clinics, r.platinum) for r in coverage.city_coverage_from(rows).collect()] == [("Seven", 1, 2)]
+    assert sorted(r.id for r in coverage.establishment_detail_from(rows).collect()) == [1, 2]
+    assert coverage.covered_rows(e, es, m, c, city_ids=[8]).count() == 0
+    got = sorted((r.city, r.locality, r.total_clinics) for r in coverage.distinct_clinics_from(e, es, m, c, loc).fillna("-").collect())
+    assert got == [("Eight", "-", 0), ("Seven", "l70", 1), ("Seven", "l71", 1)]
+    assert [r.total_clinics for r in coverage.locality_fanout_from(rows, loc).collect()] == [2]
+    assert {(r.establishment_id, r.localities) for r in coverage.clinic_flag_rows_from(rows, loc).collect()} == {(1, 2), (2, 2)}
+    cp = spark.createDataFrame([(1, 71), (2, 71), (3, 70), (4, None)], "id int, sales_localities_id int")
+    assert [(r.locality, r.clinics) for r in coverage.clinics_by_locality_from(cp, loc, c).collect()] == [("l70", 1), ("l71", 2)]
+    assert [(r.name, r.practice_count) for r in coverage.practice_count_from(loc, cp).collect()] == [("l72", 0), ("l70", 1), ("l71", 2)]
+    st = spark.createDataFrame([(1, "State")], "id int, name string")
+    assert [tuple(r) for r in coverage.locality_geo_from(loc, c, st).collect()] == [
+        ("l70", "Seven", "State"), ("l71", "Seven", "State"), ("l72", None, None)]
+    own = spark.createDataFrame([(1, 7, 5, "SALES"), (2, 8, 5, "OTHER")], "id int, region_id int, user_id int, role string")
+    users = spark.createDataFrame([(5, "m@x", "M", "c")], "user_pk int, email string, name string, city string")
+    reg = spark.createDataFrame([(7, 2, 1, "R", 7)], "id int, salesregion_type_id int, parent_id int, name string, team_id int")
+    assert [(r.owner_email, r.geo_location) for r in coverage.region_owner_listing_from(own, users, reg, "SALES", 7).collect()] == [("m@x", "R")]
