@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlens.llm.ordering import bucket_count, key_bucket, running_sum, shuffle_key
-from fieldlens.llm.runtime import attach, checkpoint
+from fieldlens.llm.runtime import attach, checkpoint, shielded
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -59,10 +59,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     Rows of one id are ordered by size and text, so repeated rows change
     places only with their equals and reruns agree.  Input columns called like
     an output column are replaced.  An empty table gives an empty result."""
-    added = ["size", "source_size", "target", "copies", "taken"]
-    kept = [c for c in docs.columns if c not in added]
+    away, back = shielded(docs, ["size", "source_size", "target", "copies", "taken"])
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(source_col).alias("source"),
+        *away, F.col(source_col).alias("source"),
         word_count(F.col(text_col)).alias("size"), shuffle_key(F.col(id_col), seed).alias("key"),
         F.xxhash64(text_col).alias("text_hash"))
     # The narrow form serves all planning; text moves once, in the last step.
@@ -105,7 +104,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     fits = (F.col("size") > 0) & (F.col("target") > 0)
     count = F.when(fits, sum((taken_copy(e) for e in range(max_epochs)), F.lit(0))).otherwise(0).cast("int")
     return queued(rows).withColumn("copies", count).select(
-        "row.*", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+        *back, "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def take(docs: DataFrame, **options) -> DataFrame:

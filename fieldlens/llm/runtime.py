@@ -6,7 +6,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -50,6 +50,15 @@ def skew_join(rows: DataFrame, summary: DataFrame, on: list[str]) -> DataFrame:
     return left.join(right, [f"__{c}" for c in on]).drop(*[f"__{c}" for c in on])
 
 
+def shielded(docs: DataFrame, replaced: list[str]) -> tuple[list[Column], list[Column]]:
+    """Input columns under names that cannot clash, and those names turned
+    back, without the ``replaced`` ones.  Columns stay separate, so Catalyst
+    still prunes the ones that nobody asks for."""
+    kept = [c for c in docs.columns if c not in replaced]
+    away = [F.col(f"`{c}`").alias(f"__in_{i}") for i, c in enumerate(kept)]
+    return away, [F.col(f"__in_{i}").alias(c) for i, c in enumerate(kept)]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
