@@ -77,11 +77,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
-def read_jdbc_table(spark: SparkSession, url: str, table: str, props: dict,
-                    partition_column: str | None = None, lower: int | None = None,
-                    upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
-    """Parallel JDBC extract: one range query per partition on ``partition_column``."""
-    if partition_column is None:
-        return spark.read.jdbc(url, table, properties=props)
-    return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower,
-                           upperBound=upper, numPartitions=num_partitions, properties=props)
+def jdbc_options(url: str, table: str, columns: list[str] | None = None, where: str | None = None,
+                 partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
+                 num_partitions: int | None = None) -> dict[str, str]:
+    """Reader options of a parallel extract.  Columns and filter are part of
+    the query that the database runs; the partition column must be among the
+    columns, its range is read as ``num_partitions`` queries."""
+    source = table
+    if columns or where:
+        source = f"(SELECT {', '.join(columns) if columns else '*'} FROM {table}" + (f" WHERE {where}" if where else "") + ") extract"
+    options = {"url": url, "dbtable": source}
+    if partition_column is not None:
+        if columns and partition_column not in columns:
+            raise ValueError(f"partition column {partition_column} is not among the columns")
+        options |= {"partitionColumn": partition_column, "lowerBound": str(lower), "upperBound": str(upper),
+                    "numPartitions": str(num_partitions)}
+    return options
+
+
+def read_jdbc_table(spark: SparkSession, url: str, table: str, props: dict, **extract) -> DataFrame:
+    """Parallel JDBC extract (see ``jdbc_options``)."""
+    return spark.read.format("jdbc").options(**props, **jdbc_options(url, table, **extract)).load()

@@ -146,3 +146,13 @@ def test_latest_has_the_snapshots_own_columns(spark, tmpdir_path, fmt):
     latest = spark.read.format(fmt).option("header", True).load(os.path.join(base, "latest"))
     assert latest.columns == ["a", "b", "new"] and [str(v) for v in latest.first()] == ["1", "2", "n"]
     assert set(os.listdir(os.path.join(base, "snapshots"))) >= {"snapshot_date=2016-03-02", "snapshot_date=2016-03-03"}
+
+
+def test_jdbc_options_push_columns_and_filter_down():
+    from fieldlens.sources.tables import jdbc_options
+    assert jdbc_options("jdbc:x", "t") == {"url": "jdbc:x", "dbtable": "t"}
+    got = jdbc_options("jdbc:x", "t", ["id", "name"], "deleted_at IS NULL", "id", 1, 900, 9)
+    assert got == {"url": "jdbc:x", "dbtable": "(SELECT id, name FROM t WHERE deleted_at IS NULL) extract", "partitionColumn": "id",
+                   "lowerBound": "1", "upperBound": "900", "numPartitions": "9"}
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x", "t", ["name"], partition_column="id", lower=1, upper=2, num_partitions=1)
