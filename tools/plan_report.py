@@ -35,10 +35,10 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     out = sys.argv[2] if len(sys.argv) > 2 else os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     from fieldlens.session import build_session
-    import __spark_entry__ as E
+    from fieldlens.plans.registry import QUERIES
     spark = build_session(shuffle_partitions=8)
     rows = []
-    for k, fn in E.queries().items():
+    for k, fn in QUERIES.items():
         df = fn(spark, sf)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
