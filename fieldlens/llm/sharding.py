@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.llm.ordering import bucket_count, key_bucket, running_sum, shuffle_key
-from fieldlens.llm.runtime import attach, checkpoint
+from fieldlens.llm.runtime import attach, checkpoint, shielded
 
 
 def interleave(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text",
@@ -25,9 +25,9 @@ def interleave(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_c
     their equals and reruns agree.  Fewer rows than shards leave shards empty;
     an empty table gives an empty result.  Input columns called like an output
     column are replaced."""
-    kept = [c for c in docs.columns if c not in ("shard", "slot")]
+    away, back = shielded(docs, ["shard", "slot"])
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(source_col).alias("source"),
+        *away, F.col(source_col).alias("source"),
         shuffle_key(F.col(id_col), seed).alias("key"), F.xxhash64(text_col).alias("text_hash"),
         F.lit(1).cast("long").alias("one"))
     counts = checkpoint(rows.groupBy("source").agg(F.sum("one").alias("source_rows")))
@@ -42,4 +42,4 @@ def interleave(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_c
     shard = F.expr(f"(position * {shards}) div {max(1, total)}")
     first = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")
     return (placed.withColumn("shard", shard).withColumn("slot", F.col("position") - first)
-            .select("row.*", F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot")))
+            .select(*back, F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot")))
