@@ -38,7 +38,7 @@ BASE = Rule("base", "n_words < 20 OR 100 * n_repeat_words > 30 * n_words")
 RULES = (
     Rule("symbols", "10 * n_symbols > 3 * n_words"),
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 15 * n_words"),
-    Rule("repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
+    Rule("repeated_lines", "n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines"),
     Rule("capitals", "length(regexp_replace(body, '[^A-Za-z]', '')) >= 20 AND "
                      "2 * length(regexp_replace(body, '[^A-Z]', '')) > length(regexp_replace(body, '[^A-Za-z]', ''))"),
     Rule("stutter", "5 * size(filter(words, (w, i) -> i > 0 AND w = words[i - 1])) > n_words"),

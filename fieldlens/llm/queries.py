@@ -124,7 +124,7 @@ SQL: dict[str, str] = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT (base_failed OR 10 * n_symbols > 3 * n_words
                     OR word_chars < 2 * n_words OR word_chars > 15 * n_words
-                    OR 10 * n_dup_lines > 3 * n_lines
+                    OR (n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines)
                     OR (letters >= 20 AND 2 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > letters)
                     OR 5 * len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) > n_words
                     OR 2 * len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) < n_words) AS kept
