@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.llm.runtime import checkpoint
+from fieldlens.llm.runtime import checkpoint, skew_join
 from fieldlens.llm.words import Words, sliding_min, text_runs
 
 
@@ -211,7 +211,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = (reached.groupBy("minimiser").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n"))
               .where("low < high").select("minimiser", (F.col("n") > hot_bucket).alias("hot")))
     number = lambda hot: F.collect_set(F.when(F.col("hot") == F.lit(hot), F.col("number")))
-    wanted = checkpoint(reached.join(shared, "minimiser").groupBy("doc", "digest")
+    wanted = checkpoint(skew_join(reached, shared, ["minimiser"]).groupBy("doc", "digest")
                         .agg(number(False).alias("cold"), number(True).alias("hot")))
 
     def with_text(column: str) -> DataFrame:
@@ -228,7 +228,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                .mapInArrow(_hot_windows(window, anchor), "hi long, lo long, doc long, digest long, start int"))
         hot = checkpoint(hot)
         low = hot.groupBy("hi", "lo").agg(F.min("doc").alias("low"))
-        ranges = ranges.union(hot.join(low, ["hi", "lo"]).where("doc > low").select(
+        ranges = ranges.union(skew_join(hot, low, ["hi", "lo"]).where("doc > low").select(
             "doc", "digest", F.col("start").alias("first"), (F.col("start") + window).alias("last")))
     both = F.shiftleft(F.col("first").cast("long"), 32).bitwiseOR(F.col("last").cast("long"))
     gone = ranges.groupBy("doc", "digest").agg(F.collect_set(both).alias("ranges"))
