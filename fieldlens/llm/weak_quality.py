@@ -22,15 +22,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from fieldlens.llm.runtime import checkpoint
-from fieldlens.llm.words import Words, text_runs
+from fieldlens.llm.words import Words, mix64, text_runs
 
 ABSTAIN, GOOD, BAD = 0, 1, 2
-_HASH_BITS = 30  # word features; measures get ids above
+_HASH_BITS = 30  # word features; measures get ids above, word beginnings from _STEMS on
+_STEMS = 1 << 31
+_STEM_BYTES = 6
 _SYMBOLS = np.isin(np.arange(256), [ord(c) for c in "#*$%&|<>!"])
 _PUNCTUATION = np.array([0x20 < b < 0x7F and not chr(b).isalnum() for b in range(256)])
 _UPPER = (np.arange(256) >= 0x41) & (np.arange(256) <= 0x5A)
@@ -68,12 +70,12 @@ def measures(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     def again(k: int) -> np.ndarray:
         grams = words.shingles(k)
         whole = np.flatnonzero(words.row[:len(grams)] == words.row[k - 1:k - 1 + len(grams)])
-        grams, row = grams[whole], words.row[whole]
-        order = np.lexsort((grams, row))
-        seen = np.zeros(len(grams), dtype=bool)
-        seen[1:] = (grams[order][1:] == grams[order][:-1]) & (row[order][1:] == row[order][:-1])
-        edges = np.searchsorted(row, np.arange(len(n) + 1))
-        return share(per_row(seen, edges), np.diff(edges))
+        row = words.row[whole]
+        # one sortable number per sequence: its hash above, its row below
+        bits = np.uint64(max(1, int(len(n)).bit_length()))
+        keys = np.sort((grams[whole] << bits) | row.astype(np.uint64))
+        seen = keys[1:][keys[1:] == keys[:-1]] & ((np.uint64(1) << bits) - np.uint64(1))
+        return share(np.bincount(seen.astype(np.int64), minlength=len(n)), np.bincount(row, minlength=len(n)))
 
     size = np.diff(offsets)
     shares = np.stack([
@@ -84,14 +86,21 @@ def measures(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def features(data: np.ndarray, offsets: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, feature id), each pair once: hashed normalised words, and the
-    steps that each measure reaches (ids above the hash space)."""
+    """(row, feature id), each pair once: hashed normalised words, hashed
+    beginnings of longer words (a stem in many inflections), and the steps
+    that each measure reaches."""
     words = Words(data, offsets, normalise=True)
     ids = (words.hash >> np.uint64(64 - _HASH_BITS)).astype(np.int64)
     reached = shares[:, :, None] >= (np.arange(1, 10) / 10) ** 2  # steps of the square root
     at, measure, step = np.nonzero(reached)
     steps = (1 << _HASH_BITS) + 10 * measure + step
-    both = np.unique((np.concatenate([words.row, at]) << np.int64(32)) | np.concatenate([ids, steps]))
+    long = np.flatnonzero(words.end - words.start > _STEM_BYTES)
+    begin = words.start[long]
+    stem = np.zeros(len(long), dtype=np.uint64)
+    for k in range(_STEM_BYTES):
+        stem = (stem << np.uint64(8)) | words.data[begin + k].astype(np.uint64)
+    stems = _STEMS + (mix64(stem) >> np.uint64(64 - _HASH_BITS)).astype(np.int64)
+    both = np.unique((np.concatenate([words.row, words.row[long], at]) << np.int64(32)) | np.concatenate([ids, stems, steps]))
     return both >> 32, both & 0xFFFFFFFF
 
 
@@ -177,7 +186,7 @@ def estimate(patterns: dict[int, int], labellers: int, rounds: int = 200) -> dic
     return dict(zip(codes.tolist(), bad.tolist()))
 
 
-def train(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 40) -> tuple[np.ndarray, float]:
+def train(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds: int = 40) -> tuple[np.ndarray, float]:
     """Ridge logistic regression on soft labels by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
@@ -217,6 +226,11 @@ def _clean_labels(labels: DataFrame, id_col: str) -> DataFrame:
             .where("doc is not null").groupBy("doc").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic")))
 
 
+def _is_word(feature: Column) -> Column:
+    """Whether a feature is a word or a beginning of one, not a measure."""
+    return (feature < (1 << _HASH_BITS)) | (feature >= _STEMS)
+
+
 def _chosen(counts: DataFrame, totals: tuple[float, float], limit: int) -> dict[int, float]:
     """Features with the highest chi-squared by (bad, good) row weights: words
     that nearly only bad rows have, and measure steps that speak for either."""
@@ -227,7 +241,7 @@ def _chosen(counts: DataFrame, totals: tuple[float, float], limit: int) -> dict[
     a, b = F.col("bad"), F.col("good")
     cross = a * good - b * bad
     chi2 = n * cross * cross / (bad * good * (a + b) * (F.lit(n) - a - b + 1e-9))
-    found = counts.where((a >= _PRECISION * (a + b)) | (F.col("id") >= (1 << _HASH_BITS)))
+    found = counts.where((a >= _PRECISION * (a + b)) | ~_is_word(F.col("id")))
     found = found.select("id", chi2.alias("chi2")).where(F.col("chi2") >= _CHI2)
     return {r["id"]: r["chi2"] for r in found.orderBy(F.desc("chi2"), "id").limit(limit).collect()}
 
@@ -279,7 +293,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         sample = sample.withColumn("nth", first).where("nth = 1").drop("nth")
     sample = checkpoint(sample)
     marked = sample.where("toxic is not null")
-    by_word = marked.select("toxic", F.explode("ids").alias("id")).where(F.col("id") < (1 << _HASH_BITS)).groupBy("id").agg(
+    by_word = marked.select("toxic", F.explode("ids").alias("id")).where(_is_word(F.col("id"))).groupBy("id").agg(
         F.sum("toxic").cast("double").alias("bad"), F.sum(1 - F.col("toxic")).cast("double").alias("good"))
     totals = marked.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum(1 - F.col("toxic")), F.lit(0))).first()
     strong = _chosen(by_word, totals, max_features)
