@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.llm.components import components
-from fieldlens.llm.runtime import checkpoint
+from fieldlens.llm.runtime import checkpoint, skew_join
 
 _BLOCK = 1 << 16
 
@@ -215,7 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = (distinct.join(stars, distinct.fp == stars.node, "left")
               .select("fp", "low", F.coalesce("root", "fp").alias("root")))
     named = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = rooted.join(named, "root").select("fp", "root", "component_id")
+    classes = skew_join(rooted, named, ["root"]).select("fp", "root", "component_id")
     return prints.join(classes, "fp").select("doc_id", "digest", "fp", "root", "component_id")
 
 
