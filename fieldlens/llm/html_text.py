@@ -31,6 +31,7 @@ _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "
            **{t: ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}) for t in ("thead", "tbody", "tfoot")}}
 _HIDDEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
+_UNFINISHED = re.compile(r"<[A-Za-z/!?]")
 _MAX_DEPTH = 200  # deeper elements are laid out as parts of their ancestor
 
 
@@ -217,10 +218,25 @@ def _rows(node: Node) -> Iterator[Node]:
                 yield child
 
 
+def _misplaced(node: Node) -> Node:
+    """What stands in a table but in no cell; browsers show it before the table."""
+    out = Node("div")
+    for child in node.children:
+        if isinstance(child, str):
+            out.children.append(child)
+        elif child.tag in ("thead", "tbody", "tfoot", "tr"):
+            if visible(child):
+                inner = _misplaced(child)
+                out.children += inner.children if child.tag != "tr" else [c for c in inner.children if isinstance(c, str)]
+        elif node.tag != "tr" and child.tag not in ("td", "th", "caption", "colgroup", "col"):
+            out.children.append(child)
+    return out
+
+
 def _table(node: Node) -> list[str]:
     """Rows of a table; cells of a column begin at one position.  A cell of
     several lines (or a nested table) keeps them, below each other."""
-    lines: list[str] = []
+    lines: list[str] = _inner(_misplaced(node))
     grid: list[list[list[str]]] = []
     for row in _rows(node):
         if row.tag == "caption":
@@ -244,7 +260,10 @@ def _table(node: Node) -> list[str]:
 def visible_text(html: str) -> str:
     """All text that a browser would show of a page, with its layout."""
     builder = TreeBuilder()
-    builder.feed(html)
+    # after the last ">" no tag can end: an unfinished one hides the rest
+    end = html.rfind(">") + 1
+    rest = _UNFINISHED.split(html[end:], maxsplit=1)[0]
+    builder.feed(html[:end] + rest)
     builder.close()
     out = Renderer()
     out.render(builder.root)

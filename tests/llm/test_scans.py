@@ -102,6 +102,17 @@ def test_html_deep_text_is_kept():
     assert html_text.visible_text("<div>" * 3000 + "deep") == "deep"
 
 
+def test_html_text_outside_of_cells_is_kept():
+    page = "<table>stray <b>words</b><tr>more<td>a<td>bb<tbody><div>block</div><tr><td>cc<td>d</table>"
+    assert html_text.visible_text(page) == "stray wordsmore\nblock\na   bb\ncc  d"
+    assert html_text.visible_text("<table><tr><td>" * 1000 + "x").endswith("x")
+
+
+def test_html_unfinished_tags_cost_linear_time():
+    assert html_text.visible_text("<p>a < b" + "<a " * 100_000) == "a < b"
+    assert html_text.visible_text("x > y" + "<" * 50_000).startswith("x > y")
+
+
 def test_html_frame(spark):
     df = spark.createDataFrame([(1, None, "<p>x"), (2, "u", None), (2, "u", None), (None, "u", ""), (4, "u", "<td>é</td>")],
                                "page_id long, text string, html string")
