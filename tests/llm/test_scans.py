@@ -44,6 +44,13 @@ def test_pii_odd_texts(spark):
     assert pii.find_pii(frame(spark, ["t"]).limit(0)).count() == 0
 
 
+def test_pii_addresses_with_zero_parts(spark):
+    texts = ["10.0.0.1", "host 0.0.0.0 up", "1.2.3.00", "192.168.0.1, 127.0.0.1", "000.00.0.0255", "0.0.0.256", "0.0.0.", "0..0.0", "09.99.100.0249"]
+    for r in pii.find_pii(frame(spark, texts)).collect():
+        assert [(p.kind, p.start, p.end) for p in r.pii if p.kind == "ip"] == [w for w in brute.pii(r.text) if w[0] == "ip"]
+        assert len(r.pii) == (1, 1, 1, 2, 1, 0, 0, 0, 1)[r.doc_id]
+
+
 def test_pii_validators_and_context(spark):
     texts = ["IBAN GB82 WEST 1234 5698 7654 32 ok DE89370400440532013000 and GB82 WEST 1234 5698 7654 33",
              "ssn 123-45-6789, then a long way off from any hint at all, 123-45-6789", "666-12-1234 ssn",
