@@ -334,11 +334,12 @@ def _scorer(spark: SparkSession, sample: DataFrame, soft: dict[int, float], limi
     none = Scorer(np.zeros(0, np.int64), np.zeros(0), -5.0)
     if not soft:
         return none
-    bad = sum(soft.values())
     labelled = sample.join(F.broadcast(spark.createDataFrame(list(soft.items()), "doc long, p double")), "doc")
     counts = labelled.select("p", F.explode("ids").alias("id")).groupBy("id").agg(
         F.sum("p").alias("bad"), F.sum(1 - F.col("p")).alias("good"))
-    ids = sorted(_chosen(counts, (bad, len(soft) - bad), limit))
+    # copies left the sample: totals and counts are of the rows that stayed
+    totals = labelled.agg(F.coalesce(F.sum("p"), F.lit(0.0)), F.coalesce(F.sum(1 - F.col("p")), F.lit(0.0))).first()
+    ids = sorted(_chosen(counts, totals, limit))
     if not ids:
         return none
     weights, bias = train(*_matrix(labelled, "p", ids))

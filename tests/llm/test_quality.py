@@ -77,6 +77,17 @@ def test_classifier_on_held_out_labels(spark):
     assert np.mean(clean) > 0.98 and np.mean(junk) < 0.05 and np.mean(toxic) < 0.12
 
 
+def test_dropped_copies_do_not_weaken_the_words_of_the_rest(spark):
+    """A word of 20 of 100 bad rows and no good one; 2666 copies of another
+    bad text were picked but are not in the sample."""
+    rows = [(i, [7] if i < 20 else [8 if i >= 100 else 9]) for i in range(5334)]
+    sample = spark.createDataFrame(rows, "doc long, ids array<long>")
+    soft = {i: float(i < 100 or i >= 5334) for i in range(8000)}
+    scorer = weak_quality._scorer(spark, sample, soft, 1024)
+    assert 7 in scorer.ids.tolist()
+    assert scorer(np.array([0]), np.array([7]), 1)[0] > 0.5
+
+
 def test_classifier_odd_tables(spark):
     docs = spark.createDataFrame([(1, None, "k"), (2, "", "k"), (None, CLEAN, None), (3, CLEAN, "k"), (3, CLEAN, "k"), (4, "w " * 50_000, "k")],
                                  "doc_id long, text string, kept string")
