@@ -43,8 +43,8 @@ MEASURES = (("symbols", 0.01, 0.05), ("marked words", 0.05, 0.3), ("punctuation"
 #: question -> the measures whose labellers vote on it
 QUESTIONS = {"marks": (0, 1, 2, 3), "repetition": (4, 5, 6), "toxic": ()}
 #: distinct lexicon words: (vote bad from, lexicon) -- any word, and two of the surest
-_SURE = 90.0
-_CHI2 = 45.0  # a word enters the lexicon, a feature the scorer, from this chi-squared on
+_FALSE, _SURE = 0.003, 1e-5  # most chance finds among the chosen words, and among the surest of them
+_CHI2 = 10.83  # a measure step enters the scorer from this chi-squared on (one in a thousand by chance)
 _PRECISION = 0.8  # least share of bad rows among those with a word
 
 
@@ -231,9 +231,44 @@ def _is_word(feature: Column) -> Column:
     return (feature < (1 << _HASH_BITS)) | (feature >= _STEMS)
 
 
-def _chosen(counts: DataFrame, totals: tuple[float, float], limit: int) -> dict[int, float]:
-    """Features with the highest chi-squared by (bad, good) row weights: words
-    that nearly only bad rows have, and measure steps that speak for either."""
+def _chance_shares(pairs: dict[tuple[int, int], int], bad: int, n: int) -> dict[tuple[int, int], float]:
+    """Estimated share of chance finds among the words that speak for bad rows
+    at least as clearly as one of ``t`` rows, ``a`` of them bad; ``pairs`` has
+    the number of words by (a, t).
+
+    Were ``bad`` of ``n`` rows dealt at random, a word's bad rows would be
+    hypergeometric.  The tails of all words, rare ones with the few tails that
+    they can have, give the number that chance brings below a p-value; so there
+    is no fixed count that a word has to reach."""
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n + 1)))])
+    choose = lambda m, k: logs[m] - logs[k] - logs[m - k]
+    words_of: dict[int, int] = {}
+    for (_, t), words in pairs.items():
+        words_of[t] = words_of.get(t, 0) + words
+    limits = 10.0 ** np.arange(-30, -0.99, 0.1)
+    expected, p_value = np.zeros(len(limits)), {}
+    for t, words in words_of.items():
+        k = np.arange(max(0, t - (n - bad)), min(t, bad) + 1)
+        tails = np.cumsum(np.exp(choose(bad, k) + choose(n - bad, t - k) - choose(n, t))[::-1])
+        tails = tails[:int((k >= _PRECISION * t).sum())]  # ascending: all bad first
+        if len(tails):
+            at = np.searchsorted(tails, limits, side="right")
+            expected += words * np.where(at > 0, tails[np.maximum(at, 1) - 1], 0.0)
+            p_value.update({(int(k[-1 - i]), t): float(p) for i, p in enumerate(tails.tolist())})
+    found = {pair: max(p_value[pair], float(limits[0])) for pair in pairs if pair in p_value and p_value[pair] <= limits[-1]}
+    upto = np.zeros(len(limits))
+    for pair, p in found.items():
+        upto += pairs[pair] * (limits >= p)
+    share = np.minimum.accumulate((expected / np.maximum(upto, 1))[::-1])[::-1]
+    return {pair: float(share[np.searchsorted(limits, p)]) for pair, p in found.items()}
+
+
+def _chosen(counts: DataFrame, totals: tuple[float, float], limit: int, fill: bool = False) -> dict[int, float]:
+    """Features that tell bad from good rows by (bad, good) row weights, with
+    their estimated share of chance finds: words that nearly only bad rows have,
+    and measure steps that speak for either; of more than ``limit`` those with
+    the highest chi-squared.  If no word stands out, no word is among them, or with
+    ``fill`` all that nearly only bad rows have."""
     bad, good = (float(t) for t in totals)
     n = bad + good
     if bad <= 0 or good <= 0:
@@ -241,9 +276,18 @@ def _chosen(counts: DataFrame, totals: tuple[float, float], limit: int) -> dict[
     a, b = F.col("bad"), F.col("good")
     cross = a * good - b * bad
     chi2 = n * cross * cross / (bad * good * (a + b) * (F.lit(n) - a - b + 1e-9))
-    found = counts.where((a >= _PRECISION * (a + b)) | ~_is_word(F.col("id")))
-    found = found.select("id", chi2.alias("chi2")).where(F.col("chi2") >= _CHI2)
-    return {r["id"]: r["chi2"] for r in found.orderBy(F.desc("chi2"), "id").limit(limit).collect()}
+    whole = counts.select("id", "bad", "good", chi2.alias("chi2"), F.round(a).cast("int").alias("a"), F.round(a + b).cast("int").alias("t"))
+    words = whole.where(_is_word(F.col("id")))
+    pairs = {(r["a"], r["t"]): r["n"] for r in words.groupBy("a", "t").agg(F.count("*").alias("n")).collect()}
+    shares = [(*pair, share) for pair, share in _chance_shares(pairs, round(bad), round(n)).items() if share <= _FALSE]
+    precise = words.where(a >= _PRECISION * (a + b))
+    passing = F.broadcast(counts.sparkSession.createDataFrame(shares, "a int, t int, share double"))
+    found = precise.join(passing, ["a", "t"]).select("id", "chi2", "share").union(
+        whole.where(~_is_word(F.col("id")) & (F.col("chi2") >= _CHI2)).select("id", "chi2", F.lit(0.0).alias("share")))
+    best = lambda rows: {r["id"]: r["share"] for r in rows.orderBy(F.desc("chi2"), "id").limit(limit).collect()}
+    if fill and not shares:
+        found = found.union(precise.select("id", "chi2", F.lit(1.0)))
+    return best(found)
 
 
 def _matrix(sample: DataFrame, value: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -263,8 +307,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     Null texts and texts without words are junk; rows with a null id take part
     unlabelled; a repeated id is fitted once, by its smallest text.  Without
-    labels, or with only one class of them, the lexicon stays empty and no row
-    is called toxic; without documents every score is the constant 0.5 or less."""
+    toxic labels no row is called toxic; if no word stands out in the labelled
+    toxic rows, the lexicon stays empty and the scorer learns from these rows
+    alone; without documents every score is the constant 0.5 or less."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     known = checkpoint(_clean_labels(labels, id_col))
@@ -298,7 +343,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     totals = marked.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum(1 - F.col("toxic")), F.lit(0))).first()
     strong = _chosen(by_word, totals, max_features)
     lexicon = Lexicon(np.array(sorted(strong), dtype=np.int64),
-                      np.array(sorted(i for i, c in strong.items() if c >= _SURE), dtype=np.int64))
+                      np.array(sorted(i for i, c in strong.items() if c <= _SURE), dtype=np.int64))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,7 +363,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             patterns[q][r[q]] = patterns[q].get(r[q], 0) + r["count"]
     posterior = {q: estimate(patterns[q], (len(used) or 3) + 1) for q, used in QUESTIONS.items()}
     if not len(lexicon.words):
-        posterior["toxic"] = dict.fromkeys(posterior["toxic"], 0.0)
+        posterior["toxic"] = {code: float(code % 3 == BAD) for code in posterior["toxic"]}  # what people said is all there is
 
     own = ballots.join(F.broadcast(picked.select("doc")), "doc").groupBy("doc").agg(*[F.max(q).alias(q) for q in QUESTIONS])
     soft: dict[str, dict[int, float]] = {"junk": {}, "toxic": {}}
@@ -339,7 +384,7 @@ def _scorer(spark: SparkSession, sample: DataFrame, soft: dict[int, float], limi
         F.sum("p").alias("bad"), F.sum(1 - F.col("p")).alias("good"))
     # copies left the sample: totals and counts are of the rows that stayed
     totals = labelled.agg(F.coalesce(F.sum("p"), F.lit(0.0)), F.coalesce(F.sum(1 - F.col("p")), F.lit(0.0))).first()
-    ids = sorted(_chosen(counts, totals, limit))
+    ids = sorted(_chosen(counts, totals, limit, fill=True))
     if not ids:
         return none
     weights, bias = train(*_matrix(labelled, "p", ids))

@@ -88,6 +88,22 @@ def test_dropped_copies_do_not_weaken_the_words_of_the_rest(spark):
     assert scorer(np.array([0]), np.array([7]), 1)[0] > 0.5
 
 
+def test_few_toxic_labels_still_count(spark):
+    """Five toxic labels in 87 whose rows share words, and a single one."""
+    rng = np.random.default_rng(11)
+    texts = [" ".join(f"w{int(x)}" for x in rng.integers(0, 400, 60)) for _ in range(200)]
+    for i in (3, 17, 40, 61, 80, 120, 150):
+        texts[i] += " vileword nastything"
+    texts[3] += " " + " ".join(f"own{i}" for i in range(16))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for toxic, more in (({3, 17, 40, 61, 80}, {120, 150}), ({3}, set())):
+        labels = spark.createDataFrame([(i, 1, int(i in toxic)) for i in range(87) if i in toxic or i not in (3, 17, 40, 61, 80)],
+                                       "doc_id long, quality int, toxic int")
+        rows = weak_quality.score(docs, weak_quality.fit(docs, labels), carry=["doc_id"]).collect()
+        dropped = {r.doc_id for r in rows if r.toxic_score >= 0.5}
+        assert toxic | more <= dropped and len(dropped) <= 10
+
+
 def test_classifier_odd_tables(spark):
     docs = spark.createDataFrame([(1, None, "k"), (2, "", "k"), (None, CLEAN, None), (3, CLEAN, "k"), (3, CLEAN, "k"), (4, "w " * 50_000, "k")],
                                  "doc_id long, text string, kept string")
