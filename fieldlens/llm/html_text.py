@@ -9,7 +9,8 @@ preformatted text as it stands, and tables with aligned columns.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Generator, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -32,7 +33,23 @@ _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "
 _HIDDEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
 _UNFINISHED = re.compile(r"<[A-Za-z/!?]")
-_MAX_DEPTH = 200  # deeper elements are laid out as parts of their ancestor
+_MAX_INDENT = " " * 400  # lines that begin with it are not moved further to the right
+
+
+def _run(call: Generator):
+    """Result of a generator that yields other such generators to call them:
+    recursion without Python's depth limit."""
+    stack, value = [call], None
+    while stack:
+        try:
+            called = stack[-1].send(value)
+        except StopIteration as done:
+            stack.pop()
+            value = done.value
+        else:
+            stack.append(called)
+            value = None
+    return value
 
 
 class Node:
@@ -49,13 +66,25 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#root")
         self.open = [self.root]
+        self.places: dict[str, list[int]] = {}  # where in ``open`` each tag stands
+
+    def _push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.open))
+        self.open.append(node)
+
+    def _cut(self, at: int) -> None:
+        for node in self.open[at:]:
+            self.places[node.tag].pop()
+        del self.open[at:]
+
+    def _last(self, tags: set[str] | tuple[str, ...]) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
 
     def _close_until(self, tags: set[str], boundary: set[str]) -> None:
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.open[at].tag in boundary:
-                return
-            if self.open[at].tag in tags:
-                del self.open[at:]
+        edge = self._last(boundary)
+        above = [places[bisect_right(places, edge)] for t in tags if (places := self.places.get(t)) and places[-1] > edge]
+        if above:
+            self._cut(min(above))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in _CLOSES:
@@ -63,24 +92,22 @@ class TreeBuilder(HTMLParser):
         elif tag in _BLOCKS:
             self._close_until({"p"}, {"td", "th", "li", "div", "body", "button", "blockquote"})
         if self.open[-1].tag == "head" and (tag in _BLOCKS or tag in ("span", "a", "b", "i")):
-            self.open.pop()  # the end of the head may be left out
+            self._cut(len(self.open) - 1)  # the end of the head may be left out
         node = Node(tag, dict(attrs))
         self.open[-1].children.append(node)
-        if tag not in _VOID and len(self.open) < _MAX_DEPTH:
-            self.open.append(node)
+        if tag not in _VOID:
+            self._push(node)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in _VOID and self.open[-1].tag == tag and tag not in _BLOCKS:
-            self.open.pop()
+            self._cut(len(self.open) - 1)
 
     def handle_endtag(self, tag: str) -> None:
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.open[at].tag == tag:
-                del self.open[at:]
-                return
-            if self.open[at].tag in ("td", "th", "table") and tag not in ("table", "tr", "thead", "tbody", "tfoot", "body", "html"):
-                return  # a stray end tag does not reach out of its cell
+        at = self._last((tag,))
+        # a stray end tag does not reach out of its cell
+        if at and (tag in ("table", "tr", "thead", "tbody", "tfoot", "body", "html") or at >= self._last(("td", "th", "table"))):
+            self._cut(at)
 
     def handle_data(self, data: str) -> None:
         self.open[-1].children.append(data)
@@ -134,14 +161,14 @@ class Renderer:
         self.block(0)
         return "\n".join(self.lines)
 
-    def render(self, node: Node) -> None:
+    def render(self, node: Node) -> Generator:
         for child in node.children:
             if isinstance(child, str):
                 self.put(_SPACE.sub(" ", child))
             elif visible(child):
-                self.element(child)
+                yield self.element(child)
 
-    def element(self, node: Node) -> None:
+    def element(self, node: Node) -> Generator:
         tag = node.tag
         if tag == "br":
             if self.line:
@@ -154,42 +181,56 @@ class Renderer:
             self.put((node.attrs.get("alt") or "").strip())
         elif tag in ("td", "th"):  # a cell outside of any table
             self.put(" ")
-            self.render(node)
+            yield self.render(node)
             self.put(" ")
         elif tag in _BLOCKS:
             around = 2 if tag in _PARAGRAPHS else 1
             self.block(around)
             if tag in ("ul", "ol", "menu"):
-                self.raw(_list(node))
+                self.raw((yield _list(node)))
             elif tag == "table":
-                self.raw(_table(node))
+                self.raw((yield _table(node)))
             elif tag == "pre":
-                self.raw(_plain(node).strip("\n").expandtabs().split("\n"))
+                self.raw((yield _plain(node)).strip("\n").expandtabs().split("\n"))
             elif tag == "li":
                 self.put("- ")
-                self.render(node)
+                yield self.render(node)
             elif tag == "dd":
-                self.raw(["  " + line if line else line for line in _inner(node)])
+                self.raw([_moved(line, "  ") if line else line for line in (yield _inner(node))])
             else:
-                self.render(node)
+                yield self.render(node)
             self.block(around)
         else:
-            self.render(node)
+            yield self.render(node)
 
 
-def _inner(node: Node) -> list[str]:
+def _moved(line: str, by: str) -> str:
+    return line if line.startswith(_MAX_INDENT) else by + line
+
+
+def _inner(node: Node) -> Generator:
+    """Lines of an element's content."""
     out = Renderer()
-    out.render(node)
+    yield out.render(node)
     text = out.text()
     return text.split("\n") if text else []
 
 
-def _plain(node: Node) -> str:
+def _plain(node: Node) -> Generator:
     """Text of a preformatted element, without any folding."""
-    return "".join(c if isinstance(c, str) else "\n" if c.tag == "br" else _plain(c) if visible(c) else "" for c in node.children)
+    parts = []
+    for child in node.children:
+        if isinstance(child, str):
+            parts.append(child)
+        elif child.tag == "br":
+            parts.append("\n")
+        elif visible(child):
+            parts.append((yield _plain(child)))
+    return "".join(parts)
 
 
-def _list(node: Node) -> list[str]:
+def _list(node: Node) -> Generator:
+    """Lines of a list."""
     lines: list[str] = []
     start = node.attrs.get("start") or ""
     number = int(start) if re.fullmatch(r"-?[0-9]{1,9}", start) else 1
@@ -198,14 +239,14 @@ def _list(node: Node) -> list[str]:
             if child.strip():
                 lines.append(_SPACE.sub(" ", child).strip())
         elif visible(child):
-            inner = _inner(child)
+            inner = yield _inner(child)
             if child.tag == "li":
                 mark = f"{number}. " if node.tag == "ol" else "- "
                 number += 1
                 inner = [line for i, line in enumerate(inner) if line or i == 0] or [""]
-                lines += [(mark if i == 0 else " " * len(mark)) + line for i, line in enumerate(inner)]
+                lines += [mark + line if i == 0 else _moved(line, " " * len(mark)) for i, line in enumerate(inner)]
             else:
-                lines += ["  " + line for line in inner]
+                lines += [_moved(line, "  ") for line in inner]
     return [line.rstrip() for line in lines]
 
 
@@ -233,19 +274,21 @@ def _misplaced(node: Node) -> Node:
     return out
 
 
-def _table(node: Node) -> list[str]:
+def _table(node: Node) -> Generator:
     """Rows of a table; cells of a column begin at one position.  A cell of
     several lines (or a nested table) keeps them, below each other."""
-    lines: list[str] = _inner(_misplaced(node))
+    lines: list[str] = yield _inner(_misplaced(node))
     grid: list[list[list[str]]] = []
     for row in _rows(node):
         if row.tag == "caption":
-            lines += _inner(row)
+            lines += yield _inner(row)
             continue
         cells = [row] if row.tag in ("td", "th") else [c for c in row.children if not isinstance(c, str) and visible(c)]
-        cells = [_inner(c) for c in cells]
-        if any(cells):
-            grid.append(cells)
+        texts = []
+        for cell in cells:
+            texts.append((yield _inner(cell)))
+        if any(texts):
+            grid.append(texts)
     if not grid:
         return lines
     columns = max(map(len, grid))
@@ -266,7 +309,7 @@ def visible_text(html: str) -> str:
     builder.feed(html[:end] + rest)
     builder.close()
     out = Renderer()
-    out.render(builder.root)
+    _run(out.render(builder.root))
     return out.text()
 
 
@@ -276,8 +319,8 @@ def extract_text(pages: DataFrame, html_col: str = "html", carry: list[str] | No
 
     A null page has null text; an empty one, or one without visible text, an
     empty text.  Broken markup never fails: unknown tags are inline, open tags
-    end with their parent, and a tag nested over 200 deep belongs to its
-    ancestor at that depth.  Repeated rows and null ids are rows like any
+    end with their parent, and tags may nest to any depth (lines are indented
+    by 400 spaces at most).  Repeated rows and null ids are rows like any
     other; an input column ``text`` is replaced."""
     carry = [c for c in ([c for c in pages.columns if c != html_col] if carry is None else carry) if c != "text"]
     schema = StructType([pages.schema[c] for c in carry] + [StructField("text", StringType())])

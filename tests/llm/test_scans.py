@@ -109,6 +109,18 @@ def test_html_deep_text_is_kept():
     assert html_text.visible_text("<div>" * 3000 + "deep") == "deep"
 
 
+def test_html_below_many_open_tags():
+    """Visibility and layout do not depend on the depth."""
+    page = "<script>no</script><p style='display:none'>no</p><ul><li>a<li>b</ul><table><tr><td>long name<td>1<tr><td>x<td>2</table><pre> k\n  l</pre>z"
+    shown = html_text.visible_text(page)
+    assert "no" not in shown
+    for tag in ("<font>", "<b>", "<a href=x>"):
+        assert html_text.visible_text(tag * 5000 + page) == shown
+    assert html_text.visible_text("<pre>" + "<b>" * 5000 + "x\n  y") == "x\n  y"
+    assert html_text.visible_text("<p><button>" + "<font><section>x" * 20_000).count("x") == 20_000
+    assert html_text.visible_text("<ul><li>a" * 1000).count("- a") == 1000
+
+
 def test_html_text_outside_of_cells_is_kept():
     page = "<table>stray <b>words</b><tr>more<td>a<td>bb<tbody><div>block</div><tr><td>cc<td>d</table>"
     assert html_text.visible_text(page) == "stray wordsmore\nblock\na   bb\ncc  d"
