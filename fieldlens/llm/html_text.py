@@ -20,14 +20,16 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _UNSEEN = {"head", "script", "style", "template", "noscript", "iframe", "object", "svg", "canvas", "audio", "video", "datalist",
-           "select", "textarea", "title"}
+           "title"}
+#: these may stand in a head; any other tag and any text ends it
+_METADATA = {"head", "base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
 _PARAGRAPHS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "ul", "ol", "dl", "table", "figure", "fieldset"}
 _BLOCKS = _PARAGRAPHS | {"address", "article", "aside", "body", "center", "dd", "details", "dialog", "div", "dt", "figcaption",
                          "footer", "form", "header", "hgroup", "html", "legend", "li", "main", "menu", "nav", "section", "summary",
                          "caption", "tr", "thead", "tbody", "tfoot"}
 #: an opening tag closes these if they are open, up to the given boundary
 _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
-           "option": ({"option"}, {"select"}), "tr": ({"tr", "td", "th", "caption", "colgroup"}, {"table"}),
+           "option": ({"option"}, {"select"}), "optgroup": ({"option", "optgroup"}, {"select"}), "tr": ({"tr", "td", "th", "caption", "colgroup"}, {"table"}),
            "td": ({"td", "th", "caption"}, {"tr", "table"}), "th": ({"td", "th", "caption"}, {"tr", "table"}),
            **{t: ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}) for t in ("thead", "tbody", "tfoot")}}
 _HIDDEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
@@ -91,8 +93,8 @@ class TreeBuilder(HTMLParser):
             self._close_until(*_CLOSES[tag])
         elif tag in _BLOCKS:
             self._close_until({"p"}, {"td", "th", "li", "div", "body", "button", "blockquote"})
-        if self.open[-1].tag == "head" and (tag in _BLOCKS or tag in ("span", "a", "b", "i")):
-            self._cut(len(self.open) - 1)  # the end of the head may be left out
+        if tag not in _METADATA:
+            self._end_head()
         node = Node(tag, dict(attrs))
         self.open[-1].children.append(node)
         if tag not in _VOID:
@@ -109,7 +111,13 @@ class TreeBuilder(HTMLParser):
         if at and (tag in ("table", "tr", "thead", "tbody", "tfoot", "body", "html") or at >= self._last(("td", "th", "table"))):
             self._cut(at)
 
+    def _end_head(self) -> None:
+        if self.open[-1].tag == "head":
+            self._cut(len(self.open) - 1)  # the end of the head may be left out
+
     def handle_data(self, data: str) -> None:
+        if data.strip(" \t\n\r\f"):
+            self._end_head()
         self.open[-1].children.append(data)
 
 
@@ -179,6 +187,18 @@ class Renderer:
             self.block(2)
         elif tag == "img":
             self.put((node.attrs.get("alt") or "").strip())
+        elif tag == "textarea":
+            lines = (yield _plain(node)).removeprefix("\n").expandtabs().split("\n")
+            if len(lines) > 1:
+                self.raw(lines)
+            else:
+                self.put(lines[0])
+        elif tag == "select":
+            shown = yield _shown_options(node)
+            if len(shown) > 1:
+                self.raw(shown)
+            else:
+                self.put("".join(shown))
         elif tag in ("td", "th"):  # a cell outside of any table
             self.put(" ")
             yield self.render(node)
@@ -229,6 +249,38 @@ def _plain(node: Node) -> Generator:
     return "".join(parts)
 
 
+def _shown_options(node: Node) -> Generator:
+    """Texts of a select box that are shown: of a drop-down the selected
+    option (the last one so marked, else the first that can be chosen), of a
+    list box all of them with the names of their groups."""
+    size = (node.attrs.get("size") or "").strip()
+    drop_down = "multiple" not in node.attrs and not (re.fullmatch("[0-9]{1,9}", size) and int(size) > 1)
+    texts: list[str] = []
+    chosen = None
+    first = None
+    left = [(child, False) for child in reversed(node.children)]
+    while left:
+        child, disabled = left.pop()
+        if isinstance(child, str) or not visible(child):
+            continue
+        disabled = disabled or "disabled" in child.attrs
+        label = _SPACE.sub(" ", child.attrs.get("label") or "").strip()
+        if child.tag == "option":
+            text = label or _SPACE.sub(" ", (yield _plain(child))).strip()
+            if "selected" in child.attrs:
+                chosen = text
+            if first is None and not disabled:
+                first = text
+            texts.append(text)
+        else:
+            if child.tag == "optgroup" and label and not drop_down:
+                texts.append(label)
+            left += [(c, disabled) for c in reversed(child.children)]
+    if drop_down:
+        texts = [text for text in (first if chosen is None else chosen,) if text is not None]
+    return [text for text in texts if text]
+
+
 def _list(node: Node) -> Generator:
     """Lines of a list."""
     lines: list[str] = []

@@ -121,6 +121,24 @@ def test_html_below_many_open_tags():
     assert html_text.visible_text("<ul><li>a" * 1000).count("- a") == 1000
 
 
+@pytest.mark.parametrize("tag", ["strong", "em", "font", "label", "button", "u", "x-own"])
+def test_html_head_ends_at_text_and_other_tags(tag):
+    assert html_text.visible_text("<head><title>T</title>Hello<p>more") == "Hello\n\nmore"
+    assert html_text.visible_text(f"<head><title>T</title><style>s</style>\n<{tag}>Hello<p>more") == "Hello\n\nmore"
+    assert html_text.visible_text(f"<head><meta name=a><noscript>no</noscript></head><{tag}>Hello</{tag}>") == "Hello"
+    assert html_text.visible_text("<head><title>T</title><img alt=pic> x") == "pic x"
+
+
+def test_html_form_fields():
+    text = html_text.visible_text
+    assert text("<p>a <textarea>typed <b>x</textarea> b") in ("a typed x b", "a typed <b>x b")
+    assert text("a<textarea>\none\n  two</textarea>b") == "a\none\n  two\nb"
+    assert text("a <select><option>one<option selected>two<option>three</select> b") == "a two b"
+    assert text("a <select><option disabled>pick<optgroup label=g><option>one</optgroup></select>") == "a one"
+    assert text("<select multiple><optgroup label=g><option>one<option label=2>two<option hidden>no</select>") == "g\none\n2"
+    assert text("<div hidden><select><option>no</select><textarea>no</textarea></div>x") == "x"
+
+
 def test_html_text_outside_of_cells_is_kept():
     page = "<table>stray <b>words</b><tr>more<td>a<td>bb<tbody><div>block</div><tr><td>cc<td>d</table>"
     assert html_text.visible_text(page) == "stray wordsmore\nblock\na   bb\ncc  d"
