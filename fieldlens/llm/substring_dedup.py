@@ -11,7 +11,8 @@ Three measures keep it to the size of the input:
 * A first, narrow pass counts the minimisers.  A bucket that only one
   document reaches holds no repeat, so its super-k-mers never travel.
 * A bucket of over ``hot_bucket`` super-k-mers (a passage or a text with very
-  many copies) is not gathered: its windows go out one by one as 128-bit
+  many copies) or ``hot_windows`` windows (texts that repeat one phrase, whose
+  super-k-mers have no bound) is not gathered: its windows go out one by one as 128-bit
   digests and are settled by a min aggregate with map-side combine and a join.
 * Text is moved by document id once; both joins use that exchange.
 """
@@ -66,10 +67,18 @@ def _minimisers(window: int, anchor: int):
                 found = SuperKmers(Words(data, offsets), window, anchor)
                 yield pa.record_batch(
                     [pa.array(found.minimiser), pa.array(doc[i:j][found.row]), pa.array(digest[i:j][found.row]),
-                     pa.array(found.number.astype(np.int32))], names=["minimiser", "doc", "digest", "number"])
+                     pa.array(found.number.astype(np.int32)), pa.array(found.windows.astype(np.int64))],
+                    names=["minimiser", "doc", "digest", "number", "windows"])
     return run
 
 
+def _shared(reached: DataFrame, hot_bucket: int, hot_windows: int) -> DataFrame:
+    """Minimisers that several documents reach, and whether they are hot."""
+    return (reached.groupBy("minimiser").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n"),
+                                             F.sum("windows").alias("windows"))
+            .where("low < high").select("minimiser", ((F.col("n") > hot_bucket) | (F.col("windows") > hot_windows)).alias("hot")))
+
+
 def _flagged(batches: Iterator[pa.RecordBatch], window: int, anchor: int):
     """(doc, digest, text offsets, super-k-mers and which are wanted) by row."""
     for batch in batches:
@@ -114,9 +123,9 @@ def _hot_windows(window: int, anchor: int, batch_rows: int = 16384):
                     h = hashlib.blake2b(joined[begins[w]:begins[w + window] - 1], digest_size=16).digest()
                     out.append((int.from_bytes(h[:8], "big", signed=True), int.from_bytes(h[8:], "big", signed=True),
                                 doc, digest, w))
-            if len(out) >= batch_rows:
-                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-                out = []
+                    if len(out) >= batch_rows:
+                        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+                        out = []
         if out:
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
     return run
@@ -195,7 +204,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50,
-                   anchor: int = 8, hot_bucket: int = 4096) -> DataFrame:
+                   anchor: int = 8, hot_bucket: int = 4096, hot_windows: int = 1 << 17) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text) of every row: every word that is
     covered by a ``window``-word sequence which also starts in a document with
     a smaller id is removed; kept words are joined by one space.
@@ -207,11 +216,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("digest"),
                        F.col(text_col).alias("text"))
     known = text.where("doc is not null and text is not null")
-    reached = known.mapInArrow(_minimisers(window, anchor), "minimiser long, doc long, digest long, number int")
-    shared = (reached.groupBy("minimiser").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n"))
-              .where("low < high").select("minimiser", (F.col("n") > hot_bucket).alias("hot")))
+    reached = known.mapInArrow(_minimisers(window, anchor), "minimiser long, doc long, digest long, number int, windows long")
+    shared = _shared(reached, hot_bucket, hot_windows)
     number = lambda hot: F.collect_set(F.when(F.col("hot") == F.lit(hot), F.col("number")))
-    wanted = checkpoint(skew_join(reached, shared, ["minimiser"]).groupBy("doc", "digest")
+    wanted = checkpoint(skew_join(reached.drop("windows"), shared, ["minimiser"]).groupBy("doc", "digest")
                         .agg(number(False).alias("cold"), number(True).alias("hot")))
 
     def with_text(column: str) -> DataFrame:

@@ -116,3 +116,22 @@ def test_substring_repeated_words_in_one_document(spark):
     df = spark.createDataFrame([(1, "x " * 500), (2, "y " * 100 + "x " * 70), (3, "x " * 49)], "doc_id long, text string")
     got = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(df).collect()}
     assert got == {1: (500, 0), 2: (170, 70), 3: (49, 0)}
+
+
+def test_substring_texts_of_one_phrase_are_not_gathered(spark):
+    """Two super-k-mers of very many windows make a hot bucket, whose digests
+    leave in bounded batches; the result is the same either way."""
+    import pyarrow as pa
+    long = "round and round it goes " * 20_000
+    text = pa.record_batch([pa.array([1]), pa.array([5]), pa.array([long]), pa.array([[0]], pa.list_(pa.int32()))],
+                           names=["doc", "digest", "text", "wanted"])
+    sizes = [b.num_rows for b in substring_dedup._hot_windows(50, 8)(iter([text]))]
+    assert sum(sizes) == 99_951 and max(sizes) <= 16_384
+    df = spark.createDataFrame([(1, 5, long), (2, 6, long), (3, 7, " ".join(f"w{i}" for i in range(99)))], "doc long, digest long, text string")
+    reached = df.mapInArrow(substring_dedup._minimisers(50, 8), "minimiser long, doc long, digest long, number int, windows long")
+    assert [r.hot for r in substring_dedup._shared(reached, 4096, 1 << 17).collect()] == [True]
+    assert [r.hot for r in substring_dedup._shared(reached, 4096, 1 << 18).collect()] == [False]
+    docs = df.selectExpr("doc as doc_id", "text")
+    for options in ({}, {"hot_windows": 1 << 18}):
+        got = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(docs, **options).collect()}
+        assert got == {1: (100_000, 0), 2: (100_000, 100_000), 3: (99, 0)}
