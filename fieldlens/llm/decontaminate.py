@@ -159,33 +159,48 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     Words are runs of letters and digits, ASCII letters lower-cased.  Null,
     empty and word-less texts or items never match, nor do items with a null
     id; repeated items count once per id, repeated rows stay rows; a null
-    doc_id is returned as null.  No items or no documents: no rows."""
+    doc_id is returned as null, one row for each such document.  No items or no documents: no rows."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "doc_id long, item_id long, similarity double, first_word long"
+    rows = rows.withColumn("digest", F.xxhash64("text"))
+    schema = "doc_id long, digest long, item_id long, similarity double, first_word long, block int"
     out = spark.createDataFrame([], schema)
-    for block in _item_blocks(items, item_id_col, item_text_col, block_items, block_bytes):
+    for b, block in enumerate(_item_blocks(items, item_id_col, item_text_col, block_items, block_bytes)):
         index = spark.sparkContext.broadcast(item_indexes(block, shingle, radius))
 
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], index=index, b=b) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                docs_at, found = batch.column(0), []
+                found: dict[tuple[int, int], tuple[float, int]] = {}
                 for i, _, data, offsets in text_runs(batch.column(1)):
                     words = Words(data, offsets, normalise=True)
-                    found += [(i + row, *rest) for part in index.value for row, *rest in part.leaks(words, threshold)]
+                    for part in index.value:
+                        for row, item, alike, first in part.leaks(words, threshold):
+                            before = found.get((i + row, item), (0.0, 0))
+                            found[i + row, item] = max(before, (alike, first), key=lambda at: (at[0], -at[1]))
                 if found:
-                    row, item, alike, first = zip(*found)
-                    yield pa.record_batch([docs_at.take(pa.array(row)), pa.array(item, pa.int64()), pa.array(alike, pa.float64()),
-                                           pa.array(first, pa.int64())], names=["doc_id", "item_id", "similarity", "first_word"])
+                    (row, item), (alike, first) = zip(*found), zip(*found.values())
+                    at = pa.array(row)
+                    yield pa.record_batch([batch.column(0).take(at), batch.column(2).take(at), pa.array(item, pa.int64()),
+                                           pa.array(alike, pa.float64()), pa.array(first, pa.int64()), pa.array([b] * len(row), pa.int32())],
+                                          names=["doc_id", "digest", "item_id", "similarity", "first_word", "block"])
 
         out = out.union(rows.mapInArrow(run, schema))
-    return out.groupBy("doc_id", "item_id").agg(
-        F.max("similarity").alias("similarity"), F.max_by("first_word", F.struct("similarity", -F.col("first_word"))).alias("first_word"))
+    # a row has one leak per item and block, so a block counts the equal rows
+    best = lambda: F.max(F.struct("similarity", (-F.col("first_word")).alias("before"))).alias("best")
+    by_block = (out.groupBy("doc_id", "digest", "item_id", "block").agg(best(), F.count("*").alias("rows"))
+                .select("*", "best.similarity", (-F.col("best.before")).alias("first_word")).drop("best"))
+    whole = by_block.groupBy("doc_id", "digest", "item_id").agg(best(), F.max("rows").alias("rows"))
+    return whole.select("doc_id", "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.before")).alias("first_word"),
+                        F.explode(F.sequence(F.lit(1).cast("long"), "rows")).alias("copy")).drop("copy")
 
 
-def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               item_text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without any leak (see ``find_leaks``); a row with
-    a null id is judged by its text like any other."""
+    a null id is judged by its text like any other.  Items need no id: all
+    count, those with a null id too."""
+    options.pop("item_id_col", None)
+    items = items.select(F.lit(0).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                         F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
     leaks = find_leaks(keyed, items, "key", "text", **options).select(F.col("doc_id").alias("leak")).distinct()

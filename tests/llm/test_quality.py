@@ -155,6 +155,22 @@ def test_leaks_near_copies_and_odd_rows(spark):
     assert decontaminate.drop_leaks(ddf, idf.limit(0)).count() == len(docs) + 1
 
 
+def test_leaks_of_null_and_repeated_ids(spark):
+    """An item with a null id (or none) still drops documents; documents with
+    a null id and repeated rows keep their own leaks, over several blocks."""
+    item, more = " ".join(f"w{i}" for i in range(30)), " ".join(f"v{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, f"a {item}"), (2, "clean text"), (None, f"b c {item}"), (None, item), (3, item), (3, item), (3, f"x {item}")],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(None, item)], "item_id long, text string")
+    for known in (items, items.select("text"), items.union(spark.createDataFrame([(7, more)], items.schema))):
+        assert [r.doc_id for r in decontaminate.drop_leaks(docs, known).collect()] == [2]
+    known = spark.createDataFrame([(5, item), (5, item + " tail"), (6, more)], "item_id long, text string")
+    for block in (4096, 1):
+        got = [(r.doc_id, r.item_id, r.similarity, r.first_word) for r in decontaminate.find_leaks(docs, known, block_items=block).collect()]
+        want = [(None, 0), (None, 2), (1, 1), (3, 0), (3, 0), (3, 1)]
+        assert sorted(((d, w) for d, i, alike, w in got if (i, alike) == (5, 1.0)), key=repr) == sorted(want, key=repr) and len(got) == len(want)
+
+
 def test_hamming_index_finds_all_within_radius():
     rng = np.random.default_rng(8)
     values = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
