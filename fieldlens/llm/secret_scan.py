@@ -1,7 +1,7 @@
 """Find secrets: known patterns, and tokens that look random.
 
-A candidate token is a long run of key characters with letters and digits.
-Its encoding (hex, base32 or base64) gives the alphabet that a random key
+A candidate token is a long run of the characters of one encoding, or of the
+letters and digits between separators; numbers are none.  Its encoding (hex, base32 or base64) gives the alphabet that a random key
 would use evenly, and three tests ask whether it does: chi-squared uniformity
 over alphabet bins (fewer bins for short tokens), a runs test around the
 middle of the alphabet, and the serial correlation of neighbouring symbols.
@@ -9,8 +9,8 @@ Fisher's method combines them to one p-value.
 
 Real keys have p-values that are even over (0, 1); words and identifiers pile
 up near 0, but the shorter a token, the higher a p-value it reaches by chance.
-So the share of false finds is controlled per encoding and length class over
-the whole corpus: from the histogram of p-values, the smallest cut-off is
+So the share of false finds is controlled per encoding, length class and presence of digits
+over the whole corpus: from the histogram of p-values, the smallest cut-off is
 taken above which the estimated share of non-random tokens is at most
 ``max_false``.  Only that histogram (some thousand counters) reaches the driver.
 """
@@ -33,6 +33,10 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "random")
 
 _TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: parts of a token that are tested: by either base64 alphabet, and between all separators
+_PARTS = tuple(re.compile(p) for p in (r"[A-Za-z0-9+/]{16,}", r"[A-Za-z0-9_-]{16,}", r"[A-Za-z0-9]{16,}"))
+_DIGIT = re.compile(r"[0-9]")
+_LETTER = re.compile(r"[A-Za-z]")
 #: encoding -> (full match, alphabet in code order)
 _ENCODINGS = (
     ("hex", re.compile(r"[0-9a-f]+|[0-9A-F]+"), "0123456789abcdef"),
@@ -42,6 +46,7 @@ _ENCODINGS = (
 )
 _CODES = {name: {c: i for i, c in enumerate(alphabet)} for name, _, alphabet in _ENCODINGS}
 _LENGTHS = (16, 24, 40, 80)  # lower bounds of the length classes
+_STRATA = len(_ENCODINGS) * 2 * len(_LENGTHS)
 _BINS = 100
 
 
@@ -88,19 +93,22 @@ def randomness(symbols: np.ndarray, size: int) -> float:
 
 def candidates(text: str) -> Iterator[tuple[int, int, int, float]]:
     """(start, end, stratum, p-value) of the tokens that could be keys; the
-    stratum is encoding and length class.  Runs without both a letter and a
-    digit are words or numbers."""
+    stratum is encoding, whether there are digits, and length class.  Parts of
+    a token overlap; those without a letter are numbers."""
     for m in _TOKEN.finditer(text):
-        token = m[0].rstrip("=")
-        if token.isdigit() or not any(c.isdigit() for c in token) or not any(c.isalpha() for c in token):
-            continue
-        for kind, (name, whole, alphabet) in enumerate(_ENCODINGS):
-            if whole.fullmatch(token):
-                codes = _CODES[name]
-                symbols = np.array([codes[c] if c in codes else codes[c.lower()] for c in token])
-                size = sum(len(token) >= low for low in _LENGTHS) - 1
-                yield m.start(), m.end(), kind * len(_LENGTHS) + size, randomness(symbols, len(alphabet))
-                break
+        last = m.start() + len(m[0].rstrip("="))
+        for start, end in sorted({part.span() for cut in _PARTS for part in cut.finditer(text, m.start(), last)}):
+            token = text[start:end]
+            if not _LETTER.search(token):
+                continue
+            for kind, (name, whole, alphabet) in enumerate(_ENCODINGS):
+                if whole.fullmatch(token):
+                    codes = _CODES[name]
+                    symbols = np.array([codes[c] if c in codes else codes[c.lower()] for c in token])
+                    size = sum(len(token) >= low for low in _LENGTHS) - 1
+                    stratum = (2 * kind + (_DIGIT.search(token) is None)) * len(_LENGTHS) + size
+                    yield start, m.end() if end == last else end, stratum, randomness(symbols, len(alphabet))
+                    break
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -118,7 +126,7 @@ def cut_offs(docs: DataFrame, text_col: str = "text", max_false: float = 0.1) ->
     many); beyond a cut-off t the random ones should number (1 - t) of that,
     and what is above this share is taken for false."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(_ENCODINGS) * len(_LENGTHS), _BINS), dtype=np.int64)
+        counts = np.zeros((_STRATA, _BINS), dtype=np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for _, _, stratum, p in candidates(text or ""):
@@ -126,7 +134,7 @@ def cut_offs(docs: DataFrame, text_col: str = "text", max_false: float = 0.1) ->
         stratum, at = np.nonzero(counts)
         yield pa.record_batch([pa.array(stratum), pa.array(at), pa.array(counts[stratum, at])], names=["stratum", "bin", "n"])
 
-    counts = np.zeros((len(_ENCODINGS) * len(_LENGTHS), _BINS))
+    counts = np.zeros((_STRATA, _BINS))
     histogram = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "stratum long, bin long, n long")
     for r in histogram.groupBy("stratum", "bin").agg(F.sum("n").alias("n")).collect():
         counts[r["stratum"], r["bin"]] = r["n"]
@@ -145,7 +153,8 @@ def cut_offs(docs: DataFrame, text_col: str = "text", max_false: float = 0.1) ->
 def find_secrets(docs: DataFrame, text_col: str = "text", max_false: float = 0.1, carry: list[str] | None = None) -> DataFrame:
     """The ``carry`` columns (default: all) of every row with ``secrets``: an
     array of (kind, start, end), by start, then kind; code points, end
-    exclusive.  Random tokens inside a known pattern's span are not repeated.
+    exclusive.  Random tokens inside the span of a known pattern or of another
+    random token are not repeated.
 
     A null or empty text has no secrets; repeated rows and null ids are rows
     like any other; an empty table gives an empty result; an input column
@@ -162,9 +171,12 @@ def find_secrets(docs: DataFrame, text_col: str = "text", max_false: float = 0.1
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 found = base_spans(text or "")
                 known = sorted((s, e) for s, _, e in found)
-                for start, end, stratum, p in candidates(text or ""):
-                    if p >= cuts.get(stratum, 2.0) and not any(s <= start and end <= e for s, e in known):
+                random = sorted((start, -end) for start, end, stratum, p in candidates(text or "") if p >= cuts.get(stratum, 2.0))
+                upto = 0
+                for start, end in ((start, -end) for start, end in random):
+                    if end > upto and not any(s <= start and end <= e for s, e in known):
                         found.append((start, 3, end))
+                    upto = max(upto, end)
                 out.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in sorted(found)])
             yield pa.record_batch([*batch.columns[:-1], pa.array(out, arrow)], names=[*carry, "secrets"])
 

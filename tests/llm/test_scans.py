@@ -88,6 +88,24 @@ def test_randomness_battery_separates_keys_from_words(spark):
     assert secret_scan.find_secrets(df.limit(0)).count() == 0
 
 
+def test_keys_beside_separators_and_without_digits(spark):
+    rng = random.Random(4)
+    text = "x /srv/my-app/QmZkTrWvYpLsXaBn+ prefix_ab1/cd2+ef3/gh4+ij5 KLMNOPQRSTUVWXYZ 1234567890123456 sha-0123456789abcdef01=="
+    tokens = {text[s:e] for s, e, _, _ in secret_scan.candidates(text)}
+    assert {"QmZkTrWvYpLsXaBn", "ab1/cd2+ef3/gh4+ij5", "KLMNOPQRSTUVWXYZ", "0123456789abcdef01=="} <= tokens
+    assert "1234567890123456" not in tokens
+    url = string.ascii_letters + string.digits + "-_"
+    plain = string.ascii_letters + string.digits + "+/"
+    keys = ["".join(rng.choices(url, k=40)) for _ in range(300)] + ["".join(rng.choices(plain, k=40)) for _ in range(300)]
+    keys += [k for k in ("".join(rng.choices(plain, k=18)) for _ in range(12_000)) if not any(c.isdigit() for c in k)][:300]
+    texts = [f"see https://x.org/my-app/{k} here" for k in keys[:300]] + [f"see my_prefix_{k} here" for k in keys[300:600]] + [f"see {k} here" for k in keys[600:]]
+    rows = secret_scan.find_secrets(frame(spark, texts)).collect()
+    hits = [any(s.kind == "random" and keys[r.doc_id] in r.text[s.start:s.end] for s in r.secrets) for r in sorted(rows, key=lambda r: r.doc_id)]
+    assert sum(hits[:300]) >= 240 and sum(hits[300:600]) >= 240 and sum(hits[600:]) >= 150
+    words = frame(spark, [f"the internationalisation of state-of-the-art/{w}-management-systems_and" for w in ("data", "value", "record")] * 50)
+    assert not any(r.secrets for r in secret_scan.find_secrets(words).collect())
+
+
 def test_html_layout():
     page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head>
     <body><h1>Head &amp; more</h1><p>one<p>two <b>bold</b>ly<br>next   line<div style="color:red; display : none">no</div>
