@@ -4,13 +4,15 @@ contract's columns from the operator's output."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlens.llm import (decontaminate, html_text, mixing, pii, quality_rules, secret_scan, sharding, simhash_dedup,
-                           substring_dedup, weak_quality)
+                           substring_dedup, token_output, weak_quality)
+from fieldlens.llm.runtime import shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +87,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}-tokens"
+    token_output.write_tokens(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_output.token_digests(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_mixing": op2_mixing,
@@ -96,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_sharding": op10_sharding,
+    "op11_token_output": op11_token_output,
 }
 
 SQL: dict[str, str] = {
