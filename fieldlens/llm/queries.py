@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlens.llm import (decontaminate, html_text, mixing, pii, quality_rules, secret_scan, sharding, simhash_dedup,
-                           substring_dedup, token_output, weak_quality)
+                           spelling, substring_dedup, token_output, weak_quality)
 from fieldlens.llm.runtime import shared_folder
 
 
@@ -94,6 +94,11 @@ def op11_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_digests(spark, path)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.variants(spelling.count_words(_table(spark, sf_dir, "documents"), min_length=7, min_count=2, noise=31), ratio=10)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_mixing": op2_mixing,
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_sharding": op10_sharding,
     "op11_token_output": op11_token_output,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 SQL: dict[str, str] = {
