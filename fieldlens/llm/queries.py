@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm import (decontaminate, html_text, mixing, pii, quality_rules, secret_scan, sharding, simhash_dedup,
+from fieldlens.llm import (decontaminate, html_text, mixing, phrases, pii, quality_rules, secret_scan, sharding, simhash_dedup,
                            spelling, substring_dedup, token_output, weak_quality)
 from fieldlens.llm.runtime import shared_folder
 
@@ -94,6 +94,10 @@ def op11_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_digests(spark, path)
 
 
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"), max_words=3, min_count=10, top=2000, absorbed=50)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spelling.variants(spelling.count_words(_table(spark, sf_dir, "documents"), min_length=7, min_count=2, noise=31), ratio=10)
     return found.select("word", "form", "root", "n", "n_near", "form_n")
@@ -111,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_sharding": op10_sharding,
     "op11_token_output": op11_token_output,
+    "op12_phrase_mining": op12_phrase_mining,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
@@ -201,4 +206,37 @@ SQL: dict[str, str] = {
         SELECT q.doc_id, q.size, q.source_size, q.target, q.size * coalesce(n.copies, 0) AS taken
         FROM q LEFT JOIN n ON q.doc_id = n.doc_id
     """,
+    "op12_phrase_mining": r"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+        totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+        grams AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+            FROM w, (VALUES (1), (2), (3)) sizes(k) WHERE len(w) >= k),
+        f AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 10),
+        c AS (SELECT lang, k AS size, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+        cuts AS (
+            SELECT c.lang, c.phrase, size, a, cut, array_to_string(w[1:cut], ' ') AS lp, array_to_string(w[cut + 1:], ' ') AS rp
+            FROM c, (VALUES (1), (2)) x(cut) WHERE cut < size),
+        scored AS (
+            SELECT cuts.lang, cuts.phrase, cuts.a, cut, l.a AS l, r.a AS r,
+                   ((1000000::HUGEINT * cuts.a * cuts.a) // (l.a::HUGEINT * r.a))::BIGINT AS score
+            FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = lp JOIN f r ON r.lang = cuts.lang AND r.phrase = rp),
+        lowest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        inner2 AS (
+            SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM c WHERE size = 3),
+        widest AS (SELECT lang, phrase, max(a) AS longer FROM inner2 GROUP BY lang, phrase),
+        ranked AS (
+            SELECT lowest.lang, row_number() OVER (PARTITION BY lowest.lang ORDER BY score DESC, a DESC, lowest.phrase) AS rank,
+                   lowest.phrase, a, l, r, score
+            FROM lowest LEFT JOIN widest ON widest.lang = lowest.lang AND widest.phrase = lowest.phrase
+            WHERE longer IS NULL OR 100 * longer < 50 * a)
+        SELECT ranked.lang, rank, phrase, a, l, r, n, score
+        FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE rank <= 2000
+    """,
 }
