@@ -1,7 +1,7 @@
 """Keep-first and first-match lookup.
 
 Both are written as aggregations (``min_by`` over an explicit ordering
-struct) rather than ``row_number()`` windows: an aggregation combines
+struct, or ``min`` of the packed order) rather than ``row_number()`` windows: an aggregation combines
 map-side before the shuffle, so a key that holds a third of all rows is
 reduced to one partial row per map task instead of landing whole in one
 window task.
@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldlens.operators.packing import pack_order
+
 
 def _c(x) -> Column:
     return x if isinstance(x, Column) else F.col(f"`{x}`")
@@ -45,10 +47,21 @@ def lookup_first(left: DataFrame, right: DataFrame, left_key: str, right_key: st
     """``y$v[match(x$k, y$k)]``: the first matching right row's values, by a stated order.
 
     The right side is reduced to one row per key first, then left-joined, so
-    the join never fans out.
+    the join never fans out.  Values that are order columns themselves come
+    out of the packed order (a hash aggregation of one number, after one
+    narrow pass for its bounds); others ride along in a sorted one.
     """
+    packed = pack_order(right, order_cols) if set(value_cols) <= set(order_cols) else None
+    if packed is not None:
+        least = right.groupBy(_c(right_key).alias("_lk")).agg(F.min(packed.key()).alias("_p"))
+        first = least.select("_lk", *[packed.column(F.col("_p"), v).alias(v) for v in value_cols])
+        return _left_lookup(left, first, left_key, null_safe)
     first = (right.groupBy(_c(right_key).alias("_lk"))
                   .agg(F.min_by(F.struct(*[_c(v) for v in value_cols]), order_key(order_cols)).alias("_v"))
                   .select("_lk", *[F.col(f"_v.`{v}`").alias(v) for v in value_cols]))
+    return _left_lookup(left, first, left_key, null_safe)
+
+
+def _left_lookup(left: DataFrame, first: DataFrame, left_key: str, null_safe: bool) -> DataFrame:
     cond = _c(left_key).eqNullSafe(F.col("_lk")) if null_safe else (_c(left_key) == F.col("_lk"))
     return left.join(first, cond, "left").drop("_lk")

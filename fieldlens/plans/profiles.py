@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from fieldlens.functions import r_paste, r_paste0, whitelist_strip
 from fieldlens.operators import collapse_text, keep_first
-from fieldlens.operators.collapse import text_run
+from fieldlens.operators.children import Child, First, Measure, Text, attach_children, count_rows
 from fieldlens.plans import standins as S
 from fieldlens.sources.tables import read_table
 
@@ -52,120 +52,90 @@ def _doctor_lines(spark, sf):
                       "l_partkey", F.col("l_suppkey").alias("practice_id"), "l_returnflag", "p_brand", "p_type"))
 
 
+def master_spine(practice_doctors: DataFrame, practices: DataFrame, localities: DataFrame, doctors: DataFrame,
+                 verifications: DataFrame) -> DataFrame:
+    """Verified practice-doctors with their practice, its locality and the
+    doctor's name; the four lookups have one row per key.
+
+    Needs pd_id, doctor_id, practice_id, status; practice_id, ray_practice_id,
+    clinic_name, locality_id; locality_id, locality, city, country; doctor_id,
+    doctor_name; doctor_id, verification_status."""
+    verified = verifications.where(F.col("verification_status") == VERIFIED).select("doctor_id")
+    return (practice_doctors.join(verified, "doctor_id").join(practices, "practice_id", "left")
+            .join(localities, "locality_id", "left").join(doctors, "doctor_id", "left").drop("locality_id"))
+
+
+def master_from(spine: DataFrame, doctor_children: list[Child], practice_children: list[Child],
+                external_children: list[Child], specialities: DataFrame) -> DataFrame:
+    """Profile master: the spine's rows with every child reduced to one row
+    per doctor, practice or external practice id (a missing key matches a
+    missing key, as in the source).  The children of one key are reduced
+    together, so there are five shuffles of child rows however many children
+    there are, and no merge can repeat a row of the spine.  Two of the
+    doctor's outputs are keys: registration_id, and speciality_id of
+    ``specialities`` (speciality_id, speciality)."""
+    master = attach_children(spine, "doctor_id", doctor_children).join(specialities, "speciality_id", "left")
+    master = master.withColumn("registration", F.concat(F.lit("_"), F.col("registration_id").cast("string")))
+    master = attach_children(master, "practice_id", practice_children)
+    master = attach_children(master, "ray_practice_id", external_children)
+    return master.select(*MASTER_COLUMNS)
+
+
+MASTER_COLUMNS = ["pd_id", "doctor_id", "practice_id", "ray_practice_id", "status", "clinic_name", "locality", "city", "country",
+                  "doctor_name", "awards", "organizations", "number_of_photos", "logo_presence", "registration", "speciality", "type",
+                  "last_login", "memberships", "services", "qualifications", "doctor_photos", "recommendation", "doctor_reviews",
+                  "clinic_reviews", "ray_start", "ray_end", "reach_start", "reach_end"]
+
+
 def profile_master(spark: SparkSession, sf: str) -> DataFrame:
+    """The master of the stand-in tables (see the module docstring)."""
     c = read_table(spark, sf, "customer", ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"])
-    pd = c.select(F.col("c_custkey").alias("pd_id"), F.col("c_custkey").alias("doctor_id"),
-                  S.per_locality("c_custkey").alias("practice_id"),
-                  F.when(F.col("c_mktsegment") == "BUILDING", ABS_STATUS).otherwise(F.col("c_mktsegment")).alias("status"))
+    doctor = F.col("c_custkey").alias("doctor_id")
     sup = read_table(spark, sf, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
-    practices = sup.select(F.col("s_suppkey").alias("practice_id"), F.col("s_nationkey").alias("ray_practice_id"),
-                           F.col("s_name").alias("clinic_name"), F.col("s_nationkey").alias("locality_id"))
     n = read_table(spark, sf, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     r = read_table(spark, sf, "region", ["r_regionkey", "r_name"])
-    locality = (n.join(r, n.n_regionkey == r.r_regionkey, "left")
-                 .select(F.col("n_nationkey").alias("locality_id"), F.col("n_name").alias("locality"),
-                         F.col("n_name").alias("city"), F.col("r_name").alias("country")))
-    doctors = c.where(~(F.col("c_acctbal") < 0)).select(F.col("c_custkey").alias("doctor_id"),
-                                                         F.col("c_name").alias("doctor_name"))
-    verif = c.select(F.col("c_custkey").alias("doctor_id"),
-                     F.when(F.col("c_mktsegment") != "AUTOMOBILE", VERIFIED).otherwise("PENDING").alias("verification_status"))
-
-    spine = (pd.join(practices, "practice_id", "left").join(locality, "locality_id", "left")
-               .join(doctors, "doctor_id", "left").join(verif, "doctor_id", "left")
-               .where(F.col("verification_status") == VERIFIED).drop("verification_status", "locality_id"))
-
-    lines = _doctor_lines(spark, sf)
-    # Two passes over the order lines instead of one per child table.
-    # Doctor grain: (doctor, brand) pairs carry their count and their first
-    # line, so awards (collapsed brands) and the first registration /
-    # speciality come out of one pre-aggregated shuffle.
-    # min over (order date, order key, line, part, practice, payload) picks the
-    # first line; the payload rides along in the same struct
-    first_line = F.struct("o_orderdate", "o_orderkey", "l_linenumber", "l_partkey", "practice_id", "p_type")
-    # pre-aggregate on the raw brand; the whitelist runs once per (doctor, brand)
-    pairs = (lines.groupBy("doctor_id", "p_brand")
-                  .agg(F.count(F.lit(1)).alias("_n"), F.min(first_line).alias("_f"))
-                  .withColumn("award", whitelist_strip(F.col("p_brand"))))
-    runs = F.sort_array(F.collect_list(F.when(F.col("award").isNotNull(),
-                                              F.struct(F.col("award").alias("v"), text_run(F.col("award"), F.col("_n"), "|").alias("run")))))
-    doc = pairs.groupBy("doctor_id").agg(
-        F.array_join(F.transform(runs, lambda r: r["run"]), "|").alias("awards"),
-        F.min("_f").alias("_first"))
-    doc = doc.select("doctor_id", F.when(F.col("awards") != "", F.col("awards")).alias("awards"),
-                     F.concat(F.lit("_"), F.col("_first.o_orderkey").cast("string")).alias("registration"),
-                     F.col("_first.p_type").alias("speciality"))
-    orgs = read_table(spark, sf, "orders", ["o_custkey"]).groupBy(F.col("o_custkey").alias("doctor_id")) \
-        .agg(F.count(F.lit(1)).alias("organizations"))
-    # Practice grain: (practice, type) pairs give the photo count / logo sum
-    # and the distinct practice types in one shuffle.
-    logo = F.when(F.col("l_returnflag") == "R", 1).when(F.col("l_returnflag") == "A", 0)
-    ptp = lines.groupBy("practice_id", "p_type").agg(F.count(F.lit(1)).alias("_n"), F.sum(logo).alias("_logo"))
-    prac = ptp.groupBy("practice_id").agg(
-        F.sum("_n").alias("number_of_photos"), F.sum("_logo").alias("logo_presence"),
-        F.array_join(F.sort_array(F.collect_list("p_type")), "|").alias("type"))
-    prac = prac.select("practice_id", "number_of_photos", "logo_presence",
-                       F.when(F.col("type") != "", F.col("type")).alias("type"))
-
-    master = merge_lookups(spine.join(doc, "doctor_id", "left").join(prac, "practice_id", "left")
-                           .join(orgs, "doctor_id", "left"), _more_lookups(spark, sf))
-    # every input is one row per key (the spine's key and every child reduced
-    # to its join key), so the result is one row per practice-doctor without
-    # a keep-first pass; keep_first remains available for inputs that repeat keys
-    return master.select("pd_id", "doctor_id", "practice_id", "ray_practice_id", "status", "clinic_name", "locality",
-                         "city", "country", "doctor_name", "awards", "organizations", "number_of_photos",
-                         "logo_presence", "registration", "speciality", "type", *[c for names in _MORE.values() for c in names])
-
-
-# lookup -> the columns it adds
-_MORE = {"logins": ["last_login"], "memberships": ["memberships"], "services": ["services"],
-         "qualifications": ["qualifications", "doctor_photos"], "recommendations": ["recommendation"],
-         "doctor_reviews": ["doctor_reviews"], "clinic_reviews": ["clinic_reviews"],
-         "customer_terms": ["ray_start", "ray_end"], "ad_terms": ["reach_start", "reach_end"]}
-
-
-def merge_lookups(spine: DataFrame, lookups: list[tuple[DataFrame, str]]) -> DataFrame:
-    """Left merges of lookups that have one row per key.  As in the source, a
-    missing key matches a missing key."""
-    for i, (lookup, key) in enumerate(lookups):
-        other = f"_key{i}"
-        keyed = lookup.withColumnRenamed(key, other)
-        spine = spine.join(keyed, F.col(key).eqNullSafe(F.col(other)), "left").drop(other)
-    return spine
-
-
-def _more_lookups(spark: SparkSession, sf: str) -> list[tuple[DataFrame, str]]:
-    """The lookups of ``_MORE``, each reduced to its key."""
+    spine = master_spine(
+        c.select(F.col("c_custkey").alias("pd_id"), doctor, S.per_locality("c_custkey").alias("practice_id"),
+                 F.when(F.col("c_mktsegment") == "BUILDING", ABS_STATUS).otherwise(F.col("c_mktsegment")).alias("status")),
+        sup.select(F.col("s_suppkey").alias("practice_id"), F.col("s_nationkey").alias("ray_practice_id"),
+                   F.col("s_name").alias("clinic_name"), F.col("s_nationkey").alias("locality_id")),
+        n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
+            F.col("n_nationkey").alias("locality_id"), F.col("n_name").alias("locality"), F.col("n_name").alias("city"),
+            F.col("r_name").alias("country")),
+        c.where(~(F.col("c_acctbal") < 0)).select(doctor, F.col("c_name").alias("doctor_name")),
+        c.select(doctor, F.when(F.col("c_mktsegment") != "AUTOMOBILE", VERIFIED).otherwise("PENDING").alias("verification_status")))
+
     orders = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"])
-    doctor_orders = orders.withColumnRenamed("o_custkey", "doctor_id")
     events = read_table(spark, sf, "events", ["user_id", "ts", "event_type"])
-    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_suppkey", "l_returnflag", "l_linestatus"])
-    customers = read_table(spark, sf, "customer", ["c_custkey", "c_acctbal"])
-    flags = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-               .groupBy(F.col("o_custkey").alias("doctor_id"), "l_returnflag").agg(F.count(F.lit(1)).alias("_n")))
-    runs = F.sort_array(F.collect_list(F.struct(F.col("l_returnflag").alias("v"), text_run(F.col("l_returnflag"), F.col("_n"), "|").alias("run"))))
-    qualifications = flags.groupBy("doctor_id").agg(
-        F.array_join(F.transform(runs, lambda r: r["run"]), "|").alias("qualifications"),
-        F.sum(F.when(F.col("l_returnflag") == "R", F.col("_n"))).alias("doctor_photos"))
-
-    def terms(rows: DataFrame, missing: int, first: str, last: str) -> DataFrame:
-        group = (F.col("o_custkey") % 25).cast("int")
-        dates = rows.groupBy(F.when(group != missing, group).alias("ray_practice_id"))
-        return dates.agg(F.min("o_orderdate").cast("date").alias(first), F.max("o_orderdate").cast("date").alias(last))
-
-    return [
-        (events.groupBy(F.col("user_id").alias("doctor_id")).agg(F.max("ts").alias("last_login"),
-                                                                F.count_if(F.col("event_type") == "click").alias("_clicks"))
-         .select("doctor_id", "last_login", F.when(F.col("_clicks") > 0, F.col("_clicks")).alias("doctor_reviews")), "doctor_id"),
-        (collapse_text(doctor_orders, ["doctor_id"], "o_orderpriority", "memberships", value_fn=whitelist_strip), "doctor_id"),
-        (collapse_text(doctor_orders, ["doctor_id"], "o_orderstatus", "services", value_fn=whitelist_strip), "doctor_id"),
-        (qualifications, "doctor_id"),
-        (customers.where(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("doctor_id"),
-                                                        F.floor("c_acctbal").cast("long").alias("recommendation")), "doctor_id"),
-        (li.where(F.col("l_linestatus") == "F").groupBy(F.col("l_suppkey").alias("practice_id"))
-           .agg(F.count(F.lit(1)).alias("clinic_reviews")), "practice_id"),
-        (terms(orders, 24, "ray_start", "ray_end"), "ray_practice_id"),
-        (terms(orders.where(F.col("o_orderstatus") == "F"), 23, "reach_start", "reach_end"), "ray_practice_id"),
+    li = read_table(spark, sf, "lineitem", ["l_suppkey", "l_partkey", "l_returnflag", "l_linestatus"])
+    parts = read_table(spark, sf, "part", ["p_partkey", "p_type"])
+    lines = _doctor_lines(spark, sf).select(
+        "doctor_id", "p_brand", "l_returnflag", F.col("o_orderdate").cast("timestamp").alias("o_time"), F.col("o_orderkey").alias("registration_id"),
+        "l_linenumber", F.col("l_partkey").alias("speciality_id"), "practice_id")
+    text = lambda c: Text(c, value_fn=whitelist_strip)
+    first_line = First(("registration_id", "speciality_id"), ("o_time", "registration_id", "l_linenumber", "speciality_id", "practice_id"))
+    doctor_children = [
+        Child(lines, "doctor_id", {"awards": text("p_brand"), "qualifications": text("l_returnflag"),
+                                   "doctor_photos": count_rows(F.col("l_returnflag") == "R"), "first_line": first_line}),
+        Child(orders, "o_custkey", {"memberships": text("o_orderpriority"), "services": text("o_orderstatus"),
+                                    "organizations": count_rows()}),
+        Child(events, "user_id", {"last_login": Measure("ts", F.max), "doctor_reviews": count_rows(F.col("event_type") == "click")}),
+        Child(c.where(F.col("c_acctbal") > 0), "c_custkey", {"recommendation": Measure(F.floor("c_acctbal").cast("long"), F.max)}),
     ]
+    logo = F.when(F.col("l_returnflag") == "R", 1).when(F.col("l_returnflag") == "A", 0)
+    practice_lines = li.join(parts, li.l_partkey == parts.p_partkey)
+    practice_children = [Child(practice_lines, "l_suppkey", {
+        "type": Text("p_type", distinct=True), "number_of_photos": count_rows(), "logo_presence": Measure(logo, F.sum),
+        "clinic_reviews": count_rows(F.col("l_linestatus") == "F")})]
+
+    def terms(rows: DataFrame, missing: int, first: str, last: str) -> Child:
+        group, day = (F.col("o_custkey") % 25).cast("int"), F.col("o_orderdate").cast("date")
+        return Child(rows, F.when(group != missing, group), {first: Measure(day, F.min), last: Measure(day, F.max)})
+
+    external_children = [terms(orders, 24, "ray_start", "ray_end"),
+                         terms(orders.where(F.col("o_orderstatus") == "F"), 23, "reach_start", "reach_end")]
+    return master_from(spine, doctor_children, practice_children, external_children,
+                       parts.select(F.col("p_partkey").alias("speciality_id"), F.col("p_type").alias("speciality")))
 
 
 def mapping_from(master: DataFrame) -> DataFrame:
