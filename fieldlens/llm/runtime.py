@@ -40,6 +40,24 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def releasing(run):
+    """A ``mapInArrow`` function whose worker, which Spark keeps for later
+    tasks, gives the memory of a task back to the system when it ends."""
+    def task(batches):
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if hasattr(ctypes.CDLL(None), "malloc_trim"):  # glibc
+                ctypes.CDLL(None).malloc_trim(0)
+    return task
+
+
 def skew_join(rows: DataFrame, summary: DataFrame, on: list[str]) -> DataFrame:
     """Join rows to an aggregate of them by its long keys.  Both sides meet on
     the inverted keys, so the aggregate's own partitioning does not fix the

@@ -14,7 +14,8 @@ Three measures keep it to the size of the input:
   many copies) or ``hot_windows`` windows (texts that repeat one phrase, whose
   super-k-mers have no bound) is not gathered: its windows go out one by one as 128-bit
   digests and are settled by a min aggregate with map-side combine and a join.
-* Text is moved by document id once; both joins use that exchange.
+* Text is moved by document id once: all joins with it, that of the hot
+  buckets too, use one exchange.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.llm.runtime import checkpoint, skew_join
+from fieldlens.llm.runtime import checkpoint, releasing, skew_join
 from fieldlens.llm.words import Words, sliding_min, text_runs
 
 
@@ -216,7 +217,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("digest"),
                        F.col(text_col).alias("text"))
     known = text.where("doc is not null and text is not null")
-    reached = known.mapInArrow(_minimisers(window, anchor), "minimiser long, doc long, digest long, number int, windows long")
+    reached = known.mapInArrow(releasing(_minimisers(window, anchor)), "minimiser long, doc long, digest long, number int, windows long")
     shared = _shared(reached, hot_bucket, hot_windows)
     number = lambda hot: F.collect_set(F.when(F.col("hot") == F.lit(hot), F.col("number")))
     wanted = checkpoint(skew_join(reached.drop("windows"), shared, ["minimiser"]).groupBy("doc", "digest")
@@ -227,18 +228,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return text.join(lists, ["doc", "digest"], "left").select("doc", "digest", "text", "wanted")
 
     ranges = (with_text("cold")
-              .mapInArrow(_super_kmers(window, anchor), "minimiser long, doc long, digest long, start int, packed binary")
+              .mapInArrow(releasing(_super_kmers(window, anchor)), "minimiser long, doc long, digest long, start int, packed binary")
               .repartition("minimiser").sortWithinPartitions("minimiser")
-              .mapInArrow(_buckets(window), "doc long, digest long, first int, last int"))
+              .mapInArrow(releasing(_buckets(window)), "doc long, digest long, first int, last int"))
     if not wanted.where(F.size("hot") > 0).isEmpty():
-        hot = (text.join(wanted.where(F.size("hot") > 0).select("doc", "digest", F.col("hot").alias("wanted")), ["doc", "digest"])
-               .select("doc", "digest", "text", "wanted")
-               .mapInArrow(_hot_windows(window, anchor), "hi long, lo long, doc long, digest long, start int"))
-        hot = checkpoint(hot)
+        # the same join as above and below, so its exchange of the texts serves all three
+        hot = with_text("hot").mapInArrow(releasing(_hot_windows(window, anchor)), "hi long, lo long, doc long, digest long, start int")
         low = hot.groupBy("hi", "lo").agg(F.min("doc").alias("low"))
         ranges = ranges.union(skew_join(hot, low, ["hi", "lo"]).where("doc > low").select(
             "doc", "digest", F.col("start").alias("first"), (F.col("start") + window).alias("last")))
     both = F.shiftleft(F.col("first").cast("long"), 32).bitwiseOR(F.col("last").cast("long"))
     gone = ranges.groupBy("doc", "digest").agg(F.collect_set(both).alias("ranges"))
     return (text.join(gone, ["doc", "digest"], "left").select("doc", "text", "ranges")
-            .mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept_text string"))
+            .mapInArrow(releasing(_cut), "doc_id long, n_words long, n_removed long, kept_text string"))
