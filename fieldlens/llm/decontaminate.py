@@ -20,9 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldlens.llm.runtime import releasing
 from fieldlens.llm.words import Words, text_runs
 
 _BITS = 64
+_STRETCH = 4096  # shingles whose fingerprints are counted at once
 
 
 def _simhashes(shingles: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
@@ -108,8 +110,19 @@ class ItemIndex:
         size = self.sizes[np.repeat(self.edges[known], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
         for n in np.unique(size).tolist():
             span = min(n, len(shingles))  # a text shorter than the item is one window
-            begins = np.unique(np.clip(hit[size == n][:, None] - np.arange(n), 0, len(shingles) - span))
-            for part in np.split(begins, np.flatnonzero(np.diff(begins) > 4 * span) + 1):
+            last = len(shingles) - span
+            # windows around a hit, as a union of ranges of their begins
+            ends = np.zeros(last + 2, dtype=np.int64)
+            np.add.at(ends, np.clip(hit[size == n] - n + 1, 0, last), 1)
+            np.add.at(ends, np.clip(hit[size == n], 0, last) + 1, -1)
+            begins = np.flatnonzero(np.cumsum(ends[:-1]))
+            missing = int((self.size == n).sum())  # items of this size without an exact copy so far
+            i = 0
+            while i < len(begins) and missing:
+                j = int(np.searchsorted(begins, begins[i] + _STRETCH))
+                gaps = np.flatnonzero(np.diff(begins[i:j]) > 4 * span)
+                j = i + int(gaps[0]) + 1 if len(gaps) else j
+                part, i = begins[i:j], j
                 local = shingles[part[0]:part[-1] + span]
                 prints = _simhashes(local, part - part[0], span)
                 for start, value in zip(part.tolist(), prints):
@@ -119,6 +132,7 @@ class ItemIndex:
                         alike = similarity(shingles[start:start + span], self.shingles[item])
                         if alike >= threshold and alike > best.get(item, (0.0, 0))[0]:
                             best[item] = (alike, start)
+                            missing -= alike >= 1.0
         return [(int(self.ids[i]), alike, start) for i, (alike, start) in sorted(best.items())]
 
 
@@ -160,6 +174,13 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     empty and word-less texts or items never match, nor do items with a null
     id; repeated items count once per id, repeated rows stay rows; a null
     doc_id is returned as null, one row for each such document.  No items or no documents: no rows."""
+    return _leaks(docs, items, id_col, text_col, item_id_col, item_text_col, shingle, threshold, radius, block_items, block_bytes).drop("digest")
+
+
+def _leaks(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id_col: str = "item_id", item_text_col: str = "text",
+           shingle: int = 5, threshold: float = 0.8, radius: int = 19, block_items: int = 4096, block_bytes: int = 1 << 24) -> DataFrame:
+    """The rows of ``find_leaks`` with the digest of the document's text; the
+    documents are read once for each block of items."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("digest", F.xxhash64("text"))
@@ -184,13 +205,13 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                                            pa.array(alike, pa.float64()), pa.array(first, pa.int64()), pa.array([b] * len(row), pa.int32())],
                                           names=["doc_id", "digest", "item_id", "similarity", "first_word", "block"])
 
-        out = out.union(rows.mapInArrow(run, schema))
+        out = out.union(rows.mapInArrow(releasing(run), schema))
     # a row has one leak per item and block, so a block counts the equal rows
     best = lambda: F.max(F.struct("similarity", (-F.col("first_word")).alias("before"))).alias("best")
     by_block = (out.groupBy("doc_id", "digest", "item_id", "block").agg(best(), F.count("*").alias("rows"))
                 .select("*", "best.similarity", (-F.col("best.before")).alias("first_word")).drop("best"))
     whole = by_block.groupBy("doc_id", "digest", "item_id").agg(best(), F.max("rows").alias("rows"))
-    return whole.select("doc_id", "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.before")).alias("first_word"),
+    return whole.select("doc_id", "digest", "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.before")).alias("first_word"),
                         F.explode(F.sequence(F.lit(1).cast("long"), "rows")).alias("copy")).drop("copy")
 
 
@@ -203,5 +224,6 @@ def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     items = items.select(F.lit(0).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                         F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
-    leaks = find_leaks(keyed, items, "key", "text", **options).select(F.col("doc_id").alias("leak")).distinct()
-    return keyed.join(leaks, F.col("key") == F.col("leak"), "left_anti").select("row.*")
+    # rows are told apart by this key and the digest of their text
+    leaks = _leaks(keyed, items, "key", "text", **options).select(F.col("doc_id").alias("leak"), F.col("digest").alias("leak_digest")).distinct()
+    return keyed.join(leaks, (F.col("key") == F.col("leak")) & (F.xxhash64("text") == F.col("leak_digest")), "left_anti").select("row.*")
