@@ -43,6 +43,7 @@ KINDS = (
     Kind("short_card", r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++", r"[0-9]", 0.4, r"card|visa|amex|diners|credit", False),
 )
 BASE_KINDS = tuple(k.name for k in KINDS if k.always)
+_PAGE = 1024  # code points
 _NEAR = 40  # code points of context on either side
 _BONUS = 0.3
 _THRESHOLD = 0.6
@@ -76,10 +77,13 @@ def _valid(kind: str, value: Column) -> Column:
     }[kind]()
 
 
-def _located(matches: Column, gaps: Column) -> Column:
-    """[(start, end, value)] in code points from matches and the text around."""
-    span = "struct<start:bigint,end:bigint,value:string>"
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{span}>").alias("found"))
+_SPAN = "array<struct<start:bigint,end:bigint,value:string>>"
+_SLICE = 256  # matches whose spans are added up one after the other
+
+
+def _spans(pairs: Column, at: Column) -> Column:
+    """Spans of (match, gap before it) pairs that begin at a place."""
+    start = F.struct(at.alias("at"), F.array().cast(_SPAN).alias("found"))
 
     def step(acc: Column, pair: Column) -> Column:
         begin = acc["at"] + F.length(pair["gap"])
@@ -87,9 +91,24 @@ def _located(matches: Column, gaps: Column) -> Column:
         return F.struct(end.alias("at"), F.concat(acc["found"], F.array(F.struct(
             begin.alias("start"), end.alias("end"), pair["match"].alias("value")))).alias("found"))
 
+    return F.aggregate(pairs, start, step, lambda acc: acc["found"])
+
+
+def _located(matches: Column, gaps: Column) -> Column:
+    """[(start, end, value)] in code points from matches and the text around.
+    Very many matches are cut into slices: the lengths of whole slices are
+    added up first, so the time is linear in the matches."""
     pairs = F.zip_with(matches, F.slice(gaps, 1, F.size(matches)), lambda m, g: F.struct(m.alias("match"), g.alias("gap")))
-    return F.when(F.size(matches) > 0, F.aggregate(pairs, start, step, lambda acc: acc["found"])).otherwise(
-        F.array().cast(f"array<{span}>"))
+    many = F.transform(F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / _SLICE).cast("int")),
+                       lambda i: F.struct(F.slice(matches, i * _SLICE + 1, F.lit(_SLICE)).alias("m"), F.slice(gaps, i * _SLICE + 1, F.lit(_SLICE)).alias("g")))
+    size = lambda texts: F.aggregate(texts, F.lit(0).cast("long"), lambda acc, t: acc + F.length(t))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("found"))
+    begins = F.aggregate(many, start, lambda acc, s: F.struct(
+        (acc["at"] + size(s["m"]) + size(s["g"])).alias("at"), F.concat(acc["found"], F.array(acc["at"])).alias("found")), lambda acc: acc["found"])
+    sliced = F.flatten(F.zip_with(many, begins, lambda s, at: _spans(
+        F.zip_with(s["m"], F.slice(s["g"], 1, F.size(s["m"])), lambda m, g: F.struct(m.alias("match"), g.alias("gap"))), at)))
+    return F.when(F.size(matches) > _SLICE, sliced).when(F.size(matches) > 0, _spans(pairs, F.lit(0).cast("long"))).otherwise(
+        F.array().cast(_SPAN))
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
@@ -111,11 +130,19 @@ def find_pii(docs: DataFrame, text_col: str = "text", kinds: tuple[Kind, ...] =
     rows = rows.select("row", "body", *[f"m_{k.name}" for k in kinds], *gaps)
     rows = rows.select("row", "body", *[_located(F.col(f"m_{k.name}"), F.col(f"g_{k.name}")).alias(k.name) for k in kinds])
 
+    # finding a place in a text takes time in proportion to it: long ones are cut once
+    rows = rows.withColumn("pages", F.when(F.length("body") > 4 * _PAGE, F.regexp_extract_all("body", F.lit(f"(?s).{{1,{_PAGE}}}"), F.lit(0))))
+
+    def part(at: Column, size: Column) -> Column:
+        page = F.floor(at / _PAGE).cast("int")
+        two = F.concat(F.coalesce(F.get("pages", page), F.lit("")), F.coalesce(F.get("pages", page + 1), F.lit("")))
+        return F.when(F.col("pages").isNotNull(), F.substring(two, (at - page * _PAGE + 1).cast("int"), size.cast("int"))).otherwise(
+            F.substring("body", (at + 1).cast("int"), size.cast("int")))
+
     def scored(kind: Kind) -> Column:
         def one(span: Column) -> Column:
             first = F.greatest(span["start"] - _NEAR, F.lit(0))
-            near = F.concat_ws(" ", F.substring("body", (first + 1).cast("int"), (span["start"] - first).cast("int")),
-                               F.substring("body", (span["end"] + 1).cast("int"), F.lit(_NEAR)))
+            near = F.concat_ws(" ", part(first, span["start"] - first), part(span["end"], F.lit(_NEAR)))
             score = F.least(F.lit(1.0), F.lit(kind.score) + F.when(F.lower(near).rlike(kind.context), F.lit(_BONUS)).otherwise(0.0))
             return F.struct(F.lit(kind.name).alias("kind"), span["start"].alias("start"), span["end"].alias("end"), score.alias("score"))
 
