@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.llm.components import components
-from fieldlens.llm.runtime import checkpoint, skew_join
+from fieldlens.llm.runtime import checkpoint, releasing, skew_join
 
 _BLOCK = 1 << 16
 
@@ -66,13 +66,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeated rows stay."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [simhash(t or b"", shingle, seed) for t in batch.column(2).to_pylist()]
+            prints = [simhash(t.as_py() or b"", shingle, seed) for t in batch.column(2)]  # one text at a time
             yield pa.record_batch([*batch.columns[:2], pa.array(np.array(prints, dtype=np.uint64).view(np.int64))],
                                   names=["doc_id", "digest", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("digest"),
                        F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, digest long, fp long")
+    return rows.mapInArrow(releasing(run), "doc_id long, digest long, fp long")
 
 
 class BKTree:
@@ -170,7 +170,7 @@ def links(prints: DataFrame, radius: int = 4, tree_size: int = 8192) -> DataFram
             if len(a):
                 yield pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
-    return rows.select(*[F.col(c).cast("long").alias(c) for c in rows.columns]).mapInArrow(run, "a long, b long")
+    return rows.select(*[F.col(c).cast("long").alias(c) for c in rows.columns]).mapInArrow(releasing(run), "a long, b long")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[np.ndarray]:
