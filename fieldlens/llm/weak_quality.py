@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from fieldlens.llm.runtime import checkpoint
+from fieldlens.llm.runtime import checkpoint, releasing
 from fieldlens.llm.words import Words, mix64, text_runs
 
 ABSTAIN, GOOD, BAD = 0, 1, 2
@@ -330,7 +330,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                      batch.column(3)[i:j], low, high], names=["doc", "ids", "quality", "toxic", "low", "high"])
 
     sample = checkpoint(sample.select("doc", "text", "quality", "toxic").mapInArrow(
-        list_features, "doc long, ids array<long>, quality int, toxic int, low long, high long"))
+        releasing(list_features), "doc long, ids array<long>, quality int, toxic int, low long, high long"))
     # Copies of one bad text would make all of its words look bad: of the rows
     # that share their lowest or highest 8-word hash, one is fitted.
     for end in ("low", "high"):
@@ -354,7 +354,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # The human labels are one more labeller each, which abstains on most rows.
     said = {"marks": 2 - F.col("quality"), "repetition": 2 - F.col("quality"), "toxic": 1 + F.col("human_toxic")}
     people = known.withColumnRenamed("toxic", "human_toxic")
-    ballots = rows.mapInArrow(vote, "doc long, " + ", ".join(f"{q} int" for q in QUESTIONS)).join(people, "doc", "left").select(
+    ballots = rows.mapInArrow(releasing(vote), "doc long, " + ", ".join(f"{q} int" for q in QUESTIONS)).join(people, "doc", "left").select(
         "doc", *[(3 * F.col(q) + F.coalesce(said[q], F.lit(0))).alias(q) for q in QUESTIONS])
     ballots = checkpoint(ballots)
     patterns: dict[str, dict[int, int]] = {q: {} for q in QUESTIONS}
@@ -415,4 +415,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str
                                   names=[*carry, *added])
 
     extra = [] if text_col in carry else [F.col(text_col).alias("__text")]
-    return docs.select(*[F.col(f"`{c}`") for c in carry], *extra).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in carry], *extra).mapInArrow(releasing(run), schema)
