@@ -62,7 +62,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     away, back = shielded(docs, ["size", "source_size", "target", "copies", "taken"])
     rows = docs.select(
         *away, F.col(source_col).alias("source"),
-        word_count(F.col(text_col)).alias("size"), shuffle_key(F.col(id_col), seed).alias("key"),
+        word_count(F.col(text_col)).alias("size"), shuffle_key(F.col(id_col), F.col(text_col), seed).alias("key"),
         F.xxhash64(text_col).alias("text_hash"))
     # The narrow form serves all planning; text moves once, in the last step.
     narrow = checkpoint(rows.select("source", "size", "key", "text_hash"))

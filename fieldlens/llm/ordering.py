@@ -12,19 +12,21 @@ from pyspark.sql import functions as F
 from fieldlens.llm.runtime import attach, shuffle_partitions
 
 _ROWS_PER_BUCKET = 50_000
-_HEX = 5  # leading hex digits of a shuffle key that choose its bucket
+_HEX = 7  # leading hex digits of a shuffle key that choose its bucket
 
 
 def bucket_count(rows: DataFrame) -> int:
-    """Buckets for a table: some 50,000 rows each, up to the 16**5 that a
+    """Buckets for a table: some 50,000 rows each, up to the 16**7 that a
     shuffle key's leading digits tell apart."""
     n = rows.count()
     return min(16 ** _HEX, max(shuffle_partitions(rows.sparkSession), -(-n // _ROWS_PER_BUCKET)))
 
 
-def shuffle_key(id_col: Column, seed: int) -> Column:
-    """Seeded pseudo-random key of a row's id (null is an id like any other)."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(id_col.cast("string"), F.lit("null"))))
+def shuffle_key(id_col: Column, text_col: Column, seed: int) -> Column:
+    """Seeded pseudo-random key of a row's id; rows without an id are told
+    apart by their text, so they do not share one key."""
+    unnamed = F.concat(F.lit("null:"), F.md5(F.coalesce(text_col.cast("binary"), F.lit(b""))))
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(id_col.cast("string"), unnamed)))
 
 
 def key_bucket(key: Column, buckets: int) -> Column:

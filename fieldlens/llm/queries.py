@@ -172,7 +172,7 @@ SQL: dict[str, str] = {
     "op2_mixing": r"""
         WITH d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-                   md5('42:' || coalesce(doc_id::VARCHAR, 'null')) AS k
+                   md5('42:' || coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, '')))) AS k
             FROM documents),
         s AS (
             SELECT source, sum(size)::BIGINT AS source_size,

@@ -28,7 +28,7 @@ def interleave(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_c
     away, back = shielded(docs, ["shard", "slot"])
     rows = docs.select(
         *away, F.col(source_col).alias("source"),
-        shuffle_key(F.col(id_col), seed).alias("key"), F.xxhash64(text_col).alias("text_hash"),
+        shuffle_key(F.col(id_col), F.col(text_col), seed).alias("key"), F.xxhash64(text_col).alias("text_hash"),
         F.lit(1).cast("long").alias("one"))
     counts = checkpoint(rows.groupBy("source").agg(F.sum("one").alias("source_rows")))
     total = counts.agg(F.sum("source_rows")).first()[0] or 0

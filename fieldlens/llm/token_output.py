@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldlens.llm import token_codec
+from fieldlens.llm.runtime import releasing
 from fieldlens.llm.words import text_runs
 
 # The normaliser and pre-tokenizer for which words can be encoded one by one:
@@ -210,7 +211,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.select("*", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
     ordered = rows.repartitionByRange("doc_id", "hash", "row").sortWithinPartitions("doc_id", "hash", "row")
-    ordered.select("doc_id", "text").mapInArrow(run, _FILE).write.parquet(path)
+    ordered.select("doc_id", "text").mapInArrow(releasing(run), _FILE).write.parquet(path)
 
 
 def _times(a: int, b: int) -> int:
@@ -267,7 +268,7 @@ def _read(spark: SparkSession, path: str, with_ids: bool) -> DataFrame:
     """(part, seq, doc_id, start, n_tokens, pieces in order) per document."""
     blocks = spark.read.schema(_FILE).parquet(path)
     kind = "array<int>" if with_ids else "long"
-    pieces = blocks.mapInArrow(_pieces(with_ids), "part long, seq long, doc_id long, first long, n long, at long, size long, "
+    pieces = blocks.mapInArrow(releasing(_pieces(with_ids)), "part long, seq long, doc_id long, first long, n long, at long, size long, "
                                                   f"piece {kind}")
     docs = (pieces.groupBy("part", "seq")
             .agg(F.first("doc_id").alias("doc_id"), F.first("first").alias("first"), F.sum("size").alias("n_tokens"),
@@ -302,4 +303,4 @@ def token_digests(spark: SparkSession, path: str) -> DataFrame:
                                   names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     rows = _read(spark, path, with_ids=False).select("doc_id", "start", "n_tokens", "pieces.piece", "pieces.size")
-    return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return rows.mapInArrow(releasing(run), "doc_id long, start long, n_tokens long, ids_crc32 long")

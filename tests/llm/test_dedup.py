@@ -6,7 +6,7 @@ import os
 import numpy as np
 import pytest
 
-from fieldlens.llm import queries, simhash_dedup, substring_dedup
+from fieldlens.llm import decontaminate, queries, simhash_dedup, substring_dedup
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -135,3 +135,37 @@ def test_substring_texts_of_one_phrase_are_not_gathered(spark):
     for options in ({}, {"hot_windows": 1 << 18}):
         got = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(docs, **options).collect()}
         assert got == {1: (100_000, 0), 2: (100_000, 100_000), 3: (99, 0)}
+
+
+def test_hot_buckets_share_the_exchange_of_the_texts(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    df = spark.createDataFrame([(i, f"{text} own{i}") for i in range(12)], "doc_id long, text string")
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = [spark.conf.get(s, None) for s in settings]
+    try:
+        for s in settings:
+            spark.conf.set(s, "-1")
+        out = substring_dedup.remove_repeats(df, hot_bucket=1)
+        assert [n for _, n in sorted((r.doc_id, r.n_removed) for r in out.collect())] == [0] + [80] * 11
+    finally:
+        for s, v in zip(settings, before):
+            spark.conf.set(s, v) if v is not None else spark.conf.unset(s)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    assert plan.count("ReusedExchange [doc") >= 2
+
+
+def test_a_long_text_of_one_item_is_searched_in_bounded_memory():
+    """Windows of a text that repeats an item are looked at a stretch at a
+    time, and no longer once the item has been found exactly."""
+    import tracemalloc
+
+    from fieldlens.llm.words import Words
+    item = " ".join(f"word{i}" for i in range(30))
+    index = decontaminate.item_indexes([(7, item), (8, item + " and more words than the other one has")], 5, 19)
+    data = np.frombuffer(((item + " ") * 1000).encode(), np.uint8)
+    words = Words(data, np.array([0, len(data)]), normalise=True)
+    tracemalloc.start()
+    found = [hit for part in index for hit in part.leaks(words, 0.8)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(i, alike, first) for _, i, alike, first in found][0] == (7, 1.0, 0) and peak < 20e6

@@ -120,3 +120,12 @@ def test_running_sum_over_buckets(spark):
     df = spark.range(1000).selectExpr("id % 3 AS g", "id AS v", "id DIV 100 AS bucket")
     got = {(r.g, r.v): r.before for r in running_sum(df, ["g"], "bucket", ["v"], "v", "before").collect()}
     assert got == {(v % 3, v): sum(u for u in range(v) if u % 3 == v % 3) for v in range(1000)}
+
+
+def test_rows_without_an_id_spread_over_the_buckets(spark):
+    from pyspark.sql import functions as F
+
+    from fieldlens.llm.ordering import key_bucket, shuffle_key
+    df = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    n = [r["count"] for r in df.groupBy(key_bucket(shuffle_key(F.col("doc_id"), F.col("text"), 42), 64).alias("b")).count().collect()]
+    assert len(n) == 64 and max(n) < 2 * 20_000 / 64

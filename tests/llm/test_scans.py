@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 import string
 
 import pytest
@@ -191,3 +192,15 @@ def test_html_query_keeps_the_visible_words(spark):
         plain = h.unescape(re.sub(r"(?s)<[^>]*>", " ", raw))
         same += re.sub(r"\W+", "", r.text or "").startswith(re.sub(r"\W+", "", plain)[:200])
     assert same >= 0.9 * len(rows)
+
+
+def test_very_many_matches_take_linear_time(spark):
+    import time
+    text = "".join(f"mail a{i}@b.io or call +49 {i:09d}, " for i in range(50_000))
+    df = spark.createDataFrame([(1, text), (2, text[:20_000])], "doc_id long, text string")
+    began = time.time()
+    rows = {r.doc_id: r.pii for r in pii.find_pii(df).collect()}
+    assert time.time() - began < 60
+    for doc, whole in ((1, text), (2, text[:20_000])):
+        found = [(s.start, s.end) for s in rows[doc] if s.kind == "email"]
+        assert found == [m.span() for m in re.finditer(r"[a-z0-9]+@b\.io", whole)]
