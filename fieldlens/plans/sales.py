@@ -20,6 +20,7 @@ from fieldlens.functions import (contains_ci, flags_agree, month_label, month_na
 from fieldlens.functions.dates import compact_date
 from fieldlens.operators import global_row_number, level_rollup, lookup_first, rank_by_mapping
 from fieldlens.plans import standins as S
+from fieldlens.session import materialised
 
 # Fixed value: revenue per unit.
 UNIT_PRICE = 12000
@@ -433,9 +434,13 @@ def q_leadership_rollup(spark: SparkSession, sf: str, as_of: str = S.AS_OF) -> D
 
 
 def sheet_from(orders: DataFrame, managers: DataFrame, reps: DataFrame) -> DataFrame:
-    """The metrics sheet of one month's orders and a roster."""
-    t = lower_roster(roster_union(managers, reps))
-    rcs = rep_currency_stats(orders)
+    """The metrics sheet of one month's orders and a roster.
+
+    The (rep, currency) counters (a few rows a rep) and the roster are
+    computed once; scorecard, rollup and scalars read those, so the month's
+    order lines are scanned once."""
+    t = materialised(lower_roster(roster_union(managers, reps)))
+    rcs = materialised(rep_currency_stats(orders))
     card = rep_scorecard(None, t.where(F.col("level") == "TM"), exact=True, stats=rep_stats_from(rcs))
     return metrics_sheet(card, leadership_rollup(card, t), order_scalars(rcs=rcs))
 
@@ -458,39 +463,53 @@ def q_roster_sorted(spark: SparkSession, sf: str) -> DataFrame:
     return roster_sorted(roster_union(S.roster_managers(spark, sf), S.roster_reps(spark, sf)))
 
 
-SALE_DAY_AFTER, SALE_DAY_UNTIL = "1998-06-01", "1998-06-03"
-
-
-TAB_DAY_FROM, TAB_DAY_UNTIL = "1998-06-02", "1998-06-03"
+SALE_DAY_AFTER, SALE_DAY_UNTIL, SALE_CITY_LEFT_OUT = "1998-05-31", "1998-06-14", "NATION_7"
+TAB_DAY_FROM, TAB_DAY_UNTIL, TAB_PLAN_LEFT_OUT = "1998-06-01", "1998-06-20", "hot plate LARGE"
 
 
-def sale_day_discount(orders: DataFrame, after: str, until: str, classes: dict = S.PLAN_CLASSES) -> DataFrame:
+def sale_day_discount(orders: DataFrame, after: str, until: str, classes: dict = S.PLAN_CLASSES,
+                      left_out: str | None = None) -> DataFrame:
     """Per city over the listing sale days (after, until]: slots sold, mean
-    cost x 6, mean revenue, and the discount that the two means imply."""
+    cost x 6, mean revenue, and the discount that the two means imply.
+
+    A mean is over the rows that have a value (none: missing, and so is the
+    discount); ``left_out`` names a city that is not reported, and neither is a
+    missing one."""
     listing = class_flags(F.col("plan"), classes)["is_listing"]
     days = orders.where(listing & (F.col("placed_date") > F.lit(after).cast("date"))
-                        & (F.col("placed_date") <= F.lit(until).cast("date")))
+                        & (F.col("placed_date") <= F.lit(until).cast("date")) & F.col("city").isNotNull())
+    if left_out is not None:
+        days = days.where(F.col("city") != left_out)
     # exact sums, one division: the same double on every engine and run
+    def total(c: str) -> Column:
+        return _dbl(F.sum(F.col(c).cast("decimal(18,2)")))
     per_city = days.groupBy("city").agg(
         F.count(F.lit(1)).alias("slots"),
-        (_dbl(F.sum(F.col("cost").cast("decimal(18,2)"))) * 6 / F.count(F.lit(1))).alias("mean_cost_x6"),
-        (_dbl(F.sum("amount_in_inr")) / F.count(F.lit(1))).alias("mean_revenue"))
-    return per_city.withColumn("mean_discount", safe_ratio(F.col("mean_cost_x6") - F.col("mean_revenue"), F.col("mean_cost_x6")))
-
-
-def sale_day_plan_revenue(orders: DataFrame, first: str, last: str, classes: dict = S.PLAN_CLASSES) -> DataFrame:
-    """Per plan over the tab sale days [first, last]: orders and revenue."""
-    tab = class_flags(F.col("plan"), classes)["is_tab"]
-    days = orders.where(tab & F.col("placed_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+        (total("cost") * 6 / F.nullif(F.count("cost"), F.lit(0))).alias("mean_cost_x6"),
+        (total("amount_in_inr") / F.nullif(F.count("amount_in_inr"), F.lit(0))).alias("mean_revenue"))
+    known = F.col("mean_cost_x6").isNotNull() & F.col("mean_revenue").isNotNull()
+    discount = safe_ratio(F.col("mean_cost_x6") - F.col("mean_revenue"), F.col("mean_cost_x6"))
+    return per_city.withColumn("mean_discount", F.when(known, discount))
+
+
+def sale_day_plan_revenue(orders: DataFrame, first: str, last: str, classes: dict = S.PLAN_CLASSES,
+                          left_out: str | None = None) -> DataFrame:
+    """Per plan with the tab substring (software or not) over the sale days
+    [first, last]: orders and revenue (missing if no order has an amount);
+    ``left_out`` names a plan that is not reported."""
+    days = orders.where(contains_ci(F.col("plan"), classes["tab"])
+                        & F.col("placed_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    if left_out is not None:
+        days = days.where(F.col("plan") != left_out)
     return days.groupBy("plan").agg(F.count(F.lit(1)).alias("orders"), _dbl(F.sum("amount_in_inr")).alias("revenue"))
 
 
 def q_sale_day_discount(spark: SparkSession, sf: str, as_of: str = S.AS_OF) -> DataFrame:
-    return sale_day_discount(_month_orders(spark, sf, as_of), SALE_DAY_AFTER, SALE_DAY_UNTIL)
+    return sale_day_discount(_month_orders(spark, sf, as_of), SALE_DAY_AFTER, SALE_DAY_UNTIL, left_out=SALE_CITY_LEFT_OUT)
 
 
 def q_sale_day_plan_revenue(spark: SparkSession, sf: str, as_of: str = S.AS_OF) -> DataFrame:
-    return sale_day_plan_revenue(_month_orders(spark, sf, as_of), TAB_DAY_FROM, TAB_DAY_UNTIL)
+    return sale_day_plan_revenue(_month_orders(spark, sf, as_of), TAB_DAY_FROM, TAB_DAY_UNTIL, left_out=TAB_PLAN_LEFT_OUT)
 
 
 def q_orders_with_contact(spark: SparkSession, sf: str, since: str = "1995-01-01") -> DataFrame:

@@ -6,7 +6,9 @@ The library never hard-codes cluster paths; whatever the cluster configures
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at every scale: AQE re-plans joins and coalesces /
 # splits shuffle partitions from runtime statistics, so the plans below are
@@ -41,3 +43,19 @@ def build_session(master: str | None = None, app: str = "fieldlens",
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """A frame that several parts of one report read, computed once: it goes
+    to the folder named in ``spark.checkpoint.dir``, which all machines share,
+    and survives lost executors.  A session without that setting gets a folder
+    of its own only where everything runs in this process (tests)."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not (sc.master == "local" or sc.master.startswith("local[")):
+                raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
+            folder = tempfile.mkdtemp(prefix="fieldlens-checkpoint-")
+        sc.setCheckpointDir(folder)
+    return df.checkpoint(eager=True)

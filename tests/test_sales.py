@@ -167,3 +167,26 @@ def test_sale_day_formulas(spark):
     assert [(x.city, x.slots, x.mean_cost_x6, x.mean_revenue, x.mean_discount) for x in r] == [("X", 2, 600.0, 360.0, 0.4)]
     r = sales.sale_day_plan_revenue(o, "2016-01-29", "2016-01-30").collect()
     assert [(x.plan, x.orders, x.revenue) for x in r] == [("hot ring", 2, 15.0)]
+
+
+def test_sale_day_means_leave_out_missing_values(spark):
+    d, amount = dt.date(2016, 1, 15), Decimal
+    rows = [("widget", "X", d, 100.0, amount(300)), ("widget", "X", d, None, amount(500)), ("widget", "X", d, 200.0, None),
+            ("widget", "Y", d, None, amount(9)), ("widget", None, d, 5.0, amount(5)), ("widget", "Z", d, 1.0, amount(1)),
+            ("hot widget", "X", dt.date(2016, 2, 1), 1.0, None), ("Hot Shot", "X", dt.date(2016, 2, 1), 1.0, amount(4)),
+            ("hot skip", "X", dt.date(2016, 2, 1), 1.0, amount(4))]
+    o = spark.createDataFrame(rows, "plan string, city string, placed_date date, cost double, amount_in_inr decimal(18,2)")
+    r = sales.sale_day_discount(o, "2016-01-14", "2016-01-16", left_out="Z").sort("city").collect()
+    assert [(x.city, x.slots, x.mean_cost_x6, x.mean_revenue) for x in r] == [("X", 3, 900.0, 400.0), ("Y", 1, None, 9.0)]
+    assert r[0].mean_discount == pytest.approx(5 / 9) and r[1].mean_discount is None
+    r = sales.sale_day_plan_revenue(o, "2016-02-01", "2016-02-01", left_out="hot skip").sort("plan").collect()
+    assert [(x.plan, x.orders, x.revenue) for x in r] == [("Hot Shot", 1, 4.0), ("hot widget", 1, None)]
+
+
+def test_the_sheet_reads_the_month_once(spark):
+    """The (rep, currency) counters and the roster are materialised: the
+    sheet's own plan reads no table, and has few shuffles."""
+    sheet = sales.q_metrics_sheet(spark, "/root/testdata/sf0.001")
+    sheet.collect()
+    plan = sheet._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    assert "FileScan" not in plan and plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning") <= 9
