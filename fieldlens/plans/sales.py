@@ -157,6 +157,16 @@ def roster_union(managers: DataFrame, reps: DataFrame) -> DataFrame:
                 .withColumn("targets_u", role_gate(tgt, F.col("role"), "U")))
 
 
+def next_roster(previous: DataFrame | None, managers: DataFrame, reps: DataFrame, new_zones: tuple[str, ...] = ()) -> DataFrame:
+    """The roster that follows the published one: its zones (and any new
+    ones) decide which zones' files are taken; without a published roster all
+    are.  Sorted and numbered."""
+    if previous is not None:
+        zones = previous.select("zone").union(reps.sparkSession.createDataFrame([(z,) for z in new_zones], "zone string")).distinct()
+        reps = reps.join(zones, "zone", "left_semi")
+    return roster_sorted(roster_union(managers, reps))
+
+
 def roster_sorted(roster: DataFrame) -> DataFrame:
     """Sort by level rank then region, zone, AM, role, exp, target (missing
     last), e-mail as final tie-break, and number the rows."""

@@ -10,6 +10,7 @@
 * ``publish_version`` / ``read_latest_version``: read-modify-write of a
   dataset that is also its own input.  Overwriting a path while reading it
   deletes the input first; each run writes a new version folder instead.
+* ``update_version``: the same as one step that two runs cannot both win.
 
 Writes are whole-job atomic per partition via Spark's commit protocol; a
 lost executor only re-runs its tasks.
@@ -17,6 +18,9 @@ lost executor only re-runs its tasks.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +80,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own making."""
+    fs, p, _ = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def list_versions(spark: SparkSession, base: str) -> list[int]:
     fs, p, _ = _fs(spark, base)
     if not fs.exists(p):
@@ -105,3 +115,54 @@ def publish_version(df: DataFrame, base: str, fmt: str = "parquet") -> str:
     target = f"{base.rstrip('/')}/v={(vs[-1] + 1) if vs else 1}"
     df.write.mode("errorifexists").format(fmt).options(**_options(fmt)).save(target)
     return target
+
+
+class VersionConflict(RuntimeError):
+    """Another run has published on top of the version that was read."""
+
+
+def claim_version(spark: SparkSession, base: str, version: int) -> bool:
+    """Whether this caller is the one that may write a version: its claim file
+    is created, which the file system lets only one caller do."""
+    fs, _, jvm = _fs(spark, base)
+    claim = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/claims/v={version}")
+    fs.mkdirs(claim.getParent())
+    try:
+        fs.create(claim, False).close()
+    except Exception as e:  # py4j wraps what the file system throws
+        if fs.exists(claim):
+            return False
+        raise e
+    return True
+
+
+def update_version(spark: SparkSession, base: str, change: Callable[[DataFrame | None], DataFrame], fmt: str = "parquet",
+                   read: Callable[[str], DataFrame] | None = None) -> str:
+    """Read-modify-write: ``change`` gets the last finished version (None if
+    there is none) and returns the next one.
+
+    The new rows are written aside first; only then version n + 1 is claimed
+    and the rows moved to it by a rename.  Of two runs that read version n, one
+    claims n + 1; the other raises ``VersionConflict`` and leaves nothing
+    behind, so it can be run again on what the first has published.  A run that
+    ends between claim and rename blocks its number: ``release_claim``."""
+    done = finished_versions(spark, base)
+    n = done[-1] if done else 0
+    source = f"{base.rstrip('/')}/v={n}"
+    before = None if not done else read(source) if read else spark.read.format(fmt).options(**_options(fmt)).load(source)
+    fs, _, jvm = _fs(spark, base)
+    path = jvm.org.apache.hadoop.fs.Path
+    aside = f"{base.rstrip('/')}/writing/{uuid.uuid4().hex}"
+    change(before).write.mode("errorifexists").format(fmt).options(**_options(fmt)).save(aside)
+    target = f"{base.rstrip('/')}/v={n + 1}"
+    if not claim_version(spark, base, n + 1) or fs.exists(path(target)) or not fs.rename(path(aside), path(target)):
+        fs.delete(path(aside), True)
+        raise VersionConflict(f"version {n + 1} of {base} belongs to another run")
+    return target
+
+
+def release_claim(spark: SparkSession, base: str, version: int) -> None:
+    """Give up the claim of a run that ended before it published."""
+    fs, _, jvm = _fs(spark, base)
+    if not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/v={version}")):
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/claims/v={version}"), False)

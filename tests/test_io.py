@@ -156,3 +156,48 @@ def test_jdbc_options_push_columns_and_filter_down():
                    "lowerBound": "1", "upperBound": "900", "numPartitions": "9"}
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "t", ["name"], partition_column="id", lower=1, upper=2, num_partitions=1)
+
+
+def test_two_writers_of_one_version(spark, tmpdir_path):
+    """Of two runs that read version 1 one publishes version 2, the other
+    fails cleanly and can be run again."""
+    import os
+
+    from fieldlens.sinks import VersionConflict, read_latest_version, release_claim, update_version
+    from fieldlens.sinks.writers import claim_version
+    base = os.path.join(tmpdir_path, "roster")
+    one = spark.createDataFrame([("a@x", 1)], "email string, n int")
+    assert os.path.basename(update_version(spark, base, lambda before: one if before is None else before)) == "v=1"
+
+    def add(name):
+        return lambda before: before.union(spark.createDataFrame([(name, 2)], before.schema))
+
+    def slow(before):
+        update_version(spark, base, add("fast@x"))  # the other run is quicker
+        return add("slow@x")(before)
+
+    with pytest.raises(VersionConflict):
+        update_version(spark, base, slow)
+    names = lambda: sorted(r.email for r in read_latest_version(spark, base).collect())
+    assert names() == ["a@x", "fast@x"] and os.listdir(os.path.join(base, "writing")) == []
+    assert os.path.basename(update_version(spark, base, add("slow@x"))) == "v=3"
+    assert names() == ["a@x", "fast@x", "slow@x"]
+    # a run that ended after its claim blocks the number until it is released
+    assert claim_version(spark, base, 4) and not claim_version(spark, base, 4)
+    with pytest.raises(VersionConflict):
+        update_version(spark, base, add("later@x"))
+    release_claim(spark, base, 4)
+    assert os.path.basename(update_version(spark, base, add("later@x"))) == "v=4"
+
+
+def test_the_published_roster_names_the_zones(spark):
+    from fieldlens.plans import sales
+    from fieldlens.plans import standins as S
+    sf = "/root/testdata/sf0.001"
+    managers, reps = S.roster_managers(spark, sf), S.roster_reps(spark, sf)
+    first = sales.next_roster(None, managers, reps)
+    zones = {r.zone for r in first.where("level = 'TM'").collect()}
+    left = sorted(zones)[0]
+    again = sales.next_roster(first.where(f"zone is null or zone <> '{left}'"), managers, reps)
+    assert {r.zone for r in again.where("level = 'TM'").collect()} == zones - {left}
+    assert {r.zone for r in sales.next_roster(again, managers, reps, (left,)).where("level = 'TM'").collect()} == zones

@@ -124,3 +124,12 @@ def test_global_row_number_with_payload(spark, rows):
     assert [g[0] for g in got] == list(range(1, rows + 1))
     assert got == sorted(got, key=lambda g: (g[1] is None, g[1] or 0, g[2]))
     assert out.columns == ["v", "u", "text", "row"]
+
+
+def test_row_numbers_of_equal_keys_are_cut_into_buckets(spark):
+    from fieldlens.operators.rownum import into_buckets
+    df = spark.range(200_000).selectExpr("'same' as k", "id", "cast(null as int) as missing", "map('a', id) as m")
+    per_bucket = [r["count"] for r in into_buckets(df, ["k", "missing"], 8).groupBy("_bucket").count().collect()]
+    assert len(per_bucket) == 8 and max(per_bucket) < 2 * 200_000 / 8
+    rows = global_row_number(df, ["k", "missing"], num_partitions=8)
+    assert rows.agg(F.count_distinct("row"), F.min("row"), F.max("row")).first()[:] == (200_000, 1, 200_000)
