@@ -18,6 +18,12 @@
     equals the plain group-wide ``lag``.  Rows of one group and one start date
     stay together: a day of one practice's slots of one code.
 
+``label_increment``
+    The labels of new rows from a kept state, the last row of each group, so a
+    daily run reads the new rows only.  Groups with a late row (one that sorts
+    before the kept row, or was ordered no later than the group's latest order)
+    are labelled again from their history.
+
 ``share_label``
     All rows with the same (practice, ad code, order time) take the label of
     the first of them in (start, tie-break) order: a window over the lines
@@ -26,6 +32,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -127,3 +135,71 @@ def share_label(df: DataFrame, group_cols: list[str], order_ts: str, start: str,
     first = [_c(start).asc_nulls_last()] + [_c(t).asc_nulls_last() for t in tiebreak]
     return df.withColumn(out_col, F.first(_c(label_col)).over(
         Window.partitionBy(*keys).orderBy(*first).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+
+@dataclass(frozen=True)
+class RenewalRule:
+    """The columns of ``label_renewals`` and ``share_label``."""
+    group_cols: tuple[str, ...]
+    start: str
+    order_ts: str
+    end: str
+    tiebreak: tuple[str, ...]
+    code_col: str | None = None
+
+    @property
+    def columns(self) -> list[str]:
+        """Every column that the rule reads, once."""
+        return list(dict.fromkeys([*self.group_cols, self.start, self.order_ts, self.end, *self.tiebreak]))
+
+    def place(self) -> Column:
+        """A row's place in its group, missing last."""
+        parts = [self.start, self.order_ts, *self.tiebreak]
+        return F.struct(*[p for c in parts for p in (_c(c).isNull().alias(f"n_{c}"), _c(c).alias(f"v_{c}"))])
+
+    def label(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with ``label`` and ``shared_label``."""
+        groups, ties = list(self.group_cols), list(self.tiebreak)
+        labelled = label_renewals(rows, groups, self.start, self.order_ts, self.end, ties, code_col=self.code_col)
+        return share_label(labelled, groups, self.order_ts, self.start, ties)
+
+
+def _by_group(rule: RenewalRule, a: str, b: str) -> Column:
+    same = F.lit(True)
+    for c in rule.group_cols:
+        same = same & F.col(f"{a}.`{c}`").eqNullSafe(F.col(f"{b}.`{c}`"))
+    return same
+
+
+def renewal_state(rows: DataFrame, rule: RenewalRule) -> DataFrame:
+    """One row a group: its last row's columns and its latest order time
+    (``latest_order``).  ``rows`` may be states, too."""
+    latest = F.col("latest_order") if "latest_order" in rows.columns else _c(rule.order_ts)
+    rows = rows.select(*[_c(c) for c in rule.columns], latest.alias("latest_order"))
+    whole = F.struct(*[_c(c) for c in rule.columns])
+    last = rows.groupBy(*[_c(c) for c in rule.group_cols]).agg(F.max_by(whole, rule.place()).alias("_last"), F.max("latest_order").alias("latest_order"))
+    return last.select(*[F.col(f"_last.`{c}`").alias(c) for c in rule.columns], "latest_order")
+
+
+def label_increment(new: DataFrame, state: DataFrame, history: DataFrame, rule: RenewalRule) -> tuple[DataFrame, DataFrame]:
+    """(labelled rows, next state) of one run.
+
+    The labelled rows are the new ones, and all rows of groups with a late
+    row, whose earlier labels they replace.  ``state`` is that of the rows
+    labelled so far (``renewal_state``), ``history`` has those rows; only late
+    groups' rows are used of it."""
+    columns = new.columns
+    first = new.groupBy(*[_c(c) for c in rule.group_cols]).agg(
+        F.min(rule.place()).alias("_first"), F.min(F.struct(_c(rule.order_ts).isNull().alias("n"), _c(rule.order_ts).alias("v"))).alias("_ordered"))
+    kept = state.withColumn("_place", rule.place())
+    late = first.alias("f").join(kept.alias("k"), _by_group(rule, "f", "k")).where(
+        (F.col("_first") < F.col("_place")) | F.coalesce(F.col("_ordered.v") <= F.col("latest_order"), F.lit(False))
+        | (F.col("_ordered.v").isNull())).select(*[F.col(f"f.`{c}`") for c in rule.group_cols])
+    again = history.select(*columns).alias("h").join(late.alias("l"), _by_group(rule, "h", "l"), "left_semi")
+    # the kept row stands for its group's rows; late groups have all of theirs
+    on_time = state.alias("s").join(late.alias("l"), _by_group(rule, "s", "l"), "left_anti")
+    touched = on_time.alias("s").join(first.alias("f"), _by_group(rule, "s", "f"), "left_semi")
+    real = new.unionByName(again).withColumn("_kept", F.lit(False))
+    stand_in = touched.select(*rule.columns).withColumn("_kept", F.lit(True))
+    labelled = rule.label(real.unionByName(stand_in, allowMissingColumns=True)).where(~F.col("_kept")).drop("_kept")
+    return labelled, renewal_state(state.unionByName(renewal_state(new, rule)), rule)

@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 
 from fieldlens.operators import (active_as_of as _active, label_renewals, lookup_first, not_in,
                                  not_in_literals, share_label)
+from fieldlens.operators.intervals import RenewalRule, label_increment, renewal_state
 from fieldlens.plans import standins as S
+from fieldlens.session import materialised
+from fieldlens.sinks.writers import finished_versions, update_version
 from fieldlens.sources.tables import read_table
 
 LABEL_COLS = ["order_id", "line_no", "part_id", "supp_id", "practice_id", "ad_code", "order_date",
@@ -40,6 +43,44 @@ def renewal_label_shared(spark: SparkSession, sf: str) -> DataFrame:
     return sh.withColumn("order_date", F.to_date("order_ts")).select(*LABEL_COLS, "label", "shared_label")
 
 
+#: the stand-ins' renewal rule
+SLOT_RULE = RenewalRule(("practice_id", "ad_code"), "start_date", "order_ts", "end_date", tuple(S.SLOT_TIEBREAK), "ad_code")
+
+
+def update_renewals(spark: SparkSession, base: str, new: DataFrame, rule: RenewalRule = SLOT_RULE) -> str:
+    """Label a day's new slots and publish them as the next version below
+    ``base``: the rows labelled in this run (``kind = 'label'``) and the state
+    for the next one (``kind = 'state'``).  Of two runs on one version one
+    raises ``VersionConflict``."""
+    new = materialised(new)  # the source is read once
+    columns = new.columns
+
+    def change(before: DataFrame | None) -> DataFrame:
+        if before is None:
+            labels, state = rule.label(new), renewal_state(new, rule)
+        else:
+            kept = before.where("kind = 'state'").select(*rule.columns, "latest_order")
+            labels, state = label_increment(new, kept, renewals_so_far(spark, base, rule).select(*columns), rule)
+        return labels.withColumn("kind", F.lit("label")).unionByName(state.withColumn("kind", F.lit("state")), allowMissingColumns=True)
+
+    return update_version(spark, base, change)
+
+
+def renewals_so_far(spark: SparkSession, base: str, rule: RenewalRule = SLOT_RULE) -> DataFrame:
+    """All labelled slots of the published versions: a row's group takes its
+    rows from the run that labelled them last."""
+    runs = finished_versions(spark, base)
+    paths = [f"{base.rstrip('/')}/v={n}" for n in runs]
+    rows = spark.read.option("basePath", base).parquet(*paths).where("kind = 'label'").drop("kind", "latest_order")
+    # a row is known by its group and its place in it
+    place = [*rule.group_cols, rule.start, rule.order_ts, *rule.tiebreak]
+    last = rows.groupBy(*[F.col(c).alias(f"_{c}") for c in dict.fromkeys(place)]).agg(F.max("v").alias("_v"))
+    same = F.col("v") == F.col("_v")
+    for c in dict.fromkeys(place):
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return rows.join(last, same, "left_semi").drop("v")
+
+
 def kept_slots(slots: DataFrame) -> DataFrame:
     """Slots whose shared label is not a renewal."""
     lab = label_renewals(slots, ["practice_id", "ad_code"], "start_date", "order_ts", "end_date",
