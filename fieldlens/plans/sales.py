@@ -522,14 +522,20 @@ def q_sale_day_plan_revenue(spark: SparkSession, sf: str, as_of: str = S.AS_OF)
     return sale_day_plan_revenue(_month_orders(spark, sf, as_of), TAB_DAY_FROM, TAB_DAY_UNTIL, left_out=TAB_PLAN_LEFT_OUT)
 
 
+def orders_with_contact(orders: DataFrame, contacts: DataFrame, since: str) -> DataFrame:
+    """Orders placed since a date (before cleanup) with their practice's
+    contact; ``contacts`` has one (practice_id, contact_name) a practice, an
+    order without one keeps a missing name."""
+    recent = orders.where(F.col("placed_date") >= F.lit(since).cast("date"))
+    named = contacts.select(F.col("practice_id").alias("_practice"), "contact_name")
+    return recent.join(named, recent.practice_id == F.col("_practice"), "left").select(
+        "order_id", "line_no", "part_id", "supp_id", "practice_id", "plan", "placed_date", "contact_name")
+
+
 def q_orders_with_contact(spark: SparkSession, sf: str, since: str = "1995-01-01") -> DataFrame:
-    """Orders since a date (before cleanup) with the customer's contact name."""
     from fieldlens.sources.tables import read_table
-    po = S.plan_orders(spark, sf).where(F.col("placed_date") >= F.lit(since).cast("date"))
-    c = read_table(spark, sf, "customer", ["c_custkey", "c_name"])
-    return po.join(c, po.practice_id == c.c_custkey, "left").select(
-        "order_id", "line_no", "part_id", "supp_id", "practice_id", "plan", "placed_date",
-        F.col("c_name").alias("contact_name"))
+    contacts = read_table(spark, sf, "customer", ["c_custkey", "c_name"]).toDF("practice_id", "contact_name")
+    return orders_with_contact(S.plan_orders(spark, sf), contacts, since)
 
 
 def q_orders_city_backfill(spark: SparkSession, sf: str) -> DataFrame:

@@ -62,9 +62,13 @@ def write_snapshot_and_latest(df: DataFrame, base: str, snapshot_date: str, fmt:
 def write_split(df: DataFrame, path: str, by: str | Column, name: str = "split", fmt: str = "csv",
                 keep_others: bool = False) -> None:
     """One folder per value.  ``keep_others`` overwrites only the folders of
-    values that the frame has; without it the whole dataset is replaced."""
+    values that the frame has; without it the whole dataset is replaced.
+
+    Rows are rebalanced by value first: a value's rows come together, and AQE
+    cuts a value that holds many of them into parts of the advisory size, so
+    the number of files follows their bytes, not tasks times values."""
     col = by if isinstance(by, Column) else F.col(by)
-    (df.withColumn(name, col).write.mode("overwrite")
+    (df.withColumn(name, col).hint("rebalance", name).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic" if keep_others else "static")
        .partitionBy(name).format(fmt).options(**_options(fmt)).save(path))
 

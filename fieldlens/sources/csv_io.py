@@ -8,10 +8,16 @@ text, blank becomes null), so files are read as text and converted here.
 
 from __future__ import annotations
 
+import csv
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldlens.functions.dates import period_end, period_start, window_start
+
 
 def r_text_nulls(c: Column) -> Column:
     """``NA`` -> null, blank (null after parsing) -> empty string."""
@@ -64,19 +70,62 @@ def _files(spark: SparkSession, paths: list[str]) -> list[str]:
     return sorted(out)
 
 
+def _plain(path: str) -> str:
+    """A local path without the scheme's variants; any other as it is."""
+    return re.sub("^file:/+", "/", unquote(path))
+
+
+def _column_names(line: str) -> tuple[str, ...]:
+    """Column names of a header line, as Spark's reader makes them: a blank
+    one is ``_c`` and its number, one that repeats gets its number."""
+    names = next(csv.reader([line]), [])
+    lower = [n.lower() for n in names]
+    return tuple(f"_c{i}" if not n else f"{n}{i}" if lower.count(n.lower()) > 1 else n for i, n in enumerate(names))
+
+
+def _headers(spark: SparkSession, files: list[str]) -> dict[str, tuple[str, ...]]:
+    """Column names of each file: header lines are found by the executors in
+    one job, whatever the number of files.  A header that goes on in the next
+    line is left to the reader."""
+    lines = spark.read.text(files).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+                                          F.monotonically_increasing_id().alias("line")).where("at = 0 and value <> ''")
+    found = {_plain(r["file"]): r["header"] for r in lines.groupBy("file").agg(F.min_by("value", "line").alias("header")).collect()}
+    out = {}
+    for f in files:
+        header = found.get(_plain(f), "")
+        whole = header.count('"') % 2 == 0
+        out[f] = _column_names(header) if whole else tuple(spark.read.options(**_OPTIONS).csv(f).columns)
+    return out
+
+
 def _by_header(spark: SparkSession, files: list[str], base: str | None = None) -> list[DataFrame]:
     """One frame per distinct header line: files are read together only if
     they have the same columns in the same order.  Only header lines reach the
     driver, one a file."""
     by_columns: dict[tuple, list[str]] = {}
-    for f in files:
-        by_columns.setdefault(tuple(spark.read.options(**_OPTIONS).csv(f).columns), []).append(f)
+    for f, columns in _headers(spark, files).items():
+        by_columns.setdefault(columns, []).append(f)
     reader = spark.read.options(**_OPTIONS)
     reader = reader.option("basePath", base) if base else reader
     return [reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).csv(group)
             for columns, group in by_columns.items()]
 
 
+def read_months(spark: SparkSession, base: str, schema: T.StructType, as_of: str, three_months: bool = False,
+                fmt: str = "csv") -> DataFrame:
+    """The published months (``month=yyyy_MM`` folders) that a report as of a
+    date needs, with their ``month``: folders of other months are not opened,
+    as the months are a filter on the partition column."""
+    first = window_start(as_of) if three_months else period_start(as_of)
+    label = lambda day: F.date_format(day, "yyyy_MM")
+    text = fmt == "csv"
+    stored = T.StructType([T.StructField(f.name, T.StringType() if text else f.dataType) for f in schema.fields]
+                          + [T.StructField("month", T.StringType())])
+    rows = spark.read.schema(stored).options(**(_OPTIONS if text else {})).format(fmt).load(base)
+    rows = rows.where(F.col("month").between(label(first), label(period_end(as_of))))
+    return rows.select(*_typed(rows, schema), "month") if text else rows
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:

@@ -201,3 +201,76 @@ def test_the_published_roster_names_the_zones(spark):
     again = sales.next_roster(first.where(f"zone is null or zone <> '{left}'"), managers, reps)
     assert {r.zone for r in again.where("level = 'TM'").collect()} == zones - {left}
     assert {r.zone for r in sales.next_roster(again, managers, reps, (left,)).where("level = 'TM'").collect()} == zones
+
+
+def test_headers_of_many_files_are_one_job(spark, tmpdir_path):
+    import os
+    heads = ["a,b", "b,a", '"a","x, y",""', "a,A,c", '"a",b', "a"]
+    for i in range(120):
+        with open(os.path.join(tmpdir_path, f"f {i:03d}.csv"), "w") as f:
+            f.write(heads[i % len(heads)] + "\n" + ",".join(["1", "2", "3"][:[2, 2, 3, 3, 2, 1][i % 6]]) + "\n")
+    open(os.path.join(tmpdir_path, "g.csv"), "w").close()
+    with open(os.path.join(tmpdir_path, "h.csv"), "w") as f:
+        f.write('"two\nlines",b\n8,9\n')
+    from fieldlens.sources import csv_io
+    files = csv_io._files(spark, [tmpdir_path])
+    sc = spark.sparkContext
+    sc.setJobGroup("headers", "")
+    found = csv_io._headers(spark, files[:-2])
+    jobs = len(sc.statusTracker().getJobIdsForGroup("headers"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 3  # listing the paths, and the job
+    assert {tuple(spark.read.options(**csv_io._OPTIONS).csv(f).columns) for f in files[:6]} == {found[f] for f in files[:6]}
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
+    out = read_csv_r(spark, tmpdir_path, schema)
+    assert out.count() == 121 and out.agg(F.sum("b")).first()[0] == 20 * (2 + 1 + 2) + 9
+
+
+def test_published_months_are_pruned(spark, tmpdir_path):
+    import os
+
+    from fieldlens.sources import read_months
+    rows = [(i, f"1998-{m:02d}-05") for m in range(1, 9) for i in range(3)]
+    df = spark.createDataFrame(rows, "n int, day string").withColumn("day", F.to_date("day"))
+    schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("day", T.DateType())])
+    for fmt in ("csv", "parquet"):
+        base = os.path.join(tmpdir_path, fmt)
+        write_by_month(df, base, "day", fmt=fmt)
+        month = read_months(spark, base, schema, "1998-06-28", fmt=fmt)
+        three = read_months(spark, base, schema, "1998-06-28", three_months=True, fmt=fmt)
+        assert {r.month for r in month.collect()} == {"1998_06"} and month.count() == 3
+        assert {r.month for r in three.collect()} == {"1998_04", "1998_05", "1998_06"} and three.schema["day"].dataType == T.DateType()
+        plan = three._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(month" in plan and "1998_04" in plan
+        opened = {r[0].split("month=")[1][:7] for r in three.select(F.input_file_name()).distinct().collect()}
+        assert opened == {"1998_04", "1998_05", "1998_06"}
+    with open(os.path.join(tmpdir_path, "parquet", "month=1998_08", "bad.parquet"), "w") as f:
+        f.write("not parquet")  # would fail if its folder were opened
+    assert three.count() == 9 and read_months(spark, base, schema, "1998-06-28", fmt="parquet").count() == 3
+
+
+def test_split_files_follow_bytes(spark, tmpdir_path):
+    import os
+
+    from fieldlens.sinks import write_split
+    df = spark.range(200_000).selectExpr("case when id % 10 < 9 then 'hot' else concat('v', id % 100) end as k", "uuid() as text").repartition(16)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "1MB")
+    try:
+        write_split(df, os.path.join(tmpdir_path, "split"), "k", name="key", fmt="parquet")
+    finally:
+        spark.conf.unset(size)
+    files = {d: len([f for f in os.listdir(os.path.join(tmpdir_path, "split", d)) if f.endswith(".parquet")])
+             for d in os.listdir(os.path.join(tmpdir_path, "split")) if d.startswith("key=")}
+    hot = files.pop("key=hot")
+    # a value that is dealt to the hot one's partition is cut with it
+    assert sorted(files.values())[len(files) // 2] == 1 and 3 <= hot <= 40 and sum(files.values()) <= len(files) + 2 * hot
+
+
+def test_orders_with_contact_on_frames(spark):
+    from fieldlens.plans import sales
+    orders = spark.createDataFrame([(1, 1, 1, 1, 7, "p", "2016-01-02"), (2, 1, 1, 1, 8, "p", "2016-01-02"), (3, 1, 1, 1, 7, "p", "2015-12-31"), (4, 1, 1, 1, None, "p", "2016-02-01")],
+                                   "order_id int, line_no int, part_id int, supp_id int, practice_id int, plan string, d string").withColumn("placed_date", F.to_date("d"))
+    contacts = spark.createDataFrame([(7, "Ann"), (None, "Nobody")], "practice_id int, contact_name string")
+    out = {r.order_id: r.contact_name for r in sales.orders_with_contact(orders, contacts, "2016-01-01").collect()}
+    assert out == {1: "Ann", 2: None, 4: None}
