@@ -13,6 +13,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -98,3 +99,36 @@ def jdbc_options(url: str, table: str, columns: list[str] | None = None, where:
 def read_jdbc_table(spark: SparkSession, url: str, table: str, props: dict, **extract) -> DataFrame:
     """Parallel JDBC extract (see ``jdbc_options``)."""
     return spark.read.format("jdbc").options(**props, **jdbc_options(url, table, **extract)).load()
+
+
+def range_bounds(rows: DataFrame, column: str, parts: int, accuracy: int = 10_000) -> list:
+    """Bounds that cut the known values of a column into ranges of about as
+    many rows each, ascending and different: quantiles of an earlier extract
+    or of any frame with the column (one aggregate, one row).  A value that
+    fills several ranges is one bound, so its rows stay one range."""
+    if parts < 2:
+        return []
+    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    found = rows.agg(F.percentile_approx(column, shares, accuracy)).first()[0] or []
+    return sorted(set(found))
+
+
+def range_predicates(column: str, bounds: list) -> list[str]:
+    """Conditions on a column, one a query of a parallel extract, of which
+    every row meets exactly one: the ranges between the bounds, open at both
+    ends, and missing values with the first."""
+    if not bounds:
+        return ["1 = 1"]
+    literal = lambda v: str(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else "'" + str(v).replace("'", "''") + "'"
+    cuts = [literal(v) for v in bounds]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]
+
+
+def read_jdbc_ranges(spark: SparkSession, url: str, table: str, props: dict, column: str, bounds: list,
+                     columns: list[str] | None = None, where: str | None = None) -> DataFrame:
+    """Parallel JDBC extract by ranges of similar size (``range_bounds``)
+    instead of even steps between two ends; columns and filter are part of the
+    database's query."""
+    options = jdbc_options(url, table, columns, where, partition_column=None)
+    return spark.read.jdbc(url, options["dbtable"], predicates=range_predicates(column, bounds), properties=props)

@@ -275,3 +275,19 @@ def test_orders_with_contact_on_frames(spark):
     contacts = spark.createDataFrame([(7, "Ann"), (None, "Nobody")], "practice_id int, contact_name string")
     out = {r.order_id: r.contact_name for r in sales.orders_with_contact(orders, contacts, "2016-01-01").collect()}
     assert out == {1: "Ann", 2: None, 4: None}
+
+
+@pytest.mark.parametrize("parts", [1, 2, 8, 50])
+def test_extract_ranges_have_no_gap_and_no_overlap(spark, parts):
+    """Skewed ids: half of the rows have one id, the rest a long tail."""
+    from fieldlens.sources.tables import range_bounds, range_predicates
+    df = spark.range(20_000).selectExpr("case when id % 2 = 0 then 5 when id % 101 = 0 then null else id * id end as k", "id")
+    bounds = range_bounds(df, "k", parts)
+    conditions = range_predicates("k", bounds)
+    counts = df.select(*[F.count_if(F.expr(c)).alias(f"c{i}") for i, c in enumerate(conditions)]).first()
+    met = sum((F.coalesce(F.expr(c), F.lit(False)).cast("int") for c in conditions), F.lit(0))
+    assert df.where(met != 1).count() == 0 and sum(counts) == 20_000
+    if parts == 8:
+        assert len(conditions) >= 4 and sorted(counts)[-2] < 20_000 / 4  # all but the hot id's range
+    assert range_predicates("name", ["O'Hara"]) == ["name < 'O''Hara' OR name IS NULL", "name >= 'O''Hara'"]
+    assert range_bounds(df.limit(0), "k", 4) == [] and range_bounds(df.where("k is null"), "k", 4) == []
