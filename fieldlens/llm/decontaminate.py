@@ -226,4 +226,5 @@ def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                         F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
     # rows are told apart by this key and the digest of their text
     leaks = _leaks(keyed, items, "key", "text", **options).select(F.col("doc_id").alias("leak"), F.col("digest").alias("leak_digest")).distinct()
-    return keyed.join(leaks, (F.col("key") == F.col("leak")) & (F.xxhash64("text") == F.col("leak_digest")), "left_anti").select("row.*")
+    rows = keyed.select("row", "key", F.xxhash64("text").alias("digest"))  # the text travels once, in its row
+    return rows.join(leaks, (F.col("key") == F.col("leak")) & (F.col("digest") == F.col("leak_digest")), "left_anti").select("row.*")
