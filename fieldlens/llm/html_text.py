@@ -9,7 +9,7 @@ preformatted text as it stands, and tables with aligned columns.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Generator, Iterator
 from html.parser import HTMLParser
 
@@ -32,10 +32,17 @@ _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "
            "option": ({"option"}, {"select"}), "optgroup": ({"option", "optgroup"}, {"select"}), "tr": ({"tr", "td", "th", "caption", "colgroup"}, {"table"}),
            "td": ({"td", "th", "caption"}, {"tr", "table"}), "th": ({"td", "th", "caption"}, {"tr", "table"}),
            **{t: ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}) for t in ("thead", "tbody", "tfoot")}}
-_HIDDEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+#: declarations of an inline style that count; others are ignored, as browsers do
+_DISPLAYS = re.compile(r"none|block|inline|(inline-)?(block|flex|grid|table)|contents|flow-root|list-item|run-in|ruby|table-[a-z-]+|inherit|initial|unset|revert(-layer)?")
+_VISIBILITIES = {"visible": True, "initial": True, "hidden": False, "collapse": False}
+_COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
+_CAPTIONED = {"", "text", "search", "email", "url", "tel", "number", "submit", "reset", "button"}  # inputs that show their value
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
 _UNFINISHED = re.compile(r"<[A-Za-z/!?]")
-_MAX_INDENT = " " * 400  # lines that begin with it are not moved further to the right
+#: lines that begin with it are not moved further to the right, and no gap in a
+#: row of a table is wider: so the text stays in proportion to the page
+_MAX_INDENT = " " * 400
+_MAX_SPAN = 1000  # columns of a cell, as in browsers
 
 
 def _run(call: Generator):
@@ -54,11 +61,33 @@ def _run(call: Generator):
     return value
 
 
+def _style(attrs: dict[str, str | None]) -> dict[str, str]:
+    """``display`` and ``visibility`` of an inline style: the last valid
+    declaration counts, an important one before any other."""
+    found: dict[str, tuple[bool, str]] = {}
+    for part in _COMMENT.sub("", attrs.get("style") or "").lower().split(";"):
+        name, _, value = part.partition(":")
+        name, important = name.strip(), "!" in value
+        value = value.partition("!")[0].strip()
+        if name == "display" and _DISPLAYS.fullmatch(value) or name == "visibility" and (value in _VISIBILITIES or value in ("inherit", "unset")):
+            if important or name not in found or not found[name][0]:
+                found[name] = important, value
+    return {name: value for name, (_, value) in found.items()}
+
+
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    """Element; ``gone`` if it is not displayed with all it holds, ``shown``
+    if its own text can be seen (``visibility`` is inherited, and a child may
+    set it again)."""
+    __slots__ = ("tag", "attrs", "children", "gone", "shown")
 
-    def __init__(self, tag: str, attrs: dict[str, str | None] | None = None):
+    def __init__(self, tag: str, attrs: dict[str, str | None] | None = None, shown: bool = True):
         self.tag, self.attrs, self.children = tag, attrs or {}, []
+        style = _style(self.attrs) if "style" in self.attrs else {}
+        self.shown = _VISIBILITIES.get(style.get("visibility", ""), shown)
+        display = style.get("display")
+        self.gone = tag in _UNSEEN or display == "none" or (
+            display is None and ("hidden" in self.attrs or (tag == "dialog" and "open" not in self.attrs)))
 
 
 class TreeBuilder(HTMLParser):
@@ -95,7 +124,7 @@ class TreeBuilder(HTMLParser):
             self._close_until({"p"}, {"td", "th", "li", "div", "body", "button", "blockquote"})
         if tag not in _METADATA:
             self._end_head()
-        node = Node(tag, dict(attrs))
+        node = Node(tag, dict(attrs), self.open[-1].shown)
         self.open[-1].children.append(node)
         if tag not in _VOID:
             self._push(node)
@@ -121,41 +150,31 @@ class TreeBuilder(HTMLParser):
         self.open[-1].children.append(data)
 
 
-def visible(node: Node) -> bool:
-    """Whether an element is displayed: not by its kind, the ``hidden``
-    attribute, an inline style, or a closed dialog or hidden input."""
-    if node.tag in _UNSEEN or "hidden" in node.attrs:
-        return False
-    if node.tag == "dialog" and "open" not in node.attrs:
-        return False
-    return not _HIDDEN_STYLE.search(node.attrs.get("style") or "")
-
-
 class Renderer:
     """Lines of text with pending breaks: 1 for a new line, 2 for a blank one."""
 
     def __init__(self):
         self.lines: list[str] = []
-        self.line = ""
+        self.parts: list[str] = []  # of the line that is being written, none of them empty
         self.breaks = 0
 
     def block(self, breaks: int) -> None:
-        if self.line.strip():
-            self.lines.append(self.line.rstrip())
-        self.line = ""
+        line = "".join(self.parts).rstrip()
+        if line:
+            self.lines.append(line)
+        self.parts = []
         self.breaks = max(self.breaks, breaks)
 
     def put(self, text: str) -> None:
-        if not self.line:
+        if not self.parts or self.parts[-1].endswith(" "):
             text = text.lstrip(" ")
-            if not text:
-                return
+        if not text:
+            return
+        if not self.parts:
             if self.breaks == 2 and self.lines:
                 self.lines.append("")
             self.breaks = 0
-        elif self.line.endswith(" "):
-            text = text.lstrip(" ")
-        self.line += text
+        self.parts.append(text)
 
     def raw(self, lines: list[str]) -> None:
         self.block(1)
@@ -172,21 +191,23 @@ class Renderer:
     def render(self, node: Node) -> Generator:
         for child in node.children:
             if isinstance(child, str):
-                self.put(_SPACE.sub(" ", child))
-            elif visible(child):
+                if node.shown:
+                    self.put(_SPACE.sub(" ", child))
+            elif not child.gone:
                 yield self.element(child)
 
     def element(self, node: Node) -> Generator:
         tag = node.tag
         if tag == "br":
-            if self.line:
+            if self.parts:
                 self.block(1)
             else:
                 self.breaks = max(self.breaks, 2)
         elif tag == "hr":
             self.block(2)
-        elif tag == "img":
-            self.put((node.attrs.get("alt") or "").strip())
+        elif tag in ("img", "input"):
+            if node.shown:
+                self.put(_caption(node))
         elif tag == "textarea":
             lines = (yield _plain(node)).removeprefix("\n").expandtabs().split("\n")
             if len(lines) > 1:
@@ -210,10 +231,17 @@ class Renderer:
                 self.raw((yield _list(node)))
             elif tag == "table":
                 self.raw((yield _table(node)))
+            elif tag == "details" and "open" not in node.attrs:
+                for child in node.children:  # only the first summary of a closed one
+                    if not isinstance(child, str) and child.tag == "summary":
+                        if not child.gone:
+                            yield self.element(child)
+                        break
             elif tag == "pre":
                 self.raw((yield _plain(node)).strip("\n").expandtabs().split("\n"))
             elif tag == "li":
-                self.put("- ")
+                if node.shown:
+                    self.put("- ")
                 yield self.render(node)
             elif tag == "dd":
                 self.raw([_moved(line, "  ") if line else line for line in (yield _inner(node))])
@@ -224,6 +252,13 @@ class Renderer:
             yield self.render(node)
 
 
+def _caption(node: Node) -> str:
+    """What a picture or an input shows instead of content."""
+    kind = (node.attrs.get("type") or "").strip().lower() if node.tag == "input" else "image"
+    text = node.attrs.get("alt" if kind == "image" else "value") if kind == "image" or kind in _CAPTIONED else None
+    return _SPACE.sub(" ", text or "").strip()
+
+
 def _moved(line: str, by: str) -> str:
     return line if line.startswith(_MAX_INDENT) else by + line
 
@@ -241,10 +276,10 @@ def _plain(node: Node) -> Generator:
     parts = []
     for child in node.children:
         if isinstance(child, str):
-            parts.append(child)
+            parts.append(child if node.shown else "\n" * child.count("\n"))
         elif child.tag == "br":
             parts.append("\n")
-        elif visible(child):
+        elif not child.gone:
             parts.append((yield _plain(child)))
     return "".join(parts)
 
@@ -261,7 +296,7 @@ def _shown_options(node: Node) -> Generator:
     left = [(child, False) for child in reversed(node.children)]
     while left:
         child, disabled = left.pop()
-        if isinstance(child, str) or not visible(child):
+        if isinstance(child, str) or child.gone:
             continue
         disabled = disabled or "disabled" in child.attrs
         label = _SPACE.sub(" ", child.attrs.get("label") or "").strip()
@@ -273,7 +308,7 @@ def _shown_options(node: Node) -> Generator:
                 first = text
             texts.append(text)
         else:
-            if child.tag == "optgroup" and label and not drop_down:
+            if child.tag == "optgroup" and label and child.shown and not drop_down:
                 texts.append(label)
             left += [(c, disabled) for c in reversed(child.children)]
     if drop_down:
@@ -288,13 +323,16 @@ def _list(node: Node) -> Generator:
     number = int(start) if re.fullmatch(r"-?[0-9]{1,9}", start) else 1
     for child in node.children:
         if isinstance(child, str):
-            if child.strip():
+            if child.strip() and node.shown:
                 lines.append(_SPACE.sub(" ", child).strip())
-        elif visible(child):
+        elif not child.gone:
             inner = yield _inner(child)
             if child.tag == "li":
                 mark = f"{number}. " if node.tag == "ol" else "- "
                 number += 1
+                if not child.shown:  # nor is its mark
+                    lines += [_moved(line, " " * len(mark)) for line in inner if line]
+                    continue
                 inner = [line for i, line in enumerate(inner) if line or i == 0] or [""]
                 lines += [mark + line if i == 0 else _moved(line, " " * len(mark)) for i, line in enumerate(inner)]
             else:
@@ -302,13 +340,14 @@ def _list(node: Node) -> Generator:
     return [line.rstrip() for line in lines]
 
 
-def _rows(node: Node) -> Iterator[Node]:
-    for child in node.children:
-        if not isinstance(child, str) and visible(child):
+def _rows(node: Node, group: int = 0) -> Iterator[tuple[int, Node]]:
+    """(number of the row group, row, cell or caption) of a table in order."""
+    for k, child in enumerate(node.children, 1):
+        if not isinstance(child, str) and not child.gone:
             if child.tag in ("thead", "tbody", "tfoot"):
-                yield from _rows(child)
+                yield from _rows(child, k)
             elif child.tag in ("tr", "td", "th", "caption"):
-                yield child
+                yield group, child
 
 
 def _misplaced(node: Node) -> Node:
@@ -316,9 +355,10 @@ def _misplaced(node: Node) -> Node:
     out = Node("div")
     for child in node.children:
         if isinstance(child, str):
-            out.children.append(child)
+            if node.shown:
+                out.children.append(child)
         elif child.tag in ("thead", "tbody", "tfoot", "tr"):
-            if visible(child):
+            if not child.gone:
                 inner = _misplaced(child)
                 out.children += inner.children if child.tag != "tr" else [c for c in inner.children if isinstance(c, str)]
         elif node.tag != "tr" and child.tag not in ("td", "th", "caption", "colgroup", "col"):
@@ -326,34 +366,140 @@ def _misplaced(node: Node) -> Node:
     return out
 
 
+def _span(cell: Node, name: str) -> int:
+    value = (cell.attrs.get(name) or "").strip()
+    return int(value) if re.fullmatch("[0-9]{1,9}", value) else 1
+
+
+class _Taken:
+    """Columns that cells of earlier rows reach down into, as ranges that are
+    neither overlapping nor adjacent."""
+
+    def __init__(self):
+        self.begin: list[int] = []
+        self.end: list[int] = []
+        self.until: dict[int, list[tuple[int, int]]] = {}  # row -> ranges that end before it
+
+    def free(self, column: int) -> tuple[int, float]:
+        """The first free column from here on, and where its gap ends."""
+        at = bisect_right(self.begin, column)
+        if at and self.end[at - 1] > column:
+            column = self.end[at - 1]
+        return column, self.begin[at] if at < len(self.begin) else float("inf")
+
+    def take(self, begin: int, end: int, row: int) -> None:
+        """Take a free range for all rows before ``row``."""
+        self.until.setdefault(row, []).append((begin, end))
+        at = bisect_left(self.begin, begin)
+        right = at < len(self.begin) and self.begin[at] == end
+        if at and self.end[at - 1] == begin:
+            self.end[at - 1] = self.end[at] if right else end
+            if right:
+                del self.begin[at], self.end[at]
+        elif right:
+            self.begin[at] = begin
+        else:
+            self.begin.insert(at, begin)
+            self.end.insert(at, end)
+
+    def give_back(self, row: int) -> None:
+        for begin, end in self.until.pop(row, ()):
+            at = bisect_right(self.begin, begin) - 1
+            first, last = self.begin[at], self.end[at]
+            self.begin[at:at + 1] = [b for b, e in ((first, begin), (end, last)) if b < e]
+            self.end[at:at + 1] = [e for b, e in ((first, begin), (end, last)) if b < e]
+
+
+def _placed(rows: list[tuple[int, list[tuple[int, int, list[str]]]]]) -> list[list[tuple[int, int, list[str]]]]:
+    """Rows of (group, cells of (columns, rows, lines)) -> rows of (column,
+    end, lines): a cell is put into the first free column of its row.  Cells
+    reach down no further than their group, and not over taken columns."""
+    last = {group: r + 1 for r, (group, _) in enumerate(rows)}
+    taken = _Taken()
+    out = []
+    for r, (group, cells) in enumerate(rows):
+        taken.give_back(r)
+        column, placed, down = 0, [], []
+        for wide, deep, lines in cells:
+            column, gap = taken.free(column)
+            end = min(column + wide, gap)
+            until = last[group] if deep == 0 else min(r + deep, last[group])
+            if until > r + 1:
+                down.append((column, end, until))
+            placed.append((column, end, lines))
+            column = end
+        for begin, end, until in down:
+            taken.take(begin, end, until)
+        out.append(placed)
+    return out
+
+
+def _aligned(grid: list[list[tuple[int, int, list[str]]]]) -> list[str]:
+    """Lines of placed cells.  A column is as wide as the widest cell in it;
+    a cell over several columns widens the last of them if it needs to.  Cells
+    alone in their row, or wider than the widest gap, widen nothing."""
+    starts = sorted({column for cells in grid for column, _, _ in cells})
+    index = {column: i for i, column in enumerate(starts)}
+    width = [0] * len(starts)
+    spanning = []
+    for cells in grid:
+        for column, end, lines in cells:
+            need = max(map(len, lines), default=0)
+            if len(cells) == 1 or need > len(_MAX_INDENT):
+                continue
+            i, j = index[column], bisect_left(starts, end)
+            if j - i > 1:
+                spanning.append((j - i, i, j, need))
+            else:
+                width[i] = max(width[i], need)
+    for _, i, j, need in sorted(spanning):
+        width[j - 1] += max(0, need - sum(width[i:j]) - 2 * (j - i - 1))
+    left = [0]
+    for w in width:
+        left.append(left[-1] + w + 2)
+    out = []
+    for cells in grid:
+        live = [(left[index[column]], lines) for column, _, lines in cells if lines]
+        k = 0
+        while live:
+            parts: list[str] = []
+            size = 0
+            for at, lines in live:
+                if lines[k]:
+                    gap = min(max(at - size, 2 if size else 0), len(_MAX_INDENT) + 2 if size else len(_MAX_INDENT))
+                    parts += (" " * gap, lines[k])
+                    size += gap + len(lines[k])
+            out.append("".join(parts).rstrip())
+            k += 1
+            live = [(at, lines) for at, lines in live if len(lines) > k]
+    return out
+
+
 def _table(node: Node) -> Generator:
-    """Rows of a table; cells of a column begin at one position.  A cell of
-    several lines (or a nested table) keeps them, below each other."""
+    """Rows of a table; cells of a column begin at one position, also beside
+    and below cells over several columns or rows.  A cell of several lines (or
+    a nested table) keeps them, below each other, in its first row."""
     lines: list[str] = yield _inner(_misplaced(node))
-    grid: list[list[list[str]]] = []
-    for row in _rows(node):
+    rows = []
+    for group, row in _rows(node):
         if row.tag == "caption":
             lines += yield _inner(row)
             continue
-        cells = [row] if row.tag in ("td", "th") else [c for c in row.children if not isinstance(c, str) and visible(c)]
         texts = []
-        for cell in cells:
-            texts.append((yield _inner(cell)))
-        if any(texts):
-            grid.append(texts)
-    if not grid:
-        return lines
-    columns = max(map(len, grid))
-    width = [max((len(line) for cells in grid if len(cells) > c and len(cells) > 1 for line in cells[c]), default=0) for c in range(columns)]
-    for cells in grid:
-        for k in range(max(map(len, cells), default=0)):
-            parts = [(cell[k] if k < len(cell) else "").ljust(width[c] if c < len(cells) - 1 else 0) for c, cell in enumerate(cells)]
-            lines.append("  ".join(parts).rstrip())
-    return lines
+        for cell in [row] if row.tag in ("td", "th") else row.children:
+            if not isinstance(cell, str) and not cell.gone:
+                texts.append((min(max(_span(cell, "colspan"), 1), _MAX_SPAN), _span(cell, "rowspan"), (yield _inner(cell))))
+        rows.append((group, texts))
+    return lines + _aligned(_placed(rows))
 
 
 def visible_text(html: str) -> str:
-    """All text that a browser would show of a page, with its layout."""
+    """All text that a browser would show of a page, with its layout.
+
+    Text that only a browser brings along (the default caption of a submit
+    button or of closed details) is left out.  Lines are indented, and cells of
+    a table moved to the right, by at most 400 spaces: without that bound deep
+    lists and wide tables make texts of the square of the page's size."""
     builder = TreeBuilder()
     # after the last ">" no tag can end: an unfinished one hides the rest
     end = html.rfind(">") + 1

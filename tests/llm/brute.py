@@ -6,6 +6,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
+from html import unescape
 
 import xxhash
 
@@ -139,3 +140,20 @@ def repeat_words(text, n=8):
     w = words(text)
     count = Counter(tuple(w[p:p + n]) for p in range(len(w) - n + 1))
     return len({q for p in range(len(w) - n + 1) if count[tuple(w[p:p + n])] > 1 for q in range(p, p + n)})
+
+
+def html(page: str) -> str:
+    """Text of a page of paragraphs, headings, flat lists and other blocks,
+    by substitutions on the markup."""
+    page = re.sub(r"(?s)<!--.*?-->|<!doctype[^>]*>", "", page, flags=re.I)
+    page = re.sub(r"(?is)<(head|script|style)\b.*?</\1\s*>", "", page)
+    page = re.sub(r"[ \t\n\r\f\v]+", " ", page)
+    page = re.sub(r"(?i)</?(p|h1|ul)\b[^>]*>", "\n\n", page)
+    page = re.sub(r"(?i)<li\b[^>]*>", "\n- ", page)
+    page = re.sub(r"(?i)</?(html|body|nav|div|article|footer)\b[^>]*>|</li\s*>|<br\b[^>]*>", "\n", page)
+    page = unescape(re.sub(r"<[^>]*>", "", page))
+    lines = [re.sub(" +", " ", line).strip(" ") for line in page.split("\n")]
+    # an empty line stays where two are asked for: around lists, not within
+    text = re.sub(r"\n(?:\n)+(- )", r"\n\n\1", "\n".join(lines))
+    text = re.sub(r"(?m)(^- .*)\n\n+(?=- )", r"\1\n", text)
+    return re.sub(r"\n{3,}", "\n\n", text).strip("\n")
