@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -171,10 +173,12 @@ def find_secrets(docs: DataFrame, text_col: str = "text", max_false: float = 0.1
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 found = base_spans(text or "")
                 known = sorted((s, e) for s, _, e in found)
+                starts, reach = [s for s, _ in known], list(accumulate((e for _, e in known), max))
                 random = sorted((start, -end) for start, end, stratum, p in candidates(text or "") if p >= cuts.get(stratum, 2.0))
                 upto = 0
                 for start, end in ((start, -end) for start, end in random):
-                    if end > upto and not any(s <= start and end <= e for s, e in known):
+                    at = bisect_right(starts, start)  # a known span that starts no later and ends no earlier
+                    if end > upto and not (at and reach[at - 1] >= end):
                         found.append((start, 3, end))
                     upto = max(upto, end)
                 out.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in sorted(found)])

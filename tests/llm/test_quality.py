@@ -77,6 +77,26 @@ def test_classifier_on_held_out_labels(spark):
     assert np.mean(clean) > 0.98 and np.mean(junk) < 0.05 and np.mean(toxic) < 0.12
 
 
+@needs_data
+def test_scores_match_a_fixed_model_row_by_row(spark):
+    """Scores of every whole text recomputed from the model's weights."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, " \n"), (-4, "\u00c9t\u00e9 \U0001F600 #tag! tag"), (-5, "A " * 3000), (-6, CLEAN.upper())], docs.schema)
+    docs = docs.union(odd)
+    model = weak_quality.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    assert len(model.junk.ids) and len(model.toxic.ids)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = weak_quality.score(docs, model).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        found = brute.fault_features(texts[r.doc_id])
+        junk, toxic = (brute.logistic(found, m.ids.tolist(), m.weights.tolist(), m.bias) for m in (model.junk, model.toxic))
+        if not brute.words(texts[r.doc_id]):
+            junk = 1.0
+        assert (r.junk_score, r.toxic_score) == pytest.approx((junk, toxic), abs=1e-9)
+        assert r.kept == (junk < 0.5 and toxic < 0.5)
+
+
 def test_dropped_copies_do_not_weaken_the_words_of_the_rest(spark):
     """A word of 20 of 100 bad rows and no good one; 2666 copies of another
     bad text were picked but are not in the sample."""

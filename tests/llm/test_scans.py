@@ -177,6 +177,47 @@ def test_html_frame(spark):
     assert html_text.extract_text(df.limit(0)).count() == 0
 
 
+def spelled(row):
+    return [(x.kind, x.start, x.end) for x in row.secrets]
+
+
+@needs_data
+def test_all_spans_match_brute_force_on_the_tables(spark):
+    rows = sorted(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
+    want = brute.all_secrets([r.text for r in rows])
+    got = {r.doc_id: r.spans for r in queries.op6_secret_scan(spark, SF).collect()}
+    assert got == {r.doc_id: ",".join(f"{k}:{s}:{e}" for k, s, e in spans) for r, spans in zip(rows, want)}
+
+
+def test_all_spans_match_brute_force_on_keys(spark):
+    """Keys of all encodings and lengths, bare, behind separators, in known
+    patterns and padded, among words; with cut-offs from these texts."""
+    rng = random.Random(9)
+    alphabets = ["0123456789abcdef", "0123456789ABCDEF", string.ascii_uppercase + "234567", string.ascii_letters + string.digits + "+/",
+                 string.ascii_letters + string.digits + "-_", string.ascii_letters]
+    texts = []
+    for i in range(600):
+        key = "".join(rng.choices(rng.choice(alphabets), k=rng.choice((16, 17, 20, 24, 32, 40, 64, 90))))
+        word = "-".join(rng.choices(["report", "server2", "data", "value", "update_all", "a/b/c", "index7"], k=5))
+        texts.append(rng.choice(["see {k} and {w}", "/srv/my-app/{k}/{w}", "token={k};{w}", "{k}==={w}", "{w}_{k}", "AKIA{k} {k}", "{w}"]).format(k=key, w=word))
+    texts += [t for t in ODD if t is None or len(t) < 10_000]
+    want = brute.all_secrets(texts)
+    assert sum(k == "random" for spans in want for k, _, _ in spans) > 200
+    got = {r.doc_id: spelled(r) for r in secret_scan.find_secrets(frame(spark, texts)).collect()}
+    assert got == dict(enumerate(want))
+
+
+def test_very_many_secrets_take_linear_time(spark):
+    import time
+    rng = random.Random(10)
+    keys = ["".join(rng.choices(string.ascii_letters + string.digits, k=32)) for _ in range(10_000)]
+    text = " ".join(f"token={k} {k[::-1]}" for k in keys)
+    began = time.time()
+    row = secret_scan.find_secrets(frame(spark, [text])).collect()[0]
+    assert time.time() - began < 60
+    assert sum(x.kind == "assign" for x in row.secrets) == 10_000 and sum(x.kind == "random" for x in row.secrets) > 8_000
+
+
 @needs_data
 def test_html_query_matches_a_plain_renderer(spark):
     """Whole texts of all pages against markup rewritten by substitution."""
