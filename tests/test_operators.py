@@ -58,6 +58,44 @@ def test_collapse_text_fixture(spark):
     assert collapse_text(clean, ["k"], "v", "out", distinct=True).collect()[0].out == "a|ac|b"
 
 
+def test_collapse_text_spreads_the_values_of_one_key(spark):
+    """A key with 1,000,000 different values beside small ones: its values lie
+    in many ranges of about the same size, and the text is in value order."""
+    from fieldlens.operators.collapse import into_ranges
+    n = 1_000_000
+    hot = spark.range(n).select(F.lit(1).alias("k"), F.format_string("v%07d", F.pmod(F.col("id") * 7919, F.lit(n))).alias("v"))
+    cold = spark.range(2000).select((F.col("id") % 500 + 2).cast("int").alias("k"), F.concat(F.lit("c"), F.col("id").cast("string")).alias("v"))
+    df = hot.union(cold)
+    sizes = [r["count"] for r in into_ranges(df, [F.col("k"), F.col("v")], 16).groupBy("_range").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * (n + 2000) / 16
+    got = collapse_text(df, ["k"], "v", "t", ranges=16)
+    text = got.where("k = 1").select(F.length("t").alias("n"), F.md5("t").alias("h")).first()
+    import hashlib
+    want = "|".join(f"v{i:07d}" for i in range(n))
+    assert (text.n, text.h) == (len(want), hashlib.md5(want.encode()).hexdigest())
+    small = {r.k: r.t for r in got.where("k > 1").collect()}
+    assert small == {k: "|".join(sorted(f"c{i}" for i in range(k - 2, 2000, 500))) for k in range(2, 502)}
+
+
+def test_collapse_text_across_ranges_equals_one_range(spark):
+    """Repeats, missing keys and values, empty texts and values that the
+    change of characters makes equal or missing."""
+    rows = [(k, v) for k in (1, 2, None) for v in ("b", "a", "a", None, "", "a&c", "a c", "b|", "zz") for _ in range(3)] + [(3, None)]
+    df = spark.createDataFrame(rows, "k int, v string")
+    fn = lambda c: F.nullif(whitelist_strip(c), F.lit("zz"))
+    for options in ({}, {"distinct": True}, {"value_fn": fn}, {"value_fn": fn, "distinct": True}):
+        want = {}
+        for key in (1, 2, None):
+            values = [r.v for r in df.where(F.col("k").eqNullSafe(F.lit(key)) & F.col("v").isNotNull()).select(options.get("value_fn", lambda c: c)(F.col("v")).alias("v")).collect()]
+            values = [v for v in values if v is not None]
+            want[key] = "|".join(sorted(set(values) if options.get("distinct") else values))
+        for ranges in (1, 7, None):
+            got = {r.k: r.t for r in collapse_text(df, ["k"], "v", "t", ranges=ranges, **options).collect()}
+            assert got == want, (options, ranges)
+    assert collapse_text(df.limit(0), ["k"], "v", "t", ranges=3).count() == 0
+
+
+
 def test_global_row_number_is_dense_and_ordered(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"))
     out = global_row_number(df, [F.col("v")], num_partitions=5).collect()
