@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from functools import wraps
 
-from fieldlens.plans import coverage, inventory, profiles, sales
+from fieldlens.plans import coverage, inventory, profiles, sales, statements
 from fieldlens.sources.tables import shared_reads
 
 
@@ -80,6 +80,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keep_first": profiles.keep_first_q,
     "photo_stats": profiles.photo_stats,
     "key_concat": profiles.key_concat,
+    "ad_catalog_statement": statements.ad_catalog_statement,
+    "two_roles_statement": statements.two_roles_statement,
+    "running_slots_statement": statements.running_slots_statement,
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _shared(f) for k, f in _QUERIES.items()}
