@@ -74,10 +74,11 @@ def master_from(spine: DataFrame, doctor_children: list[Child], practice_childre
     there are, and no merge can repeat a row of the spine.  Two of the
     doctor's outputs are keys: registration_id, and speciality_id of
     ``specialities`` (speciality_id, speciality)."""
-    master = attach_children(spine, "doctor_id", doctor_children).join(specialities, "speciality_id", "left")
-    master = master.withColumn("registration", F.concat(F.lit("_"), F.col("registration_id").cast("string")))
+    # narrow children first: the doctor's texts, the widest, are not moved again for the others
+    master = attach_children(spine, "ray_practice_id", external_children)
     master = attach_children(master, "practice_id", practice_children)
-    master = attach_children(master, "ray_practice_id", external_children)
+    master = attach_children(master, "doctor_id", doctor_children).join(specialities, "speciality_id", "left")
+    master = master.withColumn("registration", F.concat(F.lit("_"), F.col("registration_id").cast("string")))
     return master.select(*MASTER_COLUMNS)
 
 
@@ -113,7 +114,12 @@ def profile_master(spark: SparkSession, sf: str) -> DataFrame:
         "doctor_id", "p_brand", "l_returnflag", F.col("o_orderdate").cast("timestamp").alias("o_time"), F.col("o_orderkey").alias("registration_id"),
         "l_linenumber", F.col("l_partkey").alias("speciality_id"), "practice_id")
     text = lambda c: Text(c, value_fn=whitelist_strip)
-    first_line = First(("registration_id", "speciality_id"), ("o_time", "registration_id", "l_linenumber", "speciality_id", "practice_id"))
+    ordered = read_table(spark, sf, "orders", ["o_orderkey", "o_orderdate"]).select(
+        F.col("o_orderdate").cast("timestamp").alias("o_time"), F.col("o_orderkey").alias("registration_id"))
+    sold = read_table(spark, sf, "lineitem", ["l_linenumber", "l_partkey", "l_suppkey"]).select(
+        "l_linenumber", F.col("l_partkey").alias("speciality_id"), F.col("l_suppkey").alias("practice_id"))
+    first_line = First(("registration_id", "speciality_id"), ("o_time", "registration_id", "l_linenumber", "speciality_id", "practice_id"),
+                       found_in=(ordered, sold))
     doctor_children = [
         Child(lines, "doctor_id", {"awards": text("p_brand"), "qualifications": text("l_returnflag"),
                                    "doctor_photos": count_rows(F.col("l_returnflag") == "R"), "first_line": first_line}),

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from fieldlens.operators import Child, First, Measure, Text, attach_children, count_rows, lookup_first, pack_order, reduce_children
+from fieldlens.operators import Child, First, Measure, Text, attach_children, children, count_rows, lookup_first, pack_order, reduce_children
 
 D = dt.date
 
@@ -84,3 +84,30 @@ def test_first_match_without_a_sort(spark):
     out = lookup_first(left, right, "k", "k", ["supp"], ["line", "supp"])
     assert {r.k: r.supp for r in out.collect()} == {1: 2, 2: None, 3: None, None: None}
     assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_whole_days_and_seconds_need_less_room(spark):
+    wide = 10 ** 6
+    rows = spark.createDataFrame([(dt.datetime(1995, 1, 1), dt.datetime(1970, 1, 1, 0, 0, 1), 0, 0), (None, None, None, wide),
+                                  (dt.datetime(2001, 8, 1), dt.datetime(1960, 7, 8, 9, 10, 11), wide, None)], "t timestamp, s timestamp, a long, b long")
+    packed = pack_order(rows, ["t", "s", "a", "b"])
+    assert packed.units == (86_400_000_000, 1_000_000, 1, 1) and packed.radixes[0] == 2404 + 2
+    out = rows.select("*", packed.key().alias("p")).select("*", *[packed.column(F.col("p"), c).alias(f"{c}2") for c in "tsab"]).sort("p").collect()
+    assert [(r.t, r.s, r.a, r.b) for r in out] == [(r.t2, r.s2, r.a2, r.b2) for r in out]
+    assert [r.t and r.t.year for r in out] == [1995, 2001, None]
+
+
+def test_bounds_come_from_the_tables_of_a_join(spark):
+    left, right = spark.createDataFrame([(5,), (9,), (None,)], "n long"), spark.createDataFrame([(D(2020, 1, 1),)], "d date")
+    joined = left.crossJoin(right).select(F.when(F.raise_error(F.lit("the join was run")).isNull(), F.col("n")).alias("n"), "d")
+    packed = pack_order(joined, ["d", "n"], (left, right))
+    assert (packed.lows[1], packed.radixes) == (5, (2, 6))
+
+
+def test_texts_and_measures_travel_apart(spark, notes):
+    kids = [Child(notes, "k", {"words": Text("word"), "total": Measure("n", F.sum)})]
+    plan = reduce_children("k", kids)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_collect_list") < plan.index("Exchange")  # texts are collected where the key's rows meet
+    stacked = children._stacked(kids[0], [F.col("k")], {}, {"words": 0, "total": 1}).collect()
+    assert all(r._tag == -1 or (r._text is not None and r.total is None) for r in stacked)
+    assert sum(r._tag == -1 for r in stacked) == notes.count()
