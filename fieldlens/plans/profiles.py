@@ -47,7 +47,9 @@ def _doctor_lines(spark, sf):
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"])
     p = read_table(spark, sf, "part", ["p_partkey", "p_brand", "p_type"])
-    return (li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    # orders are few and narrow beside their lines: a hash of a partition's orders takes
+    # less of a task's memory than sorting both sides
+    return (li.join(o.hint("shuffle_hash"), li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
               .select(F.col("o_custkey").alias("doctor_id"), "o_orderkey", "o_orderdate", "l_linenumber",
                       "l_partkey", F.col("l_suppkey").alias("practice_id"), "l_returnflag", "p_brand", "p_type"))
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldlens.operators import Child, First, Measure, Text, attach_children, children, count_rows, lookup_first, pack_order, reduce_children
+from fieldlens.plans import profiles
 
 D = dt.date
 
@@ -111,3 +112,15 @@ def test_texts_and_measures_travel_apart(spark, notes):
     stacked = children._stacked(kids[0], [F.col("k")], {}, {"words": 0, "total": 1}).collect()
     assert all(r._tag == -1 or (r._text is not None and r.total is None) for r in stacked)
     assert sum(r._tag == -1 for r in stacked) == notes.count()
+
+
+def test_lines_meet_their_orders_without_a_sort(spark, tmp_path):
+    tables = {"orders": "select 1L o_orderkey, 7L o_custkey, timestamp_ntz'2020-01-01' o_orderdate",
+              "lineitem": "select 1L l_orderkey, 1 l_linenumber, 2L l_partkey, 3L l_suppkey, 'R' l_returnflag",
+              "part": "select 2L p_partkey, 'Brand#1' p_brand, 'OLD' p_type"}
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    lines = profiles._doctor_lines(spark, str(tmp_path))
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [l_orderkey" in plan and "SortMergeJoin [l_orderkey" not in plan
+    assert [(r.doctor_id, r.practice_id, r.p_brand) for r in lines.collect()] == [(7, 3, "Brand#1")]
