@@ -4,9 +4,11 @@ A wide row is put together from child tables that repeat its key: texts to be
 collapsed, counts, sums, extremes, first values.  Instead of one aggregation
 (and shuffle) per child, the children of one key are stacked as tagged rows
 (key, tag, text, measures) and reduced together: once by (key, tag, text), so
-that a key with millions of repeated texts ships one row per different text,
-then by key.  That is two shuffles for any number of children (one if there
-is no text), both with map-side combine, so a hot key is not gathered.
+that a key with millions of repeated texts ships one row per different text
+and all measures of a key combine to one row, then by key.  That is two
+shuffles for any number of children (one if there is no text).  The first (or
+only) one combines on the map side, so a hot key is not gathered; the second
+carries each different text of a key once.
 """
 
 from __future__ import annotations
