@@ -35,6 +35,7 @@ _TOTAL_BITS = 24  # shares are of 2**24
 _REST = 1 << 18  # least share of order 0 and of the uniform rest
 _TABLE = 12  # log2 of the slots of a context table
 _REFRESH = (64, 256, *range(1024, BLOCK, 1024))
+_CHUNK = 64  # steps whose shares are computed at once
 _MIX = 32  # mixing contexts: trust in order 2 (0-3), in order 1 (0-3), agreement
 
 _EMPTY = _VOCAB << 2  # slot: id and trust; this id does not occur
@@ -50,72 +51,110 @@ def _first_counts() -> np.ndarray:
     return out
 
 
+_HASHES = np.arange(1, _VOCAB + 1, dtype=np.uint32) * np.uint32(0x9E3779B1)  # of all ids
+_C2, _SHIFT2, _SHIFT = np.uint32(0x85EBCA77), np.uint32(7), np.uint32(32 - _TABLE)
+
+
 def _slots(key: np.ndarray, before: np.ndarray, base: np.ndarray) -> np.ndarray:
     """Slots of the contexts (order 2, order 1) in the lanes' tables; ``key``
     and ``before`` are the hashed last id and the one before it."""
-    both = np.stack([(key ^ (before >> np.uint32(7))) * np.uint32(0x85EBCA77), key], axis=-2)
-    return (both >> np.uint32(32 - _TABLE)).astype(np.int64) + base
+    both = np.empty((*key.shape[:-1], 2, key.shape[-1]), dtype=np.uint32)
+    first = both[..., 0, :]
+    np.right_shift(before, _SHIFT2, out=first)
+    np.bitwise_xor(first, key, out=first)
+    np.multiply(first, _C2, out=first)
+    both[..., 1, :] = key
+    np.right_shift(both, _SHIFT, out=both)
+    return both + base
 
 
-def _hashed(ids: np.ndarray) -> np.ndarray:
-    return (ids.astype(np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1)
+def _learned(entry: np.ndarray, trust: np.ndarray, hit: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Table entries after ``ids`` came: a hit adds trust, a miss takes some,
+    and a slot with little of it takes the new id."""
+    right = hit.view(np.int8)
+    new = entry - 1
+    new += right + right
+    np.minimum(new, entry | 3, out=new)
+    return np.where((trust < 2) > hit, (ids << 2) + 1, new)
 
 
 class _Lanes:
     """Model state of ``n`` blocks coded side by side.
 
-    ``start`` and ``unit`` hold the mixture, four entries a mixing context:
-    where the share of order 2, order 1, order 0 and the rest begins, and the
-    size of one part of it (order 0 has a part for each id so far, the rest
-    one for each possible id)."""
+    ``mixture`` has a row for each mixing context: where the shares of order
+    2, order 1, order 0 and the rest begin, and the sizes of one part of each
+    (order 0 has a part for each id so far, the rest one for each possible
+    id)."""
 
     def __init__(self, n: int):
-        self.n = n
         self.lane = np.arange(n, dtype=np.int32) * _MIX
         self.table = np.full((2 * n) << _TABLE, _EMPTY, dtype=np.int32)  # order 2, then order 1
         self.base = np.arange(2 * n, dtype=np.int64).reshape(2, n) << _TABLE
-        self.counts = np.tile(_first_counts().astype(np.int32).ravel(), n)
-        self.refresh(np.zeros((n, 0), dtype=np.uint16))
+        self.counts = np.tile(_first_counts().ravel(), n)
+        self.refresh(0)
 
-    def refresh(self, seen: np.ndarray) -> None:
-        """Take the mixing counts so far, and the ids so far as order 0."""
-        counts = self.counts.reshape(-1, 4).astype(np.int64)
-        size = self.size = seen.shape[1]
+    def refresh(self, size: int) -> None:
+        """Take the mixing counts so far; ``size`` ids are in order 0."""
+        counts = self.counts.reshape(-1, 4)
         share = counts * ((1 << _TOTAL_BITS) - 2 * _REST) // counts.sum(axis=1, keepdims=True)
         share[:, 2] += _REST
         upto = np.cumsum(share[:, :3], axis=1)
         each = share[:, 2] // size if size else np.zeros(len(share), np.int64)
         rest = ((1 << _TOTAL_BITS) - upto[:, 2]) // _VOCAB
-        self.start = np.stack([np.zeros_like(each), *upto.T], axis=1).astype(np.int32).ravel()
-        self.unit = np.stack([share[:, 0], share[:, 1], each, rest], axis=1)
-        self.unit = np.maximum(self.unit, 1).astype(np.int32).ravel()
-        if not size:
-            return
-        # runs of equal ids in each lane's sorted history
-        ordered = np.sort(seen, axis=1, kind="stable")
-        new = np.ones(ordered.shape, dtype=bool)
-        new[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
-        begin = np.flatnonzero(new)
-        self.run_of = np.cumsum(new.ravel(), dtype=np.int32) - 1
-        self.run_id = ordered.ravel()[begin].astype(np.int32)
-        self.run_size = np.diff(np.append(begin, ordered.size)).astype(np.int32)
-        self.run_first = (begin % size).astype(np.int32)
-        self.lane_runs = np.concatenate([[0], np.cumsum(new.sum(axis=1))])
-
-    def predict(self, slot: np.ndarray):
-        """Table entries, guesses, trust and mixing context at the slots."""
-        entry = self.table.take(slot)
-        guess, trust = entry >> 2, entry & 3
-        mix = (trust[0] << 3) + (trust[1] << 1) + self.lane[:slot.shape[1]]
-        mix += guess[0] == guess[1]
-        return entry, guess, trust, mix << 2
-
-    def learn(self, ids: np.ndarray, slot, entry, hit, trust, at) -> None:
-        """Count the route that was taken; a hit adds trust, a miss takes
-        some, and a slot with little of it takes the new id."""
-        self.counts[at] += 1
-        missed = np.where(trust >= 2, entry - 1, (ids << 2) + 1)
-        self.table[slot] = np.where(hit, entry + (trust < 3), missed)
+        unit = np.maximum(np.stack([share[:, 0], share[:, 1], each, rest], axis=1), 1)
+        self.mixture = np.concatenate([np.zeros((len(unit), 1), np.int64), upto, unit], axis=1).astype(np.int32)
+
+    def count(self, mix: np.ndarray, which: np.ndarray, live: np.ndarray) -> None:
+        """Count the routes that were taken since the last refresh: mixing
+        context and route by step and lane, number of lanes of each step."""
+        at = (mix << 2) + which
+        at = at.ravel() if live.min(initial=at.shape[1]) == at.shape[1] else at[np.arange(at.shape[1]) < live[:, None]]
+        self.counts += np.bincount(at, minlength=len(self.counts))
+
+
+class _Ranks:
+    """Order 0 of blocks whose ids are known: how often each id of a block
+    has occurred, by its rank among the block's different ids."""
+
+    def __init__(self, seen: np.ndarray, sizes: np.ndarray):
+        self.rank = np.zeros(seen.shape, dtype=np.uint16)
+        self.counts = []
+        there, number = np.zeros(_VOCAB, dtype=bool), np.zeros(_VOCAB, dtype=np.uint16)
+        for lane, size in enumerate(sizes.tolist()):
+            ids = seen[lane, :size]
+            there[ids] = True
+            different = np.flatnonzero(there)
+            there[different] = False
+            number[different] = np.arange(len(different))
+            self.rank[lane, :size] = number[ids]
+            self.counts.append(np.zeros(len(different), dtype=np.int64))
+
+    def parts(self, begin: int, end: int, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(where its ids begin in the sorted ids before ``begin``, how many
+        there are) for each id from there, a row a lane; then count them."""
+        first, size = np.zeros((2, len(sizes), end - begin), dtype=np.int32)
+        for lane, upto in enumerate(np.minimum(sizes, end).tolist()):
+            rank, counts = self.rank[lane, begin:upto], self.counts[lane]
+            if begin:
+                first[lane, :upto - begin] = (np.cumsum(counts) - counts).take(rank)
+                size[lane, :upto - begin] = counts.take(rank)
+            counts += np.bincount(rank, minlength=len(counts))
+        return first, size
+
+
+def _sorted_runs(seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(run in its lane at each place of the lanes' sorted ids, runs before
+    each lane, runs): of a run of equal ids the id, where it begins (from bit
+    16) and how long it is (from bit 32)."""
+    size = seen.shape[1]
+    ordered = np.sort(seen, axis=1)
+    new = np.ones(ordered.shape, dtype=bool)
+    np.not_equal(ordered[:, 1:], ordered[:, :-1], out=new[:, 1:])
+    begin = np.flatnonzero(new)
+    run = np.diff(begin, append=ordered.size)
+    before = np.searchsorted(begin, np.arange(len(seen)) * size)
+    number = (np.arange(len(begin)) - np.repeat(before, np.diff(before, append=len(begin)))).astype(np.uint16)
+    return np.repeat(number, run), before, run << 32 | (begin % size) << 16 | ordered.ravel()[begin]
 
 
 def _carried(digits: np.ndarray) -> np.ndarray:
@@ -136,55 +175,57 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
     seen = np.zeros((n, steps), dtype=np.uint16)
     for row, i in enumerate(order):
         seen[row, :len(blocks[i])] = blocks[i]
-    state = _Lanes(n)
+    state, ranks = _Lanes(n), _Ranks(seen, sizes)
     low, span = np.zeros(n, dtype=np.int64), np.full(n, (1 << 56) - 1, dtype=np.int64)
     digits = np.zeros((n, steps + 2), dtype=np.int32)
-    out, at = digits.reshape(-1), np.arange(n, dtype=np.int64) * (steps + 2)
+    out, used = digits.reshape(-1), np.arange(n, dtype=np.int64) * (steps + 2)
     edges = [0, *(e for e in _REFRESH if e < steps), steps]
     for begin, end in zip(edges, edges[1:]):
         m = int(np.searchsorted(-sizes, -begin))  # lanes that have this many ids
         if begin:
-            state.refresh(seen[:, :begin])
-        ids = np.ascontiguousarray(seen[:, begin:end].T).astype(np.int32)
-        past = np.zeros((end - begin + 2, n), dtype=np.int32)
-        past[:2] = seen[:, begin - 2:begin].T if begin else 0
-        past[2:] = ids
-        keys = _hashed(past)
-        slots = _slots(keys[1:-1], keys[:-2], state.base)
-        # part of the share of order 0 (or of the rest): which one, how many
-        part, parts, route = ids.copy(), np.ones_like(ids), np.full(ids.shape, 3, dtype=np.int32)
-        for lane in range(m if begin else 0):
-            lo, hi = state.lane_runs[lane], state.lane_runs[lane + 1]
-            run = lo + np.minimum(np.searchsorted(state.run_id[lo:hi], ids[:, lane]), hi - lo - 1)
-            known = np.flatnonzero(state.run_id[run] == ids[:, lane])
-            part[known, lane] = state.run_first[run[known]]
-            parts[known, lane] = state.run_size[run[known]]
-            route[known, lane] = 2
-        for t in range(end - begin):
-            while sizes[m - 1] <= begin + t:
-                m -= 1
-            s, slot = ids[t, :m], slots[t, :, :m]
-            entry, guess, trust, at4 = state.predict(slot)
-            hit = guess == s
-            which = np.where(hit[0], 0, np.where(hit[1], 1, route[t, :m]))
-            guessed = which < 2
-            at4 += which
-            unit = state.unit.take(at4)
-            cum = state.start.take(at4) + unit * np.where(guessed, 0, part[t, :m])
-            r = span[:m] >> _TOTAL_BITS
-            low[:m] += r * cum
-            span[:m] = r * (unit * np.where(guessed, 1, parts[t, :m]))
-            full = np.flatnonzero(span[:m] < (1 << 32))
-            if len(full):
-                value = low[full]
-                out[at[full]] = value >> 32
-                at[full] += 1
-                low[full] = (value & 0xFFFFFFFF) << 24
-                span[full] <<= 24
-            state.learn(s, slot, entry, hit, trust, at4)
-    out[at] = (low + 0xFFFFFFFF) >> 32
+            state.refresh(begin)
+        firsts, numbers = ranks.parts(begin, end, sizes[:m])
+        mixes, routes = np.zeros((2, end - begin, m), dtype=np.int32)
+        lives = np.searchsorted(-sizes, -np.arange(begin, end))  # lanes with an id at each step
+        for b in range(begin, end, _CHUNK):
+            e = min(b + _CHUNK, end)
+            past = np.zeros((e - b + 2, m), dtype=np.int32)
+            past[max(2 - b, 0):] = seen[:m, max(b - 2, 0):e].T
+            ids, keys = past[2:], _HASHES.take(past)
+            slots = _slots(keys[1:-1], keys[:-2], state.base[:, :m])
+            entries = np.empty(slots.shape, dtype=np.int32)
+            for t, (s, slot, entry) in enumerate(zip(ids, slots, entries)):
+                state.table.take(slot, out=entry, mode="clip")
+                state.table[slot] = _learned(entry, entry & 3, entry >> 2 == s, s)
+            order2, order1 = entries[:, 0], entries[:, 1]
+            guess2, guess1 = order2 >> 2, order1 >> 2
+            # part of the share of order 0 (or of the rest): which one, how many
+            first, number = (np.ascontiguousarray(x[:, b - begin:e - begin].T) for x in (firsts, numbers))
+            known = number > 0
+            hit2, hit1 = guess2 == ids, guess1 == ids
+            guessed = hit2 | hit1
+            mix = ((order2 & 3) << 3) + ((order1 & 3) << 1) + (guess2 == guess1) + state.lane[:m]
+            which = np.where(guessed, ~hit2, 3 - known)
+            mixes[b - begin:e - begin], routes[b - begin:e - begin] = mix, which
+            at = (mix << 3) + which
+            unit = state.mixture.take(at + 4)
+            cums = (state.mixture.take(at) + unit * np.where(guessed, 0, np.where(known, first, ids))).astype(np.int64)
+            parts = (unit * np.where(guessed | ~known, 1, number)).astype(np.int64)
+            for live, cum, part in zip(lives[b - begin:e - begin].tolist(), cums, parts):
+                r = span[:live] >> _TOTAL_BITS
+                low[:live] += r * cum[:live]
+                np.multiply(r, part[:live], out=span[:live])
+                full = np.flatnonzero(span[:live] < (1 << 32))
+                if len(full):
+                    value, where = low[full], used[full]
+                    out[where] = value >> 32
+                    used[full] = where + 1
+                    low[full] = (value & 0xFFFFFFFF) << 24
+                    span[full] <<= 24
+        state.count(mixes, routes, lives)
+    out[used] = (low + 0xFFFFFFFF) >> 32
     coded: list[bytes] = [b""] * n
-    used = at - np.arange(n) * (steps + 2) + 1
+    used -= np.arange(n) * (steps + 2) - 1
     for row, i in enumerate(order):
         ids, code = blocks[i], b""
         if len(ids):
@@ -221,49 +262,70 @@ def decode(coded: list[bytes]) -> list[np.ndarray]:
     span = np.full(n, (1 << 56) - 1, dtype=np.int64)
     seen = np.zeros((n, steps), dtype=np.uint16)
     state = _Lanes(n)
-    key = before = _hashed(np.zeros(n, dtype=np.int32))
+    key = before = _HASHES.take(np.zeros(n, dtype=np.int32))
+    # by route: id, and of the parts of its share which one and how many
+    ids4, part4, number4 = np.zeros((4, n), np.int32), np.zeros((4, n), np.int32), np.ones((4, n), np.int32)
+    columns = np.arange(n)
+    rows = columns * 8
     edges = [0, *(e for e in _REFRESH if e < steps), steps]
     for begin, end in zip(edges, edges[1:]):
         m = int(np.searchsorted(-sizes, -begin))
         if begin:
-            state.refresh(seen[:, :begin])
+            state.refresh(begin)
+        run_of, base, runs = _sorted_runs(seen[:m, :begin]) if begin else np.zeros((3, n), np.int64)
+        first, last = columns * begin, max(begin - 1, 0)
         ids = np.zeros((end - begin, n), dtype=np.int32)
-        first = np.arange(n, dtype=np.int64) * state.size
-        for t in range(end - begin):
-            while sizes[m - 1] <= begin + t:
-                m -= 1
-            slot = _slots(key[:m], before[:m], state.base[:, :m])
-            entry, guess, trust, at4 = state.predict(slot)
-            r = span[:m] >> _TOTAL_BITS
-            x = (value[:m] // r).astype(np.int32)
-            which = (x >= state.start.take(at4 + 1)).astype(np.int32)
-            which += x >= state.start.take(at4 + 2)
-            which += x >= state.start.take(at4 + 3)
-            at4 += which
-            unit, cum = state.unit.take(at4), state.start.take(at4)
-            part = np.minimum((x - cum) // unit, _VOCAB - 1)
-            s = np.where(which == 0, guess[0], np.where(which == 1, guess[1], part))
-            part *= which == 3
-            freq = unit.copy()
-            old = np.flatnonzero(which == 2)
-            if len(old):
-                run = state.run_of.take(first.take(old) + np.minimum(s.take(old), state.size - 1))
-                s[old] = state.run_id.take(run)
-                part[old] = state.run_first.take(run)
-                freq[old] *= state.run_size.take(run)
-            cum += unit * part
-            value[:m] -= r * cum
-            span[:m] = r * freq
-            full = np.flatnonzero(span[:m] < (1 << 32))
-            if len(full):
-                where = at[full]
-                value[full] = value[full] << 24 | digits[where]
-                at[full] = where + 1
-                span[full] <<= 24
-            ids[t, :m] = s
-            state.learn(s, slot, entry, guess == s, trust, at4)
-            before, key[:m] = key.copy(), _hashed(s)
+        mixes, routes = np.zeros((2, end - begin, m), dtype=np.int32)
+        lives = np.searchsorted(-sizes, -np.arange(begin, end))  # lanes with an id at each step
+        steps_of = [0, *(np.flatnonzero(np.diff(lives)) + 1).tolist(), len(lives)] if len(lives) else []
+        for b, e in zip(steps_of, steps_of[1:]):  # steps with the same lanes
+            m = int(lives[b])
+            low, width, where, lane, bases = value[:m], span[:m], at[:m], state.lane[:m], state.base[:, :m]
+            guess, old, rest = ids4[:2, :m], ids4[2, :m], ids4[3, :m]
+            old_part, rest_part, old_number = part4[2, :m], part4[3, :m], number4[2, :m]
+            column, row, firsts, run_base = columns[:m], rows[:m], first[:m], base[:m]
+            key, before = key[:m], before[:m]
+            for t in range(b, e):
+                slot = _slots(key, before, bases)
+                entry = state.table.take(slot)
+                np.right_shift(entry, 2, out=guess)
+                trust = entry & 3
+                mix = (trust[0] << 3) + (trust[1] << 1)
+                mix += lane
+                mix += np.multiply(guess[0] == guess[1], 1, dtype=np.int32)
+                r = width >> _TOTAL_BITS
+                x = (low // r).astype(np.int32)
+                mixture = state.mixture.take(mix, axis=0)
+                which = (x >= mixture[:, 1]).view(np.int8) + (x >= mixture[:, 2]).view(np.int8) + (x >= mixture[:, 3]).view(np.int8)
+                place = which + row
+                cum = mixture.take(place)
+                place += 4
+                unit = mixture.take(place)
+                np.minimum((x - cum) // unit, _VOCAB - 1, out=rest)
+                rest_part[:] = rest
+                run = runs.take(run_of.take(np.minimum(rest, last) + firsts) + run_base)
+                np.bitwise_and(run, 0xFFFF, out=old, casting="unsafe")
+                np.bitwise_and(run >> 16, 0xFFFF, out=old_part, casting="unsafe")
+                np.right_shift(run, 32, out=old_number, casting="unsafe")
+                place = np.multiply(which, n, dtype=np.int64)
+                place += column
+                s = ids4.take(place)
+                cum += unit * part4.take(place)
+                unit *= number4.take(place)
+                low -= r * cum
+                np.multiply(r, unit, out=width)
+                full = (width < (1 << 32)).astype(np.int64)
+                shift = full * 24
+                width <<= shift
+                low <<= shift
+                low |= digits.take(where) * full
+                where += full
+                ids[t, :m] = s
+                mixes[t, :m], routes[t, :m] = mix, which
+                state.table[slot] = _learned(entry, trust, guess == s, s)
+                before, key = key, _HASHES.take(s)
         seen[:, begin:end] = ids.T
+        state.count(mixes, routes, lives)
     found: list[np.ndarray] = [np.zeros(0, np.uint16)] * n
     for row, i in enumerate(order):
         size, ids_crc = heads[i]

@@ -11,15 +11,17 @@ commit protocol keeps the output of lost or repeated tasks out.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import json
 import os
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,8 +30,8 @@ from fieldlens.llm import token_codec
 from fieldlens.llm.runtime import releasing
 from fieldlens.llm.words import text_runs
 
-# The normaliser and pre-tokenizer for which words can be encoded one by one:
-# tokens never reach over white space, nor from a letter to the marks below.
+# The normaliser and pre-tokenizer for which pieces can be encoded one by one:
+# tokens never reach over white space, nor from a letter to the marks below or back.
 _BY_WORD = {
     "normalizer": {"type": "Sequence", "normalizers": [
         {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
@@ -38,39 +40,70 @@ _BY_WORD = {
          "behavior": "Removed", "invert": True},
         {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
 }
-_WORD = re.compile("[ \t-\r]*([A-Za-zÀ-ÖØ-öø-ÿ]+)")
-_SPACE, _MARK, _LETTER, _LEAD, _NEXT, _SIGN = 1, 2, 3, 4, 5, 6
-_KIND = np.zeros(256, dtype=np.uint8)
+_ADDED = re.compile(r"<\|[a-z]+\|>")  # added tokens that no cut and no lower-casing touches
+_WORD = "^[a-zß-öø-ÿ]+$"
+_LETTER, _MARK, _SPACE, _OTHER, _LEAD, _NEXT, _SIGN, _WIDE = range(1, 9)
+_KIND = np.full(256, _OTHER, dtype=np.uint8)  # digits, "'" and "|" are cut from nothing but white space
 _KIND[[0x20, *range(0x09, 0x0E)]] = _SPACE
-_KIND[list(b'.,;:!?)"')] = _MARK
+_KIND[list(b'.,;:!?)"(#*$%&+-/<=>@[]^_`{}~\\')] = _MARK
 _KIND[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = _LETTER
+_KIND[0x80:] = _WIDE
 _KIND[0xC3] = _LEAD  # first byte of U+00C0 to U+00FF
 _KIND[0x80:0xC0] = _NEXT
 _KIND[[0x97, 0xB7]] = _SIGN  # the second byte of the two signs among them
-_CACHE_WORDS = 400_000
-
-
-def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where pieces begin that can be encoded one by one (and the end): at
-    white space after a letter or mark, and at a mark after a letter."""
-    kind = _KIND[data]
-    cut = np.zeros(len(data) + 1, dtype=bool)
-    if len(data) > 1:
-        before, here = kind[:-1], kind[1:]
-        letter = before == _LETTER
-        letter[1:] |= (before[1:] == _NEXT) & (before[:-1] == _LEAD)
-        np.logical_and(letter, here <= _MARK, out=letter)
-        letter &= here > 0
-        cut[1:-1] = letter | ((before == _MARK) & (here == _SPACE))
-    cut[offsets] = True
-    return np.flatnonzero(cut)
+_BETWEEN, _JOINED = ".", 1000
+_CACHE_WORDS = 500_000
+_RUN_BYTES = 10 << 20  # known pieces are looked up once a run
+
+
+def _pieces_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, where each piece begins and the end, first piece of each text
+    and the end) of pieces that can be encoded one by one: texts without ASCII
+    white space, cut there and between a letter and a mark.  A to Z and U+00C0
+    to U+00DE are in lower case, except in pieces with other characters
+    beyond U+00FF or below U+00C0 (NFC goes before) or a ``<|``."""
+    text = data.tobytes()
+    kind = np.frombuffer(text.translate(_KIND.tobytes()), dtype=np.uint8)
+    lower = np.frombuffer(bytearray(text).lower(), dtype=np.uint8)  # A to Z only
+    letter, space, mark = kind == _LETTER, kind == _SPACE, kind == _MARK
+    odd = kind == _WIDE
+    word_begin = word_end = letter
+    lead = np.flatnonzero(kind >= _LEAD)  # bytes beyond ASCII
+    if len(lead):
+        odd[lead] = True
+        lead = lead[kind[lead] == _LEAD]
+        second = kind[lead + 1]
+        odd[lead] = odd[lead + 1] = False
+        word = lead[second == _NEXT]
+        word_begin, word_end = letter.copy(), letter.copy()
+        word_begin[word], word_end[word + 1] = True, True
+        upper = word[data[word + 1] <= 0x9E] + 1
+        lower[upper] += 0x20
+    begin = np.zeros(len(data) + 1, dtype=bool)
+    begin[1:-1] = space[:-1] | (word_end[:-1] & mark[1:]) | (mark[:-1] & word_begin[1:])
+    begin[offsets] = True
+    keep = ~space
+    at = np.flatnonzero(begin[:-1] & keep)
+    if b"<|" in text:
+        odd[:-1] |= (data[:-1] == 0x3C) & (data[1:] == 0x7C)
+    if odd.any():
+        raw = np.zeros(len(at), dtype=bool)
+        raw[np.searchsorted(at, np.flatnonzero(odd), side="right") - 1] = True
+        if at[0]:  # white space before the first piece
+            raw, edges = np.append(False, raw), np.concatenate([[0], at, [len(data)]])
+        else:
+            edges = np.append(at, len(data))
+        lower = np.where(np.repeat(raw, np.diff(edges)), data, lower)
+    starts = np.flatnonzero(begin[:-1][keep]) if len(at) else at
+    return lower[keep], np.append(starts, int(keep.sum())), np.searchsorted(at, offsets)
 
 
 class Encoder:
     """Ids of texts by the ``tokenizers`` library, without special tokens
     added.  With the normaliser and pre-tokenizer above, each different piece
-    of text is encoded once and its ids are kept (``_CACHE_WORDS`` at most);
-    with any other, texts are encoded as they are."""
+    of text is encoded once and its ids are kept; beyond ``_CACHE_WORDS``,
+    those that no second run of texts asked for are forgotten.  With any other,
+    texts are encoded as they are."""
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
@@ -79,36 +112,64 @@ class Encoder:
         if self.whole.get_vocab_size() > 1 << 16:
             raise ValueError("the block format holds ids below 65,536")
         config = json.loads(tokenizer_json)
-        self.by_word = all(config.get(k) == v for k, v in _BY_WORD.items())
-        if self.by_word:  # a lower-case word of letters is one pre-token
+        self.by_word = all(config.get(k) == v for k, v in _BY_WORD.items()) and all(
+            _ADDED.fullmatch(t["content"]) and not (t["lstrip"] or t["rstrip"] or t["normalized"] or t["single_word"]) for t in config["added_tokens"])
+        if self.by_word:  # a lower-case word of letters is one pre-token, and so is a mark between two
             self.words = Tokenizer.from_str(tokenizer_json)
             self.words.normalizer = None
-            self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self._forget()
+            self.words.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.Split(_BETWEEN, "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            between = self.words.encode(_BETWEEN, add_special_tokens=False).ids
+            self.by_word = len(between) == 1
+            self.between = between[0]
+        self.known = pa.array([], pa.large_string())
+        self.flat, self.edges, self.runs = np.zeros(0, np.uint16), np.zeros(1, np.int64), np.zeros(0, np.int32)
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.flat, self.edges = array("H"), array("q", [0])
-
-    def _add(self, keys: list[str], encoded: list) -> None:
-        for key, one in zip(keys, encoded):
-            self.place[key] = len(self.edges) - 1
-            self.flat.extend(one.ids)
-            self.edges.append(len(self.flat))
-
-    def _places(self, pieces: list[str]) -> np.ndarray:
-        """Where the ids of each piece are kept; new ones are encoded."""
-        if len(self.place) > _CACHE_WORDS:
+        """Keep what more than one run has asked for, half the room at most."""
+        kept = np.flatnonzero(self.runs > 1)
+        if 2 * len(kept) > _CACHE_WORDS:
+            kept = np.sort(kept[np.argsort(-self.runs[kept], kind="stable")[:_CACHE_WORDS // 2]])
+        size = np.diff(self.edges)[kept]
+        edges = np.concatenate([[0], np.cumsum(size)])
+        self.flat = self.flat[np.repeat(self.edges[kept] - edges[:-1], size) + np.arange(edges[-1])]
+        self.edges, self.runs, self.known = edges, np.ones(len(kept), np.int32), self.known.take(pa.array(kept))
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each) of lower-case words, many a call."""
+        joined = [_BETWEEN.join(words[i:i + _JOINED]) + _BETWEEN for i in range(0, len(words), _JOINED)]
+        encoded = self.words.encode_batch_fast(joined, add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, np.uint16), *(np.array(one.ids, dtype=np.uint16) for one in encoded)])
+        end = np.flatnonzero(ids == self.between)
+        if len(end) != len(words):
+            raise ValueError("the tokenizer does not keep words apart")
+        return np.delete(ids, end), np.diff(end, prepend=-1) - 1
+
+    def _rest(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each) of other pieces."""
+        ids = [one.ids for one in self.whole.encode_batch_fast(pieces, add_special_tokens=False)]
+        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        return np.fromiter(itertools.chain.from_iterable(ids), dtype=np.uint16, count=int(size.sum())), size
+
+    def _add(self, pieces: pa.Array, ids: np.ndarray, size: np.ndarray) -> None:
+        self.known = pa.concat_arrays([self.known, pieces])
+        self.flat = np.concatenate([self.flat, ids])
+        self.edges = np.concatenate([self.edges, self.edges[-1] + np.cumsum(size)])
+        self.runs = np.concatenate([self.runs, np.zeros(len(size), np.int32)])
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Where the ids of each different piece are kept; new ones are encoded."""
+        if len(self.known) > _CACHE_WORDS:
             self._forget()
-        keys = []
-        for piece in pieces:
-            word = _WORD.fullmatch(piece)
-            keys.append(word[1].lower() if word else "\0" + piece)
-        new = [k for k in dict.fromkeys(keys) if k not in self.place]
-        words, rest = [k for k in new if k[0] != "\0"], [k for k in new if k[0] == "\0"]
-        self._add(words, self.words.encode_batch_fast(words, add_special_tokens=False))
-        self._add(rest, self.whole.encode_batch_fast([k[1:] for k in rest], add_special_tokens=False))
-        return np.fromiter(map(self.place.__getitem__, keys), dtype=np.int64, count=len(keys))
+        found = pc.index_in(pieces, self.known).fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(found < 0)
+        word = pc.match_substring_regex(pieces.take(pa.array(new)), _WORD).to_numpy(zero_copy_only=False)
+        for places, ids_of in ((new[word], self._words), (new[~word], self._rest)):
+            found[places] = len(self.known) + np.arange(len(places))
+            some = pieces.take(pa.array(places))
+            self._add(some, *ids_of(some.to_pylist()))
+        self.runs[found] += 1
+        return found
 
     def run(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each) of a run of texts."""
@@ -119,18 +180,23 @@ class Encoder:
             return np.fromiter((i for ids in encoded for i in ids), dtype=np.uint16, count=int(sizes.sum())), sizes
         if not len(data):
             return np.zeros(0, np.uint16), np.zeros(len(offsets) - 1, np.int64)
-        at = _cuts(data, offsets)
-        pieces = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
+        shown, at, first = _pieces_of(data, offsets)
+        pieces = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(shown))
         coded = pieces.dictionary_encode()
-        place = self._places(coded.dictionary.to_pylist()).astype(np.int32)[coded.indices.to_numpy()]
-        edges = np.frombuffer(self.edges, dtype=np.int64).astype(np.int32)
-        begin = edges[place]
-        size = edges[place + 1] - begin
-        upto = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
-        begin -= upto[:-1].astype(np.int32)
-        ids = np.frombuffer(self.flat, dtype=np.uint16)[np.repeat(begin, size) + np.arange(upto[-1], dtype=np.int32)] \
-            if upto[-1] else np.zeros(0, np.uint16)
-        return ids, np.diff(upto[np.searchsorted(at, offsets)])
+        place = self._places(coded.dictionary)[coded.indices.to_numpy()]
+        begin = self.edges[place]
+        size = self.edges[place + 1] - begin
+        upto = np.concatenate([[0], np.cumsum(size)])
+        where = np.repeat((begin - upto[:-1]).astype(np.int32), size)
+        where += np.arange(upto[-1], dtype=np.int32)
+        return self.flat[where], np.diff(upto[first])
+
+
+@functools.lru_cache(maxsize=1)
+def _encoder(tokenizer_json: str) -> Encoder:
+    """A worker's encoder: Spark keeps workers for later tasks, and so the ids
+    of the pieces that their texts share."""
+    return Encoder(tokenizer_json)
 
 
 _DOCS = pa.list_(pa.struct([("seq", pa.int64()), ("doc_id", pa.int64()), ("first", pa.int64()), ("n", pa.int64())]))
@@ -198,11 +264,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
         model = spark.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, stream = Encoder(model.value), _Stream(TaskContext.get().partitionId())
+        encoder, stream = _encoder(model.value), _Stream(TaskContext.get().partitionId())
         for batch in batches:
             doc_id = batch.column(0)
             null, doc_id = doc_id.is_null().to_numpy(zero_copy_only=False), doc_id.fill_null(0).to_numpy()
-            for i, j, data, offsets in text_runs(batch.column(1)):
+            for i, j, data, offsets in text_runs(batch.column(1), _RUN_BYTES):
                 ids, sizes = encoder.run(data, offsets)
                 stream.add(doc_id[i:j], null[i:j], _with_end(ids, sizes, end_id), sizes + 1)
                 yield from stream.batches(last=False)
@@ -214,26 +280,19 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
     ordered.select("doc_id", "text").mapInArrow(releasing(run), _FILE).write.parquet(path)
 
 
-def _times(a: int, b: int) -> int:
-    """Product of two polynomials modulo the CRC's, lowest power in the top bit."""
-    out = 0
-    for bit in range(31, -1, -1):
-        if a >> bit & 1:
-            out ^= b
-        b = b >> 1 ^ (0xEDB88320 if b & 1 else 0)
-    return out
+_ZEROS = bytes(4 * token_codec.BLOCK)
 
 
 def crc32_joined(pieces: list[tuple[int, int]]) -> int:
-    """crc32 of a byte string from (crc32, number of bytes) of its pieces."""
+    """crc32 of a byte string from (crc32, number of bytes) of its pieces:
+    what comes before a piece counts as if zeros stood in the piece's place."""
     out = 0
     for crc, size in pieces:
-        power, factor, n = 0x40000000, 0x80000000, 8 * size  # x, 1
-        while n:
-            if n & 1:
-                factor = _times(factor, power)
-            power, n = _times(power, power), n >> 1
-        out = _times(factor, out) ^ crc
+        zero = 0
+        while size:
+            step = min(size, len(_ZEROS))
+            out, zero, size = zlib.crc32(_ZEROS[:step], out), zlib.crc32(_ZEROS[:step], zero), size - step
+        out ^= zero ^ crc
     return out
 
 

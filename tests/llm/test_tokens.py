@@ -119,3 +119,53 @@ def test_query_equals_plain_tokenization(spark):
         want[r.doc_id] = (upto, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         upto += len(ids)
     assert got == want
+
+
+def test_pieces_meet_without_case_space_and_marks():
+    encoder = token_output.Encoder(open(WORDS, encoding="utf-8").read())
+    text = "Pfau*** und&&& PFAU###\n\tUnd\"pfau\" | pfau ÀÉ àé=é"
+    data = np.frombuffer(text.encode(), np.uint8)
+    ids, _ = encoder.run(data, np.array([0, len(data)]))
+    assert ids.tolist() == plain([text])[0][:-1]
+    assert sorted(encoder.known.to_pylist()) == sorted(["pfau", "***", "und", "&&&", "###", '"', "|", "àé", "=", "é"])
+
+
+def test_workers_keep_their_pieces():
+    model = open(WORDS, encoding="utf-8").read()
+    assert token_output._encoder(model) is token_output._encoder("".join(list(model)))
+
+
+def test_cuts_at_marks_change_no_id():
+    texts = ["=\u0338 a=\u0338b", "H\u0331h\u0331 A\u0301 I\u0307", "a<|endoftext|>b &<|ENDOFTEXT|>A", "(It's) it'S 'S .'s a'.s",
+             "x|y <| |> Ab|Cd", "Á+Þ/ß~×*÷", "x\x1f \x1fY\x00Z\u00a0Q", "ͅ K ſ ²ª 日A本", "1.5a.b2", ""]
+    encoder = token_output.Encoder(open(WORDS, encoding="utf-8").read())
+    offsets = np.cumsum([0] + [len(t.encode()) for t in texts])
+    ids, sizes = encoder.run(np.frombuffer("".join(texts).encode(), np.uint8), offsets)
+    assert [x.tolist() + [1] for x in np.split(ids, np.cumsum(sizes)[:-1])] == plain(texts)
+
+
+def test_forgotten_pieces_are_encoded_again(monkeypatch):
+    monkeypatch.setattr(token_output, "_CACHE_WORDS", 5)
+    encoder = token_output.Encoder(open(WORDS, encoding="utf-8").read())
+    for text in ["one two three", "two four* five", "six seven one", "two six", "eight nine ten two", "one two seven ***"]:
+        data = np.frombuffer(text.encode(), np.uint8)
+        ids, _ = encoder.run(data, np.array([0, len(data)]))
+        assert ids.tolist() == plain([text])[0][:-1]
+    assert len(encoder.known) < 13 and "two" in encoder.known.to_pylist()
+
+
+def test_crc32_of_pieces():
+    data = bytes(range(256)) * 600
+    for cuts in ([0, 153_600], [0, 0, 5, 9, 32_768, 150_000, 153_600], [0, 100_000, 153_600]):
+        pieces = [(zlib.crc32(data[a:b]), b - a) for a, b in zip(cuts, cuts[1:])]
+        assert token_output.crc32_joined(pieces) == zlib.crc32(data)
+
+
+def test_code_of_blocks_is_fixed():
+    i = np.arange(20_000, dtype=np.int64)
+    ids = (i * i * 7919 >> 9) % 700 + (i % 9 == 0) * 40_000
+    blocks = [ids[:8192], ids[8192:16384], ids[16384:], ids[:5]]
+    coded = token_codec.encode(blocks)
+    assert zlib.crc32(b"".join(coded)) == 908683255
+    assert all(np.array_equal(a, b) for a, b in zip(token_codec.decode(coded), blocks))
+    assert token_codec.encode([]) == [] and token_codec.decode([]) == []
